@@ -41,7 +41,7 @@ def is_email(c: str | Column) -> Column:
 
 def iso_date(c: str | Column) -> Column:
     """A ``yyyy-MM-dd`` date; other text becomes NULL instead of an error."""
-    return F.try_to_date(_col(c).cast("string"), "yyyy-MM-dd")
+    return F.try_to_date(_col(c), "yyyy-MM-dd")
 
 
 def money(c: str | Column, precision: int = 10, scale: int = 2) -> Column:

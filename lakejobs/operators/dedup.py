@@ -30,9 +30,10 @@ def dedup(
 ) -> DataFrame:
     """One row per key: any row, or the first by ``order_by``.
 
-    Rows with a NULL in the key are not the same entity, so they all stay.  With
-    ``keep_null_keys=False`` (for keys already known to be set) the input is
-    read once instead of twice.
+    Rows with a NULL in the key are not the same entity, so they all stay.  They
+    are read on their own: from a table that is a scan which file statistics cut
+    to the files holding NULL keys.  ``keep_null_keys=False`` is for keys already
+    known to be set and reads the input once.
     """
     known = df if not keep_null_keys else df.filter(~_any_null(keys))
     one = first_per_key(known, keys, order_by) if order_by else known.dropDuplicates(keys)

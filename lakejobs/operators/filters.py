@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakejobs.functions import clock, text
 
@@ -41,6 +42,24 @@ def on_day(df: DataFrame, ts_col: str, as_of: str | Column | None = None) -> Dat
     )
 
 
+def mark_of(df: DataFrame, column: str) -> Column:
+    """The largest value of a column as text, free of the session time zone."""
+    top = F.max(column)
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        top = F.unix_micros(top)
+    return top.cast("string")
+
+
+def newer_than(df: DataFrame, column: str, mark: str | None) -> DataFrame:
+    """Rows beyond a mark of :func:`mark_of`; all rows when there is none."""
+    if mark is None:
+        return df
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        return df.filter(F.col(column) > F.timestamp_micros(F.lit(int(mark))))
+    return df.filter(F.col(column) > F.lit(mark).cast(kind))
+
+
 def incremental(
     source: DataFrame, target: DataFrame | None, src_ts: str, tgt_ts: str | None = None
 ) -> DataFrame:
@@ -51,8 +70,5 @@ def incremental(
     """
     if target is None:
         return source
-    mark = target.agg(F.max(tgt_ts or src_ts).cast("string")).first()[0]
-    if mark is None:
-        return source
-    kind = source.schema[src_ts].dataType
-    return source.filter(F.col(src_ts) > F.lit(mark).cast(kind))
+    mark = target.agg(mark_of(target, tgt_ts or src_ts)).first()[0]
+    return newer_than(source, src_ts, mark)

@@ -51,10 +51,17 @@ def _quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def as_date(df: DataFrame, column: str) -> Column:
+    """A date column; text is parsed as ``yyyy-MM-dd``, times are cut, dates stay."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return text.iso_date(column)
+    return F.col(column).cast("date")
+
+
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast named columns; values that do not fit become NULL."""
     return df.withColumns({
-        c: text.iso_date(c) if kind == "date" else F.col(c).try_cast(kind)
+        c: as_date(df, c) if kind == "date" else F.col(c).try_cast(kind)
         for c, kind in types.items()
     })
 
@@ -141,15 +148,15 @@ def clean_sales(df: DataFrame) -> DataFrame:
 
 def clean_customers(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """Names, contacts, full name and tenure of raw customers."""
+    df = df.withColumnsRenamed(CUSTOMER_NAMES)
     return (
-        df.withColumnsRenamed(CUSTOMER_NAMES)
-        .withColumns({
+        df.withColumns({
             "customer_id": text.clean_id("customer_id"),
             "first_name": text.title_case("first_name"),
             "last_name": text.title_case("last_name"),
             "email": text.clean_email("email"),
             "phone": text.phone_digits("phone"),
-            "registration_date": text.iso_date("registration_date"),
+            "registration_date": as_date(df, "registration_date"),
         })
         .withColumns({
             "full_name": F.concat_ws(" ", "first_name", "last_name"),

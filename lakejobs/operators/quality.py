@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -215,63 +215,87 @@ def freshness(
     )
 
 
-def check(
-    df: DataFrame,
-    level: str = "strict",
-    keys: list[str] | None = None,
-    date_col: str | None = None,
-    as_of: str | None = None,
-    max_age_hours: int = 24,
-) -> DataFrame:
-    """The quality report: (check_name, column_name, value, threshold, passed).
+@dataclass(frozen=True)
+class Checks:
+    """What to check on a frame: a quality level, key columns and a time column."""
 
-    Completeness of every column, sign of ``*_amount`` and ``*_price``, age and
-    emptiness come from one aggregate over the input; uniqueness is a second
-    one, because it alone needs a shuffle, and then only of the keys.
-    """
-    limits = LEVELS[level]
-    columns = df.columns
-    signed = [
-        f.name for f in df.schema.fields
+    level: str = "strict"
+    keys: tuple[str, ...] = ()
+    date_col: str | None = None
+    as_of: str | None = None
+    max_age_hours: int = 24
+
+
+def _signed(schema: T.StructType) -> list[str]:
+    """Numeric ``*_amount`` and ``*_price`` columns, which may not be negative."""
+    return [
+        f.name for f in schema.fields
         if isinstance(f.dataType, T.NumericType) and f.name.endswith(("_amount", "_price"))
     ]
-    dated = date_col if date_col in columns else None
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(columns)]
-    aggs += [F.count_if(F.col(c) < 0).alias(f"neg_{i}") for i, c in enumerate(signed)]
-    if dated:
-        aggs.append(F.max(F.col(dated).cast("timestamp")).alias("latest"))
-    wide = df.agg(*aggs)
-
-    def record(name, column, value, threshold, passed):
-        return F.struct(
-            F.lit(name).alias("check_name"), F.lit(column).alias("column_name"),
-            value.cast("double").alias("value"),
-            F.lit(float(threshold)).alias("threshold"),
-            F.coalesce(passed, F.lit(False)).alias("passed"),
-        )
 
-    null_limit = limits["null_percentage"]
-    records = [record("not_empty", None, F.col("n"), 1, F.col("n") >= 1)]
-    for i, c in enumerate(columns):
+
+def check_counts(schema: T.StructType, checks: Checks) -> list[Column]:
+    """Aggregates behind every check but uniqueness; all fit one pass or one ``observe``."""
+    counts = [F.count(F.lit(1)).alias("n")]
+    counts += [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(schema.names)]
+    counts += [F.count_if(F.col(c) < 0).alias(f"neg_{i}") for i, c in enumerate(_signed(schema))]
+    if checks.date_col in schema.names:
+        counts.append(F.max(F.col(checks.date_col).cast("timestamp")).alias("latest"))
+    return counts
+
+
+def observed_counts(spark: SparkSession, metrics: dict) -> DataFrame:
+    """Observed :func:`check_counts` as a one-row frame."""
+    fields = [
+        T.StructField(k, T.TimestampType() if k == "latest" else T.LongType()) for k in metrics
+    ]
+    return spark.createDataFrame([tuple(metrics.values())], T.StructType(fields))
+
+
+def _record(name: str, column: str | None, value: Column, limit: float, passed: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("check_name"), F.lit(column).alias("column_name"),
+        value.cast("double").alias("value"), F.lit(float(limit)).alias("threshold"),
+        F.coalesce(passed, F.lit(False)).alias("passed"),
+    )
+
+
+def check_report(wide: DataFrame, schema: T.StructType, checks: Checks) -> DataFrame:
+    """Report rows from the one-row frame of :func:`check_counts`."""
+    limit = LEVELS[checks.level]["null_percentage"]
+    records = [_record("not_empty", None, F.col("n"), 1, F.col("n") >= 1)]
+    for i, c in enumerate(schema.names):
         pct = classes.ratio(F.col(f"null_{i}") * 100, "n")
-        records.append(record("completeness", c, pct, null_limit, pct <= null_limit))
-    for i, c in enumerate(signed):
+        records.append(_record("completeness", c, pct, limit, pct <= limit))
+    for i, c in enumerate(_signed(schema)):
         bad = F.col(f"neg_{i}")
-        records.append(record("business_rule", c, bad, 0, bad == 0))
-    if dated:
-        now = clock.moment(wide, "latest", as_of)
+        records.append(_record("business_rule", c, bad, 0, bad == 0))
+    if "latest" in wide.columns:
+        now = clock.moment(wide, "latest", checks.as_of)
         age = clock.seconds_between("latest", now).cast("double") / 3600.0
-        records.append(record("freshness", dated, age, max_age_hours, age <= max_age_hours))
-    report = wide.select(F.inline(F.array(*records)))
-    if keys:
-        limit = limits["duplicate_percentage"]
-        pct = F.col("duplicate_percentage")
-        report = report.unionByName(
-            duplicate_pct(df, keys).select(
-                F.inline(F.array(record("uniqueness", ",".join(keys), pct, limit, pct <= limit)))
-            )
-        )
+        hours = checks.max_age_hours
+        records.append(_record("freshness", checks.date_col, age, hours, age <= hours))
+    return wide.select(F.inline(F.array(*records)))
+
+
+def uniqueness_report(df: DataFrame, checks: Checks) -> DataFrame:
+    """The report row of the key columns."""
+    limit = LEVELS[checks.level]["duplicate_percentage"]
+    pct = F.col("duplicate_percentage")
+    row = _record("uniqueness", ",".join(checks.keys), pct, limit, pct <= limit)
+    return duplicate_pct(df, list(checks.keys)).select(F.inline(F.array(row)))
+
+
+def check(df: DataFrame, checks: Checks) -> DataFrame:
+    """The quality report: (check_name, column_name, value, threshold, passed).
+
+    Completeness of every column, sign of amounts and prices, age and emptiness
+    come from one aggregate over the input; uniqueness is a second one, because
+    it alone needs a shuffle, and then only of the keys.
+    """
+    report = check_report(df.agg(*check_counts(df.schema, checks)), df.schema, checks)
+    if checks.keys:
+        report = report.unionByName(uniqueness_report(df, checks))
     return report
 
 

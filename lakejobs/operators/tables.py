@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakejobs.operators.projections import align
-from lakejobs.session import delete_dir, path_exists
+from lakejobs.session import delete_dir, list_dirs, path_exists
 from lakejobs.sources.files import list_files
 
 _HISTORY = T.StructType([
@@ -129,52 +128,132 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
 # -- writing ---------------------------------------------------------------
 
 
-def _fill(df: DataFrame, path: str, partitions: list[str]) -> tuple[str, int]:
-    """Write one data folder; the row count is taken while writing."""
+@dataclass(frozen=True)
+class Staged:
+    """A filled data folder that no version refers to yet."""
+
+    path: str
+    folder: str
+    schema: T.StructType
+    partitions: tuple[str, ...]
+    rows: int
+    metrics: dict
+
+
+def _plain(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
+def stage(
+    df: DataFrame, path: str, partition_by: list[str] | None = None,
+    metrics: list[Column] | None = None,
+) -> Staged:
+    """Write one data folder.
+
+    Rows are counted, and further aggregates taken, in the same pass.  Rows of a
+    partitioned table are rebalanced by partition value, which joins small
+    partitions and splits a value too large for one task.
+    """
     folder = f"r{uuid.uuid4().hex}"
     seen = Observation(f"rows-{folder}")
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics or []))
+    partitions = list(partition_by or [])
     if partitions:
-        writer = writer.partitionBy(*partitions)
+        writer = counted.hint("rebalance", *partitions).write.partitionBy(*partitions)
+    else:
+        writer = counted.write
     writer.parquet(f"{path}/data/_run={folder}")
-    return folder, int(seen.get.get("rows", 0))
+    values = dict(seen.get)
+    rows = int(values.pop("rows", 0))
+    return Staged(path, folder, _plain(df.schema), tuple(partitions), rows, values)
+
+
+def read_staged(spark: SparkSession, staged: Staged) -> DataFrame:
+    at = Version(-1, staged.schema, (staged.folder,), staged.partitions, staged.rows, staged.rows)
+    return _read_folders(spark, staged.path, at, [staged.folder])
+
+
+def discard(spark: SparkSession, staged: Staged) -> None:
+    delete_dir(spark, f"{staged.path}/data/_run={staged.folder}")
+
+
+def publish(
+    spark: SparkSession, staged: Staged, mode: str = "overwrite", merge_schema: bool = True,
+    notes: dict[str, str] | None = None,
+) -> int:
+    """Make a staged folder the table (``overwrite``) or part of it (``append``).
+
+    On append the columns of the folder and of the table are merged by name;
+    columns one of them lacks read as NULL.  ``notes`` join the metrics of the
+    version, so they hold exactly when its rows do.
+    """
+    path = staged.path
+    last = version_of(spark, path) if table_exists(spark, path) else None
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode}")
+    schema, kept, before = staged.schema, (), 0
+    if last and mode == "append":
+        schema = merged_schema(last.schema, staged.schema, merge_schema)
+        kept, before = last.folders, last.rows
+    return _publish(
+        spark, path, f"WRITE {mode}".upper(), schema, [*kept, staged.folder],
+        list(staged.partitions),
+        {"num_rows": before + staged.rows, "num_rows_written": staged.rows, **(notes or {})},
+        last.number + 1 if last else 0,
+    )
+
+
+def merged_schema(
+    table: T.StructType, new: T.StructType, merge_schema: bool = True
+) -> T.StructType:
+    """Table columns, then new ones; a column may not change its type."""
+    for f in new.fields:
+        if f.name in table.names and table[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {table[f.name].dataType.simpleString()}, "
+                             f"not {f.dataType.simpleString()}")
+    if not merge_schema and set(table.names) != set(new.names):
+        raise ValueError("columns differ from the table: "
+                         f"{sorted(set(table.names) ^ set(new.names))}")
+    return T.StructType(table.fields + [f for f in new.fields if f.name not in table.names])
 
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", merge_schema: bool = True,
-    partition_by: list[str] | None = None, skip_empty: bool = False, operation: str = "WRITE",
+    partition_by: list[str] | None = None, skip_empty: bool = False,
 ) -> int | None:
     """Write a new version and return its number.
 
-    ``append`` adds the rows; with ``merge_schema`` new columns join the table
-    and missing ones read as NULL, otherwise the columns must be the same.
-    ``skip_empty`` publishes nothing (and returns None) when there are no rows.
+    ``append`` casts known columns to the type of the table.  ``skip_empty``
+    publishes nothing (and returns None) when there are no rows.
     """
     spark = df.sparkSession
-    last = version_of(spark, path) if table_exists(spark, path) else None
-    kept: list[str] = []
-    schema, partitions, before = df.schema, list(partition_by or []), 0
-    if last and mode == "append":
-        new = [f for f in df.schema.fields if f.name not in last.schema.names]
-        missing = set(last.schema.names) - set(df.columns)
-        if (new or missing) and not merge_schema:
-            raise ValueError(f"columns differ from the table: {sorted(missing)}, "
-                             f"{[f.name for f in new]}")
-        schema = T.StructType(last.schema.fields + new)
-        df, kept, before = align(df, schema), list(last.folders), last.rows
-        partitions = list(last.partitions)
-    elif mode not in ("overwrite", "append"):
-        raise ValueError(f"unknown mode {mode}")
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-    folder, rows = _fill(df, path, partitions)
-    if skip_empty and rows == 0:
-        delete_dir(spark, f"{path}/data/_run={folder}")
+    if mode == "append" and table_exists(spark, path):
+        last = version_of(spark, path)
+        df = typed(df, last.schema)
+        merged_schema(last.schema, df.schema, merge_schema)
+        partition_by = list(last.partitions)
+    staged = stage(df, path, partition_by)
+    if skip_empty and staged.rows == 0:
+        discard(spark, staged)
         return None
-    return _publish(
-        spark, path, f"{operation} {mode}".upper(), schema, [*kept, folder], partitions,
-        {"num_rows": before + rows, "num_rows_written": rows},
-        last.number + 1 if last else 0,
-    )
+    return publish(spark, staged, mode, merge_schema)
+
+
+def note(spark: SparkSession, path: str, name: str) -> str | None:
+    """The newest value of a note left in the metrics of a version."""
+    if not table_exists(spark, path):
+        return None
+    rows = _history_rows(spark, path).select("version", F.col("metrics")[name].alias("value"))
+    row = rows.filter("value IS NOT NULL").orderBy(F.desc("version")).first()
+    return row.value if row else None
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast the columns that ``schema`` knows to its types."""
+    return df.select(*[
+        F.col(c).cast(schema[c].dataType).alias(c) if c in schema.names else F.col(c)
+        for c in df.columns
+    ])
 
 
 def append_named(df: DataFrame, name: str) -> None:
@@ -204,10 +283,11 @@ def update(
         for f in at.schema.fields
     ])
     kept = [f for f in at.folders if f not in touched]
-    new, count = _fill(changed, path, list(at.partitions)) if touched else (None, 0)
+    new = stage(changed, path, list(at.partitions)) if touched else None
     return _publish(
-        spark, path, "UPDATE", at.schema, [*kept, new] if new else kept, list(at.partitions),
-        {"num_rows": at.rows, "num_rows_rewritten": count}, at.number + 1,
+        spark, path, "UPDATE", at.schema, [*kept, new.folder] if new else kept,
+        list(at.partitions),
+        {"num_rows": at.rows, "num_rows_rewritten": new.rows if new else 0}, at.number + 1,
     )
 
 
@@ -240,34 +320,36 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"two updates for one key: {twice[0].asDict()}")
 
 
-def upsert(updates: DataFrame, path: str, keys: list[str]) -> int | None:
+def upsert(
+    updates: DataFrame | Staged, path: str, keys: list[str], notes: dict[str, str] | None = None
+) -> int | None:
     """Update rows by key and insert the others; a new version.
 
-    Only data folders that hold matching keys are rewritten.  Without updates
-    nothing is published.
+    Only data folders that hold matching keys are rewritten.  The updates are
+    written once before they are read several times; updates staged before are
+    taken as they are.  Without updates nothing is published.
     """
-    spark = updates.sparkSession
-    require_unique(updates, keys)
+    spark = SparkSession.active()
     at = version_of(spark, path)
-    updates = updates.select(*[
-        F.col(c).cast(at.schema[c].dataType).alias(c) if c in at.schema.names else F.col(c)
-        for c in updates.columns
-    ])
-    target = _scan(spark, path, at, list(at.folders))
-    touched = _touched(target.join(updates.select(*keys), keys, "left_semi"))
-    result = merged(_read_folders(spark, path, at, touched), updates, keys)
-    new, count = _fill(result, path, list(at.partitions))
-    if count == 0:
-        delete_dir(spark, f"{path}/data/_run={new}")
-        return None
-    kept = [f for f in at.folders if f not in touched]
-    before = _read_folders(spark, path, at, touched).count() if touched else 0
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in result.schema.fields])
-    return _publish(
-        spark, path, "UPSERT", schema, [*kept, new], list(at.partitions),
-        {"num_rows": at.rows - before + count, "num_rows_rewritten": count,
-         "num_rows_written": updates.count()}, at.number + 1,
-    )
+    source = updates if isinstance(updates, Staged) else stage(updates, path)
+    try:
+        if source.rows == 0:
+            return None
+        rows = typed(read_staged(spark, source), at.schema)
+        require_unique(rows, keys)
+        target = _scan(spark, path, at, list(at.folders))
+        touched = _touched(target.join(rows.select(*keys), keys, "left_semi"))
+        result = merged(_read_folders(spark, path, at, touched), rows, keys)
+        new = stage(result, path, list(at.partitions))
+        before = _read_folders(spark, path, at, touched).count() if touched else 0
+        kept = [f for f in at.folders if f not in touched]
+        return _publish(
+            spark, path, "UPSERT", new.schema, [*kept, new.folder], list(at.partitions),
+            {"num_rows": at.rows - before + new.rows, "num_rows_rewritten": new.rows,
+             "num_rows_written": source.rows, **(notes or {})}, at.number + 1,
+        )
+    finally:
+        discard(spark, source)
 
 
 # -- maintenance -----------------------------------------------------------
@@ -312,10 +394,10 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 256 * 2**20) ->
     chosen = [r.folder for r in small]
     files = max(1, math.ceil(sum(r.size_bytes for r in small) / target_bytes))
     rows = _read_folders(spark, path, at, chosen)
-    new, _ = _fill(rows.coalesce(files), path, list(at.partitions))
+    new = stage(rows if at.partitions else rows.coalesce(files), path, list(at.partitions))
     kept = [f for f in at.folders if f not in chosen]
     return _publish(
-        spark, path, "COMPACT", at.schema, [*kept, new], list(at.partitions),
+        spark, path, "COMPACT", at.schema, [*kept, new.folder], list(at.partitions),
         {"num_rows": at.rows, "num_files": files}, at.number + 1,
     )
 
@@ -325,22 +407,24 @@ def vacuum(
 ) -> list[str]:
     """Delete data folders that no version within the retention time uses.
 
-    The current version is kept whatever its age.  History rows stay; reading a
+    Folders left behind by a failed write go too, once they are that old.  The
+    current version is kept whatever its age.  History rows stay; reading a
     version whose folders are gone fails.
     """
-    now = now or datetime.now(timezone.utc)
+    oldest = (now or datetime.now(timezone.utc)) - timedelta(hours=retain_hours)
     rows = _history_rows(spark, path).select("version", "timestamp", "folders")
     newest = version_of(spark, path).number
-    cutoff = F.lit(now - timedelta(hours=retain_hours))
-    folders = rows.select(
+    used = rows.select(
         F.explode("folders").alias("folder"),
-        ((F.col("version") == newest) | (F.col("timestamp") >= cutoff)).alias("live"),
-    )
-    dead = folders.groupBy("folder").agg(F.bool_or("live").alias("live")).filter("NOT live")
+        ((F.col("version") == newest) | (F.col("timestamp") >= F.lit(oldest))).alias("live"),
+    ).groupBy("folder").agg(F.bool_or("live").alias("live"))
+    live = {r.folder: r.live for r in used.collect()}
     gone = []
-    for row in dead.collect():
-        if delete_dir(spark, f"{path}/data/_run={row.folder}"):
-            gone.append(row.folder)
+    for name, changed in list_dirs(spark, f"{path}/data"):
+        folder = name.removeprefix("_run=")
+        expired = not live[folder] if folder in live else changed < oldest.timestamp()
+        if expired and delete_dir(spark, f"{path}/data/{name}"):
+            gone.append(folder)
     return gone
 
 

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakejobs import schemas
 from lakejobs.operators import filters, gold, projections, quality, tables
 from lakejobs.paths import LakePaths
 
+# Name of the note a silver version carries: the time it is loaded up to.
+LOADED = "loaded_until"
+
 
 @dataclass
 class Result:
@@ -53,51 +58,69 @@ def run(
     lake: LakePaths,
     table: str,
     batch_id: str,
-    level: str = "strict",
+    checks: quality.Checks = quality.Checks(),
     mode: str = "incremental",
     ts_col: str = "ingestion_timestamp",
     keys: list[str] | None = None,
-    date_col: str | None = None,
-    as_of: str | None = None,
 ) -> Result:
-    """Load one table.
+    """Load one table; ``checks`` are made on the valid rows.
 
-    ``incremental`` takes rows whose ingestion time is later than the newest one
+    ``incremental`` takes rows whose ingestion time is later than the last one
     loaded before and appends them, or lays them over the table when ``keys``
     are given; ``full`` replaces the table, so a rerun does not double rows.  At
-    level ``critical`` failed checks stop the load before anything is written.
+    level ``critical`` failed checks stop the load before anything is published.
+
+    Both sides are written before either is published, rejected rows first, and
+    the time loaded up to is part of the silver version.  A run that dies in
+    between is simply run again: no row is skipped, and at worst rejected rows
+    of the dead run are in quarantine twice, under its batch id.
     """
     spark = bronze.sparkSession
     log, result = EventLog(batch_id, table), Result(batch_id)
     silver_path, bad_path = lake.silver(table), lake.quarantine(table)
     try:
-        log.add("INFO", "Starting bronze to silver processing", mode=mode, level=level)
+        log.add("INFO", "Starting bronze to silver processing", mode=mode, level=checks.level)
         source = bronze
         if mode == "incremental":
-            source = filters.incremental(bronze, loaded(spark, lake, table, ts_col), ts_col)
+            source = filters.newer_than(bronze, ts_col, tables.note(spark, silver_path, LOADED))
         valid, rejected = quality.convention_split(standardize(source, batch_id))
-        report = quality.check(valid, level, keys, date_col, as_of)
-        result.issues = quality.gate(report, level)
+        if mode == "incremental" and tables.table_exists(spark, silver_path):
+            known = tables.version_of(spark, silver_path).schema
+            for change in schema_changes(spark, known, valid):
+                log.add("WARNING", "Schema changed", **change)
+            valid = tables.typed(valid, known)
+        mark = filters.mark_of(source, ts_col).alias("mark")
+        good, report = _stage_checked(spark, valid, silver_path, checks, mark)
+        bad = tables.stage(
+            rejected.withColumn("quarantine_timestamp", F.current_timestamp()), bad_path,
+            metrics=[mark],
+        )
+        try:
+            result.issues = quality.gate(report, checks.level)
+        except quality.QualityGateError:
+            tables.discard(spark, good)
+            tables.discard(spark, bad)
+            raise
         for issue in result.issues:
             log.add("WARNING", issue)
-        if mode == "full":
-            new = tables.write_table(valid, silver_path)
-        elif keys and tables.table_exists(spark, silver_path):
-            new = tables.upsert(valid, silver_path, keys)
+        result.written, result.quarantined = good.rows, bad.rows
+        write = "overwrite" if mode == "full" else "append"
+        if bad.rows:
+            tables.publish(spark, bad, write)
+            log.add("WARNING", "Quarantined invalid records", records=bad.rows)
         else:
-            new = tables.write_table(valid, silver_path, "append", skip_empty=True)
-        result.written = _written(spark, silver_path, new)
-        bad = tables.write_table(
-            rejected.withColumn("quarantine_timestamp", F.current_timestamp()), bad_path,
-            "overwrite" if mode == "full" else "append", skip_empty=True,
-        )
-        if bad is not None:
-            result.quarantined = _written(spark, bad_path, bad)
-            log.add("WARNING", "Quarantined invalid records", records=result.quarantined)
-        if result.written:
+            tables.discard(spark, bad)
+        if good.rows or bad.rows or mode == "full":
+            marks = [m for m in (good.metrics["mark"], bad.metrics["mark"]) if m is not None]
+            notes = {LOADED: _later(source, ts_col, marks)} if marks else {}
+            if keys and mode != "full" and tables.table_exists(spark, silver_path) and good.rows:
+                tables.upsert(good, silver_path, keys, notes)
+            else:
+                tables.publish(spark, good, write, notes=notes)
             tables.compact(spark, silver_path)
             tables.vacuum(spark, silver_path)
         else:
+            tables.discard(spark, good)
             log.add("INFO", "No new data to process")
         log.add("SUCCESS", "Processing completed", records_processed=result.written,
                 records_quarantined=result.quarantined)
@@ -109,21 +132,36 @@ def run(
         log.save(spark, lake.monitoring("processing_events"))
 
 
-def loaded(spark: SparkSession, lake: LakePaths, table: str, ts_col: str) -> DataFrame | None:
-    """Ingestion times of all rows taken in so far, valid or not."""
-    frames = [
-        tables.read_table(spark, path).select(ts_col)
-        for path in (lake.silver(table), lake.quarantine(table))
-        if tables.table_exists(spark, path)
-    ]
-    if not frames:
-        return None
-    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+def _later(df: DataFrame, column: str, marks: list[str]) -> str:
+    """The later of two marks of :func:`filters.mark_of`."""
+    if isinstance(df.schema[column].dataType, (T.TimestampType, T.NumericType)):
+        return max(marks, key=Decimal)
+    return max(marks)
+
+
+def schema_changes(spark: SparkSession, known: T.StructType, new: DataFrame) -> list[dict]:
+    """Columns added, removed or of another type; at most one record per column."""
+    old = spark.createDataFrame([], known)
+    changes = quality.schema_diff(quality.schema_frame(new), quality.schema_frame(old))
+    return [r.asDict() for r in changes.collect()]
 
 
-def _written(spark: SparkSession, path: str, version: int | None) -> int:
-    """Rows a version brought in, as counted while it was written."""
-    return 0 if version is None else tables.version_of(spark, path, version).written
+def _stage_checked(
+    spark: SparkSession, valid: DataFrame, path: str, checks: quality.Checks, mark: Column
+) -> tuple[tables.Staged, DataFrame]:
+    """Write the valid rows where no version sees them yet, and report on them.
+
+    The checks are counted while the rows are written; only uniqueness reads the
+    key columns again, from what was written.
+    """
+    staged = tables.stage(valid, path, metrics=[*quality.check_counts(valid.schema, checks), mark])
+    counts = {k: v for k, v in staged.metrics.items() if k != "mark"}
+    wide = quality.observed_counts(spark, counts)
+    report = quality.check_report(wide, valid.schema, checks)
+    if checks.keys:
+        written = tables.read_staged(spark, staged)
+        report = report.unionByName(quality.uniqueness_report(written, checks))
+    return staged, report
 
 
 def save_summary(spark: SparkSession, lake: LakePaths, table: str, batch_id: str) -> DataFrame:

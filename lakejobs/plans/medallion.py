@@ -20,7 +20,7 @@ def silver_sales(valid: DataFrame) -> DataFrame:
     """Types and audit columns of valid sales."""
     typed = valid.withColumns({
         "sale_amount": text.money("sale_amount", 12, 2),
-        "sale_date": text.iso_date("sale_date"),
+        "sale_date": projections.as_date(valid, "sale_date"),
     })
     return projections.process_audit(typed, record_status="VALID").drop("_bad_reason")
 

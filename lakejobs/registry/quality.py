@@ -144,9 +144,8 @@ def _(spark, d):
            CAST((count(*) - count(DISTINCT sale_id)) * 100 AS DOUBLE) / count(*) <= 2
     FROM sales_raw""", "sales_raw")
 def _(spark, d):
-    return quality.check(
-        star.sales_raw(spark, d, *_SALES), "strict", ["sale_id"], "sale_date", star.SALES_AS_OF
-    )
+    checks = quality.Checks("strict", ("sale_id",), "sale_date", star.SALES_AS_OF)
+    return quality.check(star.sales_raw(spark, d, *_SALES), checks)
 
 
 @case("dq_schema_diff", """
