@@ -346,10 +346,10 @@ def table_metrics(
         F.col("null_percentage") <= limits["max_null_percentage"]
     )
     if keys:
-        dup = duplicate_pct(df, keys).select(
-            F.lit(1).alias("_one"), F.col("duplicate_percentage").alias("_dup")
-        )
-        row = row.withColumn("_one", F.lit(1)).join(dup, "_one", "left")
+        # two one-row frames become one row by union and max, without a join
+        dup = duplicate_pct(df, keys).select(F.col("duplicate_percentage").alias("_dup"))
+        both = row.unionByName(dup, allowMissingColumns=True)
+        row = both.agg(*[F.max(c).alias(c) for c in both.columns])
         good = good & (F.col("_dup") <= limits["max_duplicate_percentage"])
     return row.select(
         F.lit(table_name).alias("table_name"), F.lit(layer).alias("layer"),

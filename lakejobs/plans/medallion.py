@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import partial, reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakejobs.functions import text
@@ -48,7 +50,7 @@ def run(raw: DataFrame, lake: LakePaths, batch_id: str, source: str = "pos_syste
     return summary(spark, lake)
 
 
-def summary(spark, lake: LakePaths) -> DataFrame:
+def summary(spark: SparkSession, lake: LakePaths) -> DataFrame:
     """Rows per layer, quality rate and the total of every gold table."""
     rows = {
         name: tables.version_of(spark, path).rows
@@ -58,23 +60,19 @@ def summary(spark, lake: LakePaths) -> DataFrame:
         )
     }
 
-    def total(name: str, column: str) -> DataFrame:
-        frame = tables.read_table(spark, lake.gold(name))
-        return frame.agg(
-            F.lit(1).alias("_one"), F.sum(column).cast("double").alias(f"{name}_revenue")
-        )
-
     rate = None
     if rows["bronze_rows"]:
         rate = round(rows["silver_rows"] * 100 / rows["bronze_rows"], 1)
-    counts = spark.createDataFrame(
-        [(1, *rows.values(), rate)],
-        "_one int, bronze_rows bigint, silver_rows bigint, quarantine_rows bigint,"
-        " quality_rate double",
-    )
-    return (
-        counts.join(total("by_segment", "total_revenue"), "_one")
-        .join(total("by_region", "total_revenue"), "_one")
-        .join(total("monthly_trend", "monthly_revenue"), "_one")
-        .drop("_one")
-    )
+    parts = [spark.createDataFrame(
+        [(*rows.values(), rate)],
+        "bronze_rows bigint, silver_rows bigint, quarantine_rows bigint, quality_rate double",
+    )]
+    for name, column in (
+        ("by_segment", "total_revenue"), ("by_region", "total_revenue"),
+        ("monthly_trend", "monthly_revenue"),
+    ):
+        table = tables.read_table(spark, lake.gold(name))
+        parts.append(table.agg(F.sum(column).cast("double").alias(f"{name}_revenue")))
+    # one-row frames become one row by union and max, without a join
+    both = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
