@@ -330,11 +330,15 @@ def table_metrics(
     With keys the duplicate share counts as well.
     """
     limits = TABLE_THRESHOLDS if thresholds is None else thresholds
-    nulls = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)) for c in df.columns],
+    cells = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    counts = [F.count(F.lit(1)).alias("_rows"), F.sum(cells).alias("_nulls")]
+    # one pass either way: with keys the counts are taken per key, then summed
+    parts = (df.groupBy(*keys) if keys else df.groupBy()).agg(*counts)
+    rows = F.coalesce(F.sum("_rows"), F.lit(0))
+    row = parts.agg(
+        rows.alias("total_rows"), F.sum("_nulls").alias("_nulls"),
+        F.count(F.lit(1)).alias("_keys"),
     )
-    row = df.agg(F.count(F.lit(1)).alias("total_rows"), nulls.alias("_nulls"))
     row = row.withColumn(
         "null_percentage",
         F.coalesce(
@@ -346,11 +350,8 @@ def table_metrics(
         F.col("null_percentage") <= limits["max_null_percentage"]
     )
     if keys:
-        # two one-row frames become one row by union and max, without a join
-        dup = duplicate_pct(df, keys).select(F.col("duplicate_percentage").alias("_dup"))
-        both = row.unionByName(dup, allowMissingColumns=True)
-        row = both.agg(*[F.max(c).alias(c) for c in both.columns])
-        good = good & (F.col("_dup") <= limits["max_duplicate_percentage"])
+        copies = classes.ratio((F.col("total_rows") - F.col("_keys")) * 100, "total_rows")
+        good = good & (copies <= limits["max_duplicate_percentage"])
     return row.select(
         F.lit(table_name).alias("table_name"), F.lit(layer).alias("layer"),
         "total_rows", "null_percentage",

@@ -146,13 +146,15 @@ def _plain(schema: T.StructType) -> T.StructType:
 
 def stage(
     df: DataFrame, path: str, partition_by: list[str] | None = None,
-    metrics: list[Column] | None = None,
+    metrics: list[Column] | None = None, even_files: bool = False,
 ) -> Staged:
     """Write one data folder.
 
     Rows are counted, and further aggregates taken, in the same pass.  Rows of a
     partitioned table are rebalanced by partition value, which joins small
-    partitions and splits a value too large for one task.
+    partitions and splits a value too large for one task.  Other tables are
+    written as their tasks come, without a shuffle; ``even_files`` pays for one
+    to get files of even size, for input that arrives in very uneven pieces.
     """
     folder = f"r{uuid.uuid4().hex}"
     seen = Observation(f"rows-{folder}")
@@ -161,7 +163,7 @@ def stage(
     if partitions:
         writer = counted.hint("rebalance", *partitions).write.partitionBy(*partitions)
     else:
-        writer = counted.write
+        writer = (counted.hint("rebalance") if even_files else counted).write
     writer.parquet(f"{path}/data/_run={folder}")
     values = dict(seen.get)
     rows = int(values.pop("rows", 0))
@@ -219,7 +221,7 @@ def merged_schema(
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", merge_schema: bool = True,
-    partition_by: list[str] | None = None, skip_empty: bool = False,
+    partition_by: list[str] | None = None, skip_empty: bool = False, even_files: bool = False,
 ) -> int | None:
     """Write a new version and return its number.
 
@@ -232,7 +234,7 @@ def write_table(
         df = typed(df, last.schema)
         merged_schema(last.schema, df.schema, merge_schema)
         partition_by = list(last.partitions)
-    staged = stage(df, path, partition_by)
+    staged = stage(df, path, partition_by, even_files=even_files)
     if skip_empty and staged.rows == 0:
         discard(spark, staged)
         return None

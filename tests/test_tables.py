@@ -136,6 +136,15 @@ def test_compaction_keeps_the_rows(spark, path):
     assert tables.compact(spark, path) == number
 
 
+def test_even_files_spread_a_single_task(spark, path):
+    one = spark.range(200_000).coalesce(1)
+    tables.write_table(one, path)
+    assert tables.detail(spark, path).first().num_files == 1
+    tables.write_table(one, path, even_files=True)
+    assert tables.read_table(spark, path).count() == 200_000
+    assert "rebalance" in one.hint("rebalance")._jdf.queryExecution().analyzed().toString().lower()
+
+
 def test_vacuum_keeps_what_is_needed(spark, path):
     for i in range(3):
         tables.write_table(frame(spark, [(i, "a")]), path)
