@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from lakejobs import schemas
 from lakejobs.operators import filters, gold, projections, quality, tables
 from lakejobs.paths import LakePaths
+from lakejobs.plans.together import together
 
 # Name of the note a silver version carries: the time it is loaded up to.
 LOADED = "loaded_until"
@@ -90,10 +91,10 @@ def run(
                 log.add("WARNING", "Schema changed", **change)
             valid = tables.typed(valid, known)
         mark = filters.mark_of(source, ts_col).alias("mark")
-        good, report = _stage_checked(spark, valid, silver_path, checks, mark)
-        bad = tables.stage(
-            rejected.withColumn("quarantine_timestamp", F.current_timestamp()), bad_path,
-            metrics=[mark],
+        rejected = rejected.withColumn("quarantine_timestamp", F.current_timestamp())
+        (good, report), bad = together(
+            lambda: _stage_checked(spark, valid, silver_path, checks, mark),
+            lambda: tables.stage(rejected, bad_path, metrics=[mark]),
         )
         try:
             result.issues = quality.gate(report, checks.level)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakejobs.functions import text
 from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
+from lakejobs.plans.together import together
 
 GOLD_TABLES = {
     "by_segment": gold.by_segment,
@@ -39,14 +40,16 @@ def run(raw: DataFrame, lake: LakePaths, batch_id: str, source: str = "pos_syste
     valid, rejected = quality.split_quarantine(
         tables.read_table(spark, lake.bronze("sales")), quality.SALES_REJECTS
     )
-    tables.write_table(silver_sales(valid), lake.silver("sales"))
-    tables.write_table(
-        rejected.withColumn("quarantine_timestamp", F.current_timestamp()),
-        lake.quarantine("sales"),
+    rejected = rejected.withColumn("quarantine_timestamp", F.current_timestamp())
+    together(
+        lambda: tables.write_table(silver_sales(valid), lake.silver("sales")),
+        lambda: tables.write_table(rejected, lake.quarantine("sales")),
     )
     silver = tables.read_table(spark, lake.silver("sales"))
-    for name, build in GOLD_TABLES.items():
-        tables.write_table(build(silver), lake.gold(name))
+    together(*[
+        partial(tables.write_table, build(silver), lake.gold(name))
+        for name, build in GOLD_TABLES.items()
+    ])
     return summary(spark, lake)
 
 

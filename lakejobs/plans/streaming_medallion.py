@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
+from lakejobs.plans.together import together
 from lakejobs.streaming.ingest import ingest_stream, start_table
 from lakejobs.streaming.silver import stream_silver
 
@@ -34,7 +35,7 @@ def ingest(spark: SparkSession, landing: dict[str, str], lake: LakePaths, batch_
 
 
 def refine(
-    spark: SparkSession, schemas: dict, lake: LakePaths, env: str = "dev",
+    spark: SparkSession, schemas: dict, lake: LakePaths,
     as_of: str | None = None, watermark: tuple[str, str] | None = None,
 ) -> None:
     """Clean, validate and deduplicate new bronze rows into silver."""
@@ -46,7 +47,7 @@ def refine(
         "sales": (projections.clean_sales, quality.SALES_RULES, ["sale_id", "sale_date"], True),
         "customers": (customers, quality.CUSTOMER_RULES, ["customer_id"], False),
         "products": (
-            partial(projections.clean_products), quality.PRODUCT_RULES, ["product_id"], False,
+            projections.clean_products, quality.PRODUCT_RULES, ["product_id"], False,
         ),
     }
     running = []
@@ -73,8 +74,10 @@ def build_gold(
         "customer_360": gold.customer_360(sales, customers, high, medium),
         "product_performance": gold.product_performance(sales, products, as_of),
     }
-    for name, df in results.items():
-        tables.write_table(projections.process_audit(df), lake.gold(name))
+    together(*[
+        partial(tables.write_table, projections.process_audit(df), lake.gold(name))
+        for name, df in results.items()
+    ])
 
 
 def quality_table(spark: SparkSession, lake: LakePaths) -> DataFrame:
@@ -94,6 +97,6 @@ def run(
 ) -> DataFrame:
     """Take in what has landed, refine it, rebuild gold and measure quality."""
     schemas = ingest(spark, landing, lake, batch_id)
-    refine(spark, schemas, lake, env, as_of, watermark)
+    refine(spark, schemas, lake, as_of, watermark)
     build_gold(spark, lake, as_of, high, medium, env)
     return quality_table(spark, lake)
