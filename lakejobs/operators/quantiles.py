@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Groups a call accepts: their ranks are held on the driver and broadcast.
+MAX_GROUPS = 10_000
 _STATE = "g string, rank bigint, below bigint, lo double, hi double"
 
 
@@ -65,7 +67,9 @@ def exact_quantiles(
     values = _values(df, group, value)
     sizes = values.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    ).collect()
+    ).limit(MAX_GROUPS + 1).collect()
+    if len(sizes) > MAX_GROUPS:
+        raise ValueError(f"{group} has more than {MAX_GROUPS} values; quantiles are for few groups")
     total = {r.g: r.n for r in sizes}
     opened = [
         (r.g, rank, 0, r.lo, r.hi)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakejobs import schemas
-from lakejobs.operators import filters, gold, projections, quality, tables
+from lakejobs.operators import filters, gold, governance, projections, quality, tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans.together import together
 
@@ -120,6 +120,7 @@ def run(
                 tables.publish(spark, good, write, notes=notes)
             tables.compact(spark, silver_path)
             tables.vacuum(spark, silver_path)
+            save_lineage(bronze, lake, table, result)
         else:
             tables.discard(spark, good)
             log.add("INFO", "No new data to process")
@@ -133,6 +134,18 @@ def run(
         log.save(spark, lake.monitoring("processing_events"))
 
 
+def save_lineage(bronze: DataFrame, lake: LakePaths, table: str, result: Result) -> None:
+    """Record where the silver columns come from and the share of valid rows."""
+    spark = bronze.sparkSession
+    names = dict(zip(projections.normalize_names(bronze).columns, bronze.columns))
+    total = result.written + result.quarantined
+    governance.lineage_record(
+        spark, f"bronze.{table}", f"silver.{table}", "bronze_to_silver", f"load_{table}", names,
+        spark.sparkContext.sparkUser(), 100.0 * result.written / total if total else 100.0,
+        f"{table}-{result.batch_id}", datetime.now(timezone.utc),
+    ).coalesce(1).write.mode("append").parquet(lake.monitoring("data_lineage"))
+
+
 def _later(df: DataFrame, column: str, marks: list[str]) -> str:
     """The later of two marks of :func:`filters.mark_of`."""
     if isinstance(df.schema[column].dataType, (T.TimestampType, T.NumericType)):

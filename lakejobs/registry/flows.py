@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakejobs.operators import tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans import audit, bronze_to_silver, medallion, streaming_medallion
+from lakejobs.plans.together import together
 from lakejobs.registry.case import case
 from lakejobs.session import fresh_dir
 from lakejobs.sources import star_tables as star
@@ -41,15 +42,20 @@ def _(spark, d):
     landing = {name: f"{root}/landing/{name}" for name in streaming_medallion.SOURCES}
     camel = {"sale_id": "saleId", "customer_id": "customerId", "product_id": "productId",
              "sale_amount": "saleAmount", "sale_date": "saleDate"}
-    star.sales_raw(spark, d, *camel).withColumnsRenamed(camel).write.json(landing["sales"])
-    star.customers_raw(spark, d).withColumnsRenamed({
+    sales = star.sales_raw(spark, d, *camel).withColumnsRenamed(camel)
+    customers = star.customers_raw(spark, d).withColumnsRenamed({
         "customer_id": "customerId", "first_name": "firstName", "last_name": "lastName",
         "email": "emailAddress", "phone": "phoneNumber", "registration_date": "registrationDate",
-    }).write.option("header", True).csv(landing["customers"])
-    star.products_raw(spark, d).withColumnsRenamed({
+    })
+    products = star.products_raw(spark, d).withColumnsRenamed({
         "product_id": "productId", "product_name": "productName", "category": "categoryName",
         "price": "productPrice",
-    }).write.parquet(landing["products"])
+    })
+    together(
+        lambda: sales.write.json(landing["sales"]),
+        lambda: customers.write.option("header", True).csv(landing["customers"]),
+        lambda: products.write.parquet(landing["products"]),
+    )
     metrics = streaming_medallion.run(
         spark, landing, LakePaths(f"{root}/lake"), "batch-1", as_of=star.SALES_AS_OF
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,53 +14,81 @@ from pyspark.sql.streaming import StreamingQuery
 from lakejobs.operators.projections import ingest_audit
 from lakejobs.session import path_exists
 
-_ENTRY = "version bigint, recorded_at timestamp, schema string"
+_ENTRY = "version bigint, seen_at bigint, schema string"
 CORRUPT = "_corrupt_record"
 
 
-def stored_schema(spark: SparkSession, schema_dir: str) -> T.StructType | None:
-    """The newest schema recorded for a source."""
+def _last_entry(
+    spark: SparkSession, schema_dir: str
+) -> tuple[T.StructType, int, datetime] | None:
     if not path_exists(spark, schema_dir):
         return None
     row = spark.read.schema(_ENTRY).parquet(schema_dir).orderBy(F.desc("version")).first()
-    return T.StructType.fromJson(json.loads(row.schema)) if row else None
+    if row is None:
+        return None
+    seen_at = datetime.fromtimestamp(row.seen_at, timezone.utc)
+    return T.StructType.fromJson(json.loads(row.schema)), row.version, seen_at
+
+
+def stored_schema(spark: SparkSession, schema_dir: str) -> T.StructType | None:
+    """The newest schema recorded for a source."""
+    last = _last_entry(spark, schema_dir)
+    return last[0] if last else None
 
 
-def grown(stored: T.StructType | None, seen: T.StructType) -> T.StructType:
+def grown(stored: T.StructType, seen: T.StructType) -> T.StructType:
     """Stored columns as they are, then the columns seen for the first time."""
-    if stored is None:
-        return seen
     return T.StructType(stored.fields + [f for f in seen.fields if f.name not in stored.names])
 
 
-def observed_schema(spark: SparkSession, path: str, fmt: str) -> T.StructType:
-    """Columns of the files now in the source.
+def observed_schema(
+    spark: SparkSession, path: str, fmt: str, since: datetime | None = None
+) -> T.StructType | None:
+    """Columns of the files in the source, or of those changed after ``since``.
 
-    JSON is read once for its types, Parquet gives them in its footers, and CSV
-    columns stay text until the cleaning step casts them.
+    JSON is read for its types, Parquet gives them in its footers, and CSV
+    columns stay text until the cleaning step casts them.  Without such files
+    the result is None.
     """
-    if fmt == "json":
-        schema = spark.read.json(path).schema
-        return T.StructType([f for f in schema.fields if f.name != CORRUPT])
+    reader = spark.read.format(fmt)
+    if since is not None:
+        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
+        reader = reader.option("timeZone", "UTC")
     if fmt == "csv":
-        return spark.read.option("header", True).csv(path).schema
-    return spark.read.option("mergeSchema", True).format(fmt).load(path).schema
-
-
-def register_schema(spark: SparkSession, path: str, fmt: str, schema_dir: str) -> T.StructType:
+        reader = reader.option("header", True)
+    elif fmt != "json":
+        reader = reader.option("mergeSchema", True)
+    try:
+        schema = reader.load(path).schema
+    except AnalysisException as error:
+        if since is not None and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+    return T.StructType([f for f in schema.fields if f.name != CORRUPT])
+
+
+def register_schema(
+    spark: SparkSession, path: str, fmt: str, schema_dir: str,
+    margin: timedelta = timedelta(hours=1), rescan: bool = False,
+) -> T.StructType:
     """Bring the stored schema up to date with the source and return it.
 
     A stream keeps one schema for a run, so this is called before each run.
-    Stored columns are never dropped and never change type.
+    Stored columns are never dropped and never change type.  After the first run
+    only files changed since the last one (less ``margin``) are looked at, so the
+    cost follows the new files; ``rescan`` looks at all, for files that arrive
+    with old times.
     """
-    stored = stored_schema(spark, schema_dir)
-    schema = grown(stored, observed_schema(spark, path, fmt))
-    if schema != stored:
-        last = -1
-        if stored is not None:
-            last = spark.read.schema(_ENTRY).parquet(schema_dir).agg(F.max("version")).first()[0]
-        entry = [(last + 1, datetime.now(timezone.utc), schema.json())]
-        spark.createDataFrame(entry, _ENTRY).coalesce(1).write.mode("append").parquet(schema_dir)
+    now = datetime.now(timezone.utc)
+    last = _last_entry(spark, schema_dir)
+    if last is None:
+        schema, version = observed_schema(spark, path, fmt), 0
+    else:
+        stored, version, seen_at = last
+        seen = observed_schema(spark, path, fmt, None if rescan else seen_at - margin)
+        schema, version = (grown(stored, seen) if seen else stored), version + 1
+    entry = [(version, int(now.timestamp()), schema.json())]
+    spark.createDataFrame(entry, _ENTRY).coalesce(1).write.mode("append").parquet(schema_dir)
     return schema
 
 

@@ -73,6 +73,9 @@ def test_incremental_load(spark, lake):
     events = spark.read.parquet(lake.monitoring("processing_events"))
     kinds = {(r.batch_id, r.event_type) for r in events.collect()}
     assert ("b1", "SUCCESS") in kinds and ("b2", "WARNING") in kinds
+    lineage = spark.read.parquet(lake.monitoring("data_lineage")).filter("lineage_id = 'events-b1'")
+    row = lineage.first()
+    assert row.column_mapping["event_id"] == "Event-ID" and row.quality_score == 50.0
     summary = bronze_to_silver.save_summary(spark, lake, "events", "b3").first()
     assert (summary.record_count, summary.batch_count) == (2, 2)
 

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -48,6 +49,21 @@ def test_json_ingest_is_incremental_and_grows(spark, tmp_path):
     assert stored.names == ["id", "v", "extra"] and stored["id"].dataType.simpleString() == "bigint"
 
 
+def test_schema_looks_at_changed_files_only(spark, tmp_path):
+    src, registry = tmp_path / "in", str(tmp_path / "schema")
+    put_json(src, "a.json", [{"id": 1}])
+    os.utime(src / "a.json", (1_600_000_000, 1_600_000_000))
+    assert ingest.register_schema(spark, str(src), "json", registry).names == ["id"]
+    assert ingest.register_schema(spark, str(src), "json", registry).names == ["id"]
+    put_json(src, "b.json", [{"late": 1}])
+    os.utime(src / "b.json", (1_600_000_000, 1_600_000_000))
+    assert ingest.register_schema(spark, str(src), "json", registry).names == ["id"]
+    got = ingest.register_schema(spark, str(src), "json", registry, rescan=True)
+    assert got.names == ["id", "late"]
+    put_json(src, "c.json", [{"id": 2, "new": "x"}])
+    assert ingest.register_schema(spark, str(src), "json", registry).names == ["id", "late", "new"]
+
+
 def test_csv_and_parquet_ingest(spark, tmp_path):
     lake = LakePaths(str(tmp_path / "lake"))
     (tmp_path / "csv").mkdir()
