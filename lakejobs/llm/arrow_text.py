@@ -24,7 +24,7 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def slices(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, pa.Array]]:
+def slices(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive slices of about ``limit`` bytes; a longer text is a slice of its own."""
     _, at = utf8(texts)
     begin = 0

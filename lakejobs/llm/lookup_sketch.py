@@ -185,28 +185,29 @@ def text_digests(text: Column) -> Column:
     return digest_texts(text)
 
 
-def described(digests: Column, next_digests: Column, edited: Column) -> Column:
+def described(text: Column, next_text: Column, edited: Column) -> Column:
     """Struct of the sketches of a text and of its edited text, and the likeness of the text to
     the edited one and to the next one: the share of paragraphs two texts have in common, 1 for
     two empty texts. Equal texts have equal sketches."""
 
     @F.arrow_udf("fingerprint string, edited_fingerprint string, "
                  "near_edited double, near_next double")
-    def describe(own: pa.Array, following: pa.Array, edits: pa.Array) -> pa.Array:
+    def describe(texts: pa.Array, following: pa.Array, edits: pa.Array) -> pa.Array:
         columns: list[list] = [[], [], [], []]
-        for begin, part in arrow_text.slices(edits):
-            a = unpacked(own.slice(begin, len(part)))
-            edit = paragraph_digests(part)
-            columns[0] += printed(*a)
+        for begin, part in arrow_text.slices(texts):
+            own = paragraph_digests(part)
+            edit = paragraph_digests(edits.slice(begin, len(part)))
+            columns[0] += printed(*own)
             columns[1] += printed(*edit)
-            columns[2] += compare(a, edit)[0].tolist()
-            columns[3] += compare(a, unpacked(following.slice(begin, len(part))))[0].tolist()
+            columns[2] += compare(own, edit)[0].tolist()
+            columns[3] += compare(
+                own, paragraph_digests(following.slice(begin, len(part))))[0].tolist()
         kinds = [pa.string(), pa.string(), pa.float64(), pa.float64()]
         return pa.StructArray.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
             ["fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return describe(digests, next_digests, edited)
+    return describe(text, next_text, edited)
 
 
 def differences(left: Column, right: Column) -> Column:
@@ -226,13 +227,12 @@ def differences(left: Column, right: Column) -> Column:
     return recover(left, right)
 
 
-def with_next(docs: DataFrame, key: str, values: list[str], buckets: int) -> DataFrame:
-    """Add ``next_<value>``: the values of the row with the next smaller key (after the last:
-    the first), rows of one key in the order of their values' hash.
+def in_buckets(docs: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows with ``_bucket``, cut at the quantiles of the key, ``_key`` and ``_guest``.
 
-    Keys are cut into buckets at their quantiles, so that each window sorts one bucket. The first
-    row of a bucket also goes to the bucket before it as a guest; one key per bucket passes
-    through the driver, never a text. A null key counts as the smallest."""
+    The first row of a bucket in descending order is also a guest in the bucket before it (of
+    the first bucket: in the last), so that every bucket holds all neighbours of its rows. One key
+    per bucket passes through the driver, never a text. A null key counts as the smallest."""
     keyed = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))))
     shares = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(keyed.select(F.percentile_approx("_key", shares, 10 * buckets))
@@ -258,13 +258,17 @@ def with_next(docs: DataFrame, key: str, values: list[str], buckets: int) -> Dat
              for k, b in zip(keys.to_pylist(), own.tolist(), strict=True)],
             pa.list_(pa.struct([("bucket", pa.int32()), ("guest", pa.bool_())])))
 
-    spread = keyed.withColumn("_place", F.explode(places("_key"))).select(
-        "*", F.col("_place.bucket").alias("_bucket"), F.col("_place.guest").alias("_guest"))
-    line = Window.partitionBy("_bucket").orderBy(
-        "_guest", F.desc("_key"), F.xxhash64(*values))
-    return spread.select(
-        "*", *[F.lead(v).over(line).alias(f"next_{v}") for v in values],
-    ).where(~F.col("_guest")).drop("_key", "_place", "_bucket", "_guest")
+    return keyed.withColumn("_place", F.explode(places("_key"))).select(
+        *docs.columns, "_key", F.col("_place.bucket").alias("_bucket"),
+        F.col("_place.guest").alias("_guest"))
+
+
+def with_next(placed: DataFrame, value: str) -> DataFrame:
+    """Add ``next_<value>``: the value of the row with the next smaller key (after the last:
+    the first), rows of one key in the order of the value's hash."""
+    line = Window.partitionBy("_bucket").orderBy("_guest", F.desc("_key"), F.xxhash64(value))
+    return placed.select("*", F.lead(value).over(line).alias(f"next_{value}")).where(
+        ~F.col("_guest")).drop("_key", "_bucket", "_guest")
 
 
 def versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -278,13 +282,13 @@ def versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    texts = texts.withColumn("digests", text_digests(F.col("text")))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half),
                       F.substring("next_text", F.lit(1), half))
-    lined = with_next(texts, "doc_id", ["text", "digests"], buckets).withColumn("edited", edited)
-    seen = described(F.col("digests"), F.col("next_digests"), F.col("edited"))
+    # The one shuffle carries every text once; digests are made behind it.
+    lined = with_next(in_buckets(texts, "doc_id", buckets), "text").withColumn("edited", edited)
     return lined.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), seen.alias("seen"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        described(F.col("text"), F.col("next_text"), F.col("edited")).alias("seen"),
     ).select("doc_id", "n_chars", "edited_sha256", "seen.*")

@@ -1,4 +1,4 @@
-"""Give the executors' Python workers this package, as ``--py-files`` would."""
+"""Set a session up for the operators' Python workers: code and batch size."""
 
 from __future__ import annotations
 
@@ -8,14 +8,19 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package to the session once; Spark hands the archive to every executor.
+    """Add the package to the session once, as ``--py-files`` would; Spark hands the archive to
+    every executor. It is code only, and built in the driver's own folder, from where Spark's
+    file server sends it out.
 
-    The archive is code only. It is built in the driver's own folder, from where Spark's file
-    server sends it out."""
+    Where the session has the default, Arrow batches are cut to 16 MB, as several columns of
+    text and their numpy copies are in memory at once."""
+    if spark.conf.get(BATCH_BYTES, None) in (None, "64MB", "67108864b"):
+        spark.conf.set(BATCH_BYTES, "16m")
     context = spark.sparkContext
     if getattr(context, "_lakejobs_shipped", False):
         return

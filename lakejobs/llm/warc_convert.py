@@ -186,8 +186,8 @@ def write_arc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     pages.select(
         F.col(f"`{id_col}`").cast("long"), F.col(f"`{url_col}`"), F.col(f"`{html_col}`"),
     ).mapInArrow(archive, "record binary").select(F.col("record").cast("string")).write.option(
-        "lineSep", "\n").option("maxRecordsPerFile", 0).option("compression", "gzip").option(
-        "zlib.compress.level", "BEST_SPEED").text(path)
+        "lineSep", "\n").option("maxRecordsPerFile", 0).option(
+        "compression", "gzip").text(path)
 
 
 def with_revisits(records: DataFrame, least: int = 1000) -> DataFrame:
@@ -248,8 +248,8 @@ def warc_text() -> Column:
 def write_warc(records: DataFrame, path: str) -> None:
     """Write records with their type as gzip WARC files, one a task."""
     records.select(warc_text().cast("string").alias("record")).write.option(
-        "lineSep", WARC_END).option("maxRecordsPerFile", 0).option("compression", "gzip").option(
-        "zlib.compress.level", "BEST_SPEED").text(path)
+        "lineSep", WARC_END).option("maxRecordsPerFile", 0).option(
+        "compression", "gzip").text(path)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
