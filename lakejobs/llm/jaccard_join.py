@@ -2,11 +2,12 @@
 
 Equal sets are one class. A class posts the rarest shingles of its set (a prefix long enough
 that two similar sets share one), each with set size and position. Lists are read in the order
-of size and position: entries with the same size and position form one block, and a block is
-skipped against another where sizes or positions rule out the needed overlap, or where both are
-connected already. What stays connected is a candidate cluster. Inside a cluster every set is
-kept as its difference from a leading set; the overlap of two sets follows from the leader's
-and theirs with what their differences share, so similar sets are compared by a few shingles.
+of size and position: stretches of a list are skipped where sizes or positions rule out the
+needed overlap, entries where the parity bitmaps of two sets differ in more bits than similar
+sets can, or where both are connected already. What stays connected is a candidate cluster.
+Inside a cluster every set is kept as its difference from a leading set; the overlap of two sets
+follows from the leader's and theirs with what their differences share, so similar sets are
+compared by a few shingles. No step drops a pair that could be similar.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from lakejobs.llm.components import components, stored
 BUCKET_BITS = 20
 CLUSTER_BLOCK = 4096
 BUNDLE = 2000
+SHORT_LIST = 8
+LEAST_BITS = 512
 
 # Fixed value: the white space between words.
 SPACE = np.zeros(256, bool)
@@ -70,7 +73,17 @@ def set_class(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-SETS = "doc_id long, n long, cls long, bucket long, times long"
+def bitmap(shingles: np.ndarray) -> bytes:
+    """The parity of the number of shingles on each bit; at least half a bit per shingle, a power
+    of two. Each shingle that only one of two sets has changes one bit."""
+    bits = LEAST_BITS
+    while 2 * bits < len(shingles):
+        bits *= 2
+    spot = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(spot, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+SETS = "doc_id long, n long, cls long, bits binary, bucket long, times long"
 
 
 def describe_sets(words: int):
@@ -81,20 +94,21 @@ def describe_sets(words: int):
         names = [c.split()[0] for c in SETS.split(", ")]
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, bits = [], [], []
             for shingles in shingle_sets(batch.column(1), words):
                 sizes.append(len(shingles))
                 classes.append(set_class(shingles) if len(shingles) else None)
+                bits.append(bitmap(shingles) if len(shingles) else None)
                 np.add.at(counts, (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
-                 none, none], names)
+                 pa.array(bits, pa.binary()), none, none], names)
         often = np.flatnonzero(counts > 2 * counts.mean() + 16)
         none = pa.nulls(len(often), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(often, pa.int64()), pa.array(counts[often], pa.int64())],
-            names)
+            [none, none, none, pa.nulls(len(often), pa.binary()), pa.array(often, pa.int64()),
+             pa.array(counts[often], pa.int64())], names)
 
     return run
 
@@ -133,65 +147,145 @@ def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def connect_blocks(blocks: list[tuple[int, int, int]], percent: int) -> Iterator[tuple[int, int]]:
-    """Edges that connect what a list's blocks (size, position, class), in that order, leave as
-    candidates: a forest, so fewer edges than blocks."""
-    n, place, head = (np.array(c, np.int64) for c in zip(*blocks, strict=True))
-    group = np.arange(len(blocks))
-    low = np.searchsorted(n, -(-percent * n // 100), "left")
-    for i in range(1, len(blocks)):
-        window = slice(int(low[i]), i)
-        apart = group[window] != group[i]
-        if not apart.any():
+def shared_lists(batches) -> Iterator[pa.RecordBatch]:
+    """The postings of lists with more than one class, from postings in the order of shingle,
+    size, position and class. Only the last row of a batch waits for the next."""
+    held = None
+    before = None  # the shingle before the held row
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        rest = np.minimum(n[window] - place[window], n[i] - place[i])
-        fits = apart & (rest >= needed(n[window], n[i], percent))
-        for other in np.unique(group[window][fits]):
-            yield int(head[i]), int(head[other])
-            group[group == other] = group[i]
-
+        table = pa.Table.from_batches([held, batch] if held is not None else [batch])
+        held, before, out = _shared(table.combine_chunks().to_batches()[0], before, False)
+        yield out
+    if held is not None:
+        yield _shared(held, before, True)[2]
+
+
+def _shared(rows: pa.RecordBatch, before: int | None, last: bool):
+    shingle, cls = rows.column(0).to_numpy(), rows.column(3).to_numpy()
+    # Equal sets post the same rows, which stand one behind another.
+    new = np.ones(len(shingle), bool)
+    new[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
+    rows = rows.take(pa.array(np.flatnonzero(new)))
+    shingle = shingle[new]
+    previous = np.zeros(len(shingle), bool)
+    previous[1:] = shingle[1:] == shingle[:-1]
+    previous[0] = before is not None and shingle[0] == before
+    following = np.append(shingle[1:] == shingle[:-1], False)
+    keep = np.flatnonzero(previous | following)
+    if last:
+        return None, None, rows.take(pa.array(keep))
+    end = len(shingle) - 1
+    return (rows.slice(end), int(shingle[end - 1]) if end else before,
+            rows.take(pa.array(keep[keep < end])))
+
+
+class Bitmaps:
+    """Bitmaps of many sets; those of one length stand in one table."""
+
+    def __init__(self, column: pa.Array):
+        self.raw, self.at = arrow_text.utf8(
+            column.cast(pa.large_binary()).view(pa.large_string()))
+        self.size = np.diff(self.at)
+
+    def rows(self, which: np.ndarray, size: int) -> np.ndarray:
+        """The bitmaps of some sets of one length, folded to ``size`` bytes."""
+        own = int(self.size[which[0]])
+        table = self.raw[(self.at[which][:, None] + np.arange(own))]
+        while own > size:
+            own //= 2
+            table = table[:, :own] ^ table[:, own:]
+        return np.ascontiguousarray(table).view(np.uint64)
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits the bitmaps of each pair differ, at the smaller length."""
+        out = np.zeros(len(a), np.int64)
+        kinds = self.size[a] * (1 << 32) + self.size[b]
+        for kind in np.unique(kinds):
+            pairs = np.flatnonzero(kinds == kind)
+            size = int(min(kind >> 32, kind & 0xFFFFFFFF))
+            step = max(1, (4 << 20) // size)
+            for part in range(0, len(pairs), step):
+                some = pairs[part:part + step]
+                out[some] = np.bitwise_count(
+                    self.rows(a[some], size) ^ self.rows(b[some], size)).sum(1)
+        return out
+
+
+def possible(i: np.ndarray, j: np.ndarray, n, place, bits: Bitmaps, percent: int) -> np.ndarray:
+    """Which pairs of entries of one list can be similar, by size, position and bitmap."""
+    least = needed(n[i], n[j], percent)
+    fits = np.flatnonzero((np.minimum(n[i], n[j]) >= least)
+                          & (np.minimum(n[i] - place[i], n[j] - place[j]) >= least))
+    apart = n[i[fits]] + n[j[fits]] - 2 * least[fits]
+    out = np.zeros(len(i), bool)
+    out[fits[bits.differ(i[fits], j[fits]) <= apart]] = True
+    return out
 
-def read_lists(percent: int):
-    """Edges from posting lists that arrive in the order of shingle, size, position and class.
 
-    A list is never held whole: only one class of each of its blocks is."""
+def connect_list(first: int, last: int, n, place, bits: Bitmaps, percent: int):
+    """Pairs that connect all entries of a long list that can be similar: a forest."""
+    group = np.arange(first, last)
+    low = np.searchsorted(n[first:last], -(-percent * n[first:last] // 100), "left") + first
+    for i in range(first + 1, last):
+        window = np.arange(low[i - first], i)
+        window = window[group[window - first] != group[i - first]]
+        while len(window):
+            some, window = window[-256:], window[:-256]  # the nearest sizes first
+            some = some[group[some - first] != group[i - first]]
+            if not len(some):
+                continue
+            good = some[possible(np.full(len(some), i), some, n, place, bits, percent)]
+            own = group[good - first]
+            for other in np.unique(own):
+                yield i, int(good[np.flatnonzero(own == other)[0]])
+                group[group == other] = group[i - first]
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        shingle, blocks = None, []
-        last = (None, None, None)
 
-        def close():
-            if len(blocks) > 1:
-                out.extend(connect_blocks(blocks, percent))
+def read_lists(percent: int):
+    """Candidate edges from shared lists (shingle, n, place, cls, bits) in the order of shingle,
+    size and position. One list at a time is held whole."""
+
+    def edges(rows: pa.Table) -> pa.RecordBatch:
+        shingle, n, place, cls = (rows.column(i).to_numpy().astype(np.int64) for i in range(4))
+        bits = Bitmaps(rows.column(4).combine_chunks())
+        edge = np.flatnonzero(np.concatenate(
+            [[True], shingle[1:] != shingle[:-1], [True]])) if len(shingle) else np.zeros(1, int)
+        size = np.repeat(np.diff(edge), np.diff(edge))
+        left, right = [], []
+        for step in range(1, SHORT_LIST):
+            i = np.flatnonzero((shingle[step:] == shingle[:-step]) & (size[step:] <= SHORT_LIST))
+            good = possible(i, i + step, n, place, bits, percent) if len(i) else i
+            left.append(i[good] if len(i) else i)
+            right.append((i + step)[good] if len(i) else i)
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            if b - a > SHORT_LIST:
+                pairs = list(connect_list(a, b, n, place, bits, percent))
+                left.append(np.array([p[0] for p in pairs], np.int64))
+                right.append(np.array([p[1] for p in pairs], np.int64))
+        u, v = (cls[np.concatenate(x)] if x else np.zeros(0, np.int64) for x in (left, right))
+        pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            out: list[tuple[int, int]] = []
-            s, n, p, c = (batch.column(i).to_numpy() for i in range(4))
-            # Lists of one entry inside the batch need no look.
-            alone = np.zeros(len(s), bool)
-            if len(s) > 2:
-                alone[1:-1] = (s[1:-1] != s[:-2]) & (s[1:-1] != s[2:])
-            keep = np.flatnonzero(~alone)
-            for value, size, place, cls in zip(
-                    s[keep].tolist(), n[keep].tolist(), p[keep].tolist(), c[keep].tolist(),
-                    strict=True):
-                if value != shingle:
-                    close()
-                    shingle, blocks = value, []
-                    last = (None, None, None)
-                if (size, place) != last[:2]:
-                    blocks.append((size, place, cls))
-                elif cls != last[2]:
-                    out.append((cls, blocks[-1][2]))
-                last = (size, place, cls)
-            u, v = zip(*set(out), strict=True) if out else ([], [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-        out = []
-        close()
-        u, v = zip(*set(out), strict=True) if out else ([], [])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            if not batch.num_rows:
+                continue
+            shingle = batch.column(0).to_numpy()
+            begin = int(np.searchsorted(shingle, shingle[-1], "left"))
+            if begin:
+                yield edges(pa.Table.from_batches([*held, batch.slice(0, begin)]))
+                held = [batch.slice(begin)]
+            elif held and held[-1].column(0)[0].as_py() != int(shingle[-1]):
+                yield edges(pa.Table.from_batches(held))
+                held = [batch]
+            else:
+                held.append(batch)
+        if held:
+            yield edges(pa.Table.from_batches(held))
 
     return run
 
@@ -280,14 +374,19 @@ def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                         F.col(f"`{text_col}`").alias("text"))
     described = stored(texts.mapInArrow(describe_sets(words), SETS), "sets")
     sets = described.where("bucket IS NULL").select("doc_id", "n", "cls")
+    bits = described.where("cls IS NOT NULL").groupBy("cls").agg(F.first("bits").alias("bits"))
     often = described.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("times")).collect()
     grade = np.zeros(1 << BUCKET_BITS, np.uint8)  # at most one number per bucket
     for bucket, times in often:
         grade[bucket] = min(255, 4 * times.bit_length())
 
     postings = texts.select("text").mapInArrow(post_prefixes(words, percent, grade), POSTINGS)
-    lists = postings.repartition("shingle").sortWithinPartitions("shingle", "n", "place", "cls")
-    edges = lists.mapInArrow(read_lists(percent), "u long, v long").distinct()
+    order = ("shingle", "n", "place", "cls")
+    lists = stored(postings.repartition("shingle").sortWithinPartitions(*order).mapInArrow(
+        shared_lists, POSTINGS), "lists")
+    lists = lists.join(bits, "cls").select(*order, "bits")
+    edges = lists.repartition("shingle").sortWithinPartitions(*order).mapInArrow(
+        read_lists(percent), "u long, v long").distinct()
     clusters = components(edges).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
 
     first = sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
