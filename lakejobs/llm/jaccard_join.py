@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from lakejobs.llm import arrow_text
 from lakejobs.llm.components import components, stored
 
-BUCKET_BITS = 20
+BUCKET_BITS = 22
+ID_BITS = 1 << 23
 CLUSTER_BLOCK = 4096
 BUNDLE = 2000
 SHORT_LIST = 8
@@ -92,7 +93,7 @@ def describe_sets(words: int):
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in SETS.split(", ")]
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.int32)
         for batch in batches:
             sizes, classes, bits = [], [], []
             for shingles in shingle_sets(batch.column(1), words):
@@ -104,15 +105,36 @@ def describe_sets(words: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
                  pa.array(bits, pa.binary()), none, none], names)
-        often = np.flatnonzero(counts > 2 * counts.mean() + 16)
+        often = np.flatnonzero(counts > 2 * counts.mean() + 6)
         none = pa.nulls(len(often), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, pa.nulls(len(often), pa.binary()), pa.array(often, pa.int64()),
-             pa.array(counts[often], pa.int64())], names)
+             pa.array(counts[often].astype(np.int64))], names)
 
     return run
 
 
+def bucket_grades(often: DataFrame) -> np.ndarray:
+    """The magnitude of every frequent bucket's count, 0 for all others: a byte per bucket, put
+    together from blocks that the executors fill."""
+    low = 1 << (BUCKET_BITS - 6)
+
+    def block(table: pa.Table) -> pa.Table:
+        out = np.zeros(low, np.uint8)
+        bucket = table.column("bucket").to_numpy()
+        times = np.log2(table.column("times").to_numpy().astype(float)) * 4
+        out[bucket % low] = np.minimum(times + 1, 255).astype(np.uint8)
+        return pa.table({"nth": pa.array([int(bucket[0] // low)], pa.int64()),
+                         "grades": pa.array([out.tobytes()], pa.binary())})
+
+    blocks = often.groupBy("bucket").agg(F.sum("times").alias("times")).groupBy(
+        F.floor(F.col("bucket") / low)).applyInArrow(block, "nth long, grades binary").collect()
+    grade = np.zeros(1 << BUCKET_BITS, np.uint8)
+    for nth, grades in blocks:
+        grade[nth * low:(nth + 1) * low] = np.frombuffer(grades, np.uint8)
+    return grade
+
+
 POSTINGS = "shingle long, n int, place int, cls long"
 
 
@@ -147,38 +169,63 @@ def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def shared_lists(batches) -> Iterator[pa.RecordBatch]:
-    """The postings of lists with more than one class, from postings in the order of shingle,
-    size, position and class. Only the last row of a batch waits for the next."""
-    held = None
-    before = None  # the shingle before the held row
+def shared_lists(percent: int):
+    """The postings that can be of use: those of lists, in the order of shingle, size, position
+    and class, that hold another class of fitting size and position."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for rows in whole_lists(batches):
+            shingle, n, place, cls = (rows.column(i).to_numpy().astype(np.int64) for i in range(4))
+            # Equal sets post the same rows, which stand one behind another.
+            new = np.ones(len(shingle), bool)
+            new[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
+            at = np.flatnonzero(new)
+            shingle, n, place = shingle[at], n[at], place[at]
+            edge = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]]))
+            keep = np.zeros(len(at), bool)
+            # Lists end at their edges, so a step beyond the longest list finds nothing.
+            for step in range(1, min(int(np.diff(edge).max()), SHORT_LIST)):
+                i = np.flatnonzero(shingle[step:] == shingle[:-step])
+                i = i[fitting(i, i + step, n, place, percent)]
+                keep[i] = keep[i + step] = True
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                for begin in range(a, b, 512) if b - a > SHORT_LIST else ():
+                    i = np.arange(begin, min(begin + 512, b))[~keep[begin:min(begin + 512, b)]]
+                    for j in range(a, b, 512) if len(i) else ():
+                        other = np.arange(j, min(j + 512, b))
+                        fits = fitting(i[:, None], other[None, :], n, place, percent)
+                        fits &= i[:, None] != other[None, :]
+                        keep[i[fits.any(1)]] = True
+            yield from rows.take(pa.array(at[keep])).combine_chunks().to_batches()
+
+    return run
+
+
+def whole_lists(batches) -> Iterator[pa.Table]:
+    """Rows in the order of shingle, cut between lists: a list is held until it ends."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([held, batch] if held is not None else [batch])
-        held, before, out = _shared(table.combine_chunks().to_batches()[0], before, False)
-        yield out
-    if held is not None:
-        yield _shared(held, before, True)[2]
-
-
-def _shared(rows: pa.RecordBatch, before: int | None, last: bool):
-    shingle, cls = rows.column(0).to_numpy(), rows.column(3).to_numpy()
-    # Equal sets post the same rows, which stand one behind another.
-    new = np.ones(len(shingle), bool)
-    new[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
-    rows = rows.take(pa.array(np.flatnonzero(new)))
-    shingle = shingle[new]
-    previous = np.zeros(len(shingle), bool)
-    previous[1:] = shingle[1:] == shingle[:-1]
-    previous[0] = before is not None and shingle[0] == before
-    following = np.append(shingle[1:] == shingle[:-1], False)
-    keep = np.flatnonzero(previous | following)
-    if last:
-        return None, None, rows.take(pa.array(keep))
-    end = len(shingle) - 1
-    return (rows.slice(end), int(shingle[end - 1]) if end else before,
-            rows.take(pa.array(keep[keep < end])))
+        shingle = batch.column(0).to_numpy()
+        begin = int(np.searchsorted(shingle, shingle[-1], "left"))
+        if begin:
+            yield pa.Table.from_batches([*held, batch.slice(0, begin)])
+            held = [batch.slice(begin)]
+        elif held and held[-1].column(0)[0].as_py() != int(shingle[-1]):
+            yield pa.Table.from_batches(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def fitting(i: np.ndarray, j: np.ndarray, n, place, percent: int) -> np.ndarray:
+    """Which pairs of entries of one list can be similar, by size and position."""
+    least = needed(n[i], n[j], percent)
+    return ((np.minimum(n[i], n[j]) >= least)
+            & (np.minimum(n[i] - place[i], n[j] - place[j]) >= least))
 
 
 class Bitmaps:
@@ -215,10 +262,8 @@ class Bitmaps:
 
 def possible(i: np.ndarray, j: np.ndarray, n, place, bits: Bitmaps, percent: int) -> np.ndarray:
     """Which pairs of entries of one list can be similar, by size, position and bitmap."""
-    least = needed(n[i], n[j], percent)
-    fits = np.flatnonzero((np.minimum(n[i], n[j]) >= least)
-                          & (np.minimum(n[i] - place[i], n[j] - place[j]) >= least))
-    apart = n[i[fits]] + n[j[fits]] - 2 * least[fits]
+    fits = np.flatnonzero(fitting(i, j, n, place, percent))
+    apart = n[i[fits]] + n[j[fits]] - 2 * needed(n[i[fits]], n[j[fits]], percent)
     out = np.zeros(len(i), bool)
     out[fits[bits.differ(i[fits], j[fits]) <= apart]] = True
     return out
@@ -270,22 +315,7 @@ def read_lists(percent: int):
             [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            shingle = batch.column(0).to_numpy()
-            begin = int(np.searchsorted(shingle, shingle[-1], "left"))
-            if begin:
-                yield edges(pa.Table.from_batches([*held, batch.slice(0, begin)]))
-                held = [batch.slice(begin)]
-            elif held and held[-1].column(0)[0].as_py() != int(shingle[-1]):
-                yield edges(pa.Table.from_batches(held))
-                held = [batch]
-            else:
-                held.append(batch)
-        if held:
-            yield edges(pa.Table.from_batches(held))
+        yield from map(edges, whole_lists(batches))
 
     return run
 
@@ -363,6 +393,34 @@ def compare_clusters(words: int, percent: int):
     return run
 
 
+def only_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids``, and some others: a filter of ``ID_BITS`` bits, whose
+    size does not depend on the data, so that a join after it has less to shuffle."""
+
+    def mark(batches) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(ID_BITS, bool)
+        for batch in batches:
+            seen[batch.column(0).to_numpy()] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([np.packbits(seen).tobytes()], pa.binary())], ["bits"])
+
+    def place(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(ID_BITS))
+
+    parts = ids.select(place(ids.columns[0]).alias("bit")).coalesce(8).mapInArrow(
+        mark, "bits binary").collect()  # 8 MB at most
+    seen = np.zeros(ID_BITS // 8, np.uint8)
+    for part in parts:
+        seen |= np.frombuffer(part.bits, np.uint8)
+    known = np.unpackbits(seen).astype(bool)
+
+    @F.arrow_udf("boolean")
+    def maybe(bit: pa.Array) -> pa.Array:
+        return pa.array(known[bit.to_numpy(zero_copy_only=False)])
+
+    return rows.where(maybe(place(id_col)))
+
+
 def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                      words: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, and component_id, the smallest id reachable by links.
@@ -375,15 +433,12 @@ def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     described = stored(texts.mapInArrow(describe_sets(words), SETS), "sets")
     sets = described.where("bucket IS NULL").select("doc_id", "n", "cls")
     bits = described.where("cls IS NOT NULL").groupBy("cls").agg(F.first("bits").alias("bits"))
-    often = described.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("times")).collect()
-    grade = np.zeros(1 << BUCKET_BITS, np.uint8)  # at most one number per bucket
-    for bucket, times in often:
-        grade[bucket] = min(255, 4 * times.bit_length())
+    grade = bucket_grades(described.where("bucket IS NOT NULL"))
 
     postings = texts.select("text").mapInArrow(post_prefixes(words, percent, grade), POSTINGS)
     order = ("shingle", "n", "place", "cls")
     lists = stored(postings.repartition("shingle").sortWithinPartitions(*order).mapInArrow(
-        shared_lists, POSTINGS), "lists")
+        shared_lists(percent), POSTINGS), "lists")
     lists = lists.join(bits, "cls").select(*order, "bits")
     edges = lists.repartition("shingle").sortWithinPartitions(*order).mapInArrow(
         read_lists(percent), "u long, v long").distinct()
@@ -402,7 +457,8 @@ def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     placed = members.join(size, "cluster").withColumn(
         "bundle", F.explode(F.when(blocks == 1, F.array(small)).otherwise(pair)))
     placed = placed.select(F.col("doc_id").alias("_id"), "cls", "cluster", "bundle")
-    wanted = texts.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")))
+    wanted = only_ids(texts, "doc_id", members.select("doc_id"))
+    wanted = wanted.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")))
     found = wanted.groupBy("bundle").applyInArrow(
         compare_clusters(words, percent), "u long, v long")
     roots = components(found.distinct()).select(F.col("node").alias("cls"), "root")
