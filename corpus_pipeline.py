@@ -49,10 +49,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     linked = jaccard_join.linked_documents(docs.select("doc_id", "text"), words=3, percent=90)
     kept = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    text = F.xxhash64("text")
-    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), text)).orderBy(text)
-    return rows.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").drop("_nth")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    text = F.xxhash64("doc.text")
+    same = Window.partitionBy(
+        "doc.doc_id", F.when(F.col("doc.doc_id").isNull(), text)).orderBy(text)
+    return rows.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").select("doc.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
