@@ -8,6 +8,7 @@ import pytest
 from conftest import SMALL, plan
 
 import __spark_entry__ as entry
+from lakejobs import registry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -23,18 +24,19 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(registry.queries()) - set(registry.oracles()) == ROWS_ONLY
+    assert set(registry.queries()) <= set(entry.queries())
 
 
 def test_names():
-    for name in entry.queries():
+    for name in registry.queries():
         assert not re.search(r"pipeline|op\d", name)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracles()))
 def test_query_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL)
-    result = duck.execute(entry.oracle_sql()[name])
+    df = registry.queries()[name](spark, SMALL)
+    result = duck.execute(registry.oracles()[name])
     names = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(names)
     got = Counter(tuple(r[c] for c in sorted(names)) for r in df.collect())
