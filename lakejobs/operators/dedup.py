@@ -36,14 +36,16 @@ def dedup(
 ) -> DataFrame:
     """One row per key: any row, or (in batch) the first by ``order_by``.
 
-    Rows with a NULL in the key are not the same entity, so they all stay.  They
-    are read on their own: from a table that is a scan which file statistics cut
-    to the files holding NULL keys.  ``keep_null_keys=False`` is for keys already
-    known to be set and reads the input once.
+    Rows with a NULL in the key are not the same entity, so they all stay: in
+    batch each has a window of its own, and the input is read once.  A stream
+    reads them beside the others, as its deduplication takes plain keys.
+    ``keep_null_keys=False`` is for keys already known to be set.
     """
-    known = df if not keep_null_keys else df.filter(~_any_null(keys))
     if df.isStreaming:
-        one = known.dropDuplicates(keys)
-    else:
-        one = first_per_key(known, keys, order_by)
-    return one if not keep_null_keys else one.unionByName(df.filter(_any_null(keys)))
+        once = df.filter(~_any_null(keys)) if keep_null_keys else df
+        one = once.dropDuplicates(keys)
+        return one.unionByName(df.filter(_any_null(keys))) if keep_null_keys else one
+    if not keep_null_keys:
+        return first_per_key(df, keys, order_by)
+    alone = F.when(_any_null(keys), F.monotonically_increasing_id())
+    return first_per_key(df.withColumn("_alone", alone), ["_alone", *keys], order_by).drop("_alone")

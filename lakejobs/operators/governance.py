@@ -166,27 +166,25 @@ def pii_value_scan(
 
 def outlier_fences(
     df: DataFrame, group: str, value: str, spread: float = 1.5
-) -> dict[str, tuple[float, float]]:
-    """Q1 - spread * IQR and Q3 + spread * IQR of every group."""
-    quartiles = exact_quantiles(df, group, value, (0.25, 0.75))
-    return {
-        g: (q1 - spread * (q3 - q1), q3 + spread * (q3 - q1)) for g, (q1, q3) in quartiles.items()
-    }
+) -> DataFrame:
+    """(g, low, high): Q1 - spread * IQR and Q3 + spread * IQR of every group."""
+    q1, q3 = F.element_at("q", 1), F.element_at("q", 2)
+    # Equal quartiles have no spread, infinite ones included.
+    reach = F.when(q1 == q3, F.lit(0.0)).otherwise((q3 - q1) * spread)
+    return exact_quantiles(df, group, value, (0.25, 0.75)).select(
+        "g", (q1 - reach).alias("low"), (q3 + reach).alias("high"))
 
 
 def outlier_counts(df: DataFrame, group: str, value: str, spread: float = 1.5) -> DataFrame:
     """Rows and values outside the fences of their group."""
-    fences = outlier_fences(df, group, value, spread)
-    kind = F.col(group).cast("string")
-    v = F.col(value).cast("double")
-    outside = F.lit(False)
-    if fences:
-        low = F.create_map(*[F.lit(x) for g, (lo, _) in fences.items() for x in (g, lo)])
-        high = F.create_map(*[F.lit(x) for g, (_, hi) in fences.items() for x in (g, hi)])
-        outside = (v < F.element_at(low, kind)) | (v > F.element_at(high, kind))
-    return df.groupBy(group).agg(
+    fences = outlier_fences(df, group, value, spread).toDF("_kind", "_low", "_high")
+    v = F.col("_v")
+    rows = df.select(F.col(group), F.col(group).cast("string").alias("_g"),
+                     F.col(value).cast("double").alias("_v"))
+    outside = (v < F.col("_low")) | (v > F.col("_high"))
+    return rows.join(fences, F.col("_g") == F.col("_kind"), "left").groupBy(group).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col(value).isNull()).alias("null_count"),
+        F.count_if(v.isNull()).alias("null_count"),
         F.count_if(F.coalesce(outside, F.lit(False))).alias("outlier_count"),
     )
 

@@ -60,6 +60,9 @@ PRODUCT_RULES = (
     Expectation("valid_price", "price >= 0"),
 )
 
+# Filled by the JSON reader for lines it cannot fit to the schema.
+SERVICE_COLUMNS = ("_corrupt_record",)
+
 # Reasons a raw sale is rejected for, in the order they are reported.  A missing
 # amount is a reason of its own, so that every row is either valid or rejected.
 SALES_REJECTS = (
@@ -327,10 +330,12 @@ def table_metrics(
 ) -> DataFrame:
     """Rows, share of NULL cells and status of one table; an empty table fails.
 
-    With keys the duplicate share counts as well.
+    With keys the duplicate share counts as well.  Columns the reader adds for
+    its own use are no data and are left out of the share.
     """
     limits = TABLE_THRESHOLDS if thresholds is None else thresholds
-    cells = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    data = [c for c in df.columns if c not in SERVICE_COLUMNS]
+    cells = sum((F.col(c).isNull().cast("long") for c in data), F.lit(0).cast("long"))
     counts = [F.count(F.lit(1)).alias("_rows"), F.sum(cells).alias("_nulls")]
     # one pass either way: with keys the counts are taken per key, then summed
     parts = (df.groupBy(*keys) if keys else df.groupBy()).agg(*counts)
@@ -342,7 +347,7 @@ def table_metrics(
     row = row.withColumn(
         "null_percentage",
         F.coalesce(
-            classes.ratio(F.col("_nulls") * 100, F.col("total_rows") * len(df.columns)),
+            classes.ratio(F.col("_nulls") * 100, F.col("total_rows") * len(data)),
             F.lit(100.0),
         ),
     )

@@ -1,105 +1,73 @@
 """Exact quantiles per group without gathering a group in one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-buffer.  Here each round cuts the values still in question into bins, counts
-the bins (partial counts per task, then at most ``bins`` records per group and
-rank), and keeps only the bin that holds the wanted rank.  A bin knows its
-smallest and largest value, so a round ends the search for a rank as soon as
-both are equal.
+buffer.  Here equal values are counted first.  The values of a group are cut
+into bins at approximate quantiles, which are values of the data, so that bins
+hold about equally many rows whatever the distribution; infinities are values
+like others.  Counts per bin tell which bin holds a wanted rank, and only the
+values of that bin are put in order.  That is one pass for the edges and one
+for the counts, always.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups a call accepts: their ranks are held on the driver and broadcast.
-MAX_GROUPS = 10_000
-_STATE = "g string, rank bigint, below bigint, lo double, hi double"
-
 
 def _values(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Group and value of the rows that have both."""
+    """(g, v, n): how often each group has each value; rows lacking one are left out."""
     v = F.col(value).cast("double")
     return df.filter(
         F.col(group).isNotNull() & F.col(value).isNotNull() & ~F.isnan(v)
-    ).select(F.col(group).cast("string").alias("g"), v.alias("v"))
+    ).groupBy(F.col(group).cast("string").alias("g"), v.alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
-def _narrow(values: DataFrame, state: DataFrame, bins: int) -> DataFrame:
-    """One round: the bin of every open rank, with its value range and rows below it."""
-    v, low, high = F.col("v"), F.col("from"), F.col("to")
-    # a few records per group; ranks in the same range share its bins
-    ranges = state.select(
-        "g", F.col("below").alias("before"), F.col("lo").alias("from"), F.col("hi").alias("to")
-    ).distinct()
-    number = F.least(F.floor((v - low) / ((high - low) / bins)), F.lit(bins - 1).cast("bigint"))
-    counted = (
-        values.join(F.broadcast(ranges), "g")
-        .filter(v.between(low, high))
-        .groupBy("g", "before", number.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("from"), F.max("v").alias("to"))
-    )
-    upto = F.sum("n").over(
-        Window.partitionBy("g", "before").orderBy("bin")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = counted.withColumn("last", F.col("before") + upto).withColumn(
-        "first", F.col("last") - F.col("n")
-    )
-    return (
-        placed.join(F.broadcast(state.select("g", "rank", F.col("below").alias("before"))),
-                    ["g", "before"])
-        .filter((F.col("first") <= F.col("rank")) & (F.col("rank") < F.col("last")))
-        .select("g", "rank", F.col("first").alias("below"), "from", "to")
-    )
+def _upto(column: str, keys: list[str], order: str) -> Column:
+    return F.sum(column).over(
+        Window.partitionBy(*keys).orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def exact_quantiles(
-    df: DataFrame, group: str, value: str, probs: tuple[float, ...], bins: int = 4096
-) -> dict[str, tuple[float, ...]]:
-    """Quantiles with linear interpolation, as ``{group: (q for each p)}``.
+    df: DataFrame, group: str, value: str, probs: tuple[float, ...], bins: int = 128
+) -> DataFrame:
+    """Quantiles with linear interpolation: one row (g, q) per group, q an array like ``probs``.
 
-    For grouping columns with few values (tables, checks, layers): the driver
-    holds one record per group and rank, never data rows.
+    Groups may be as many as there are rows; nothing passes through the driver.
     """
-    spark = df.sparkSession
     values = _values(df, group, value)
-    sizes = values.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"{group} has more than {MAX_GROUPS} values; quantiles are for few groups")
-    total = {r.g: r.n for r in sizes}
-    opened = [
-        (r.g, rank, 0, r.lo, r.hi)
-        for r in sizes
-        for rank in sorted({k for p in probs for k in _neighbours(p, r.n)})
-    ]
-    found: dict[tuple[str, int], float] = {}
-    while opened:
-        still = []
-        for g, rank, below, lo, hi in opened:
-            if (hi - lo) / bins == 0:
-                found[g, rank] = lo
-            else:
-                still.append((g, rank, below, lo, hi))
-        if not still:
-            break
-        state = spark.createDataFrame(still, _STATE)
-        opened = [tuple(r) for r in _narrow(values, state, bins).collect()]
-    result = {}
-    for g, n in total.items():
-        out = []
-        for p in probs:
-            low, high = _neighbours(p, n)
-            a, b = found[g, low], found[g, high]
-            out.append(a + (b - a) * (p * (n - 1) - low))
-        result[g] = tuple(out)
-    return result
-
-
-def _neighbours(p: float, n: int) -> tuple[int, int]:
-    """Zero-based ranks the quantile ``p`` of ``n`` values lies between."""
-    low = int(p * (n - 1))
-    return low, min(low + 1, n - 1)
+    cuts = [i / bins for i in range(1, bins)] or [0.5]
+    edges = values.groupBy("g").agg(
+        F.percentile_approx("v", cuts, 20 * bins).alias("edges"), F.sum("n").alias("total"))
+    number = F.size(F.filter("edges", lambda e: e < F.col("v")))
+    placed = values.join(edges.select("g", F.array_distinct("edges").alias("edges")), "g").select(
+        "g", number.alias("bin"), "v", "n")
+    # A few records per group: the rows up to the end of every bin.
+    bounds = placed.groupBy("g", "bin").agg(F.sum("n").alias("n")).select(
+        "g", "bin", "n", _upto("n", ["g"], "bin").alias("last"))
+    wanted = edges.select("g", "total", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)
+    ])).alias("x")).select("g", "total", "x.i", "x.p")
+    place = F.col("p") * (F.col("total") - 1)
+    low = F.floor(place).cast("long")
+    ranks = wanted.select("g", "i", (place - low).alias("part"), F.posexplode(F.array(
+        low, F.least(low + 1, F.col("total") - 1))).alias("side", "rank"))
+    hit = ranks.join(bounds, "g").filter(
+        (F.col("last") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("last"))
+    ).select("g", "i", "part", "side", "bin", "rank", (F.col("last") - F.col("n")).alias("before"))
+    opened = placed.join(hit.select("g", "bin").distinct(), ["g", "bin"], "left_semi")
+    ordered = opened.select(
+        "g", "bin", "v", "n", _upto("n", ["g", "bin"], "v").alias("upto"))
+    found = ordered.join(hit, ["g", "bin"]).filter(
+        (F.col("before") + F.col("upto") - F.col("n") <= F.col("rank"))
+        & (F.col("rank") < F.col("before") + F.col("upto")))
+    both = found.groupBy("g", "i").agg(
+        F.max(F.when(F.col("side") == 0, F.col("v"))).alias("a"),
+        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("b"), F.first("part").alias("part"))
+    between = F.when((F.col("a") == F.col("b")) | (F.col("part") == 0), F.col("a")).otherwise(
+        F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
+    return both.groupBy("g").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", between.alias("q")))),
+                    lambda x: x["q"]).alias("q"))

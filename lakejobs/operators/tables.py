@@ -158,12 +158,11 @@ def stage(
     """
     folder = f"r{uuid.uuid4().hex}"
     seen = Observation(f"rows-{folder}")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics or []))
     partitions = list(partition_by or [])
-    if partitions:
-        writer = counted.hint("rebalance", *partitions).write.partitionBy(*partitions)
-    else:
-        writer = (counted.hint("rebalance") if even_files else counted).write
+    laid = df.hint("rebalance", *partitions) if partitions or even_files else df
+    # Counted behind the last shuffle: a map task that runs again is not counted twice.
+    counted = laid.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics or []))
+    writer = counted.write.partitionBy(*partitions) if partitions else counted.write
     writer.parquet(f"{path}/data/_run={folder}")
     values = dict(seen.get)
     rows = int(values.pop("rows", 0))
@@ -436,8 +435,10 @@ def vacuum(
 def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Changes between two frames with a unique key.
 
-    Rows carry ``change_type``: insert, delete, update_pre or update_post.  NULL
-    is compared as a value, so a change from or to NULL is found.
+    Rows carry ``change_type``: insert, delete, update_pre or update_post.  In
+    other columns NULL is compared as a value, so a change from or to NULL is
+    found.  A row with a NULL in its key has no counterpart: it is a delete on
+    the old side and an insert on the new one, one change each.
     """
     columns = list(dict.fromkeys([*old.columns, *new.columns]))
 
@@ -450,7 +451,7 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
     same_key = reduce(
         lambda a, b: a & b,
-        [F.col(f"o_{i}").eqNullSafe(F.col(f"n_{i}")) for i in range(len(keys))],
+        [F.col(f"o_{i}") == F.col(f"n_{i}") for i in range(len(keys))],
     )
     pairs = side(old, "o").join(side(new, "n"), same_key, "full_outer")
     kind = (

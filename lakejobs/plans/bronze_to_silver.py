@@ -128,7 +128,7 @@ def run(
                 records_quarantined=result.quarantined)
         return result
     except Exception as error:
-        log.add("ERROR", f"Processing failed: {error}"[:2000])
+        log.add("ERROR", f"Load stopped: {error}")
         raise
     finally:
         log.save(spark, lake.monitoring("processing_events"))

@@ -9,11 +9,12 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans.together import together
-from lakejobs.streaming.ingest import ingest_stream, start_table
+from lakejobs.streaming.ingest import CORRUPT, ingest_stream, start_table
 from lakejobs.streaming.silver import stream_silver
 
 SOURCES = {"sales": "json", "customers": "csv", "products": "parquet"}
@@ -38,7 +39,10 @@ def refine(
     spark: SparkSession, schemas: dict, lake: LakePaths,
     as_of: str | None = None, watermark: tuple[str, str] | None = None,
 ) -> None:
-    """Clean, validate and deduplicate new bronze rows into silver."""
+    """Clean, validate and deduplicate new bronze rows into silver.
+
+    Lines that do not fit the schema go to quarantine instead.
+    """
 
     def customers(df: DataFrame) -> DataFrame:
         return projections.clean_customers(df, as_of)
@@ -57,6 +61,11 @@ def refine(
             bronze, lake.silver(name), lake.checkpoint(f"silver_{name}"), clean, rules, keys,
             watermark if name == "sales" else None, keep,
         ))
+        if CORRUPT in schemas[name].names:
+            running.append(start_table(
+                bronze.filter(F.col(CORRUPT).isNotNull()), lake.quarantine(name),
+                lake.checkpoint(f"quarantine_{name}"),
+            ))
     for query in running:
         query.awaitTermination()
 

@@ -11,6 +11,8 @@ from lakejobs.sources import star_tables as star
 
 # A total order of the copies of one sale.
 SALE_ORDER = ["product_id", "store_id", "quantity", "sale_amount"]
+CUSTOMER_ORDER = ["registration_date", "email", "phone", "first_name", "last_name"]
+PRODUCT_ORDER = ["product_name", "category", "price"]
 HIGH_VALUE, MEDIUM_VALUE = 2_500_000, 1_500_000
 
 
@@ -38,10 +40,10 @@ def silver_sales(spark: SparkSession, folder: str) -> DataFrame:
 def silver_customers(spark: SparkSession, folder: str) -> DataFrame:
     clean = projections.clean_customers(star.customers_raw(spark, folder), star.SALES_AS_OF)
     valid = quality.apply_expectations(clean, quality.CUSTOMER_RULES)
-    return dedup.dedup(valid, ["customer_id"], keep_null_keys=False)
+    return dedup.dedup(valid, ["customer_id"], CUSTOMER_ORDER, keep_null_keys=False)
 
 
 def silver_products(spark: SparkSession, folder: str) -> DataFrame:
     clean = projections.clean_products(star.products_raw(spark, folder), TYPE_SYNONYMS)
     valid = quality.apply_expectations(clean, quality.PRODUCT_RULES)
-    return dedup.dedup(valid, ["product_id"], keep_null_keys=False)
+    return dedup.dedup(valid, ["product_id"], PRODUCT_ORDER, keep_null_keys=False)

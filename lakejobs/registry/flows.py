@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakejobs.operators import tables
+from lakejobs.operators.dedup import first_per_key
 from lakejobs.paths import LakePaths
 from lakejobs.plans import audit, bronze_to_silver, medallion, streaming_medallion
 from lakejobs.plans.together import together
+from lakejobs.registry import entities
 from lakejobs.registry.case import case
 from lakejobs.session import fresh_dir
 from lakejobs.sources import star_tables as star
@@ -29,20 +31,42 @@ def medallion_summary(spark, d):
 
 
 @case("flow_streaming_medallion", """
-    SELECT 'bronze_sales_raw' AS table_name, 'bronze' AS layer, count(*) AS total_rows,
-           CASE WHEN (count(*) - count(customer_id) + count(*) - count(sale_amount)
-                      + count(*)) * 100.0 / (count(*) * 11) <= 5
-                THEN 'PASSED' ELSE 'FAILED' END AS status FROM sales_raw
-    UNION ALL
-    SELECT 'silver_sales_cleaned', 'silver', count(*), 'FAILED'
-    FROM (SELECT DISTINCT sale_id, sale_date FROM valid_sales)""", "sales_raw valid_sales")
+    , one AS (
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY sale_id, sale_date
+                ORDER BY product_id, store_id, quantity, sale_amount) AS nth FROM sales_raw)
+        WHERE nth = 1),
+    landed AS (SELECT * FROM one UNION ALL SELECT * FROM one),
+    kept AS (SELECT * FROM one WHERE sale_amount > 0 AND customer_id IS NOT NULL),
+    gold AS (
+        SELECT s.sale_date, p.category, c.customer_segment FROM kept s
+        LEFT JOIN silver_customers c ON s.customer_id = c.customer_id
+        LEFT JOIN silver_products p ON s.product_id = p.product_id GROUP BY ALL),
+    counted AS (
+        -- 5 data and 3 audit columns in bronze, 13 in gold; the others are never NULL
+        SELECT 'bronze_sales_raw' AS table_name, 'bronze' AS layer, count(*) AS total_rows,
+               (5 * count(*) - count(sale_id) - count(sale_date) - count(customer_id)
+                - count(product_id) - count(sale_amount)) * 100.0 / (8 * count(*)) AS share
+        FROM landed
+        UNION ALL
+        SELECT 'silver_sales_cleaned', 'silver', count(*), 0.0 FROM kept
+        UNION ALL
+        SELECT 'gold_sales_analytics', 'gold', count(*),
+               (2 * count(*) - count(category) - count(customer_segment)) * 100.0 / (13 * count(*))
+        FROM gold)
+    SELECT table_name, layer, total_rows, CAST(share AS DOUBLE) AS null_percentage,
+           CASE WHEN total_rows > 0 AND share <= 5 THEN 'PASSED' ELSE 'FAILED' END AS status
+    FROM counted""", "sales_raw silver_customers silver_products")
 def _(spark, d):
     """Landing files in three formats, streamed to silver, then gold and metrics."""
     root = fresh_dir(spark, "streaming")
     landing = {name: f"{root}/landing/{name}" for name in streaming_medallion.SOURCES}
     camel = {"sale_id": "saleId", "customer_id": "customerId", "product_id": "productId",
              "sale_amount": "saleAmount", "sale_date": "saleDate"}
-    sales = star.sales_raw(spark, d, *camel).withColumnsRenamed(camel)
+    # One copy of each sale, landed twice: which copy the stream keeps makes no difference.
+    one = first_per_key(star.sales_raw(spark, d), ["sale_id", "sale_date"], entities.SALE_ORDER)
+    sales = one.select(*camel).withColumnsRenamed(camel)
+    sales = sales.unionByName(sales)
     customers = star.customers_raw(spark, d).withColumnsRenamed({
         "customer_id": "customerId", "first_name": "firstName", "last_name": "lastName",
         "email": "emailAddress", "phone": "phoneNumber", "registration_date": "registrationDate",
@@ -59,7 +83,7 @@ def _(spark, d):
     metrics = streaming_medallion.run(
         spark, landing, LakePaths(f"{root}/lake"), "batch-1", as_of=star.SALES_AS_OF
     )
-    return metrics.filter("layer <> 'gold'").drop("null_percentage")
+    return metrics
 
 
 @case("flow_bronze_to_silver", """

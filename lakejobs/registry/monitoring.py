@@ -41,8 +41,8 @@ def logs(spark, d) -> platform_health.Logs:
 
 _FAILURE = """
     SELECT 'pipeline_failure' AS type, 'HIGH' AS severity,
-        'Pipeline failure rate ' || CAST(CAST(f * 100.0 / n AS DECIMAL(18,1)) AS VARCHAR)
-          || '% exceeds threshold' AS message,
+        'Failed runs make up ' || CAST(CAST(f * 100.0 / n AS DECIMAL(18,1)) AS VARCHAR)
+          || '% of the window' AS message,
         'failed_runs=' || f || ';failure_rate=' || CAST(CAST(f * 100.0 / n AS DECIMAL(18,1))
           AS VARCHAR) || ';threshold=10.0;total_runs=' || n AS details
     FROM (SELECT count(*) AS n, count(*) FILTER (status = 'Failed') AS f FROM runs
@@ -50,7 +50,7 @@ _FAILURE = """
             AND run_start <= TIMESTAMP '2024-01-31 00:00:00') WHERE f * 100.0 / n > 10"""
 _STUCK = """
     SELECT 'pipeline_stuck' AS type, 'MEDIUM' AS severity,
-        'Pipeline ' || pipeline_name || ' running for ' || s || ' seconds' AS message,
+        'Pipeline ' || pipeline_name || ' has been in progress for ' || s || ' seconds' AS message,
         'duration_seconds=' || s || ';pipeline_name=' || pipeline_name || ';run_id=' || run_id
           AS details
     FROM (SELECT *, date_sub('second', run_start, TIMESTAMP '2024-01-31 00:00:00') AS s FROM runs
@@ -58,7 +58,7 @@ _STUCK = """
             AND run_start <= TIMESTAMP '2024-01-31 00:00:00') WHERE s > 7200"""
 _STALE = """
     SELECT 'data_staleness' AS type, 'MEDIUM' AS severity,
-        'Table ' || t || ' is ' || h || ' hours stale' AS message,
+        'Newest rows of ' || t || ' are ' || h || ' hours old' AS message,
         'hours_stale=' || h || ';last_update=' || strftime(m, '%Y-%m-%d %H:%M:%S')
           || ';table_name=' || t || ';threshold=24' AS details
     FROM (SELECT concat('user_', user_id) AS t, max(ts) AS m,
@@ -67,8 +67,8 @@ _STALE = """
 _STORAGE = """
     SELECT 'storage_issues' AS type,
         CASE WHEN n = 0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-        CASE WHEN n = 0 THEN 'Critical container ' || layer || ' is empty'
-             ELSE 'Quarantine container has ' || n || ' files - high error rate' END AS message,
+        CASE WHEN n = 0 THEN 'No file in layer ' || layer
+             ELSE 'Quarantine grew to ' || n || ' files' END AS message,
         'blob_count=' || n || ';container=' || layer || ';total_bytes=' || b AS details
     FROM (SELECT k.layer, count(files.layer) AS n, coalesce(sum(file_size), 0) AS b
           FROM (VALUES ('bronze'), ('silver'), ('gold'), ('quarantine')) AS k(layer)
@@ -76,8 +76,8 @@ _STORAGE = """
     WHERE (layer = 'quarantine' AND n > 50) OR (layer IN ('bronze', 'silver') AND n = 0)"""
 _LATENCY = """
     SELECT 'performance_degradation' AS type, 'MEDIUM' AS severity,
-        'Average query time ' || CAST(CAST(a AS DECIMAL(18,1)) AS VARCHAR)
-          || 'ms exceeds threshold' AS message,
+        'Mean query time of ' || CAST(CAST(a AS DECIMAL(18,1)) AS VARCHAR)
+          || 'ms in one interval' AS message,
         'avg_query_time_ms=' || CAST(CAST(a AS DECIMAL(18,1)) AS VARCHAR)
           || ';bin_start=' || strftime(b, '%Y-%m-%d %H:%M:%S') || ';threshold_ms=30000.0' AS details
     FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS b,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,20 +32,11 @@ def build_session(app: str = "lakejobs", master: str | None = None, **conf: str)
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    A local session without the setting gets a folder of its own; a cluster
-    without it is an error, because no machine-local folder is seen by all
-    executors.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="lakejobs-"))
-    return context.getCheckpointDir()
+    """The shared folder named by ``spark.checkpoint.dir``, else one in the warehouse.
+
+    All executors see both; no folder of a single machine is ever used."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

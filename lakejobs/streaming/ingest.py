@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,20 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 from lakejobs.operators.projections import ingest_audit
 from lakejobs.session import path_exists
 
-_ENTRY = "version bigint, seen_at bigint, schema string"
+_ENTRY = "version bigint, schema string"
+_FILE = "path string, modified timestamp, size bigint"
 CORRUPT = "_corrupt_record"
 
 
-def _last_entry(
-    spark: SparkSession, schema_dir: str
-) -> tuple[T.StructType, int, datetime] | None:
-    if not path_exists(spark, schema_dir):
+def _last_entry(spark: SparkSession, schema_dir: str) -> tuple[T.StructType, int] | None:
+    folder = f"{schema_dir}/versions"
+    if not path_exists(spark, folder):
         return None
-    row = spark.read.schema(_ENTRY).parquet(schema_dir).orderBy(F.desc("version")).first()
-    if row is None:
-        return None
-    seen_at = datetime.fromtimestamp(row.seen_at, timezone.utc)
-    return T.StructType.fromJson(json.loads(row.schema)), row.version, seen_at
+    row = spark.read.schema(_ENTRY).parquet(folder).orderBy(F.desc("version")).first()
+    return (T.StructType.fromJson(json.loads(row.schema)), row.version) if row else None
 
 
 def stored_schema(spark: SparkSession, schema_dir: str) -> T.StructType | None:
@@ -42,53 +37,58 @@ def grown(stored: T.StructType, seen: T.StructType) -> T.StructType:
 
 
 def observed_schema(
-    spark: SparkSession, path: str, fmt: str, since: datetime | None = None
-) -> T.StructType | None:
-    """Columns of the files in the source, or of those changed after ``since``.
+    spark: SparkSession, path: str, fmt: str, files: list[str] | None = None
+) -> T.StructType:
+    """Columns of the files in the source, or of some of them.
 
     JSON is read for its types, Parquet gives them in its footers, and CSV
-    columns stay text until the cleaning step casts them.  Without such files
-    the result is None.
+    columns stay text until the cleaning step casts them.
     """
     reader = spark.read.format(fmt)
-    if since is not None:
-        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-        reader = reader.option("timeZone", "UTC")
+    if files is not None:
+        reader = reader.option("basePath", path)
     if fmt == "csv":
         reader = reader.option("header", True)
     elif fmt != "json":
         reader = reader.option("mergeSchema", True)
-    try:
-        schema = reader.load(path).schema
-    except AnalysisException as error:
-        if since is not None and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
+    schema = reader.load(path if files is None else files).schema
     return T.StructType([f for f in schema.fields if f.name != CORRUPT])
 
 
-def register_schema(
-    spark: SparkSession, path: str, fmt: str, schema_dir: str,
-    margin: timedelta = timedelta(hours=1), rescan: bool = False,
-) -> T.StructType:
+def unseen_files(spark: SparkSession, path: str, schema_dir: str) -> DataFrame:
+    """Files of the source whose columns were not looked at yet, whatever their times."""
+    there = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+    )
+    if not path_exists(spark, f"{schema_dir}/files"):
+        return there
+    known = spark.read.schema(_FILE).parquet(f"{schema_dir}/files")
+    return there.join(known, ["path", "modified", "size"], "left_anti")
+
+
+def register_schema(spark: SparkSession, path: str, fmt: str, schema_dir: str) -> T.StructType:
     """Bring the stored schema up to date with the source and return it.
 
     A stream keeps one schema for a run, so this is called before each run.
-    Stored columns are never dropped and never change type.  After the first run
-    only files changed since the last one (less ``margin``) are looked at, so the
-    cost follows the new files; ``rescan`` looks at all, for files that arrive
-    with old times.
+    Stored columns are never dropped and never change type.  Only files that no
+    run has looked at are read, known by path, time and size: the cost follows
+    the new files, and a file that arrives with an old time is looked at.
     """
-    now = datetime.now(timezone.utc)
     last = _last_entry(spark, schema_dir)
+    files = unseen_files(spark, path, schema_dir).collect()  # one record per new file
     if last is None:
         schema, version = observed_schema(spark, path, fmt), 0
     else:
-        stored, version, seen_at = last
-        seen = observed_schema(spark, path, fmt, None if rescan else seen_at - margin)
-        schema, version = (grown(stored, seen) if seen else stored), version + 1
-    entry = [(version, int(now.timestamp()), schema.json())]
-    spark.createDataFrame(entry, _ENTRY).coalesce(1).write.mode("append").parquet(schema_dir)
+        schema, version = last[0], last[1] + 1
+        if files:
+            schema = grown(schema, observed_schema(spark, path, fmt, [f.path for f in files]))
+    entry = spark.createDataFrame([(version, schema.json())], _ENTRY)
+    entry.coalesce(1).write.mode("append").parquet(f"{schema_dir}/versions")
+    if files:
+        # Behind the schema: a run that dies in between looks at the files again.
+        spark.createDataFrame(files, _FILE).coalesce(1).write.mode("append").parquet(
+            f"{schema_dir}/files")
     return schema
 
 

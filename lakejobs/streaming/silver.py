@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakejobs.operators.dedup import dedup
 from lakejobs.operators.projections import process_audit
 from lakejobs.operators.quality import Expectation, apply_expectations
-from lakejobs.streaming.ingest import start_table
+from lakejobs.streaming.ingest import CORRUPT, start_table
 
 
 def silver(
@@ -29,10 +29,14 @@ def silver(
 ) -> DataFrame:
     """Clean, validate and deduplicate; for batch and streaming input.
 
+    Lines the reader could not fit to the schema are left to the quarantine.
+
     On a stream without ``watermark`` the keys of all time are held as state.
     With ``(time column, delay)`` a key is forgotten after the delay, so copies
     further apart than that both stay.
     """
+    if CORRUPT in bronze.columns:
+        bronze = bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     valid = apply_expectations(process_audit(clean(bronze)), rules)
     if watermark is None or not bronze.isStreaming:
         return dedup(valid, keys, keep_null_keys=keep_null_keys)

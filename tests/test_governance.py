@@ -63,7 +63,31 @@ def test_value_scan_finds_text_late_in_a_value(spark):
     assert hit.match_count == 1
 
 
-@pytest.mark.parametrize("bins", [4, 4096])
+def quantiles(df, probs, bins=128):
+    return {r.g: tuple(r.q) for r in exact_quantiles(df, "g", "v", probs, bins).collect()}
+
+
+def test_quantiles_of_many_groups(spark):
+    df = spark.range(36_000).selectExpr("id % 12000 as g", "cast(id as double) as v")
+    got = exact_quantiles(df, "g", "v", (0.5,)).selectExpr("cast(g as long) as g", "q[0] as q")
+    assert got.filter("q = g + 12000").count() == 12_000
+    assert governance.outlier_counts(df, "g", "v").agg({"row_count": "sum"}).first()[0] == 36_000
+
+
+def test_quantiles_of_infinite_and_extreme_values(spark):
+    inf = float("inf")
+    draw = np.random.default_rng(1)
+    groups = {"inf": [1.0, 2.0, 3.0, inf, inf], "both": [-inf, 0.0, inf], "all": [inf, inf],
+              "wide": np.exp(draw.normal(0, 60, 300)).tolist()}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    got = quantiles(df, (0.25, 0.5))
+    assert got["inf"] == (2.0, 3.0) and got["both"][1] == 0.0 and got["all"] == (inf, inf)
+    assert got["wide"] == pytest.approx(tuple(np.quantile(groups["wide"], [0.25, 0.5])), rel=1e-12)
+    counted = {r.g: r.outlier_count for r in governance.outlier_counts(df, "g", "v").collect()}
+    assert counted["all"] == 0
+
+
+@pytest.mark.parametrize("bins", [4, 256])
 def test_quantiles_match_numpy(spark, bins):
     draw = np.random.default_rng(3)
     groups = {
@@ -73,7 +97,7 @@ def test_quantiles_match_numpy(spark, bins):
     }
     data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("flat", None), (None, 1.0)]
     df = spark.createDataFrame(data, "g string, v double").repartition(4)
-    got = exact_quantiles(df, "g", "v", (0.25, 0.5, 0.75, 1.0), bins)
+    got = quantiles(df, (0.25, 0.5, 0.75, 1.0), bins)
     for g, values in groups.items():
         assert got[g] == pytest.approx(tuple(np.quantile(values, [0.25, 0.5, 0.75, 1.0])), rel=1e-12)
     assert set(got) == set(groups)
@@ -83,7 +107,7 @@ def test_quantiles_match_numpy(spark, bins):
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=25))
 def test_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([("g", float(v)) for v in values], "g string, v double")
-    got = exact_quantiles(df, "g", "v", (0.25, 0.75), 3)["g"]
+    got = quantiles(df, (0.25, 0.75), 3)["g"]
     assert got == pytest.approx(tuple(np.quantile(values, [0.25, 0.75])), rel=1e-9, abs=1e-9)
 
 
