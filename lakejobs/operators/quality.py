@@ -132,6 +132,15 @@ def split_quarantine(
     return valid, rejected
 
 
+def tagged(
+    df: DataFrame, rules: tuple[Expectation, ...], reason: str | None = None
+) -> DataFrame:
+    """All rows in one pass: ``failed_rules``, and the reason where a row is rejected."""
+    first = F.lit(reason) if reason else F.element_at("failed_rules", 1)
+    return with_failures(df, rules).withColumn(
+        "quarantine_reason", F.when(F.size("failed_rules") > 0, first))
+
+
 def convention_rules(columns: list[str]) -> tuple[Expectation, ...]:
     """Rules read from column names: ``*_id`` is set, ``*_email`` is an address."""
     rules = []
@@ -143,8 +152,12 @@ def convention_rules(columns: list[str]) -> tuple[Expectation, ...]:
     return tuple(rules)
 
 
+# Fixed value: the reason given for rows that break a rule of their column names.
+CONVENTION_REASON = "Validation failed"
+
+
 def convention_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_quarantine(df, convention_rules(df.columns), "Validation failed")
+    return split_quarantine(df, convention_rules(df.columns), CONVENTION_REASON)
 
 
 def quarantine_breakdown(rejected: DataFrame) -> DataFrame:

@@ -37,11 +37,11 @@ def ingest(spark: SparkSession, landing: dict[str, str], lake: LakePaths, batch_
 
 def refine(
     spark: SparkSession, schemas: dict, lake: LakePaths,
-    as_of: str | None = None, watermark: tuple[str, str] | None = None,
+    as_of: str | None = None, watermark: tuple[str, str] | None = None, env: str = "dev",
 ) -> None:
     """Clean, validate and deduplicate new bronze rows into silver.
 
-    Lines that do not fit the schema go to quarantine instead.
+    Outside production silver customers have masked addresses only.  Lines that do not fit the schema go to quarantine instead.
     """
 
     def customers(df: DataFrame) -> DataFrame:
@@ -60,6 +60,7 @@ def refine(
         running.append(stream_silver(
             bronze, lake.silver(name), lake.checkpoint(f"silver_{name}"), clean, rules, keys,
             watermark if name == "sales" else None, keep,
+            partial(projections.mask_email, env=env) if name == "customers" else None,
         ))
         if CORRUPT in schemas[name].names:
             running.append(start_table(
@@ -72,11 +73,11 @@ def refine(
 
 def build_gold(
     spark: SparkSession, lake: LakePaths, as_of: str | None = None,
-    high: float = 1000, medium: float = 500, env: str = "dev",
+    high: float = 1000, medium: float = 500,
 ) -> None:
-    """Recompute the gold tables from silver; e-mails are masked outside production."""
+    """Recompute the gold tables from silver, whose addresses are masked as the stage asks."""
     sales = spark.read.parquet(lake.silver("sales"))
-    customers = projections.mask_email(spark.read.parquet(lake.silver("customers")), env)
+    customers = spark.read.parquet(lake.silver("customers"))
     products = spark.read.parquet(lake.silver("products"))
     results = {
         "sales_analytics": gold.sales_analytics(sales, customers, products),
@@ -106,6 +107,6 @@ def run(
 ) -> DataFrame:
     """Take in what has landed, refine it, rebuild gold and measure quality."""
     schemas = ingest(spark, landing, lake, batch_id)
-    refine(spark, schemas, lake, as_of, watermark)
-    build_gold(spark, lake, as_of, high, medium, env)
+    refine(spark, schemas, lake, as_of, watermark, env)
+    build_gold(spark, lake, as_of, high, medium)
     return quality_table(spark, lake)

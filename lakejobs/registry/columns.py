@@ -11,7 +11,6 @@ from lakejobs.registry import entities
 from lakejobs.registry.case import TYPE_SYNONYMS, case
 from lakejobs.schemas import SALES_CSV
 from lakejobs.sources import star_tables as star
-from lakejobs.sources import synth
 
 
 @case("prj_rename", """
@@ -318,53 +317,3 @@ def _(spark, d):
     return entities.silver_sales(spark, d).select(
         "sale_id", "sale_date", "customer_id", "product_id", "store_id", "quantity", "sale_amount"
     )
-
-
-_SYNTH = """
-    WITH ids AS (SELECT o_orderkey AS id, md5(concat(o_orderkey, ':', '42')) AS a,
-                        md5(concat(o_orderkey, ':', '42', ':', 'b')) AS b FROM orders),
-    draws AS (SELECT id,
-        ('0x' || substr(a, 1, 4))::BIGINT AS segment, ('0x' || substr(a, 5, 4))::BIGINT AS category,
-        ('0x' || substr(a, 9, 4))::BIGINT AS day, ('0x' || substr(a, 13, 4))::BIGINT AS customer,
-        ('0x' || substr(a, 17, 4))::BIGINT AS product,
-        ('0x' || substr(a, 21, 4))::BIGINT AS quantity,
-        ('0x' || substr(a, 25, 4))::BIGINT AS store, ('0x' || substr(a, 29, 4))::BIGINT AS region,
-        ('0x' || substr(b, 1, 8))::BIGINT AS amount, ('0x' || substr(b, 9, 4))::BIGINT AS payment,
-        ('0x' || substr(b, 13, 8))::BIGINT AS bad FROM ids),
-    picked AS (SELECT *,
-        CASE WHEN segment < 13107 THEN 'Premium' WHEN segment < 45875 THEN 'Standard'
-             ELSE 'Budget' END AS seg,
-        ['Electronics', 'Apparel', 'Food & Bev', 'Sports', 'Home & Living'][category % 5 + 1]
-          AS cat,
-        CAST([3000, 500, 150, 800, 400][category % 5 + 1] AS DOUBLE) AS lo,
-        CAST([77000, 7500, 1850, 24200, 14600][category % 5 + 1] AS DOUBLE) AS span FROM draws),
-    good AS (SELECT id, concat('SALE-', 100000 + id) AS sale_id,
-        CAST(DATE '2025-01-01' + CAST(day % 151 AS INTEGER) AS VARCHAR) AS sale_date,
-        concat('CUST-', 1000 + customer % 9000) AS customer_id, seg AS customer_segment,
-        printf('PROD-%04d', product % 200 + 1) AS product_id, cat AS product_category,
-        floor((lo + span * (amount / CAST(4294967296 AS DOUBLE)))
-              * CASE seg WHEN 'Premium' THEN CAST(1.8 AS DOUBLE)
-                         WHEN 'Standard' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.6 AS DOUBLE) END
-              * CAST(100 AS DOUBLE)) / CAST(100 AS DOUBLE) AS sale_amount,
-        CAST(quantity % 5 + 1 AS INTEGER) AS quantity,
-        printf('STR-%03d', store % 20 + 1) AS store_id,
-        ['Metro Manila', 'Cebu', 'Davao', 'Clark', 'Iloilo'][region % 5 + 1] AS region,
-        ['Credit Card', 'GCash', 'Cash', 'Bank Transfer'][payment % 4 + 1] AS payment_method,
-        'pos_system_v2' AS ingestion_source, bad FROM picked)
-    SELECT * EXCLUDE (id, bad), CAST(NULL AS VARCHAR) AS _bad_reason FROM good
-    UNION ALL
-    SELECT printf('BAD-%04d', id), sale_date, CASE WHEN id % 2 = 0 THEN customer_id END,
-           customer_segment, product_id, product_category,
-           CASE WHEN id % 2 = 0 THEN -(bad % 500000 + 1) / CAST(100 AS DOUBLE)
-                ELSE sale_amount END,
-           quantity, store_id, region, payment_method, ingestion_source,
-           CASE WHEN id % 2 = 0 THEN 'negative_sale_amount' ELSE 'null_customer_id' END
-    FROM good"""
-
-
-@case("synth_sales", _SYNTH)
-def _(spark, d):
-    """One generated sale and one broken copy per order."""
-    ids = star.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
-    good = synth.good_sales(ids, 42, "2025-01-01", "2025-05-31")
-    return good.unionByName(synth.bad_copies(good)).drop("id", "_negative")

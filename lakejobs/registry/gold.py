@@ -81,7 +81,9 @@ def _(spark, d):
 
 
 @case("gold_customer_360", """
-    SELECT c.customer_id, full_name, customer_segment, total_transactions,
+    SELECT c.customer_id, first_name, last_name, email, phone,
+           registration_date::VARCHAR AS registration_date, customer_age_days, full_name,
+           customer_segment, total_transactions,
            CAST(lifetime_value AS DOUBLE) AS lifetime_value, avg_order_value,
            first_purchase_date::VARCHAR AS first_purchase_date,
            last_purchase_date::VARCHAR AS last_purchase_date, unique_products_purchased,
@@ -102,11 +104,9 @@ def _(spark, d):
         FROM silver_sales GROUP BY 1) m ON c.customer_id = m.customer_id""",
       "silver_customers silver_sales")
 def _(spark, d):
-    customers = entities.silver_customers(spark, d).select(
-        "customer_id", "full_name", "customer_segment"
-    )
     return gold.customer_360(
-        entities.silver_sales(spark, d), customers, entities.HIGH_VALUE, entities.MEDIUM_VALUE
+        entities.silver_sales(spark, d), entities.silver_customers(spark, d),
+        entities.HIGH_VALUE, entities.MEDIUM_VALUE,
     )
 
 

@@ -69,13 +69,15 @@ def _(spark, d):
       "valid_sales rejected_sales")
 def _(spark, d):
     raw = star.sales_raw(spark, d, "sale_amount", "customer_id")
-    sides = zip(("valid", "rejected"), quality.split_quarantine(raw, quality.SALES_REJECTS))
-    counted = [
-        df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("rows"),
-               F.count("sale_amount").alias("with_amount"))
-        for side, df in sides
-    ]
-    return counted[0].unionByName(counted[1])
+    rejected = F.col("quarantine_reason").isNotNull()
+    known = F.col("sale_amount").isNotNull()
+    sides = F.array(*[
+        F.struct(F.lit(name).alias("side"), F.count_if(side).alias("rows"),
+                 F.count_if(side & known).alias("with_amount"))
+        for name, side in (("valid", ~rejected), ("rejected", rejected))
+    ])
+    both = quality.tagged(raw, quality.SALES_REJECTS).agg(sides.alias("sides"))
+    return both.select(F.inline("sides"))
 
 
 @case("dq_quarantine_rows", """
@@ -100,10 +102,8 @@ def _(spark, d):
     df = projections.clean_strings(
         star.customers_raw(spark, d).selectExpr("customer_id", "email as contact_email")
     )
-    valid, rejected = quality.convention_split(df)
-    return valid.withColumn("quarantine_reason", F.lit(None).cast("string")).unionByName(
-        rejected.drop("failed_rules")
-    )
+    rules = quality.convention_rules(df.columns)
+    return quality.tagged(df, rules, quality.CONVENTION_REASON).drop("failed_rules")
 
 
 @case("dq_freshness", """

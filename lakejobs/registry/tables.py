@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lakejobs.operators import retention, tables
 from lakejobs.registry.case import case
 from lakejobs.session import fresh_dir
-from lakejobs.sources import files
 from lakejobs.sources import star_tables as star
 
 _LEDGER = """SELECT o_orderkey AS order_id, o_custkey AS customer_key, o_orderstatus AS status,
@@ -174,9 +173,3 @@ def _(spark, d):
     events = star.table(spark, d, "events").select("event_id", "event_type", "ts")
     policy = {"click": "7-days", "view": "20-days", "error": "permanent"}
     return retention.prune(events, "ts", policy, star.EVENTS_AS_OF, "event_type").drop("ts")
-
-
-@case("src_list_files")
-def _(spark, d):
-    """Data files of the sales table: path, bytes, modification time."""
-    return files.list_files(spark, f"{d}/lineitem.parquet")

@@ -26,6 +26,7 @@ def silver(
     keys: list[str],
     watermark: tuple[str, str] | None = None,
     keep_null_keys: bool = True,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Clean, validate and deduplicate; for batch and streaming input.
 
@@ -38,6 +39,8 @@ def silver(
     if CORRUPT in bronze.columns:
         bronze = bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     valid = apply_expectations(process_audit(clean(bronze)), rules)
+    if finish is not None:  # behind the rules, which need the raw values
+        valid = finish(valid)
     if watermark is None or not bronze.isStreaming:
         return dedup(valid, keys, keep_null_keys=keep_null_keys)
     column, delay = watermark
@@ -58,7 +61,8 @@ def stream_silver(
     keys: list[str],
     watermark: tuple[str, str] | None = None,
     keep_null_keys: bool = True,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Run :func:`silver` on a stream into a table."""
-    df = silver(bronze, clean, rules, keys, watermark, keep_null_keys)
+    df = silver(bronze, clean, rules, keys, watermark, keep_null_keys, finish)
     return start_table(df, target, checkpoint)

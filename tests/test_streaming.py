@@ -155,6 +155,9 @@ def test_streaming_medallion(spark, tmp_path):
     got = {r.table_name: (r.layer, r.total_rows) for r in metrics.collect()}
     assert got == {"bronze_sales_raw": ("bronze", 6), "silver_sales_cleaned": ("silver", 3),
                    "gold_sales_analytics": ("gold", 2)}
+    silver = spark.read.parquet(lake.silver("customers"))
+    assert "email" not in silver.columns and "email_masked" in silver.columns
+    assert "_corrupt_record" not in spark.read.parquet(lake.silver("sales")).columns
     customers = tables.read_table(spark, lake.gold("customer_360"))
     assert "email" not in customers.columns
     row = customers.first()
@@ -174,3 +177,23 @@ def test_gold_on_a_stream_is_refused(spark, tmp_path):
     with pytest.raises(Exception):
         agg = stream.groupBy("productId").agg(F.countDistinct("customerId"))
         ingest.start_table(agg, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+
+
+def test_lines_that_do_not_fit_go_to_quarantine(spark, tmp_path):
+    lake = LakePaths(str(tmp_path / "lake"))
+    src = tmp_path / "sales"
+    put_json(src, "a.json", [dict(SALES[0])])
+    ingest.register_schema(spark, str(src), "json", lake.schema("sales"))
+    (src / "b.json").write_text('{"saleId": "S9", "saleAmount": "many"}\n')
+    df = ingest.ingest_stream(spark, str(src), "json", lake.schema("sales"), "b1")
+    ingest.start_table(df, lake.bronze("sales"), lake.checkpoint("b")).awaitTermination()
+    bronze = spark.read.schema(df.schema).parquet(lake.bronze("sales"))
+    whole = bronze.filter("_corrupt_record IS NULL")
+    assert bronze.count() == 2 and whole.count() == 1
+    from lakejobs.operators import projections, quality
+    from lakejobs.streaming.silver import silver
+
+    out = silver(bronze, projections.clean_sales, (), ["sale_id"])
+    assert out.count() == 1 and "_corrupt_record" not in out.columns
+    row = quality.table_metrics(whole, "t", "bronze").first()
+    assert row.null_percentage == 0 and row.status == "PASSED"

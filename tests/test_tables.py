@@ -249,3 +249,15 @@ def test_retention_by_class(spark):
     assert {r.id for r in out.collect()} == {2, 3}
     with pytest.raises(ValueError, match="unknown retention"):
         retention.prune(df, "ts", "soon")
+
+
+def test_rows_without_a_key_have_one_change_each(spark):
+    old = frame(spark, [(None, f"a{i}") for i in range(300)] + [(1, "x")])
+    new = frame(spark, [(None, f"b{i}") for i in range(300)] + [(1, "x")])
+    got = tables.diff(old, new, ["id"]).groupBy("change_type").count().collect()
+    assert {r.change_type: r["count"] for r in got} == {"insert": 300, "delete": 300}
+
+
+def test_rows_are_counted_behind_the_last_shuffle(spark, path):
+    staged = tables.stage(spark.range(100).selectExpr("id", "id % 3 as part"), path, ["part"])
+    assert staged.rows == 100
