@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakejobs import schemas
 from lakejobs.functions import classes, clock, text
 
 # Highest accepted share of NULLs and of duplicates, in percent.
@@ -160,6 +162,10 @@ def convention_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_quarantine(df, convention_rules(df.columns), CONVENTION_REASON)
 
 
+def convention_tagged(df: DataFrame) -> DataFrame:
+    return tagged(df, convention_rules(df.columns), CONVENTION_REASON)
+
+
 def quarantine_breakdown(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("quarantine_reason").count().orderBy(F.desc("count"))
 
@@ -242,6 +248,17 @@ class Checks:
     max_age_hours: int = 24
 
 
+# Columns a load checks when they are there.
+USUAL_KEY, USUAL_DATE = "id", "created_date"
+
+
+def usual_checks(columns: list[str], checks: Checks) -> Checks:
+    """The checks with the usual key and date column, where none are named and a table has them."""
+    keys = checks.keys or ((USUAL_KEY,) if USUAL_KEY in columns else ())
+    date_col = checks.date_col or (USUAL_DATE if USUAL_DATE in columns else None)
+    return replace(checks, keys=keys, date_col=date_col)
+
+
 def _signed(schema: T.StructType) -> list[str]:
     """Numeric ``*_amount`` and ``*_price`` columns, which may not be negative."""
     return [
@@ -256,18 +273,10 @@ def check_counts(schema: T.StructType, checks: Checks) -> list[Column]:
     counts += [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(schema.names)]
     counts += [F.count_if(F.col(c) < 0).alias(f"neg_{i}") for i, c in enumerate(_signed(schema))]
     if checks.date_col in schema.names:
-        counts.append(F.max(F.col(checks.date_col).cast("timestamp")).alias("latest"))
+        counts.append(F.max(F.col(checks.date_col).try_cast("timestamp")).alias("latest"))
     return counts
 
 
-def observed_counts(spark: SparkSession, metrics: dict) -> DataFrame:
-    """Observed :func:`check_counts` as a one-row frame."""
-    fields = [
-        T.StructField(k, T.TimestampType() if k == "latest" else T.LongType()) for k in metrics
-    ]
-    return spark.createDataFrame([tuple(metrics.values())], T.StructType(fields))
-
-
 def _record(name: str, column: str | None, value: Column, limit: float, passed: Column) -> Column:
     return F.struct(
         F.lit(name).alias("check_name"), F.lit(column).alias("column_name"),
@@ -341,7 +350,7 @@ def table_metrics(
     keys: list[str] | None = None,
     thresholds: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Rows, share of NULL cells and status of one table; an empty table fails.
+    """Rows, share of NULL cells, time and status of one table; an empty table fails.
 
     With keys the duplicate share counts as well.  Columns the reader adds for
     its own use are no data and are left out of the share.
@@ -372,15 +381,32 @@ def table_metrics(
         good = good & (copies <= limits["max_duplicate_percentage"])
     return row.select(
         F.lit(table_name).alias("table_name"), F.lit(layer).alias("layer"),
-        "total_rows", "null_percentage",
+        "total_rows", "null_percentage", F.current_timestamp().alias("check_timestamp"),
         F.when(good, "PASSED").otherwise("FAILED").alias("status"),
+        F.lit(None).cast("string").alias("error_message"),
     )
 
 
-def all_table_metrics(tables: list[tuple[DataFrame, str, str, list[str] | None]]) -> DataFrame:
-    """Metrics of several tables as one frame."""
-    frames = [table_metrics(df, name, layer, keys) for df, name, layer, keys in tables]
-    return reduce(DataFrame.unionByName, frames)
+def all_table_metrics(
+    spark: SparkSession,
+    tables: list[tuple[DataFrame | Callable[[], DataFrame], str, str, list[str] | None]],
+) -> DataFrame:
+    """Metrics of several tables as one frame.
+
+    A table may be given as a function that opens it.  One that cannot be opened has an
+    ERROR row with the reason, and the others are measured all the same.
+    """
+    frames = []
+    for source, name, layer, keys in tables:
+        try:
+            df = source() if callable(source) else source
+            frames.append(table_metrics(df, name, layer, keys))
+        except PySparkException as error:
+            row = (name, layer, 0, 100.0, None, "ERROR", str(error))
+            failed = spark.createDataFrame([row], schemas.DATA_QUALITY_METRICS)
+            frames.append(failed.withColumn("check_timestamp", F.current_timestamp()))
+    empty = spark.createDataFrame([], schemas.DATA_QUALITY_METRICS)
+    return reduce(DataFrame.unionByName, frames or [empty])
 
 
 def schema_frame(df: DataFrame) -> DataFrame:
@@ -409,18 +435,17 @@ def schema_diff(new: DataFrame, old: DataFrame) -> DataFrame:
 def json_fields(df: DataFrame, column: str, group: str) -> DataFrame:
     """Fields seen in a JSON text column per group: (group, column_name, data_type).
 
-    Types are those of the values themselves; a field seen with several types is
-    reported with the widest.
+    Types are those of the values themselves, merged over all rows: numbers to the kind
+    that holds them all, and values that have nothing in common to variant.  A field that
+    was only ever null is void.  Text that is no JSON object, or names a field twice, has
+    no fields.
     """
-    fields = F.explode(F.from_json(F.col(column), "map<string,string>"))
-    seen = df.select(F.col(group), fields.alias("column_name", "_value"))
-    value = F.col("_value")
-    rank = (
-        F.when(value.isNull(), 0).when(value.rlike("^-?[0-9]+$"), 1)
-        .when(value.rlike(r"^-?[0-9]+\.[0-9]+$"), 2).otherwise(3)
-    )
-    names = F.array(*[F.lit(t) for t in ("void", "bigint", "double", "string")])
-    widest = seen.groupBy(group, "column_name").agg(F.max(rank).alias("_rank"))
-    return widest.select(
-        group, "column_name", F.element_at(names, F.col("_rank") + 1).alias("data_type")
+    named = F.try_variant_get(F.try_parse_json(F.col(column)), "$", "map<string,variant>")
+    seen = df.select(F.col(group), F.explode(named).alias("column_name", "_value"))
+    kinds = seen.groupBy(group, "column_name").agg(F.schema_of_variant_agg("_value").alias("_type"))
+    # names of nested fields keep their case
+    nested = F.col("_type").contains("<")
+    return kinds.select(
+        group, "column_name",
+        F.when(nested, F.col("_type")).otherwise(F.lower("_type")).alias("data_type"),
     )

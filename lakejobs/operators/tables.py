@@ -1,207 +1,90 @@
-"""Tables with versions, built from Parquet folders.
+"""Tables as Parquet folders, written and read by Spark's own writers.
 
-A table is a folder with
-
-* ``data/_run=<id>/``  Parquet files of one write, never changed afterwards;
-* ``history/``         one row per version: number, time, operation, schema, the data
-  folders that make up the version, and metrics.
-
-A write fills a new data folder first and then adds its history row, so a reader
-sees the version before or the version after.  An append adds a folder to the
-list and rewrites nothing; an update or upsert rewrites only the folders that
-hold matching rows.  One writer per table at a time is assumed.
+Changes are operators from frame to frame; a changed table is written to a folder of
+its own, so nothing is read and overwritten at once.  A table that grows by loads is
+partitioned by the load, which gives a rerun its own rows to replace and a read up to
+a load whole folders to skip.
 """
 
 from __future__ import annotations
 
-import json
-import math
 import uuid
-from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakejobs.session import delete_dir, list_dirs, path_exists
-from lakejobs.sources.files import list_files
-
-_HISTORY = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("schema", T.StringType()),
-    T.StructField("folders", T.ArrayType(T.StringType())),
-    T.StructField("partition_columns", T.ArrayType(T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.StringType())),
-])
-
-
-@dataclass(frozen=True)
-class Version:
-    """One row of the history."""
-
-    number: int
-    schema: T.StructType
-    folders: tuple[str, ...]
-    partitions: tuple[str, ...]
-    rows: int
-    written: int
-
+from lakejobs.session import path_exists
 
-# -- history ---------------------------------------------------------------
 
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}/history")
-
-
-def _history_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_HISTORY).parquet(f"{path}/history")
-
-
-def history(spark: SparkSession, path: str) -> DataFrame:
-    """Versions, newest first: version, timestamp, operation, metrics."""
-    return (
-        _history_rows(spark, path)
-        .select("version", "timestamp", "operation", "metrics")
-        .orderBy(F.desc("version"))
-    )
-
-
-def version_of(spark: SparkSession, path: str, version: int | None = None) -> Version:
-    """A version of the table, the newest by default."""
-    rows = _history_rows(spark, path)
-    if version is not None:
-        rows = rows.filter(F.col("version") == version)
-    row = rows.orderBy(F.desc("version")).first()
-    if row is None:
-        raise ValueError(f"{path} has no version {version}")
-    return Version(
-        row.version, T.StructType.fromJson(json.loads(row.schema)),
-        tuple(row.folders), tuple(row.partition_columns), int(row.metrics["num_rows"]),
-        int(row.metrics.get("num_rows_written", 0)),
-    )
-
-
-def _publish(
-    spark: SparkSession, path: str, operation: str, schema: T.StructType,
-    folders: list[str], partitions: list[str], metrics: dict[str, int], number: int,
-) -> int:
-    row = (
-        number, datetime.now(timezone.utc), operation, schema.json(), folders, partitions,
-        {k: str(v) for k, v in metrics.items()},
-    )
-    frame = spark.createDataFrame([row], _HISTORY).coalesce(1)
-    frame.write.mode("append").parquet(f"{path}/history")
-    return number
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table with at least one file lies at a path."""
+    if not path_exists(spark, path):
+        return False
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return False
+        raise
+    return True
 
 
-# -- reading ---------------------------------------------------------------
+def plain(schema: T.StructType) -> T.StructType:
+    """Names and types of a schema, every column nullable."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
-def _scan(spark: SparkSession, path: str, at: Version, folders: list[str]) -> DataFrame:
-    """The given folders under the schema of the version, with the folder as ``_run``.
+def read(spark: SparkSession, path: str, loads: str | None = None) -> DataFrame:
+    """A table with the columns of all its files; those a file lacks read as NULL.
 
-    Footers are not merged: columns a folder lacks read as NULL.
+    ``loads`` names a partition column whose values are to stay text as written.
     """
-    if not folders:
-        return spark.createDataFrame([], at.schema).withColumn("_run", F.lit(""))
-    return (
-        spark.read.schema(at.schema).option("basePath", f"{path}/data")
-        .parquet(*[f"{path}/data/_run={f}" for f in folders])
-    )
-
-
-def _read_folders(spark: SparkSession, path: str, at: Version, folders: list[str]) -> DataFrame:
-    return _scan(spark, path, at, folders).select(*at.schema.names)
+    merged = spark.read.option("mergeSchema", True).parquet(path)
+    if loads is None:
+        return merged
+    kinds = [T.StructField(f.name, T.StringType() if f.name == loads else f.dataType)
+             for f in merged.schema.fields]
+    return spark.read.schema(T.StructType(kinds)).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The table now, or as of a version."""
-    at = version_of(spark, path, version)
-    return _read_folders(spark, path, at, list(at.folders))
-
-
-# -- writing ---------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Staged:
-    """A filled data folder that no version refers to yet."""
-
-    path: str
-    folder: str
-    schema: T.StructType
-    partitions: tuple[str, ...]
-    rows: int
-    metrics: dict
-
-
-def _plain(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-
-
-def stage(
-    df: DataFrame, path: str, partition_by: list[str] | None = None,
-    metrics: list[Column] | None = None, even_files: bool = False,
-) -> Staged:
-    """Write one data folder.
-
-    Rows are counted, and further aggregates taken, in the same pass.  Rows of a
-    partitioned table are rebalanced by partition value, which joins small
-    partitions and splits a value too large for one task.  Other tables are
-    written as their tasks come, without a shuffle; ``even_files`` pays for one
-    to get files of even size, for input that arrives in very uneven pieces.
+def write(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+    even_files: bool = False,
+) -> int:
+    """Write a frame and return its number of rows, counted in the same pass.
+
+    ``overwrite`` replaces the table, ``append`` adds files, and ``replace`` exchanges
+    only the partitions the frame has rows for.  Rows of a partitioned table are
+    rebalanced by partition value, which joins small partitions and splits a value too
+    large for one task.  Other tables are written as their tasks come, without a shuffle;
+    ``even_files`` pays for one to get files of even size, for input that arrives in very
+    uneven pieces, or to put the small files of a table together.
     """
-    folder = f"r{uuid.uuid4().hex}"
-    seen = Observation(f"rows-{folder}")
+    if mode not in ("overwrite", "append", "replace"):
+        raise ValueError(f"unknown mode {mode}")
     partitions = list(partition_by or [])
     laid = df.hint("rebalance", *partitions) if partitions or even_files else df
     # Counted behind the last shuffle: a map task that runs again is not counted twice.
-    counted = laid.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics or []))
-    writer = counted.write.partitionBy(*partitions) if partitions else counted.write
-    writer.parquet(f"{path}/data/_run={folder}")
-    values = dict(seen.get)
-    rows = int(values.pop("rows", 0))
-    return Staged(path, folder, _plain(df.schema), tuple(partitions), rows, values)
-
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    writer = laid.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    writer = writer.mode("append" if mode == "append" else "overwrite").option(
+        "partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    return int(seen.get.get("rows") or 0)
 
-def read_staged(spark: SparkSession, staged: Staged) -> DataFrame:
-    at = Version(-1, staged.schema, (staged.folder,), staged.partitions, staged.rows, staged.rows)
-    return _read_folders(spark, staged.path, at, [staged.folder])
 
-
-def discard(spark: SparkSession, staged: Staged) -> None:
-    delete_dir(spark, f"{staged.path}/data/_run={staged.folder}")
-
-
-def publish(
-    spark: SparkSession, staged: Staged, mode: str = "overwrite", merge_schema: bool = True,
-    notes: dict[str, str] | None = None,
+def append(
+    df: DataFrame, path: str, merge_schema: bool = True, partition_by: list[str] | None = None
 ) -> int:
-    """Make a staged folder the table (``overwrite``) or part of it (``append``).
-
-    On append the columns of the folder and of the table are merged by name;
-    columns one of them lacks read as NULL.  ``notes`` join the metrics of the
-    version, so they hold exactly when its rows do.
-    """
-    path = staged.path
-    last = version_of(spark, path) if table_exists(spark, path) else None
-    if mode not in ("overwrite", "append"):
-        raise ValueError(f"unknown mode {mode}")
-    schema, kept, before = staged.schema, (), 0
-    if last and mode == "append":
-        schema = merged_schema(last.schema, staged.schema, merge_schema)
-        kept, before = last.folders, last.rows
-    return _publish(
-        spark, path, f"WRITE {mode}".upper(), schema, [*kept, staged.folder],
-        list(staged.partitions),
-        {"num_rows": before + staged.rows, "num_rows_written": staged.rows, **(notes or {})},
-        last.number + 1 if last else 0,
-    )
+    """Add rows to a table that may be missing yet; known columns get its types."""
+    if exists(df.sparkSession, path):
+        known = read(df.sparkSession, path).schema
+        df = typed(df, known)
+        merged_schema(known, df.schema, merge_schema)
+    return write(df, path, "append", partition_by)
 
 
 def merged_schema(
@@ -218,37 +101,6 @@ def merged_schema(
     return T.StructType(table.fields + [f for f in new.fields if f.name not in table.names])
 
 
-def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", merge_schema: bool = True,
-    partition_by: list[str] | None = None, skip_empty: bool = False, even_files: bool = False,
-) -> int | None:
-    """Write a new version and return its number.
-
-    ``append`` casts known columns to the type of the table.  ``skip_empty``
-    publishes nothing (and returns None) when there are no rows.
-    """
-    spark = df.sparkSession
-    if mode == "append" and table_exists(spark, path):
-        last = version_of(spark, path)
-        df = typed(df, last.schema)
-        merged_schema(last.schema, df.schema, merge_schema)
-        partition_by = list(last.partitions)
-    staged = stage(df, path, partition_by, even_files=even_files)
-    if skip_empty and staged.rows == 0:
-        discard(spark, staged)
-        return None
-    return publish(spark, staged, mode, merge_schema)
-
-
-def note(spark: SparkSession, path: str, name: str) -> str | None:
-    """The newest value of a note left in the metrics of a version."""
-    if not table_exists(spark, path):
-        return None
-    rows = _history_rows(spark, path).select("version", F.col("metrics")[name].alias("value"))
-    row = rows.filter("value IS NOT NULL").orderBy(F.desc("version")).first()
-    return row.value if row else None
-
-
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast the columns that ``schema`` knows to its types."""
     return df.select(*[
@@ -262,42 +114,64 @@ def append_named(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
-def _touched(rows: DataFrame) -> list[str]:
-    """Data folders the given rows lie in; at most one name per folder."""
-    return [r[0] for r in rows.select("_run").distinct().collect()]
+# -- loads and files -------------------------------------------------------
 
 
-def update(
-    spark: SparkSession, path: str, condition: Column, assignments: dict[str, Column]
-) -> int:
-    """Set columns on the rows for which the condition is true; a new version.
+def up_to(df: DataFrame, load: str, last: object) -> DataFrame:
+    """The rows of all loads up to one; later folders are not read."""
+    return df.filter(F.col(load) <= F.lit(last))
 
-    Only data folders that hold such rows are rewritten.
-    """
-    at = version_of(spark, path)
-    touched = _touched(_scan(spark, path, at, list(at.folders)).filter(condition))
+
+def load_sizes(df: DataFrame, load: str) -> DataFrame:
+    """Rows a table holds after each load: (load, num_rows_written, num_rows).
+
+    Rows are counted per load first, so the running total passes one row per load."""
+    counts = df.groupBy(load).agg(F.count(F.lit(1)).alias("num_rows_written"))
+    running = Window.orderBy(load).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("num_rows", F.sum("num_rows_written").over(running))
+
+
+def file_sizes(df: DataFrame) -> DataFrame:
+    """Files, bytes and rows of the files a frame is read from, in one row."""
+    files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
+        F.max("file_size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    return files.agg(
+        F.count(F.lit(1)).alias("num_files"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("size_bytes"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("num_rows"),
+    )
+
+
+# -- changes ---------------------------------------------------------------
+
+
+def update(df: DataFrame, condition: Column, assignments: dict[str, Column]) -> DataFrame:
+    """Set columns on the rows for which the condition is true, not unknown."""
     hit = F.coalesce(condition, F.lit(False))
-    rows = _read_folders(spark, path, at, touched)
-    changed = rows.select(*[
+    return df.select(*[
         F.when(hit, assignments[f.name].cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
         if f.name in assignments else F.col(f.name)
-        for f in at.schema.fields
+        for f in df.schema.fields
     ])
-    kept = [f for f in at.folders if f not in touched]
-    new = stage(changed, path, list(at.partitions)) if touched else None
-    return _publish(
-        spark, path, "UPDATE", at.schema, [*kept, new.folder] if new else kept,
-        list(at.partitions),
-        {"num_rows": at.rows, "num_rows_rewritten": new.rows if new else 0}, at.number + 1,
-    )
 
 
-def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+def require_unique(df: DataFrame, keys: list[str]) -> None:
+    """Fail when two rows share a key (NULL keys match nothing and are let through)."""
+    known = df.dropna(subset=keys)
+    twice = known.groupBy(*keys).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"two updates for one key: {twice[0].asDict()}")
+
+
+def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``target`` with matching updates laid over them, plus unmatched updates.
 
     The target keeps its place in the left join, so small updates are broadcast
-    and the target is not shuffled.  Columns the updates lack keep their value.
+    and the target is not shuffled.  Columns the updates lack keep their value, and
+    those the target lacks are added.  A row with a NULL in its key matches nothing.
+    Keys of the updates must be unique; see :func:`require_unique`.
     """
+    updates = typed(updates, target.schema)
     new = [c for c in updates.columns if c not in target.columns]
     laid = [c for c in updates.columns if c not in keys]
     hits = updates.select(*keys, F.struct(*laid).alias("_new"), F.lit(True).alias("_hit"))
@@ -308,127 +182,10 @@ def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
         for c in target.columns
     ]
     changed = joined.select(*old, *[F.col(f"_new.{c}").alias(c) for c in new])
-    matched = target.select(*keys).join(updates.select(*keys), keys, "left_semi").distinct()
-    inserted = updates.join(matched, keys, "left_anti")
+    inserted = updates.join(target.select(*keys), keys, "left_anti")
     return changed.unionByName(inserted, allowMissingColumns=True)
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> None:
-    """Fail when two rows share a key (NULL keys match nothing and are let through)."""
-    known = df.dropna(subset=keys)
-    twice = known.groupBy(*keys).count().filter("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"two updates for one key: {twice[0].asDict()}")
-
-
-def upsert(
-    updates: DataFrame | Staged, path: str, keys: list[str], notes: dict[str, str] | None = None
-) -> int | None:
-    """Update rows by key and insert the others; a new version.
-
-    Only data folders that hold matching keys are rewritten.  The updates are
-    written once before they are read several times; updates staged before are
-    taken as they are.  Without updates nothing is published.
-    """
-    spark = SparkSession.active()
-    at = version_of(spark, path)
-    source = updates if isinstance(updates, Staged) else stage(updates, path)
-    try:
-        if source.rows == 0:
-            return None
-        rows = typed(read_staged(spark, source), at.schema)
-        require_unique(rows, keys)
-        target = _scan(spark, path, at, list(at.folders))
-        touched = _touched(target.join(rows.select(*keys), keys, "left_semi"))
-        result = merged(_read_folders(spark, path, at, touched), rows, keys)
-        new = stage(result, path, list(at.partitions))
-        before = _read_folders(spark, path, at, touched).count() if touched else 0
-        kept = [f for f in at.folders if f not in touched]
-        return _publish(
-            spark, path, "UPSERT", new.schema, [*kept, new.folder], list(at.partitions),
-            {"num_rows": at.rows - before + new.rows, "num_rows_rewritten": new.rows,
-             "num_rows_written": source.rows, **(notes or {})}, at.number + 1,
-        )
-    finally:
-        discard(spark, source)
-
-
-# -- maintenance -----------------------------------------------------------
-
-
-def _folder_sizes(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
-    """Files and bytes per data folder, from the file listing alone."""
-    folder = F.regexp_extract("file_path", "/_run=(r[0-9a-f]{32})/", 1)
-    return (
-        list_files(spark, [f"{path}/data/_run={f}" for f in folders])
-        .groupBy(folder.alias("folder"))
-        .agg(F.count(F.lit(1)).alias("num_files"), F.sum("file_size").alias("size_bytes"))
-    )
-
-
-def detail(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Format, files, bytes, rows and partition columns of a version."""
-    at = version_of(spark, path, version)
-    return _folder_sizes(spark, path, list(at.folders)).agg(
-        F.lit("parquet").alias("format"),
-        F.lit(at.number).cast("long").alias("version"),
-        F.sum("num_files").alias("num_files"),
-        F.sum("size_bytes").alias("size_bytes"),
-        F.lit(at.rows).cast("long").alias("num_rows"),
-        F.lit(",".join(at.partitions)).alias("partition_columns"),
-    )
-
-
-def compact(spark: SparkSession, path: str, target_bytes: int = 256 * 2**20) -> int:
-    """Rewrite data folders whose files are small on average; same rows, fewer files.
-
-    Input splits are joined by ``coalesce``, which moves no data between tasks.
-    A lone folder that is already compact stays as it is.
-    """
-    at = version_of(spark, path)
-    sizes = _folder_sizes(spark, path, list(at.folders))
-    small = sizes.filter(
-        F.col("size_bytes") < F.col("num_files") * (target_bytes // 2)
-    ).collect()
-    if len(small) < 2 and not any(r.num_files > 1 for r in small):
-        return at.number
-    chosen = [r.folder for r in small]
-    files = max(1, math.ceil(sum(r.size_bytes for r in small) / target_bytes))
-    rows = _read_folders(spark, path, at, chosen)
-    new = stage(rows if at.partitions else rows.coalesce(files), path, list(at.partitions))
-    kept = [f for f in at.folders if f not in chosen]
-    return _publish(
-        spark, path, "COMPACT", at.schema, [*kept, new.folder], list(at.partitions),
-        {"num_rows": at.rows, "num_files": files}, at.number + 1,
-    )
-
-
-def vacuum(
-    spark: SparkSession, path: str, retain_hours: float = 168, now: datetime | None = None
-) -> list[str]:
-    """Delete data folders that no version within the retention time uses.
-
-    Folders left behind by a failed write go too, once they are that old.  The
-    current version is kept whatever its age.  History rows stay; reading a
-    version whose folders are gone fails.
-    """
-    oldest = (now or datetime.now(timezone.utc)) - timedelta(hours=retain_hours)
-    rows = _history_rows(spark, path).select("version", "timestamp", "folders")
-    newest = version_of(spark, path).number
-    used = rows.select(
-        F.explode("folders").alias("folder"),
-        ((F.col("version") == newest) | (F.col("timestamp") >= F.lit(oldest))).alias("live"),
-    ).groupBy("folder").agg(F.bool_or("live").alias("live"))
-    live = {r.folder: r.live for r in used.collect()}
-    gone = []
-    for name, changed in list_dirs(spark, f"{path}/data"):
-        folder = name.removeprefix("_run=")
-        expired = not live[folder] if folder in live else changed < oldest.timestamp()
-        if expired and delete_dir(spark, f"{path}/data/{name}"):
-            gone.append(folder)
-    return gone
-
-
 # -- change feed -----------------------------------------------------------
 
 
@@ -469,19 +226,3 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         )
         .select("change_type", "_row.*")
     )
-
-
-def diff_versions(
-    spark: SparkSession, path: str, keys: list[str], old: int, new: int | None = None
-) -> DataFrame:
-    """Changes between two versions; data folders both versions share are not read."""
-    a, b = version_of(spark, path, old), version_of(spark, path, new)
-    if a.schema == b.schema:
-        shared = set(a.folders) & set(b.folders)
-    else:
-        shared = set()
-    return diff(
-        _read_folders(spark, path, a, [f for f in a.folders if f not in shared]),
-        _read_folders(spark, path, b, [f for f in b.folders if f not in shared]),
-        keys,
-    )

@@ -1,21 +1,19 @@
-"""Correct rows of a table and show what changed."""
+"""Show what a correction changed."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakejobs.operators import tables
 
 
 def run(
-    spark: SparkSession, path: str, condition: Column, assignments: dict[str, Column],
-    keys: list[str], column: str, show: list[str] | None = None,
+    before: DataFrame, after: DataFrame, keys: list[str], column: str,
+    show: list[str] | None = None,
 ) -> DataFrame:
-    """Update the table, then list the rows whose ``column`` changed: was and now."""
-    before = tables.version_of(spark, path).number
-    after = tables.update(spark, path, condition, assignments)
-    changes = tables.diff_versions(spark, path, keys, before, after)
+    """The rows whose ``column`` changed between two states of a table: was and now."""
+    changes = tables.diff(before, after, keys)
     was = changes.filter("change_type = 'update_pre'").select(
         *keys, F.col(column).alias("was"), *(show or [])
     )
@@ -23,6 +21,6 @@ def run(
     return was.join(now, keys).filter(~F.col("was").eqNullSafe(F.col("now")))
 
 
-def counts_by(spark: SparkSession, path: str, column: str, version: int) -> DataFrame:
-    """Rows per value of a column in one version, fewest first."""
-    return tables.read_table(spark, path, version).groupBy(column).count().orderBy("count")
+def counts_by(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value of a column, fewest first."""
+    return df.groupBy(column).count().orderBy("count")

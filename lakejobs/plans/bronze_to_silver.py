@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakejobs import schemas
 from lakejobs.operators import filters, gold, governance, projections, quality, tables
+from lakejobs.operators.dedup import dedup
 from lakejobs.paths import LakePaths
 from lakejobs.plans.together import together
+from lakejobs.session import fresh_dir
 
-# Name of the note a silver version carries: the time it is loaded up to.
+# What the event of a finished load carries: the time it is loaded up to.
 LOADED = "loaded_until"
+# The partition column of silver and quarantine.
+BATCH = "batch_id"
 
 
 @dataclass
@@ -62,76 +66,107 @@ def run(
     checks: quality.Checks = quality.Checks(),
     mode: str = "incremental",
     ts_col: str = "ingestion_timestamp",
-    keys: list[str] | None = None,
 ) -> Result:
     """Load one table; ``checks`` are made on the valid rows.
 
-    ``incremental`` takes rows whose ingestion time is later than the last one
-    loaded before and appends them, or lays them over the table when ``keys``
-    are given; ``full`` replaces the table, so a rerun does not double rows.  At
-    level ``critical`` failed checks stop the load before anything is published.
+    ``incremental`` takes rows whose ingestion time is later than the last one loaded
+    before and adds them; ``full`` replaces the table, so a rerun does not double rows.
+    At level ``critical`` failed checks stop the load before anything is published.
 
-    Both sides are written before either is published, rejected rows first, and
-    the time loaded up to is part of the silver version.  A run that dies in
-    between is simply run again: no row is skipped, and at worst rejected rows
-    of the dead run are in quarantine twice, under its batch id.
+    The input is read and cleaned once, into a folder of the run; checks, counts and both
+    tables are taken from there.  Silver and quarantine hold one partition per batch, and
+    the time loaded up to is logged last.  A run that dies is run again under its batch
+    id: it finds the same input and replaces whatever it left.
     """
     spark = bronze.sparkSession
     log, result = EventLog(batch_id, table), Result(batch_id)
     silver_path, bad_path = lake.silver(table), lake.quarantine(table)
     try:
-        log.add("INFO", "Starting bronze to silver processing", mode=mode, level=checks.level)
+        log.add("INFO", "Load begins", mode=mode, level=checks.level)
         source = bronze
         if mode == "incremental":
-            source = filters.newer_than(bronze, ts_col, tables.note(spark, silver_path, LOADED))
-        valid, rejected = quality.convention_split(standardize(source, batch_id))
-        if mode == "incremental" and tables.table_exists(spark, silver_path):
-            known = tables.version_of(spark, silver_path).schema
+            source = filters.newer_than(bronze, ts_col, loaded_until(spark, lake, table))
+        ts_name, = projections.normalize_names(source.select(ts_col)).columns
+        staged, arrived, mark = _stage(standardize(source, batch_id), ts_name)
+        rejected = staged.filter("_rejected").drop("_rejected")
+        valid = staged.filter("NOT _rejected").drop(
+            "_rejected", "failed_rules", "quarantine_reason")
+        if mode == "incremental" and tables.exists(spark, silver_path):
+            known = read_batches(spark, silver_path).schema
             for change in schema_changes(spark, known, valid):
                 log.add("WARNING", "Schema changed", **change)
             valid = tables.typed(valid, known)
-        mark = filters.mark_of(source, ts_col).alias("mark")
-        rejected = rejected.withColumn("quarantine_timestamp", F.current_timestamp())
-        (good, report), bad = together(
-            lambda: _stage_checked(spark, valid, silver_path, checks, mark),
-            lambda: tables.stage(rejected, bad_path, metrics=[mark]),
-        )
-        try:
-            result.issues = quality.gate(report, checks.level)
-        except quality.QualityGateError:
-            tables.discard(spark, good)
-            tables.discard(spark, bad)
-            raise
-        for issue in result.issues:
-            log.add("WARNING", issue)
-        result.written, result.quarantined = good.rows, bad.rows
-        write = "overwrite" if mode == "full" else "append"
-        if bad.rows:
-            tables.publish(spark, bad, write)
-            log.add("WARNING", "Quarantined invalid records", records=bad.rows)
+        if not arrived and mode != "full":
+            log.add("INFO", "Nothing new to load")
         else:
-            tables.discard(spark, bad)
-        if good.rows or bad.rows or mode == "full":
-            marks = [m for m in (good.metrics["mark"], bad.metrics["mark"]) if m is not None]
-            notes = {LOADED: _later(source, ts_col, marks)} if marks else {}
-            if keys and mode != "full" and tables.table_exists(spark, silver_path) and good.rows:
-                tables.upsert(good, silver_path, keys, notes)
-            else:
-                tables.publish(spark, good, write, notes=notes)
-            tables.compact(spark, silver_path)
-            tables.vacuum(spark, silver_path)
+            checks = quality.usual_checks(valid.columns, checks)
+            result.issues = quality.gate(quality.check(valid, checks), checks.level)
+            for issue in result.issues:
+                log.add("WARNING", issue)
+            how = "overwrite" if mode == "full" else "replace"
+            rejected = rejected.withColumn("quarantine_timestamp", F.current_timestamp())
+            result.quarantined, result.written = together(
+                lambda: tables.write(rejected, bad_path, how, [BATCH]),
+                lambda: tables.write(valid, silver_path, how, [BATCH]),
+            )
+            if result.quarantined:
+                log.add("WARNING", "Rows were quarantined", records=result.quarantined)
             save_lineage(bronze, lake, table, result)
-        else:
-            tables.discard(spark, good)
-            log.add("INFO", "No new data to process")
-        log.add("SUCCESS", "Processing completed", records_processed=result.written,
-                records_quarantined=result.quarantined)
-        return result
+        done = {LOADED: mark} if mark is not None else {}
+        log.add("SUCCESS", "Load complete", records_processed=result.written,
+                records_quarantined=result.quarantined, quality_level=checks.level,
+                processing_mode=mode, **done)
     except Exception as error:
         log.add("ERROR", f"Load stopped: {error}")
         raise
     finally:
         log.save(spark, lake.monitoring("processing_events"))
+    if arrived:
+        save_summary(spark, lake, table, batch_id)
+    return result
+
+
+def _stage(clean: DataFrame, ts_col: str) -> tuple[DataFrame, int, str | None]:
+    """All rows with their verdict, written once, their number and largest ingestion time."""
+    spark = clean.sparkSession
+    path = fresh_dir(spark, "load")
+    tagged = quality.convention_tagged(clean).withColumn("_rejected", F.size("failed_rules") > 0)
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    counted = tagged.observe(
+        seen, F.count(F.lit(1)).alias("rows"), filters.mark_of(tagged, ts_col).alias("mark"))
+    counted.write.partitionBy("_rejected").parquet(path)
+    staged = spark.read.schema(tables.plain(tagged.schema)).parquet(path)
+    values = seen.get
+    return staged, int(values.get("rows") or 0), values.get("mark")
+
+
+def loaded_until(spark: SparkSession, lake: LakePaths, table: str) -> str | None:
+    """The largest ingestion time that a finished load of a table has taken in."""
+    path = lake.monitoring("processing_events")
+    if not tables.exists(spark, path):
+        return None
+    done = spark.read.schema(schemas.PROCESSING_EVENTS).parquet(path).filter(
+        (F.col("table_name") == table) & (F.col("event_type") == "SUCCESS"))
+    marks = done.select("timestamp", F.col("details")[LOADED].alias("mark")).dropna()
+    return marks.agg(F.max_by("mark", "timestamp")).first()[0]
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table of this flow; batch ids stay text as given."""
+    return tables.read(spark, path, BATCH)
+
+
+def read_silver(
+    spark: SparkSession, lake: LakePaths, table: str, keys: list[str] | None = None
+) -> DataFrame:
+    """The silver table; with keys, the newest row of each.
+
+    Loads only add rows, so a changed row costs its own write and not that of the table.
+    """
+    rows = read_batches(spark, lake.silver(table))
+    if not keys:
+        return rows
+    return dedup(rows, keys, [F.desc("processed_timestamp"), F.desc(BATCH)])
 
 
 def save_lineage(bronze: DataFrame, lake: LakePaths, table: str, result: Result) -> None:
@@ -146,13 +181,6 @@ def save_lineage(bronze: DataFrame, lake: LakePaths, table: str, result: Result)
     ).coalesce(1).write.mode("append").parquet(lake.monitoring("data_lineage"))
 
 
-def _later(df: DataFrame, column: str, marks: list[str]) -> str:
-    """The later of two marks of :func:`filters.mark_of`."""
-    if isinstance(df.schema[column].dataType, (T.TimestampType, T.NumericType)):
-        return max(marks, key=Decimal)
-    return max(marks)
-
-
 def schema_changes(spark: SparkSession, known: T.StructType, new: DataFrame) -> list[dict]:
     """Columns added, removed or of another type; at most one record per column."""
     old = spark.createDataFrame([], known)
@@ -160,29 +188,12 @@ def schema_changes(spark: SparkSession, known: T.StructType, new: DataFrame) ->
     return [r.asDict() for r in changes.collect()]
 
 
-def _stage_checked(
-    spark: SparkSession, valid: DataFrame, path: str, checks: quality.Checks, mark: Column
-) -> tuple[tables.Staged, DataFrame]:
-    """Write the valid rows where no version sees them yet, and report on them.
-
-    The checks are counted while the rows are written; only uniqueness reads the
-    key columns again, from what was written.
-    """
-    staged = tables.stage(valid, path, metrics=[*quality.check_counts(valid.schema, checks), mark])
-    counts = {k: v for k, v in staged.metrics.items() if k != "mark"}
-    wide = quality.observed_counts(spark, counts)
-    report = quality.check_report(wide, valid.schema, checks)
-    if checks.keys:
-        written = tables.read_staged(spark, staged)
-        report = report.unionByName(quality.uniqueness_report(written, checks))
-    return staged, report
-
-
-def save_summary(spark: SparkSession, lake: LakePaths, table: str, batch_id: str) -> DataFrame:
-    """Append the summary of today's processing and return it."""
-    silver = tables.read_table(spark, lake.silver(table))
+def save_summary(spark: SparkSession, lake: LakePaths, table: str, batch_id: str) -> None:
+    """Append the summary of today's processing, once there is a silver table."""
+    if not tables.exists(spark, lake.silver(table)):
+        return
+    silver = read_batches(spark, lake.silver(table))
     row = gold.processing_summary(silver, table, batch_id).withColumn(
         "summary_timestamp", F.current_timestamp()
     )
     row.coalesce(1).write.mode("append").parquet(lake.monitoring("processing_summary"))
-    return row

@@ -36,45 +36,37 @@ def run(raw: DataFrame, lake: LakePaths, batch_id: str, source: str = "pos_syste
     """
     spark = raw.sparkSession
     bronze = projections.ingest_audit(raw, batch_id, source, "bronze", source_file=False)
-    tables.write_table(bronze, lake.bronze("sales"))
+    bronze_rows = tables.write(bronze, lake.bronze("sales"))
     valid, rejected = quality.split_quarantine(
-        tables.read_table(spark, lake.bronze("sales")), quality.SALES_REJECTS
+        tables.read(spark, lake.bronze("sales")), quality.SALES_REJECTS
     )
     rejected = rejected.withColumn("quarantine_timestamp", F.current_timestamp())
-    together(
-        lambda: tables.write_table(silver_sales(valid), lake.silver("sales")),
-        lambda: tables.write_table(rejected, lake.quarantine("sales")),
+    silver_rows, quarantine_rows = together(
+        lambda: tables.write(silver_sales(valid), lake.silver("sales")),
+        lambda: tables.write(rejected, lake.quarantine("sales")),
     )
-    silver = tables.read_table(spark, lake.silver("sales"))
+    silver = tables.read(spark, lake.silver("sales"))
     together(*[
-        partial(tables.write_table, build(silver), lake.gold(name))
+        partial(tables.write, build(silver), lake.gold(name))
         for name, build in GOLD_TABLES.items()
     ])
-    return summary(spark, lake)
+    return summary(spark, lake, bronze_rows, silver_rows, quarantine_rows)
 
 
-def summary(spark: SparkSession, lake: LakePaths) -> DataFrame:
+def summary(
+    spark: SparkSession, lake: LakePaths, bronze_rows: int, silver_rows: int, quarantine_rows: int
+) -> DataFrame:
     """Rows per layer, quality rate and the total of every gold table."""
-    rows = {
-        name: tables.version_of(spark, path).rows
-        for name, path in (
-            ("bronze_rows", lake.bronze("sales")), ("silver_rows", lake.silver("sales")),
-            ("quarantine_rows", lake.quarantine("sales")),
-        )
-    }
-
-    rate = None
-    if rows["bronze_rows"]:
-        rate = round(rows["silver_rows"] * 100 / rows["bronze_rows"], 1)
+    rate = round(silver_rows * 100 / bronze_rows, 1) if bronze_rows else None
     parts = [spark.createDataFrame(
-        [(*rows.values(), rate)],
+        [(bronze_rows, silver_rows, quarantine_rows, rate)],
         "bronze_rows bigint, silver_rows bigint, quarantine_rows bigint, quality_rate double",
     )]
     for name, column in (
         ("by_segment", "total_revenue"), ("by_region", "total_revenue"),
         ("monthly_trend", "monthly_revenue"),
     ):
-        table = tables.read_table(spark, lake.gold(name))
+        table = tables.read(spark, lake.gold(name))
         parts.append(table.agg(F.sum(column).cast("double").alias(f"{name}_revenue")))
     # one-row frames become one row by union and max, without a join
     both = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)

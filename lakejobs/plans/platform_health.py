@@ -1,49 +1,64 @@
-"""Seven platform checks, their issues and the overall health."""
+"""Eight platform checks, their issues and the overall health."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lakejobs.operators import monitoring as mon
 
+# A log: its frame, or a function that opens it.
+Log = DataFrame | Callable[[], DataFrame]
+
 
 @dataclass(frozen=True)
 class Logs:
     """The logs the checks read."""
 
-    runs: DataFrame
-    updates: DataFrame
-    files: DataFrame
-    queries: DataFrame
-    costs: DataFrame
-    quality: DataFrame
-    audit: DataFrame
+    runs: Log
+    updates: Log
+    files: Log
+    queries: Log
+    costs: Log
+    quality: Log
+    audit: Log
+
+
+def _open(log: Log) -> DataFrame:
+    return log if isinstance(log, DataFrame) else log()
 
 
 def issues(
     logs: Logs, as_of: str | None = None, cost_day: str | None = None,
     thresholds: dict[str, float] | None = None, access_hours: int = 1, latency_hours: int = 1,
 ) -> DataFrame:
-    """Issues of all checks as one frame."""
+    """Issues of all checks as one frame; a check that cannot be made is an issue itself."""
     t = {**mon.THRESHOLDS, **(thresholds or {})}
-    return mon.union_issues(
-        mon.failure_rate(logs.runs, as_of, threshold=t["pipeline_failure_rate"]),
-        mon.stuck_runs(logs.runs, as_of, threshold=t["stuck_seconds"]),
-        mon.stale_tables(mon.table_freshness(logs.updates, as_of), t["data_freshness_hours"]),
-        mon.storage_issues(mon.storage_by_layer(logs.files), t["quarantine_files"]),
-        mon.latency_issues(
-            mon.latency_bins(logs.queries, as_of, latency_hours,
+    spark = SparkSession.active()
+    checks = (
+        ("failure_rate", "HIGH", lambda: mon.failure_rate(
+            _open(logs.runs), as_of, threshold=t["pipeline_failure_rate"])),
+        ("stuck_runs", "HIGH", lambda: mon.stuck_runs(
+            _open(logs.runs), as_of, threshold=t["stuck_seconds"])),
+        ("freshness", "MEDIUM", lambda: mon.stale_tables(
+            mon.table_freshness(_open(logs.updates), as_of), t["data_freshness_hours"])),
+        ("storage", "MEDIUM", lambda: mon.storage_issues(
+            mon.storage_by_layer(_open(logs.files)), t["quarantine_files"])),
+        ("latency", "LOW", lambda: mon.latency_issues(
+            mon.latency_bins(_open(logs.queries), as_of, latency_hours,
                              threshold=t["query_latency_ms"]),
-            t["query_latency_ms"],
-        ),
-        mon.cost_issues(mon.cost_variance(logs.costs), cost_day, t["cost_variance_percent"]),
-        mon.quality_issues(mon.quality_scores(logs.quality, as_of), t["data_quality_score"]),
-        mon.access_issues(
-            mon.failed_access(logs.audit, as_of, access_hours), t["failed_access"], access_hours
-        ),
+            t["query_latency_ms"])),
+        ("cost", "LOW", lambda: mon.cost_issues(
+            mon.cost_variance(_open(logs.costs)), cost_day, t["cost_variance_percent"])),
+        ("quality", "MEDIUM", lambda: mon.quality_issues(
+            mon.quality_scores(_open(logs.quality), as_of), t["data_quality_score"])),
+        ("access", "MEDIUM", lambda: mon.access_issues(
+            mon.failed_access(_open(logs.audit), as_of, access_hours), t["failed_access"],
+            access_hours)),
     )
+    return mon.union_issues(*[mon.guarded(spark, *check) for check in checks])
 
 
 def run(logs: Logs, as_of: str | None = None, cost_day: str | None = None, **kwargs) -> DataFrame:

@@ -41,7 +41,8 @@ def refine(
 ) -> None:
     """Clean, validate and deduplicate new bronze rows into silver.
 
-    Outside production silver customers have masked addresses only.  Lines that do not fit the schema go to quarantine instead.
+    Outside production silver customers have masked addresses only.  Lines that do
+    not fit the schema go to quarantine instead.
     """
 
     def customers(df: DataFrame) -> DataFrame:
@@ -85,18 +86,21 @@ def build_gold(
         "product_performance": gold.product_performance(sales, products, as_of),
     }
     together(*[
-        partial(tables.write_table, projections.process_audit(df), lake.gold(name))
+        partial(tables.write, projections.process_audit(df), lake.gold(name))
         for name, df in results.items()
     ])
 
 
 def quality_table(spark: SparkSession, lake: LakePaths) -> DataFrame:
-    """Rows, NULL share and status of one table per layer."""
-    return quality.all_table_metrics([
-        (spark.read.parquet(lake.bronze("sales")), "bronze_sales_raw", "bronze", None),
-        (spark.read.parquet(lake.silver("sales")), "silver_sales_cleaned", "silver", None),
-        (tables.read_table(spark, lake.gold("sales_analytics")), "gold_sales_analytics",
-         "gold", None),
+    """Rows, NULL share and status of one table per layer; ERROR for one that cannot be read."""
+
+    def at(path: str):
+        return lambda: spark.read.parquet(path)
+
+    return quality.all_table_metrics(spark, [
+        (at(lake.bronze("sales")), "bronze_sales_raw", "bronze", None),
+        (at(lake.silver("sales")), "silver_sales_cleaned", "silver", None),
+        (at(lake.gold("sales_analytics")), "gold_sales_analytics", "gold", None),
     ])
 
 

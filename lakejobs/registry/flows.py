@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakejobs.operators import tables
+from lakejobs.operators import quality, tables
 from lakejobs.operators.dedup import first_per_key
 from lakejobs.paths import LakePaths
 from lakejobs.plans import audit, bronze_to_silver, medallion, streaming_medallion
@@ -30,36 +30,21 @@ def medallion_summary(spark, d):
     return medallion.run(star.sales_raw(spark, d), lake, "batch-1")
 
 
-@case("flow_streaming_medallion", """
+# One copy of each sale, as it lands, and the copies that silver keeps.  The flow takes the
+# usual category synonyms, none of which occurs among the part types.
+_STREAMED = """
     , one AS (
         SELECT * FROM (
             SELECT *, row_number() OVER (PARTITION BY sale_id, sale_date
                 ORDER BY product_id, store_id, quantity, sale_amount) AS nth FROM sales_raw)
         WHERE nth = 1),
-    landed AS (SELECT * FROM one UNION ALL SELECT * FROM one),
-    kept AS (SELECT * FROM one WHERE sale_amount > 0 AND customer_id IS NOT NULL),
-    gold AS (
-        SELECT s.sale_date, p.category, c.customer_segment FROM kept s
-        LEFT JOIN silver_customers c ON s.customer_id = c.customer_id
-        LEFT JOIN silver_products p ON s.product_id = p.product_id GROUP BY ALL),
-    counted AS (
-        -- 5 data and 3 audit columns in bronze, 13 in gold; the others are never NULL
-        SELECT 'bronze_sales_raw' AS table_name, 'bronze' AS layer, count(*) AS total_rows,
-               (5 * count(*) - count(sale_id) - count(sale_date) - count(customer_id)
-                - count(product_id) - count(sale_amount)) * 100.0 / (8 * count(*)) AS share
-        FROM landed
-        UNION ALL
-        SELECT 'silver_sales_cleaned', 'silver', count(*), 0.0 FROM kept
-        UNION ALL
-        SELECT 'gold_sales_analytics', 'gold', count(*),
-               (2 * count(*) - count(category) - count(customer_segment)) * 100.0 / (13 * count(*))
-        FROM gold)
-    SELECT table_name, layer, total_rows, CAST(share AS DOUBLE) AS null_percentage,
-           CASE WHEN total_rows > 0 AND share <= 5 THEN 'PASSED' ELSE 'FAILED' END AS status
-    FROM counted""", "sales_raw silver_customers silver_products")
-def _(spark, d):
+    kept AS (SELECT * REPLACE (CAST(sale_amount AS DECIMAL(12,2)) AS sale_amount) FROM one
+             WHERE sale_amount > 0 AND customer_id IS NOT NULL)"""
+
+
+def _stream(spark, d, name):
     """Landing files in three formats, streamed to silver, then gold and metrics."""
-    root = fresh_dir(spark, "streaming")
+    root = fresh_dir(spark, name)
     landing = {name: f"{root}/landing/{name}" for name in streaming_medallion.SOURCES}
     camel = {"sale_id": "saleId", "customer_id": "customerId", "product_id": "productId",
              "sale_amount": "saleAmount", "sale_date": "saleDate"}
@@ -80,20 +65,107 @@ def _(spark, d):
         lambda: customers.write.option("header", True).csv(landing["customers"]),
         lambda: products.write.parquet(landing["products"]),
     )
-    metrics = streaming_medallion.run(
-        spark, landing, LakePaths(f"{root}/lake"), "batch-1", as_of=star.SALES_AS_OF
+    lake = LakePaths(f"{root}/lake")
+    return lake, streaming_medallion.run(
+        spark, landing, lake, "batch-1", as_of=star.SALES_AS_OF,
+        high=entities.HIGH_VALUE, medium=entities.MEDIUM_VALUE,
     )
-    return metrics
 
 
-@case("flow_bronze_to_silver", """
+@case("flow_streaming_medallion", _STREAMED + """,
+    landed AS (SELECT * FROM one UNION ALL SELECT * FROM one),
+    gold AS (
+        SELECT s.sale_date, p.category, c.customer_segment FROM kept s
+        LEFT JOIN silver_customers c ON s.customer_id = c.customer_id
+        LEFT JOIN silver_products p ON s.product_id = p.product_id GROUP BY ALL),
+    counted AS (
+        -- 5 data and 3 audit columns in bronze, 13 in gold; the others are never NULL
+        SELECT 'bronze_sales_raw' AS table_name, 'bronze' AS layer, count(*) AS total_rows,
+               (5 * count(*) - count(sale_id) - count(sale_date) - count(customer_id)
+                - count(product_id) - count(sale_amount)) * 100.0 / (8 * count(*)) AS share
+        FROM landed
+        UNION ALL
+        SELECT 'silver_sales_cleaned', 'silver', count(*), 0.0 FROM kept
+        UNION ALL
+        SELECT 'gold_sales_analytics', 'gold', count(*),
+               (2 * count(*) - count(category) - count(customer_segment)) * 100.0 / (13 * count(*))
+        FROM gold)
+    SELECT table_name, layer, total_rows, CAST(share AS DOUBLE) AS null_percentage,
+           CASE WHEN total_rows > 0 AND share <= 5 THEN 'PASSED' ELSE 'FAILED' END AS status
+    FROM counted""", "sales_raw silver_customers silver_products")
+def _(spark, d):
+    _, metrics = _stream(spark, d, "streaming")
+    return metrics.drop("check_timestamp", "error_message")
+
+
+def _streamed_gold(name, sql, uses, columns):
+    """A query for one gold table over streamed silver."""
+
+    @case(f"flow_streaming_{name}", _STREAMED + sql, uses)
+    def _(spark, d):
+        lake, _ = _stream(spark, d, f"streaming_{name}")
+        return spark.read.parquet(lake.gold(name)).select(*columns)
+
+
+_streamed_gold("sales_analytics", """
+    SELECT s.sale_date::VARCHAR AS sale_date, p.category AS category_standardized, c.customer_segment,
+           count(sale_id) AS transaction_count, CAST(sum(sale_amount) AS DOUBLE) AS total_sales,
+           count(DISTINCT s.customer_id) AS unique_customers,
+           count(DISTINCT s.product_id) AS unique_products
+    FROM kept s
+    LEFT JOIN silver_customers c ON s.customer_id = c.customer_id
+    LEFT JOIN silver_products p ON s.product_id = p.product_id GROUP BY ALL""",
+    "sales_raw silver_customers silver_products",
+    ["sale_date", "category_standardized", "customer_segment", "transaction_count",
+     "total_sales", "unique_customers", "unique_products"])
+
+_streamed_gold("customer_360", """
+    SELECT c.customer_id, first_name, last_name, CASE WHEN strpos(email, '@') BETWEEN 1 AND 4 THEN '***@***.com'
+                ELSE left(email, 3) || '***@***.com' END AS email_masked, phone, total_transactions, CAST(lifetime_value AS DOUBLE) AS lifetime_value,
+           first_purchase_date::VARCHAR AS first_purchase_date, unique_products_purchased,
+           CASE WHEN lifetime_value >= 2500000 THEN 'High Value'
+                WHEN lifetime_value >= 1500000 THEN 'Medium Value'
+                WHEN lifetime_value IS NOT NULL THEN 'Low Value'
+                ELSE 'No Purchases' END AS customer_value_segment
+    FROM silver_customers c
+    LEFT JOIN (
+        SELECT customer_id, count(sale_id) AS total_transactions,
+               sum(sale_amount) AS lifetime_value, min(sale_date) AS first_purchase_date,
+               count(DISTINCT product_id) AS unique_products_purchased
+        FROM kept GROUP BY 1) m ON c.customer_id = m.customer_id""",
+    "sales_raw silver_customers",
+    ["customer_id", "first_name", "last_name", "email_masked", "phone", "total_transactions",
+     "lifetime_value", "first_purchase_date", "unique_products_purchased",
+     "customer_value_segment"])
+
+_streamed_gold("product_performance", """
+    SELECT p.product_id, product_name, category AS category_standardized, total_sales_count,
+           CAST(total_revenue AS DOUBLE) AS total_revenue, unique_customers,
+           last_sale_date::VARCHAR AS last_sale_date,
+           CASE WHEN last_sale_date >= DATE '2001-08-02' - 30 THEN 'Active'
+                WHEN last_sale_date >= DATE '2001-08-02' - 90 THEN 'Slow Moving'
+                WHEN last_sale_date IS NOT NULL THEN 'Inactive'
+                ELSE 'Never Sold' END AS product_status
+    FROM silver_products p
+    LEFT JOIN (
+        SELECT product_id, count(sale_id) AS total_sales_count, sum(sale_amount) AS total_revenue,
+               count(DISTINCT customer_id) AS unique_customers, max(sale_date) AS last_sale_date
+        FROM kept GROUP BY 1) m ON p.product_id = m.product_id""",
+    "sales_raw silver_products",
+    ["product_id", "product_name", "category_standardized", "total_sales_count", "total_revenue",
+     "unique_customers", "last_sale_date", "product_status"])
+
+
+_LOADED = """
     SELECT event_id, user_id, trim(event_type) AS event_type, value,
            CASE WHEN ts <= TIMESTAMP '2024-01-20 00:00:00' THEN 'batch-1' ELSE 'batch-2' END
-             AS batch_id
-    FROM events WHERE event_id % 11 <> 0""")
-def _(spark, d):
+             AS batch_id, ts
+    FROM events WHERE event_id % 11 {} 0"""
+
+
+def _load_events(spark, d, name):
     """Two incremental loads: events up to a day, then the whole table again."""
-    lake = LakePaths(fresh_dir(spark, "bronze_to_silver"))
+    lake = LakePaths(fresh_dir(spark, name))
     bronze = star.table(spark, d, "events").selectExpr(
         "event_id as `Event-ID`", "case when event_id % 11 = 0 then null else user_id end"
         " as `User ID`", "concat(' ', event_type) as `Event Type`", "value",
@@ -102,18 +174,107 @@ def _(spark, d):
     first = bronze.filter("ingestion_timestamp <= timestamp_ntz'2024-01-20 00:00:00'")
     bronze_to_silver.run(first, lake, "events", "batch-1")
     bronze_to_silver.run(bronze, lake, "events", "batch-2")
-    return tables.read_table(spark, lake.silver("events")).select(
+    return lake
+
+
+@case("flow_bronze_to_silver", "SELECT * EXCLUDE (ts) FROM (" + _LOADED.format("<>") + ")")
+def _(spark, d):
+    lake = _load_events(spark, d, "bronze_to_silver")
+    return bronze_to_silver.read_silver(spark, lake, "events").select(
         "event_id", "user_id", "event_type", "value", "batch_id"
     )
 
 
+@case("flow_load_quarantine", "SELECT event_id, event_type, batch_id, 'user_id_set' AS failed_rules,"
+      " 'Validation failed' AS quarantine_reason FROM (" + _LOADED.format("=") + ")")
+def _(spark, d):
+    """The rejected rows of both loads."""
+    lake = _load_events(spark, d, "load_quarantine")
+    rejected = bronze_to_silver.read_batches(spark, lake.quarantine("events"))
+    return rejected.select(
+        "event_id", "event_type", "batch_id", "quarantine_reason",
+        F.array_join("failed_rules", ",").alias("failed_rules"),
+    )
+
+
+@case("flow_load_events", """
+    , rows AS (SELECT CASE WHEN ts <= TIMESTAMP '2024-01-20 00:00:00' THEN 'batch-1'
+                           ELSE 'batch-2' END AS batch_id,
+                      count(*) FILTER (event_id % 11 <> 0) AS good,
+                      count(*) FILTER (event_id % 11 = 0) AS bad FROM events GROUP BY 1)
+    SELECT batch_id, 'INFO' AS event_type, 'Load begins' AS message, NULL AS processed,
+           NULL AS quarantined FROM rows
+    UNION ALL SELECT batch_id, 'WARNING', 'Rows were quarantined', NULL, CAST(bad AS VARCHAR)
+    FROM rows WHERE bad > 0
+    UNION ALL SELECT batch_id, 'SUCCESS', 'Load complete', CAST(good AS VARCHAR),
+                     CAST(bad AS VARCHAR) FROM rows""".replace(", rows", "WITH rows", 1))
+def _(spark, d):
+    """The event log of both loads."""
+    lake = _load_events(spark, d, "load_events")
+    log = spark.read.parquet(lake.monitoring("processing_events"))
+    return log.select(
+        "batch_id", "event_type", "message",
+        F.col("details")["records_processed"].alias("processed"),
+        F.coalesce(F.col("details")["records"], F.col("details")["records_quarantined"])
+        .alias("quarantined"),
+    )
+
+
+@case("flow_load_summary", """
+    SELECT 'events' AS table_name, batch_id, record_count, batch_count FROM (
+        SELECT 'batch-1' AS batch_id, count(*) AS record_count, CAST(1 AS BIGINT) AS batch_count
+        FROM events WHERE event_id % 11 <> 0 AND ts <= TIMESTAMP '2024-01-20 00:00:00'
+        UNION ALL
+        SELECT 'batch-2', count(*), CAST(2 AS BIGINT) FROM events WHERE event_id % 11 <> 0)""")
+def _(spark, d):
+    """The summary each load adds; both loads are of one day."""
+    lake = _load_events(spark, d, "load_summary")
+    return spark.read.parquet(lake.monitoring("processing_summary")).select(
+        "table_name", "batch_id", "record_count", "batch_count")
+
+
+@case("flow_load_lineage", """
+    SELECT batch_id AS lineage_id, 'bronze.events' AS source_table,
+           'silver.events' AS target_table, 'bronze_to_silver' AS transformation_type,
+           'Event-ID' AS event_id_from,
+           CAST(100 AS DOUBLE) * count(*) FILTER (event_id % 11 <> 0) / count(*) AS quality_score
+    FROM (SELECT event_id, CASE WHEN ts <= TIMESTAMP '2024-01-20 00:00:00' THEN 'events-batch-1'
+                                ELSE 'events-batch-2' END AS batch_id FROM events) GROUP BY 1""")
+def _(spark, d):
+    """The lineage each load records."""
+    lake = _load_events(spark, d, "load_lineage")
+    return spark.read.parquet(lake.monitoring("data_lineage")).select(
+        "lineage_id", "source_table", "target_table", "transformation_type",
+        F.col("column_mapping")["event_id"].alias("event_id_from"), "quality_score")
+
+
+@case("flow_load_gate", """
+    SELECT 'ERROR' AS event_type, count(*) FILTER (event_id % 7 = 0) * 100.0 / count(*) > 1
+             AS stopped, CAST(0 AS BIGINT) AS published FROM events""")
+def _(spark, d):
+    """A critical load whose rows lack too many values publishes nothing."""
+    lake = LakePaths(fresh_dir(spark, "load_gate"))
+    bronze = star.table(spark, d, "events").selectExpr(
+        "event_id", "case when event_id % 7 <> 0 then event_type end as event_type",
+        "ts as ingestion_timestamp")
+    try:
+        bronze_to_silver.run(bronze, lake, "events", "batch-1", quality.Checks("critical"))
+    except quality.QualityGateError:
+        pass
+    log = spark.read.parquet(lake.monitoring("processing_events"))
+    there = sum(tables.exists(spark, p) for p in (lake.silver("events"), lake.quarantine("events")))
+    return log.filter("event_type = 'ERROR'").select(
+        "event_type", F.contains("message", F.lit("completeness of event_type")).alias("stopped"),
+        F.lit(there).cast("long").alias("published"))
+
+
 @case("flow_audit_diff", """
     SELECT o_orderkey AS order_id, o_orderpriority AS priority, o_orderstatus AS was, 'VIP' AS now
     FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""")
 def _(spark, d):
+    """A correction written as a new state of the table, and what it changed."""
     path = fresh_dir(spark, "audit")
-    tables.write_table(star.orders_ledger(spark, d), path)
-    return audit.run(
-        spark, path, (F.col("status") == "F") & (F.col("priority") == "1-URGENT"),
-        {"status": F.lit("VIP")}, ["order_id"], "status", ["priority"],
-    )
+    before = star.orders_ledger(spark, d)
+    urgent = (F.col("status") == "F") & (F.col("priority") == "1-URGENT")
+    tables.write(tables.update(before, urgent, {"status": F.lit("VIP")}), path)
+    return audit.run(before, tables.read(spark, path), ["order_id"], "status", ["priority"])

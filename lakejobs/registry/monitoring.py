@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,8 +106,8 @@ _COST = f"""
     FROM ({_VARIANCE}) WHERE day = '2024-01-30' AND variance_percent > 20"""
 _QUALITY = """
     SELECT 'data_quality_failure' AS type, 'HIGH' AS severity,
-        'Data quality score ' || CAST(CAST(a AS DECIMAL(18,1)) AS VARCHAR)
-          || '% below threshold' AS message,
+        'Checks of ' || event_type || ' score only ' || CAST(CAST(a AS DECIMAL(18,1)) AS VARCHAR)
+          || '% on average' AS message,
         'check_count=' || n || ';quality_score=' || CAST(CAST(a AS DECIMAL(18,1)) AS VARCHAR)
           || ';table_name=' || event_type || ';threshold=85.0' AS details
     FROM (SELECT event_type, count(*) AS n,
@@ -114,7 +116,7 @@ _QUALITY = """
             AND ts <= TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1) WHERE a < 85"""
 _ACCESS = """
     SELECT 'security_violation' AS type, 'HIGH' AS severity,
-        'High number of failed access attempts: ' || n AS message,
+        n || ' attempts to get access were refused' AS message,
         'failed_attempts=' || n || ';time_window=1 hour' AS details
     FROM (SELECT count(*) FILTER (event_type = 'error') AS n FROM events
           WHERE ts > TIMESTAMP '2024-01-30 23:00:00' AND ts <= TIMESTAMP '2024-01-31 00:00:00')
@@ -236,18 +238,24 @@ _HEALTH = f"""
                 ELSE 'CRITICAL' END AS overall_health FROM ({_ALL})"""
 
 
-@case("mon_overall_health", """
-    SELECT count(*) AS issue_count,
-           CASE WHEN count(*) = 0 THEN 'HEALTHY' WHEN count(*) <= 3 THEN 'DEGRADED'
-                ELSE 'CRITICAL' END AS overall_health
-    FROM (SELECT * FROM (""" + _FAILURE + """) UNION ALL SELECT * FROM (""" + _ACCESS + """))""",
-      "runs")
+@case("mon_overall_health", _HEALTH, "runs files")
 def _(spark, d):
-    runs, audit = star.pipeline_runs(spark, d), star.access_audit(spark, d)
-    return mon.overall_health(mon.union_issues(
-        mon.failure_rate(runs, NOW),
-        mon.access_issues(mon.failed_access(audit, NOW), LIMITS["failed_access"]),
-    ))
+    found = platform_health.issues(logs(spark, d), NOW, COST_DAY, LIMITS)
+    return mon.overall_health(found)
+
+
+@case("mon_check_errors", f"""
+    SELECT type, severity, message FROM ({_ALL}) WHERE type NOT IN ('storage_issues', 'cost_anomaly')
+    UNION ALL SELECT 'monitoring_error', 'MEDIUM', 'Check storage could not be made'
+    UNION ALL SELECT 'monitoring_error', 'LOW', 'Check cost could not be made'""", "runs files")
+def _(spark, d):
+    """All checks, with one log that is missing and one that lacks a column."""
+    whole = logs(spark, d)
+    broken = replace(
+        whole, files=lambda: spark.read.parquet(f"{d}/no_such_log.parquet"),
+        costs=whole.costs.drop("cost"),
+    )
+    return platform_health.issues(broken, NOW, COST_DAY, LIMITS).drop("details")
 
 
 @case("flow_platform_health", _HEALTH, "runs files")

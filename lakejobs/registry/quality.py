@@ -149,9 +149,14 @@ def _(spark, d):
 
 
 @case("dq_schema_diff", """
-    WITH seen AS (
-        SELECT DISTINCT event_type, json_keys(props) AS names FROM events),
-    new AS (SELECT DISTINCT event_type, unnest(names) AS column_name FROM seen),
+    WITH fields AS (SELECT event_type, unnest(json_keys(props)) AS column_name, props FROM events),
+    typed AS (SELECT event_type, column_name,
+                     json_type(json_extract(props, '$.' || column_name)) AS kind FROM fields),
+    new AS (SELECT event_type, column_name,
+                   CASE WHEN bool_and(kind IN ('UBIGINT', 'BIGINT')) THEN 'bigint'
+                        WHEN bool_and(kind = 'VARCHAR') THEN 'string'
+                        WHEN bool_and(kind = 'BOOLEAN') THEN 'boolean'
+                        ELSE 'other' END AS data_type FROM typed GROUP BY 1, 2),
     old AS (SELECT DISTINCT event_type,
                    unnest(CASE WHEN event_type = 'click' THEN ['k', 'page']
                                WHEN event_type = 'view' THEN ['page'] ELSE ['k'] END) AS column_name
@@ -162,7 +167,7 @@ def _(spark, d):
            coalesce(new.event_type || '.' || new.column_name,
                     old.event_type || '.' || old.column_name) AS column_name,
            CASE WHEN old.column_name IS NOT NULL THEN 'string' END AS old_type,
-           CASE WHEN new.column_name IS NOT NULL THEN 'bigint' END AS new_type
+           new.data_type AS new_type
     FROM new FULL JOIN old ON new.event_type = old.event_type
                           AND new.column_name = old.column_name""")
 def _(spark, d):
@@ -182,6 +187,7 @@ def _(spark, d):
 
 
 @case("dq_table_metrics", """
+    , measured AS (
     SELECT 'sales_raw' AS table_name, 'bronze' AS layer, count(*) AS total_rows,
            CAST((5 * count(*) - count(sale_id) - count(sale_date) - count(customer_id)
                  - count(product_id) - count(sale_amount)) * 100 AS DOUBLE)
@@ -196,13 +202,20 @@ def _(spark, d):
     FROM (SELECT DISTINCT sale_id, sale_date FROM valid_sales WHERE sale_date IS NOT NULL)
     UNION ALL
     SELECT 'by_region', 'gold', count(DISTINCT region), CAST(0 AS DOUBLE), 'PASSED'
-    FROM valid_sales""", "sales_raw valid_sales")
+    FROM valid_sales)
+    SELECT *, true AS timed, CAST(NULL AS BOOLEAN) AS not_found FROM measured
+    UNION ALL SELECT 'missing', 'gold', 0, 100.0, 'ERROR', true, true""", "sales_raw valid_sales")
 def _(spark, d):
     from lakejobs.registry.gold import by_region
 
     silver = entities.silver_sales(spark, d)
-    return quality.all_table_metrics([
+    return quality.all_table_metrics(spark, [
         (star.sales_raw(spark, d, *_SALES), "sales_raw", "bronze", ["sale_id"]),
         (silver, "silver_sales", "silver", ["sale_id", "sale_date"]),
         (by_region(spark, d), "by_region", "gold", ["region"]),
-    ])
+        (lambda: spark.read.parquet(f"{d}/no_such_table.parquet"), "missing", "gold", None),
+    ]).select(
+        "table_name", "layer", "total_rows", "null_percentage", "status",
+        F.col("check_timestamp").isNotNull().alias("timed"),
+        F.col("error_message").contains("PATH_NOT_FOUND").alias("not_found"),
+    )

@@ -1,12 +1,13 @@
-"""Queries: versioned tables and file listings."""
+"""Queries: table writes, changes and retention."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakejobs.operators import retention, tables
+from lakejobs.operators import governance, retention, tables
 from lakejobs.registry.case import case
 from lakejobs.session import fresh_dir
+from lakejobs.sources import files
 from lakejobs.sources import star_tables as star
 
 _LEDGER = """SELECT o_orderkey AS order_id, o_custkey AS customer_key, o_orderstatus AS status,
@@ -22,22 +23,24 @@ def _urgent():
 
 
 def _table(spark, d, name):
-    """A table whose first version holds the even and whose second all orders."""
+    """A table of two loads: the even orders, then the odd ones."""
     path = fresh_dir(spark, name)
     ledger = star.orders_ledger(spark, d)
-    tables.write_table(ledger.filter("order_id % 2 = 0"), path)
-    tables.write_table(ledger.filter("order_id % 2 <> 0"), path, "append")
-    return path
+    for load in (0, 1):
+        rows = ledger.filter(F.col("order_id") % 2 == load).withColumn("load", F.lit(load))
+        tables.write(rows, path, "replace", ["load"])
+    return tables.read(spark, path)
 
 
 @case("tbl_read_current", _LEDGER)
 def _(spark, d):
-    return tables.read_table(spark, _table(spark, d, "tbl_read_current"))
+    return _table(spark, d, "tbl_read_current").drop("load")
 
 
 @case("tbl_read_version", _LEDGER + " WHERE o_orderkey % 2 = 0")
 def _(spark, d):
-    return tables.read_table(spark, _table(spark, d, "tbl_read_version"), version=0)
+    """The table as the first load left it."""
+    return tables.up_to(_table(spark, d, "tbl_read_version"), "load", 0).drop("load")
 
 
 @case("snk_overwrite", _LEDGER)
@@ -45,8 +48,8 @@ def _(spark, d):
     path = fresh_dir(spark, "snk_overwrite")
     ledger = star.orders_ledger(spark, d)
     for _ in range(2):
-        tables.write_table(ledger, path)
-    return tables.read_table(spark, path)
+        tables.write(ledger, path)
+    return tables.read(spark, path)
 
 
 @case("snk_append_merge_schema", """
@@ -56,18 +59,37 @@ def _(spark, d):
 def _(spark, d):
     path = fresh_dir(spark, "snk_append")
     ledger = star.orders_ledger(spark, d)
-    tables.write_table(ledger.filter("order_id % 2 = 0").select("order_id", "status"), path)
-    tables.write_table(
-        ledger.filter("order_id % 2 <> 0").select("order_id", "priority"), path, "append"
-    )
-    return tables.read_table(spark, path)
+    tables.append(ledger.filter("order_id % 2 = 0").select("order_id", "status"), path)
+    tables.append(ledger.filter("order_id % 2 <> 0").select("order_id", "priority"), path)
+    return tables.read(spark, path)
+
+
+@case("snk_partitioned_by_day", """
+    SELECT event_id AS rows_id, strftime(ts, '%Y-%m-%d') AS access_date FROM events
+    WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'""")
+def _(spark, d):
+    """Access records written by day; two days are read back."""
+    path = fresh_dir(spark, "snk_by_day")
+    audit = star.table(spark, d, "events").selectExpr(
+        "event_id as rows_id", "ts as access_timestamp")
+    tables.write(governance.access_by_day(audit), path, partition_by=["access_date"])
+    days = tables.read(spark, path).filter(
+        "access_date >= date'2024-01-20' AND access_date < date'2024-01-22'")
+    return days.select("rows_id", "access_date")
+
+
+@case("src_csv_scan", _LEDGER)
+def _(spark, d):
+    """Orders written as CSV files with a header and read by a schema."""
+    path = fresh_dir(spark, "src_csv")
+    ledger = star.orders_ledger(spark, d)
+    ledger.write.option("header", True).csv(path)
+    return files.read_csv(spark, path, ledger.schema)
 
 
 @case("tbl_update", _UPDATED)
 def _(spark, d):
-    path = _table(spark, d, "tbl_update")
-    tables.update(spark, path, _urgent(), {"status": F.lit("VIP")})
-    return tables.read_table(spark, path)
+    return tables.update(star.orders_ledger(spark, d), _urgent(), {"status": F.lit("VIP")})
 
 
 @case("tbl_upsert", """
@@ -78,36 +100,34 @@ def _(spark, d):
     SELECT -1 - o_orderkey, NULL, 'X', NULL, NULL FROM orders WHERE o_orderkey % 6 = 0""")
 def _(spark, d):
     """Every sixth order gets a new status, and as many unknown orders come in."""
-    path = _table(spark, d, "tbl_upsert")
-    known = star.orders_ledger(spark, d).filter("order_id % 6 = 0").select(
-        "order_id", F.lit("X").alias("status")
-    )
+    ledger = star.orders_ledger(spark, d)
+    known = ledger.filter("order_id % 6 = 0").select("order_id", F.lit("X").alias("status"))
     updates = known.unionByName(known.withColumn("order_id", -1 - F.col("order_id")))
-    tables.upsert(updates, path, ["order_id"])
-    return tables.read_table(spark, path)
+    return tables.upsert(ledger, updates, ["order_id"])
 
 
 @case("tbl_history", """
-    SELECT CAST(v.number AS BIGINT) AS version, v.operation, CAST(v.n AS VARCHAR) AS num_rows
-    FROM (SELECT count(*) AS total, count(*) FILTER (o_orderkey % 2 = 0) AS even FROM orders),
-         LATERAL (VALUES (0, 'WRITE OVERWRITE', even), (1, 'WRITE APPEND', total),
-                         (2, 'UPDATE', total)) AS v(number, operation, n)""")
+    SELECT o_orderkey % 2 AS load, count(*) AS num_rows_written,
+           CAST(sum(count(*)) OVER (ORDER BY o_orderkey % 2) AS BIGINT) AS num_rows
+    FROM orders GROUP BY 1""")
 def _(spark, d):
-    path = _table(spark, d, "tbl_history")
-    tables.update(spark, path, _urgent(), {"status": F.lit("VIP")})
-    return tables.history(spark, path).select(
-        "version", "operation", F.col("metrics")["num_rows"].alias("num_rows")
-    )
+    sizes = tables.load_sizes(_table(spark, d, "tbl_history"), "load")
+    return sizes.withColumn("load", F.col("load").cast("long"))
 
 
-@case("tbl_detail", """
-    SELECT 'parquet' AS format, CAST(1 AS BIGINT) AS version, count(*) AS num_rows,
-           '' AS partition_columns, 1 AS has_files FROM orders""")
+@case("tbl_detail", "SELECT count(*) AS num_rows, true AS has_files FROM orders")
 def _(spark, d):
-    return tables.detail(spark, _table(spark, d, "tbl_detail")).select(
-        "format", "version", "num_rows", "partition_columns",
-        ((F.col("num_files") >= 2) & (F.col("size_bytes") > 0)).cast("int").alias("has_files"),
-    )
+    """Rows of a table by its files; how many files there are is the writer's affair."""
+    return tables.file_sizes(_table(spark, d, "tbl_detail")).select(
+        "num_rows", ((F.col("num_files") >= 2) & (F.col("size_bytes") > 0)).alias("has_files"))
+
+
+@case("tbl_compact", _LEDGER)
+def _(spark, d):
+    """Many small files put together in a folder of their own; the rows stay."""
+    path = fresh_dir(spark, "tbl_compact")
+    tables.write(_table(spark, d, "tbl_small").drop("load"), path, even_files=True)
+    return tables.read(spark, path)
 
 
 @case("tbl_diff", """
@@ -116,17 +136,12 @@ def _(spark, d):
     FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
     UNION ALL
     SELECT 'update_post', o_orderkey, o_custkey, 'VIP', o_totalprice, o_orderpriority
-    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
-    UNION ALL
-    SELECT 'insert', o_orderkey, o_custkey,
-           CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'VIP'
-                ELSE o_orderstatus END, o_totalprice, o_orderpriority
-    FROM orders WHERE o_orderkey % 2 <> 0 AND FALSE""")
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""")
 def _(spark, d):
-    """Changes an update made, between versions 1 and 2."""
-    path = _table(spark, d, "tbl_diff")
-    tables.update(spark, path, _urgent(), {"status": F.lit("VIP")})
-    return tables.diff_versions(spark, path, ["order_id"], 1, 2)
+    """Changes an update made."""
+    ledger = star.orders_ledger(spark, d)
+    after = tables.update(ledger, _urgent(), {"status": F.lit("VIP")})
+    return tables.diff(ledger, after, ["order_id"])
 
 
 @case("tbl_change_feed", """
@@ -149,13 +164,6 @@ def _(spark, d):
     return tables.diff(old, new, ["order_id"])
 
 
-@case("tbl_compact", _LEDGER)
-def _(spark, d):
-    path = _table(spark, d, "tbl_compact")
-    tables.compact(spark, path)
-    return tables.read_table(spark, path)
-
-
 @case("retention_prune", """
     SELECT event_id, event_type FROM events
     WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY""")

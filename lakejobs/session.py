@@ -50,23 +50,6 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{app_dir}/{name}-{uuid.uuid4().hex}"
 
 
-def delete_dir(spark: SparkSession, path: str) -> bool:
-    """Delete one folder on whatever file system it lives on."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.delete(target, True))
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
-
-
-def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, float]]:
-    """Names of the folders directly below a path, with their modification time."""
-    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = parent.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [
-        (entry.getPath().getName(), entry.getModificationTime() / 1000.0)
-        for entry in fs.listStatus(parent) if entry.isDirectory()
-    ]

@@ -127,7 +127,10 @@ def test_freshness_of_dates(spark):
 
 def test_table_metrics(spark):
     df = spark.createDataFrame([(1, None), (1, "x")], "a int, b string")
-    assert tuple(quality.table_metrics(df, "t", "silver").first()) == ("t", "silver", 2, 25.0, "FAILED")
+    row = quality.table_metrics(df, "t", "silver").first()
+    assert (row.table_name, row.layer, row.total_rows, row.null_percentage, row.status, row.error_message) == (
+        "t", "silver", 2, 25.0, "FAILED", None)
+    assert row.check_timestamp is not None
     clean = df.filter("b IS NOT NULL")
     assert quality.table_metrics(clean, "t", "silver", ["a"]).first().status == "PASSED"
     twice = df.select("a")
@@ -147,10 +150,14 @@ def test_schema_diff(spark):
 
 def test_json_fields_take_the_widest_type(spark):
     df = spark.createDataFrame(
-        [("x", '{"a": 1, "b": null}'), ("x", '{"a": 1.5}'), ("y", '{"a": "t"}'), ("y", None)],
+        [("x", '{"a": 1, "b": null}'), ("x", '{"a": 1e3}'), ("y", '{"a": "t"}'), ("y", None),
+         ("y", '{"f": true, "i": 123456789012345678901234, "o": {"K": 1}, "m": 1, "l": [1]}'),
+         ("y", '{"m": "text"}'), ("y", "no object"), ("y", "[1]"), ("z", '{"n": 1}'), ("z", '{"n": 2.5}')],
         "kind string, props string")
     assert rows(quality.json_fields(df, "props", "kind")) == [
-        ("x", "a", "double"), ("x", "b", "void"), ("y", "a", "string")]
+        ("x", "a", "double"), ("x", "b", "void"), ("y", "a", "string"), ("y", "f", "boolean"),
+        ("y", "i", "decimal(24,0)"), ("y", "l", "ARRAY<BIGINT>"), ("y", "m", "variant"),
+        ("y", "o", "OBJECT<K: BIGINT>"), ("z", "n", "decimal(21,1)")]
 
 
 def test_incremental_takes_only_newer_rows(spark):

@@ -158,11 +158,11 @@ def test_streaming_medallion(spark, tmp_path):
     silver = spark.read.parquet(lake.silver("customers"))
     assert "email" not in silver.columns and "email_masked" in silver.columns
     assert "_corrupt_record" not in spark.read.parquet(lake.silver("sales")).columns
-    customers = tables.read_table(spark, lake.gold("customer_360"))
+    customers = tables.read(spark, lake.gold("customer_360"))
     assert "email" not in customers.columns
     row = customers.first()
     assert (row.customer_id, row.email_masked, row.lifetime_value) == ("C1", "***@***.com", 10)
-    products = tables.read_table(spark, lake.gold("product_performance"))
+    products = tables.read(spark, lake.gold("product_performance"))
     assert {r.product_id: r.category_standardized for r in products.collect()} == {
         "P1": "Electronics", "P2": "Apparel"}
     # nothing new: a second run changes nothing

@@ -1,6 +1,3 @@
-import os
-from datetime import datetime, timedelta, timezone
-
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -19,149 +16,91 @@ def frame(spark, data, schema="id int, v string"):
     return spark.createDataFrame(data, schema)
 
 
-def test_versions(spark, path):
-    assert tables.write_table(frame(spark, [(1, "a"), (2, "b")]), path) == 0
-    assert tables.write_table(frame(spark, [(3, "c")]), path, "append") == 1
-    assert tables.write_table(frame(spark, [(9, "z")]), path) == 2
-    assert rows(tables.read_table(spark, path)) == [(9, "z")]
-    assert rows(tables.read_table(spark, path, 1)) == [(1, "a"), (2, "b"), (3, "c")]
-    assert rows(tables.read_table(spark, path, 0)) == [(1, "a"), (2, "b")]
-    log = tables.history(spark, path).collect()
-    assert [(r.version, r.operation, r.metrics["num_rows"]) for r in log] == [
-        (2, "WRITE OVERWRITE", "1"), (1, "WRITE APPEND", "3"), (0, "WRITE OVERWRITE", "2")]
-    with pytest.raises(ValueError, match="no version 7"):
-        tables.read_table(spark, path, 7)
-
-
 def test_overwrite_is_idempotent(spark, path):
+    assert not tables.exists(spark, path)
     for _ in range(2):
-        tables.write_table(frame(spark, [(1, "a")]), path)
-    assert rows(tables.read_table(spark, path)) == [(1, "a")]
-
-
-def test_append_writes_only_the_new_rows(spark, path):
-    tables.write_table(frame(spark, [(i, "a") for i in range(100)]), path)
-    tables.write_table(frame(spark, [(200, "b")]), path, "append")
-    first, second = tables.version_of(spark, path, 0), tables.version_of(spark, path, 1)
-    assert set(first.folders) < set(second.folders) and second.written == 1
+        assert tables.write(frame(spark, [(1, "a")]), path) == 1
+    assert rows(tables.read(spark, path)) == [(1, "a")]
+    with pytest.raises(ValueError, match="unknown mode"):
+        tables.write(frame(spark, []), path, "upsert")
 
 
 def test_append_merges_columns(spark, path):
-    tables.write_table(frame(spark, [(1, "a")]), path)
-    new = frame(spark, [(2, 7)], "id bigint, n int")
-    tables.write_table(new, path, "append")
-    got = tables.read_table(spark, path)
-    assert got.columns == ["id", "v", "n"] and rows(got) == [(1, "a", None), (2, None, 7)]
+    assert tables.append(frame(spark, [(1, "a")]), path) == 1
+    tables.append(frame(spark, [(2, 7)], "id bigint, n int"), path)
+    got = tables.read(spark, path)
     assert got.schema["id"].dataType.simpleString() == "int"
+    assert rows(got.select("id", "v", "n")) == [(1, "a", None), (2, None, 7)]
     with pytest.raises(ValueError, match="columns differ"):
-        tables.write_table(frame(spark, [(1,)], "x int"), path, "append", merge_schema=False)
-
-
-def test_empty_append_is_skipped(spark, path):
-    assert tables.write_table(frame(spark, []), path, "append", skip_empty=True) is None
-    assert not tables.table_exists(spark, path)
-    tables.write_table(frame(spark, [(1, "a")]), path)
-    assert tables.write_table(frame(spark, []), path, "append", skip_empty=True) is None
-    assert tables.version_of(spark, path).number == 0
-
-
-def test_empty_table_reads_back(spark, path):
-    tables.write_table(frame(spark, []), path)
-    got = tables.read_table(spark, path)
-    assert got.count() == 0 and got.columns == ["id", "v"]
-
+        tables.append(frame(spark, [(1,)], "x int"), path, merge_schema=False)
 
-def test_update_touches_only_matching_folders(spark, path):
-    tables.write_table(frame(spark, [(1, "a"), (2, None)]), path)
-    tables.write_table(frame(spark, [(3, "x"), (4, "y")]), path, "append")
-    tables.update(spark, path, F.col("v") == "x", {"v": F.lit("VIP")})
-    assert rows(tables.read_table(spark, path)) == [(1, "a"), (2, None), (3, "VIP"), (4, "y")]
-    before, after = tables.version_of(spark, path, 1), tables.version_of(spark, path, 2)
-    assert before.folders[0] in after.folders and before.folders[1] not in after.folders
-    tables.update(spark, path, F.col("v") == "nothing", {"v": F.lit("q")})
-    assert tables.version_of(spark, path).folders == after.folders
 
+def test_empty_tables(spark, path):
+    assert tables.write(frame(spark, []), path) == 0
+    assert tables.exists(spark, path) and rows(tables.read(spark, path)) == []
+    assert tables.file_sizes(tables.read(spark, path)).first().num_rows == 0
+    assert rows(tables.upsert(frame(spark, []), frame(spark, [(1, "a")]), ["id"])) == [(1, "a")]
+    assert rows(tables.diff(frame(spark, []), frame(spark, []), ["id"])) == []
 
-def test_upsert(spark, path):
-    tables.write_table(frame(spark, [(1, "a"), (2, "b"), (None, "n")]), path)
-    tables.write_table(frame(spark, [(3, "c")]), path, "append")
-    updates = frame(spark, [(2, None), (5, "e"), (None, "m")])
-    tables.upsert(updates, path, ["id"])
-    want = [(None, "m"), (None, "n"), (1, "a"), (2, None), (3, "c"), (5, "e")]
-    assert rows(tables.read_table(spark, path)) == want
-    assert tables.version_of(spark, path).rows == 6
-    assert tables.version_of(spark, path, 1).folders[1] in tables.version_of(spark, path).folders
-    assert tables.upsert(updates.limit(0), path, ["id"]) is None
 
-
-def test_upsert_twice_is_once(spark, path):
-    tables.write_table(frame(spark, [(1, "a"), (2, "b")]), path)
-    updates = frame(spark, [(2, "B"), (3, "C")])
-    tables.upsert(updates, path, ["id"])
-    once = rows(tables.read_table(spark, path))
-    tables.upsert(updates, path, ["id"])
-    assert rows(tables.read_table(spark, path)) == once == [(1, "a"), (2, "B"), (3, "C")]
-
-
-def test_upsert_keeps_columns_it_does_not_have(spark, path):
-    tables.write_table(frame(spark, [(1, "a", 10)], "id int, v string, n int"), path)
-    tables.upsert(frame(spark, [(1, 11, True), (2, 12, False)], "id int, n int, flag boolean"), path, ["id"])
-    assert rows(tables.read_table(spark, path)) == [(1, "a", 11, True), (2, None, 12, False)]
-
-
-def test_upsert_refuses_two_updates_for_one_key(spark, path):
-    tables.write_table(frame(spark, [(1, "a")]), path)
+def test_a_load_run_again_replaces_its_rows(spark, path):
+    loads = "id int, v string, load string"
+    tables.write(frame(spark, [(1, "a", "007"), (2, "b", "007")], loads), path, "replace", ["load"])
+    for _ in range(2):
+        tables.write(frame(spark, [(3, "c", "008")], loads), path, "replace", ["load"])
+    got = tables.read(spark, path, "load")
+    assert rows(got) == [(1, "a", "007"), (2, "b", "007"), (3, "c", "008")]
+    first = tables.up_to(got, "load", "007")
+    assert rows(first.select("id")) == [(1,), (2,)] and "PartitionFilters: [isnotnull(load" in plan(first)
+    assert rows(tables.load_sizes(got, "load")) == [("007", 2, 2), ("008", 1, 3)]
+    sizes = tables.file_sizes(got).first()
+    assert sizes.num_rows == 3 and sizes.num_files >= 2 and sizes.size_bytes > 0
+
+
+def test_update(spark):
+    df = frame(spark, [(1, "x"), (2, None), (3, "y"), (3, "x")])
+    got = tables.update(df, F.col("v") == "x", {"v": F.lit("VIP")})
+    assert rows(got) == [(1, "VIP"), (2, None), (3, "VIP"), (3, "y")]
+
+
+def test_upsert(spark):
+    target = frame(spark, [(1, "a"), (2, "b"), (None, "n"), (3, "c")])
+    updates = frame(spark, [(2, "B"), (4, "D"), (None, "N")], "id bigint, v string")
+    once = tables.upsert(target, updates, ["id"])
+    want = rows(frame(spark, [(1, "a"), (2, "B"), (3, "c"), (4, "D"), (None, "n"), (None, "N")]))
+    assert rows(once) == want
+    known = updates.dropna()
+    again = tables.upsert(tables.upsert(target, known, ["id"]), known, ["id"])
+    assert rows(again) == rows(tables.upsert(target, known, ["id"]))
+    text = plan(tables.upsert(target, updates, ["id"]))
+    assert len([line for line in text.splitlines() if "Join" in line and "[id" in line]) == 2
+
+
+def test_upsert_keeps_columns_it_does_not_have(spark):
+    target = frame(spark, [(1, "a", 10)], "id int, v string, n int")
+    updates = frame(spark, [(1, 11, True), (2, 12, False)], "id int, n int, flag boolean")
+    assert rows(tables.upsert(target, updates, ["id"])) == [(1, "a", 11, True), (2, None, 12, False)]
+
+
+def test_two_updates_for_one_key_are_refused(spark):
+    tables.require_unique(frame(spark, [(1, "x"), (None, "y"), (None, "z")]), ["id"])
     with pytest.raises(ValueError, match="two updates"):
-        tables.upsert(frame(spark, [(1, "x"), (1, "y")]), path, ["id"])
-    assert rows(tables.read_table(spark, path)) == [(1, "a")]
-    assert len(os.listdir(f"{path}/data")) == 1
+        tables.require_unique(frame(spark, [(1, "x"), (1, "y")]), ["id"])
 
 
 def test_small_updates_leave_the_target_in_place(spark):
-    target = spark.range(1000).selectExpr("id", "'a' as v")
-    updates = spark.range(3).selectExpr("id", "'b' as v")
-    assert "BroadcastHashJoin [id" in plan(tables.merged(target, updates, ["id"]))
-
-
-def test_compaction_keeps_the_rows(spark, path):
-    for i in range(4):
-        data = frame(spark, [(i * 10 + j, "x") for j in range(10)]).repartition(4)
-        tables.write_table(data, path, "append")
-    before, files = rows(tables.read_table(spark, path)), tables.detail(spark, path).first().num_files
-    tables.compact(spark, path)
-    assert rows(tables.read_table(spark, path)) == before
-    after = tables.detail(spark, path).first()
-    assert (after.num_files, after.num_rows) == (1, 40) and files == 16
-    number = tables.version_of(spark, path).number
-    assert tables.compact(spark, path) == number
-
-
-def test_even_files_spread_a_single_task(spark, path):
-    one = spark.range(200_000).coalesce(1)
-    tables.write_table(one, path)
-    assert tables.detail(spark, path).first().num_files == 1
-    tables.write_table(one, path, even_files=True)
-    assert tables.read_table(spark, path).count() == 200_000
-    assert "rebalance" in one.hint("rebalance")._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_vacuum_keeps_what_is_needed(spark, path):
-    for i in range(3):
-        tables.write_table(frame(spark, [(i, "a")]), path)
-    tables.stage(frame(spark, [(0, "lost")]), path)
-    assert tables.vacuum(spark, path) == []
-    later = datetime.now(timezone.utc) + timedelta(hours=200)
-    assert len(tables.vacuum(spark, path, now=later)) == 3
-    assert rows(tables.read_table(spark, path)) == [(2, "a")]
-    with pytest.raises(Exception):
-        tables.read_table(spark, path, 0).count()
-
-
-def test_notes_live_with_versions(spark, path):
-    assert tables.note(spark, path, "mark") is None
-    tables.publish(spark, tables.stage(frame(spark, [(1, "a")]), path), notes={"mark": "7"})
-    tables.write_table(frame(spark, [(1, "a")]), path, "append")
-    assert tables.note(spark, path, "mark") == "7"
+    target = spark.range(100_000).selectExpr("cast(id as int) id", "'v' v")
+    updates = frame(spark, [(1, "x")])
+    assert "BroadcastHashJoin [id" in plan(tables.upsert(target, updates, ["id"]))
+
+
+def test_even_files_put_small_ones_together(spark, path):
+    tables.write(spark.range(2000).repartition(16), f"{path}/small")
+    small = tables.read(spark, f"{path}/small")
+    assert tables.file_sizes(small).first().num_files == 16
+    tables.write(small, f"{path}/even", even_files=True)
+    even = tables.read(spark, f"{path}/even")
+    assert tables.file_sizes(even).first().num_files < 4 and rows(even) == rows(small)
 
 
 def test_diff_finds_every_change(spark):
@@ -184,31 +123,17 @@ def test_diff_with_new_columns(spark):
     assert rows(tables.diff(old, new, ["id"])) == [("update_post", 1, "a", 5), ("update_pre", 1, "a", None)]
 
 
-def test_diff_of_versions_skips_shared_folders(spark, path):
-    tables.write_table(frame(spark, [(1, "a"), (2, "b")]), path)
-    tables.write_table(frame(spark, [(3, "c")]), path, "append")
-    changes = tables.diff_versions(spark, path, ["id"], 0)
-    assert rows(changes) == [("insert", 3, "c")]
-    assert tables.version_of(spark, path, 0).folders[0] not in plan(changes)
-    assert tables.diff_versions(spark, path, ["id"], 1, 1).count() == 0
-
-
 def test_partitioned_table_prunes(spark, path):
     data = spark.createDataFrame(
         [("u", "2024-01-01 10:00:00"), ("v", "2024-01-02 10:00:00"), ("w", "2024-01-02 11:00:00")],
         "user_email string, t string",
     ).selectExpr("user_email", "cast(t as timestamp) access_timestamp")
     daily = access_by_day(data)
-    tables.write_table(daily, path, partition_by=["access_date"])
-    tables.write_table(daily, path, "append")
-    assert tables.detail(spark, path).first().partition_columns == "access_date"
-    day = tables.read_table(spark, path).filter("access_date = date'2024-01-02'")
+    tables.write(daily, path, partition_by=["access_date"])
+    tables.append(daily, path, partition_by=["access_date"])
+    day = tables.read(spark, path).filter("access_date = date'2024-01-02'")
     assert day.count() == 4
-    text = plan(day)
-    assert "PartitionFilters: [isnotnull(access_date" in text
-    assert tables.read_table(spark, path).columns == daily.columns
-    tables.compact(spark, path)
-    assert tables.read_table(spark, path).count() == 6
+    assert "PartitionFilters: [isnotnull(access_date" in plan(day)
 
 
 def test_append_to_named_table(spark):
@@ -258,6 +183,6 @@ def test_rows_without_a_key_have_one_change_each(spark):
     assert {r.change_type: r["count"] for r in got} == {"insert": 300, "delete": 300}
 
 
-def test_rows_are_counted_behind_the_last_shuffle(spark, path):
-    staged = tables.stage(spark.range(100).selectExpr("id", "id % 3 as part"), path, ["part"])
-    assert staged.rows == 100
+def test_rows_of_a_partitioned_write_are_counted(spark, path):
+    data = spark.range(100).selectExpr("id", "id % 3 as part")
+    assert tables.write(data, path, partition_by=["part"]) == 100
