@@ -46,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat an id are one document; rows without an id are told apart by their text."""
     ship(spark)
-    linked = jaccard_join.linked_documents(docs.select("doc_id", "text"), words=3, percent=90)
+    linked = jaccard_join.linked_documents(docs.select("doc_id", "text"), words=5, percent=80)
     kept = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_kept")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))

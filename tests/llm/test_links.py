@@ -136,6 +136,24 @@ def test_one_document_of_each_group_stays(spark, messy):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_near_copies_of_the_stage(spark):
+    """Copies with a similarity of 0.8 to 0.9 go, those below stay."""
+    rows = []
+    for family in range(4):
+        words = prose(200 + family, 120).split()
+        for cut in (0, 14, 18, 40):
+            rows.append((len(rows), " ".join(words[:len(words) - cut])))
+        edited = list(words)
+        edited[50] = edited[90] = "edited"
+        rows.append((len(rows), " ".join(edited)))
+    sets = [shingles(t, 5) for _, t in rows[:5]]
+    like = [len(sets[0] & s) / len(sets[0] | s) for s in sets]
+    assert sum(0.8 <= x < 0.9 for x in like) == 3 and like[3] < 0.8
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect())
+    assert got == sorted(k for k, _, c in brute(rows, words=5, percent=80) if k == c)
+
+
 def test_pipeline_keeps_good_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == [
