@@ -20,7 +20,7 @@ from lakejobs.llm import arrow_text
 
 # The phrases of the base scan and their labels.
 PHRASES = {
-    "general public license": "gpl",
+    "gnu general public license": "gpl",
     "apache license": "apache",
     "cc by": "cc-by",
     "mit license": "mit",

@@ -167,3 +167,20 @@ def test_impossible_share():
         apportionment.mix(None, most=3)
 
 
+BASE = {("gnu", "general", "public", "license"): "gpl", ("apache", "license"): "apache",
+        ("cc", "by"): "cc-by", ("mit", "license"): "mit"}
+
+
+def test_base_phrases_begin_where_they_are_written(spark):
+    texts = ["under the GNU General Public License v3, or the GNU General Public License v2",
+             "the lesser general public license", "gnu affero general public license",
+             "general public license", "gnu apache license", "MIT License cc by", "cc gnu"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", licence_automaton.scanned(F.col("text")).alias("f")).collect():
+        words = WORD.findall(r.text.lower())
+        found = [(i, label) for p, label in BASE.items() for i in range(len(words))
+                 if tuple(words[i:i + len(p)]) == p]
+        places = [i for i, _ in found]
+        assert (r.f.n_base, r.f.first_word, r.f.last_word) == (
+            len(found), min(places, default=None), max(places, default=None))
+        assert r.f.base_labels == ",".join(sorted({label for _, label in found}))
