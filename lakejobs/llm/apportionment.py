@@ -1,10 +1,11 @@
-"""Mixing sources to target weights by Sainte-Laguë apportionment of equal blocks of words.
-
-Sources get whole blocks by highest quotients (target / 1, 3, 5, ...), and each source's blocks
-go to its shards in the same way, by the words the shards hold. In a shard the documents of a
-source stand in seeded order, twice one after another; its quota is taken as evenly spaced
-blocks from a seeded start, the second pass only when the first is used up. So every word is
-taken twice at most, and each source gets its quota to the word.
+"""Mixing sources to target weights by Sainte-Laguë apportionment of words, taken in blocks.
+
+Sources get words by highest quotients (target / 1, 3, 5, ...), and each source's words go to its
+shards in the same way, by the words the shards hold. A source has as many shards as its own
+words fill. In a shard the documents of a source stand in seeded order, twice one after another;
+its quota is taken as evenly spaced blocks from a seeded start, the last of them in part, the
+second pass only when the first is used up. So every word is taken twice at most, and each source
+gets its quota to the word, however few and short its texts are.
 """
 
 from __future__ import annotations
@@ -73,59 +74,59 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
     return out
 
 
-def quotas(cells: list[tuple], cycle, share: float, most: float) -> tuple[int, list[tuple]]:
-    """(shards, quota rows) from (source, fine shard, words).
+def quotas(cells: list[tuple], cycle, share: float, most: float) -> list[tuple]:
+    """Rows (source, shards, shard, source's words, target, words, quota) from (source, fine
+    shard, words).
 
-    Fine shards are folded to fewer, a power of two, so that sources have some
-    ``BLOCKS_PER_CELL`` blocks in each on average."""
+    The fine shards of a source are folded to fewer, a power of two, so that it has
+    ``BLOCKS_PER_CELL`` blocks in each on average; a source with less has one shard."""
     names = sorted({s for s, _, _ in cells if s is not None})
     names += [None] if any(s is None for s, _, _ in cells) else []
     at = {name: i for i, name in enumerate(names)}
     sizes = [0] * len(names)
     for name, _, words in cells:
         sizes[at[name]] += words
-    shards, fine = 1, 1 + max((c[1] for c in cells), default=0)
-    while shards < fine and 2 * shards * len(names) * BLOCK_WORDS * BLOCKS_PER_CELL <= sum(sizes):
-        shards *= 2
+    shards, fine = [1] * len(names), 1 + max((c[1] for c in cells), default=0)
+    for i, size in enumerate(sizes):
+        while shards[i] < fine and 2 * shards[i] * BLOCK_WORDS * BLOCKS_PER_CELL <= size:
+            shards[i] *= 2
     folded: dict[tuple[int, int], int] = {}
     for name, shard, words in cells:
-        key = (at[name], shard % shards)
+        key = (at[name], shard % shards[at[name]])
         folded[key] = folded.get(key, 0) + words
     weights = [cycle[i % len(cycle)] for i in range(len(names))]
     wanted = targets(sizes, weights, share, most)
-    blocks = round(sum(wanted) / BLOCK_WORDS)
-    seats = sainte_lague(wanted, blocks, [int(most * s) // BLOCK_WORDS for s in sizes])
+    seats = sainte_lague(wanted, round(sum(wanted)), [int(most * s) for s in sizes])
     rows = []
     by_source: dict[int, list[tuple[int, int]]] = {}
     for (source, shard), words in sorted(folded.items()):
         by_source.setdefault(source, []).append((shard, words))
     for source, held in by_source.items():
-        quota = sainte_lague([w for _, w in held], seats[source],
-                             [int(most * w) // BLOCK_WORDS for _, w in held])
-        rows += [(names[source], shard, sizes[source], wanted[source], words, words // BLOCK_WORDS,
-                  2 * words // BLOCK_WORDS, q) for (shard, words), q in zip(held, quota, strict=True)]
-    return shards, rows
+        quota = sainte_lague([w for _, w in held], seats[source], [2 * w for _, w in held])
+        rows += [(names[source], shards[source], shard, sizes[source], wanted[source], words, q)
+                 for (shard, words), q in zip(held, quota, strict=True)]
+    return rows
 
 
-def _taken_until(place: Column, seed: int) -> Column:
-    """Words taken before a place in the doubled stream of a cell."""
-    first, second = F.col("_blocks"), F.col("_blocks2") - F.col("_blocks")
-    in_first = F.least(F.col("_quota"), first)
+def _taken_until(place: Column, quota: Column, seed: int) -> Column:
+    """Words taken before a place in one pass over a cell, of ``quota`` in all.
 
-    def chosen(until: Column, quota: Column, blocks: Column) -> Column:
-        """How many of the first blocks are taken, of ``quota`` spread evenly over all."""
-        some = F.greatest(blocks, F.lit(1))
-        start = F.pmod(F.xxhash64("_source", "_shard", F.lit(seed)), some)
-        return (F.floor((until * quota + start) / some) - F.floor(start / some)).cast("long")
+    Enough whole blocks are spread evenly, and the last of them is cut to the quota; a quota that
+    whole blocks cannot hold is taken from the begin."""
+    blocks = F.floor(F.col("_words") / F.lit(BLOCK_WORDS)).cast("long")
+    wanted = F.ceil(quota / F.lit(BLOCK_WORDS)).cast("long")
+    some = F.greatest(blocks, F.lit(1))
+    start = F.pmod(F.xxhash64("_source", "_shard", F.lit(seed)), some)
 
     def before(until: Column) -> Column:
-        return (chosen(F.least(until, first), in_first, first)
-                + chosen(F.least(F.greatest(until - first, F.lit(0)), second),
-                         F.col("_quota") - in_first, second))
+        """How many of the first blocks are taken."""
+        return F.floor((until * wanted + start) / some).cast("long")
 
-    block = F.floor(place / F.lit(BLOCK_WORDS)).cast("long")
-    return (before(block) * BLOCK_WORDS
-            + (place - block * BLOCK_WORDS) * (before(block + 1) - before(block)))
+    block = F.least(F.floor(place / F.lit(BLOCK_WORDS)).cast("long"), blocks)
+    inside = F.when(block < blocks, (place - block * BLOCK_WORDS)
+                    * (before(block + 1) - before(block))).otherwise(0)
+    spread = before(block) * BLOCK_WORDS + inside
+    return F.least(F.when(wanted <= blocks, spread).otherwise(place), quota)
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -153,20 +154,28 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         fine *= 2
     cells = sized.groupBy("_source", F.pmod("_order", F.lit(fine)).alias("_shard")).agg(
         F.sum("size").alias("words")).collect()
-    shards, rows = quotas([tuple(r) for r in cells], cycle, share, most)
+    rows = quotas([tuple(r) for r in cells], cycle, share, most)
+    sharded = sorted({(r[0], r[1]) for r in rows if r[1] > 1}, key=repr)
     table = docs.sparkSession.createDataFrame(
-        rows, "_name string, _part long, source_size long, target double, _words long, "
-              "_blocks long, _blocks2 long, _quota long")
+        [(r[0], *r[2:]) for r in rows], "_name string, _part long, source_size long, "
+                                        "target double, _words long, _quota long")
     if len(rows) <= MOST_CELLS:
         table = F.broadcast(table)
+    # Sources of several shards have been counted in fine ones, so they are few.
+    shards = docs.sparkSession.createDataFrame(sharded, "_named string, _shards long")
+    line = sized.join(F.broadcast(shards), F.col("_source").eqNullSafe(F.col("_named")), "left")
+    line = line.withColumn(
+        "_shard", F.pmod("_order", F.coalesce("_shards", F.lit(1))).cast("long"))
     cell = Window.partitionBy("_source", "_shard").orderBy("_order", "_tie", "size")
-    line = sized.withColumn("_shard", F.pmod("_order", F.lit(shards)).cast("long")).withColumn(
+    line = line.drop("_named", "_shards").withColumn(
         "_end", F.sum("size").over(cell.rowsBetween(Window.unboundedPreceding, 0)))
     joined = line.join(
         table, F.col("_source").eqNullSafe(F.col("_name")) & (F.col("_shard") == F.col("_part")))
     begin, end, words = F.col("_end") - F.col("size"), F.col("_end"), F.col("_words")
-    taken = (_taken_until(end, seed) - _taken_until(begin, seed)
-             + _taken_until(words + end, seed) - _taken_until(words + begin, seed))
+    first = F.least(F.col("_quota"), words)
+    second = F.col("_quota") - first
+    taken = (_taken_until(end, first, seed) - _taken_until(begin, first, seed)
+             + _taken_until(end, second, seed) - _taken_until(begin, second, seed))
     return joined.select("doc", "size", "source_size", "target", taken.alias("taken"))
 
 

@@ -154,6 +154,37 @@ def test_mix(messy, texts):
     assert apportionment.mix(messy.where("1 = 0")).count() == 0
 
 
+def test_quotas_of_small_sources_beside_a_large_one():
+    rng = np.random.default_rng(2)
+    cells = [("large", k, 1_000_000) for k in range(1024)]
+    small = np.bincount(rng.integers(0, 1024, 100), minlength=1024) * 25
+    cells += [("small", k, int(w)) for k, w in enumerate(small)] + [("tiny", 7, 20)]
+    rows = apportionment.quotas(cells, (1, 5, 5), 1.5, 2.0)
+    got, want = Counter(), {}
+    for source, shards, shard, _, target, words, quota in rows:
+        assert 0 <= quota <= 2 * words and 0 <= shard < shards
+        got[source] += quota
+        want[source] = target
+    assert len(rows) == 1024 + 1 + 1 and want["small"] == 5000 and want["tiny"] == 40
+    assert all(abs(got[s] - want[s]) <= 1 for s in want)
+
+
+def test_small_sources_get_their_target(spark, monkeypatch):
+    monkeypatch.setattr(apportionment, "BLOCKS_PER_CELL", 2)
+    rows = [(i, "big word " * 400, "large") for i in range(100)]
+    rows += [(1000 + i, "few short words " * 8 + "end", "small") for i in range(100)]
+    rows += [(2000, "one text of less than half a block", "tiny"), (2001, "no source", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for share in (0.4, 1.5):
+        taken, target = Counter(), {}
+        for r in apportionment.mix(df, keep=("doc_id", "source"), share=share).collect():
+            assert 0 <= r.taken <= 2 * r.size
+            taken[r.doc.source] += r.taken
+            target[r.doc.source] = r.target
+        assert len(target) == 4
+        assert all(abs(taken[s] - target[s]) <= 1 for s in target), (taken, target)
+
+
 def test_copies_keep_the_columns(messy):
     out = apportionment.copies(messy)
     assert out.columns == messy.columns
