@@ -42,18 +42,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id.
+    """One document of each group of linked ones: that with the smallest id, those without an id
+    last.
 
-    Rows that repeat an id are one document; rows without an id are told apart by their text."""
+    Rows that repeat id and text are one document, all others are told apart."""
     ship(spark)
-    linked = jaccard_join.linked_documents(docs.select("doc_id", "text"), words=5, percent=80)
-    kept = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rows = rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    text = F.xxhash64("doc.text")
-    same = Window.partitionBy(
-        "doc.doc_id", F.when(F.col("doc.doc_id").isNull(), text)).orderBy(text)
+    # In the order of ids: 16 digits from the least id on, or "~", and the digest of the text.
+    number = F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+    key = F.concat(F.coalesce(F.lpad(F.hex(number), 16, "0"), F.lit("~")), F.lit(" "),
+                   F.coalesce(F.sha2("text", 256), F.lit("")))
+    linked = jaccard_join.linked_documents(
+        docs.select(key.alias("key"), "text"), id_col="key", id_type="string",
+        words=5, percent=80)
+    kept = linked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       key.alias("_key"))
+    rows = rows.join(kept, F.col("_key") == F.col("_kept"), "left_semi")
+    same = Window.partitionBy("_key").orderBy("_key")
     return rows.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").select("doc.*")
 
 

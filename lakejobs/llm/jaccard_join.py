@@ -84,15 +84,16 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits((np.bincount(spot, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-SETS = "doc_id long, n long, cls long, bits binary, bucket long, times long"
+SETS = "n long, cls long, bits binary, bucket long, times long"
+ID_TYPES = {"long": pa.int64(), "string": pa.string()}
 
 
-def describe_sets(words: int):
+def describe_sets(words: int, id_type: str = "long"):
     """Per document size and class of its set; behind a task's documents, the shingle buckets
     that are far more frequent in the task than the mean."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in SETS.split(", ")]
+        names = ["doc_id", *(c.split()[0] for c in SETS.split(", "))]
         counts = np.zeros(1 << BUCKET_BITS, np.int32)
         for batch in batches:
             sizes, classes, bits = [], [], []
@@ -108,7 +109,8 @@ def describe_sets(words: int):
         often = np.flatnonzero(counts > 2 * counts.mean() + 6)
         none = pa.nulls(len(often), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(len(often), pa.binary()), pa.array(often, pa.int64()),
+            [pa.nulls(len(often), ID_TYPES[id_type]), none, none,
+             pa.nulls(len(often), pa.binary()), pa.array(often, pa.int64()),
              pa.array(counts[often].astype(np.int64))], names)
 
     return run
@@ -422,15 +424,17 @@ def only_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
 
 
 def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                     words: int = 3, percent: int = 90) -> DataFrame:
+                     id_type: str = "long", words: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, and component_id, the smallest id reachable by links.
 
     Two sets are linked when 100 x overlap >= percent x union. Null and empty texts and texts of
     white space have no set and are their own component. Rows that repeat an id count as
-    documents of their own. An empty table gives no row."""
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    documents of their own. Ids are long or, by ``id_type``, string. An empty table gives no
+    row."""
+    texts = docs.select(F.col(f"`{id_col}`").cast(id_type).alias("doc_id"),
                         F.col(f"`{text_col}`").alias("text"))
-    described = stored(texts.mapInArrow(describe_sets(words), SETS), "sets")
+    described = stored(texts.mapInArrow(
+        describe_sets(words, id_type), f"doc_id {id_type}, {SETS}"), "sets")
     sets = described.where("bucket IS NULL").select("doc_id", "n", "cls")
     bits = described.where("cls IS NOT NULL").groupBy("cls").agg(F.first("bits").alias("bits"))
     grade = bucket_grades(described.where("bucket IS NOT NULL"))

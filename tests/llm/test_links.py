@@ -154,6 +154,19 @@ def test_near_copies_of_the_stage(spark):
     assert got == sorted(k for k, _, c in brute(rows, words=5, percent=80) if k == c)
 
 
+def test_stage_tells_rows_of_one_id_apart(spark):
+    one, other, third = prose(301, 80), prose(302, 80), prose(303, 80)
+    near = one.replace("stone", "stones", 1)
+    assert near != one
+    rows = [(1, one), (2, near), (2, other), (2, other), (-3, third), (7, third), (None, near),
+            (None, prose(304, 80)), (None, prose(305, 80)), (None, prose(305, 80)),
+            (None, third + " end"), (None, None), (4, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in corpus_pipeline.near_duplicates(spark, df, "").collect())
+    assert got == Counter([(1, one), (2, other), (-3, third), (None, prose(304, 80)),
+                           (None, prose(305, 80)), (None, None), (4, None), (4, "")])
+
+
 def test_pipeline_keeps_good_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == [
