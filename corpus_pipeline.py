@@ -20,9 +20,14 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that is known with some certainty; those without a letter go."""
+    """Documents with a language that is known with some certainty; those without a letter go.
+
+    Where there is no language to learn from, only those go."""
     ship(spark)
-    found = string_kernel.identified(F.col("text"), string_kernel.learn(docs))
+    model = string_kernel.learn(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = string_kernel.identified(F.col("text"), model)
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                          found.alias("found"))
     return marked.where((F.col("found.lang_pred") != "und")

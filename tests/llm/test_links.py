@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from corpus_fixtures import messy, nothing, prose, shipped, texts  # noqa: F401
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -167,6 +168,14 @@ def test_stage_tells_rows_of_one_id_apart(spark):
                            (None, prose(305, 80)), (None, None), (4, None), (4, "")])
 
 
+def test_without_languages_only_texts_without_letters_go(spark, messy):
+    blank = messy.withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.language(spark, blank, "")
+    assert out.columns == messy.columns
+    want = Counter(r.doc_id for r in messy.collect() if any(c.isalpha() for c in r.text or ""))
+    assert Counter(r.doc_id for r in out.collect()) == want and want[29] == 1
+
+
 def test_pipeline_keeps_good_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == [
