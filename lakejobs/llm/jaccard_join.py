@@ -141,22 +141,27 @@ POSTINGS = "shingle long, n int, place int, cls long"
 
 
 def post_prefixes(words: int, percent: int, grade: np.ndarray):
-    """The prefix of every set in the order of (grade of the shingle's bucket, hash)."""
+    """The prefix of every set in the order of (grade of the shingle's bucket, hash).
+
+    A task posts a class once, so that a list holds a copy per task at most."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        posted: set[int] = set()
         for batch in batches:
             values, sizes, places, classes = [], [], [], []
             for shingles in shingle_sets(batch.column(0), words):
                 n = len(shingles)
-                if not n:
+                cls = set_class(shingles) if n else None
+                if cls is None or cls in posted:
                     continue
+                posted.add(cls)
                 bucket = (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
                 order = np.argsort(grade[bucket], kind="stable")
                 prefix = shingles[order[:n - -(-percent * n // 100) + 1]]
                 values.append(prefix)
                 sizes.append(np.full(len(prefix), n, np.int32))
                 places.append(np.arange(len(prefix), dtype=np.int32))
-                classes.append(np.full(len(prefix), set_class(shingles), np.int64))
+                classes.append(np.full(len(prefix), cls, np.int64))
             if values:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(values).view(np.int64)),

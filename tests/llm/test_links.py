@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_fixtures import messy, nothing, prose, shipped, texts  # noqa: F401
 from pyspark.sql import functions as F
@@ -96,6 +97,16 @@ def test_clusters_beyond_one_block(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_copies_are_posted_once_a_task():
+    same, other = prose(1, 40), prose(2, 40)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+               for texts in ([same, same.upper(), other, None], [same] * 50, ["", other])]
+    post = jaccard_join.post_prefixes(3, 90, np.zeros(1 << jaccard_join.BUCKET_BITS, np.uint8))
+    rows = pa.Table.from_batches(list(post(batches))).to_pylist()
+    assert len({r["cls"] for r in rows}) == 2
+    assert len({(r["shingle"], r["cls"]) for r in rows}) == len(rows)
+
+
 def test_overlaps():
     rng = np.random.default_rng(1)
     for size in (5, 60):
