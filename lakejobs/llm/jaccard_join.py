@@ -30,6 +30,8 @@ CLUSTER_BLOCK = 4096
 BUNDLE = 2000
 SHORT_LIST = 8
 LEAST_BITS = 512
+SLICE = 256
+PAIRS = 1 << 20
 
 # Fixed value: the white space between words.
 SPACE = np.zeros(256, bool)
@@ -328,14 +330,19 @@ def read_lists(percent: int):
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """The overlap of every two sets, from their differences to the first set.
+    """The overlap of every two sets."""
+    return np.concatenate([part for _, part in overlap_slices(sets)])
+
+
+def overlap_slices(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """The overlaps of ``SLICE`` sets after another with all, each with the first one's number,
+    from the differences of the sets to the first set.
 
     overlap(x, y) = |L| - |L \\ x| - |L \\ y| + what the two differences have in common."""
     leader = sets[0]
     differences = [np.setxor1d(leader, s, assume_unique=True) for s in sets]
     size = np.array([len(s) for s in sets])
     missing = (np.array([len(d) for d in differences]) + len(leader) - size) // 2
-    out = len(leader) - missing[:, None] - missing[None, :]
     owner = np.repeat(np.arange(len(sets)), [len(d) for d in differences])
     value = np.concatenate(differences)
     order = np.argsort(value, kind="stable")
@@ -344,27 +351,36 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
         if len(value) else np.zeros(1, int)
     times = np.diff(edge)
     many = max(16, len(sets) // 16)
-    for d in np.unique(times[(times > 1) & (times <= many)]).tolist():
-        rows = owner[edge[:-1][times == d][:, None] + np.arange(d)]
-        for i in range(d):
-            np.add.at(out, (np.repeat(rows[:, i], d), rows.ravel()), 1)
-    single = times == 1
-    np.add.at(out, (owner[edge[:-1][single]],) * 2, 1)
+    few = [owner[edge[:-1][times == d][:, None] + np.arange(d)]
+           for d in np.unique(times[times <= many]).tolist()]
     dense = np.flatnonzero(times > many)
-    for part in range(0, len(dense), 2048):
-        columns = dense[part:part + 2048]
-        table = np.zeros((len(sets), len(columns)), np.float32)
-        for i, k in enumerate(columns):
-            table[owner[edge[k]:edge[k + 1]], i] = 1
-        out += np.rint(table @ table.T).astype(np.int64)
-    return out
+    for begin in range(0, len(sets), SLICE):
+        end = min(begin + SLICE, len(sets))
+        out = (len(leader) - missing[begin:end, None] - missing[None, :]).astype(np.int32)
+        for rows in few:
+            which, nth = np.nonzero((rows >= begin) & (rows < end))
+            step = max(1, PAIRS // rows.shape[1])
+            for part in range(0, len(which), step):
+                some = which[part:part + step]
+                own = rows[some, nth[part:part + step]] - begin
+                np.add.at(out, (np.repeat(own, rows.shape[1]), rows[some].ravel()), 1)
+        for part in range(0, len(dense), 2048):
+            columns = dense[part:part + 2048]
+            table = np.zeros((len(sets), len(columns)), np.float32)
+            for i, k in enumerate(columns):
+                table[owner[edge[k]:edge[k + 1]], i] = 1
+            out += np.rint(table[begin:end] @ table.T).astype(np.int32)
+        yield begin, out
 
 
 def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set, the first set of those it reaches by links among these."""
     size = np.array([len(s) for s in sets])
-    shared = overlaps(sets)
-    linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+    linked = np.zeros((len(sets), len(sets)), bool)
+    for begin, shared in overlap_slices(sets):
+        end = begin + len(shared)
+        both = size[begin:end, None] + size[None, :]
+        linked[begin:end] = (100 + percent) * shared.astype(np.int64) >= percent * both
     root = np.full(len(sets), -1)
     for i in range(len(sets)):
         if root[i] >= 0:

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -107,6 +108,38 @@ def test_copies_are_posted_once_a_task():
     assert len({(r["shingle"], r["cls"]) for r in rows}) == len(rows)
 
 
+def test_a_cluster_beyond_the_production_block(spark):
+    words = prose(6, 70).split()
+    rows = []
+    for i in range(jaccard_join.CLUSTER_BLOCK + 100):
+        copy = list(words)
+        copy[i % 70] = f"w{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(10_000, prose(7, 70)), (10_001, "alone")]
+    got = jaccard_join.linked_documents(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4), percent=80)
+    want = Counter({0: jaccard_join.CLUSTER_BLOCK + 100, 10_000: 1, 10_001: 1})
+    assert Counter(r.component_id for r in got.collect()) == want
+
+
+def near_sets(count):
+    """Sets of 60 numbers, each with an own one and without one of the common ones."""
+    rng = np.random.default_rng(7)
+    common = np.arange(1000, 1060, dtype=np.uint64)
+    return [np.sort(np.append(np.delete(common, rng.integers(60)), np.uint64(10_000 + i)))
+            for i in range(count)]
+
+
+def test_links_of_two_production_blocks_fit_a_worker():
+    sets = near_sets(2 * jaccard_join.CLUSTER_BLOCK)
+    tracemalloc.start()
+    root = jaccard_join.links(sets, 90)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(root.tolist()) == {0} and peak < 400 << 20
+    assert len(set(jaccard_join.links(sets[:300], 99).tolist())) == 300
+
+
 def test_overlaps():
     rng = np.random.default_rng(1)
     for size in (5, 60):
