@@ -198,18 +198,29 @@ def shared_lists(percent: int):
                 i = i[fitting(i, i + step, n, place, percent)]
                 keep[i] = keep[i + step] = True
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                for begin in range(a, b, 512) if b - a > SHORT_LIST else ():
-                    i = np.arange(begin, min(begin + 512, b))[~keep[begin:min(begin + 512, b)]]
-                    for j in range(a, b, 512) if len(i) else ():
-                        other = np.arange(j, min(j + 512, b))
-                        fits = fitting(i[:, None], other[None, :], n, place, percent)
-                        fits &= i[:, None] != other[None, :]
-                        keep[i[fits.any(1)]] = True
+                if b - a > SHORT_LIST:
+                    keep[a:b] = partnered(n[a:b], place[a:b], percent)
             yield from rows.take(pa.array(at[keep])).combine_chunks().to_batches()
 
     return run
 
 
+def partnered(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Which entries of one list, in the order of size and position, have another that fits.
+
+    Of each size, the entries that fit one are the first ones, up to a position."""
+    out = np.zeros(len(n), bool)
+    sizes, first = np.unique(n, return_index=True)
+    for m, a, b in zip(sizes.tolist(), first.tolist(), [*first[1:].tolist(), len(n)], strict=True):
+        i = np.arange(np.searchsorted(n, -(-percent * m // 100)),
+                      np.searchsorted(n, 100 * m // percent, "right"))
+        least = needed(n[i], m, percent)
+        others = np.searchsorted(place[a:b], m - least, "right") - (
+            (n[i] == m) & (place[i] <= m - least))
+        out[i] |= (others > 0) & (n[i] - place[i] >= least) & (np.minimum(n[i], m) >= least)
+    return out
+
+
 def whole_lists(batches) -> Iterator[pa.Table]:
     """Rows in the order of shingle, cut between lists: a list is held until it ends."""
     held: list[pa.RecordBatch] = []
@@ -279,11 +290,22 @@ def possible(i: np.ndarray, j: np.ndarray, n, place, bits: Bitmaps, percent: int
 
 
 def connect_list(first: int, last: int, n, place, bits: Bitmaps, percent: int):
-    """Pairs that connect all entries of a long list that can be similar: a forest."""
+    """Pairs that connect all entries of a long list that can be similar: a forest.
+
+    Of each size, an entry meets those before it up to the largest position that fits."""
     group = np.arange(first, last)
-    low = np.searchsorted(n[first:last], -(-percent * n[first:last] // 100), "left") + first
+    sizes, start = np.unique(n[first:last], return_index=True)
+    wide = int(place[first:last].max()) + 2
+    order = n[first:last] * wide + place[first:last]
     for i in range(first + 1, last):
-        window = np.arange(low[i - first], i)
+        some = slice(*np.searchsorted(sizes, [-(-percent * n[i] // 100), n[i] + 1]))
+        least = needed(n[i], sizes[some], percent)
+        most = np.clip(sizes[some] - least, -1, wide - 2)
+        stop = np.searchsorted(order, sizes[some] * wide + most, "right")
+        count = np.minimum(stop, i - first) - start[some]
+        count[(count < 0) | (n[i] - place[i] < least)] = 0
+        window = (first + np.repeat(start[some] - np.cumsum(count) + count, count)
+                  + np.arange(count.sum()))
         window = window[group[window - first] != group[i - first]]
         while len(window):
             some, window = window[-256:], window[:-256]  # the nearest sizes first
@@ -329,6 +351,14 @@ def read_lists(percent: int):
     return run
 
 
+def leading(sets: list[np.ndarray]) -> np.ndarray:
+    """Of a few sets, that with the least differences to some sets."""
+    step = -(-len(sets) // 32)
+    some = sets[::4 * step]
+    return some[0] if len(some) == 1 else min(some, key=lambda s: sum(
+        len(np.setxor1d(s, other, assume_unique=True)) for other in sets[::step]))
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """The overlap of every two sets."""
     return np.concatenate([part for _, part in overlap_slices(sets)])
@@ -336,10 +366,10 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 def overlap_slices(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
     """The overlaps of ``SLICE`` sets after another with all, each with the first one's number,
-    from the differences of the sets to the first set.
+    from the differences of the sets to a leading one.
 
     overlap(x, y) = |L| - |L \\ x| - |L \\ y| + what the two differences have in common."""
-    leader = sets[0]
+    leader = leading(sets)
     differences = [np.setxor1d(leader, s, assume_unique=True) for s in sets]
     size = np.array([len(s) for s in sets])
     missing = (np.array([len(d) for d in differences]) + len(leader) - size) // 2

@@ -162,6 +162,39 @@ def test_bitmaps_never_rule_out_similar_sets():
         assert bits.differ(np.array([0]), np.array([1]))[0] <= apart
 
 
+def test_lists_are_skipped_by_position(monkeypatch):
+    """Only entries of fitting size and position meet, and none that fits is left out."""
+    seen = []
+
+    def none_similar(i, j, n, place, bits, percent):
+        seen.append((i, j))
+        return np.zeros(len(i), bool)
+
+    monkeypatch.setattr(jaccard_join, "possible", none_similar)
+    rng = np.random.default_rng(11)
+    for percent in (60, 80, 90):
+        n = rng.integers(1, 60, 300)
+        place = rng.integers(0, n - -(-percent * n // 100) + 1)
+        n, place = (x[np.lexsort((place, n))] for x in (n, place))
+        seen.clear()
+        assert not list(jaccard_join.connect_list(20, 290, n, place, None, percent))
+        i, j = (np.concatenate(x) for x in zip(*seen, strict=True))
+        met = set(zip(i.tolist(), j.tolist(), strict=True))
+        assert len(met) == len(i) and jaccard_join.fitting(i, j, n, place, percent).all()
+        every = np.arange(20, 290)
+        fits = jaccard_join.fitting(every[:, None], every[None, :], n, place, percent)
+        fits &= every[:, None] != every[None, :]
+        assert met == {(a, b) for a, b in zip(*(x + 20 for x in np.nonzero(fits)), strict=True)
+                       if b < a}
+        assert jaccard_join.partnered(n[20:290], place[20:290], percent).tolist() \
+            == fits.any(1).tolist()
+
+
+def test_the_leading_set_is_near_the_others():
+    sets = [np.arange(5, dtype=np.uint64), *near_sets(40)]
+    assert len(jaccard_join.leading(sets)) == 60
+
+
 def test_empty_and_components(spark, nothing):
     assert jaccard_join.linked_documents(nothing).count() == 0
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 10), (5, 5), (2, 1), (20, 3)]
