@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakejobs.llm import (
-    apportionment, jaccard_join, licence_automaton, lookup_sketch, mil_quality,
-    permutation_index, sampling, string_kernel, token_counts, vector_packing, warc_convert,
+    apportionment, conversation_repair, hard_negatives, jaccard_join, licence_automaton, lookup_sketch, mil_quality,
+    permutation_index, repair_sql, sampling, secret_scan, secret_sql, string_kernel,
+    token_counts, vector_packing, warc_convert,
 )
 from lakejobs.llm.shipping import ship
 from lakejobs.session import fresh_dir
@@ -118,7 +119,62 @@ def op10_token_counts(spark, sf_dir):
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+@query
+def op11_secret_scan(spark, sf_dir):
+    """Secrets in every document: base patterns and stretches of high entropy."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents")).select("doc.doc_id", "spans")
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id", *[F.size(of(kind)).cast("long").alias(f"n_{kind}")
+                    for kind in secret_scan.BASE_KINDS],
+        F.sha2(secret_scan.written(of(*secret_scan.BASE_KINDS)), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    """Damaged conversations: their faults and their cheapest repair."""
+    return conversation_repair.repair(
+        conversation_repair.damage(table(spark, sf_dir, "conversations")), times_col="times")
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every 50th vector, below each of its 5 first positives."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(
+        F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", wrong.alias("label"))
+    return hard_negatives.mine(hard_negatives.prepared(vectors), F.col("vec_id") % 50 == 0)
+
+
 ORACLES = {
+    "op13_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END
+                                AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (
+                PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 3""",
+    "op12_conversation_repair": repair_sql.oracle(),
+    "op11_secret_scan": secret_sql.oracle(),
     "op1_warc_convert": """
         WITH sized AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
