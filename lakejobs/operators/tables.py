@@ -52,21 +52,23 @@ def read(spark: SparkSession, path: str, loads: str | None = None) -> DataFrame:
 
 def write(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-    even_files: bool = False,
+    even_files: bool = False, spread: bool = True,
 ) -> int:
     """Write a frame and return its number of rows, counted in the same pass.
 
     ``overwrite`` replaces the table, ``append`` adds files, and ``replace`` exchanges
     only the partitions the frame has rows for.  Rows of a partitioned table are
     rebalanced by partition value, which joins small partitions and splits a value too
-    large for one task.  Other tables are written as their tasks come, without a shuffle;
+    large for one task; ``spread=False`` leaves them as they lie, for a frame with one
+    partition value.  Other tables are written as their tasks come, without a shuffle;
     ``even_files`` pays for one to get files of even size, for input that arrives in very
     uneven pieces, or to put the small files of a table together.
     """
     if mode not in ("overwrite", "append", "replace"):
         raise ValueError(f"unknown mode {mode}")
     partitions = list(partition_by or [])
-    laid = df.hint("rebalance", *partitions) if partitions or even_files else df
+    moved = spread and partitions or even_files
+    laid = df.hint("rebalance", *partitions) if moved else df
     # Counted behind the last shuffle: a map task that runs again is not counted twice.
     seen = Observation(f"rows-{uuid.uuid4().hex}")
     writer = laid.observe(seen, F.count(F.lit(1)).alias("rows")).write

@@ -13,12 +13,12 @@ from pyspark.sql import types as T
 from lakejobs import schemas
 from lakejobs.operators import filters, gold, governance, projections, quality, tables
 from lakejobs.operators.dedup import dedup
+from lakejobs.operators.ledger import (
+    DONE, PUBLISHED, STAGED, Entry, Ledger, LoadFinished, Standing, schema_of,
+)
 from lakejobs.paths import LakePaths
 from lakejobs.plans.together import together
-from lakejobs.session import fresh_dir
 
-# What the event of a finished load carries: the time it is loaded up to.
-LOADED = "loaded_until"
 # The partition column of silver and quarantine.
 BATCH = "batch_id"
 
@@ -58,6 +58,10 @@ def standardize(df: DataFrame, batch_id: str) -> DataFrame:
     return projections.clean_strings(named)
 
 
+def ledger_of(spark: SparkSession, lake: LakePaths, table: str) -> Ledger:
+    return Ledger(spark, f"{lake.monitoring('load_ledger')}/{table}")
+
+
 def run(
     bronze: DataFrame,
     lake: LakePaths,
@@ -66,93 +70,172 @@ def run(
     checks: quality.Checks = quality.Checks(),
     mode: str = "incremental",
     ts_col: str = "ingestion_timestamp",
+    late: filters.Late | None = None,
 ) -> Result:
     """Load one table; ``checks`` are made on the valid rows.
 
     ``incremental`` takes rows whose ingestion time is later than the last one loaded
-    before and adds them; ``full`` replaces the table, so a rerun does not double rows.
+    before and adds them; a row with just that time is not new.  With ``late`` it also takes
+    rows that arrive behind that time and were not loaded yet.  ``full`` replaces the table.
     At level ``critical`` failed checks stop the load before anything is published.
 
-    The input is read and cleaned once, into a folder of the run; checks, counts and both
-    tables are taken from there.  Silver and quarantine hold one partition per batch, and
-    the time loaded up to is logged last.  A run that dies is run again under its batch
-    id: it finds the same input and replaces whatever it left.
+    The ledger tells how far a batch got.  A batch that died is taken up where it stopped, with
+    the input it had staged, whatever has arrived since; other unfinished batches of the
+    table are finished first.  A batch that is done is refused with ``LoadFinished``.
     """
     spark = bronze.sparkSession
-    log, result = EventLog(batch_id, table), Result(batch_id)
-    silver_path, bad_path = lake.silver(table), lake.quarantine(table)
+    ledger = ledger_of(spark, lake, table)
+    standing = ledger.standing(batch_id)
+    if standing.own is not None and standing.own.state == DONE:
+        raise LoadFinished(f"batch {batch_id} of {table} is done")
+    for entry in standing.open:
+        if entry.batch_id != batch_id:
+            finish(bronze, lake, table, entry)
+    entry = standing.own
+    if standing.open:
+        standing = ledger.standing(batch_id)
+    if entry is None:
+        entry = stage(bronze, lake, table, batch_id, standing, checks, mode, ts_col, late)
+    return finish(bronze, lake, table, entry)
+
+
+def stage(
+    bronze: DataFrame, lake: LakePaths, table: str, batch_id: str, standing: Standing,
+    checks: quality.Checks = quality.Checks(), mode: str = "incremental",
+    ts_col: str = "ingestion_timestamp", late: filters.Late | None = None,
+) -> Entry:
+    """Read and clean the input once into a folder of the batch, and check it.
+
+    The batch is in the ledger once its rows lie there whole and have passed the gate."""
+    spark = bronze.sparkSession
+    log, issues = EventLog(batch_id, table), []
     try:
         log.add("INFO", "Load begins", mode=mode, level=checks.level)
         source = bronze
         if mode == "incremental":
-            source = filters.newer_than(bronze, ts_col, loaded_until(spark, lake, table))
+            source = filters.newer_than(bronze, ts_col, standing.mark)
+            if late is not None and standing.mark is not None:
+                source = source.unionByName(late.rows(
+                    bronze, ts_col, standing.mark, loaded(spark, lake, table, standing)))
         ts_name, = projections.normalize_names(source.select(ts_col)).columns
-        staged, arrived, mark = _stage(standardize(source, batch_id), ts_name)
-        rejected = staged.filter("_rejected").drop("_rejected")
-        valid = staged.filter("NOT _rejected").drop(
-            "_rejected", "failed_rules", "quarantine_reason")
-        if mode == "incremental" and tables.exists(spark, silver_path):
-            known = read_batches(spark, silver_path).schema
-            for change in schema_changes(spark, known, valid):
+        folder = f"{lake.table('_staging', table)}/{uuid.uuid4().hex}"
+        tagged = quality.convention_tagged(standardize(source, batch_id)).withColumn(
+            "_rejected", F.size("failed_rules") > 0)
+        if mode == "incremental" and standing.silver is not None:
+            known = standing.silver
+            plain = tagged.select([c for c in tagged.columns if c not in _VERDICT])
+            for change in schema_changes(spark, known, plain):
                 log.add("WARNING", "Schema changed", **change)
-            valid = tables.typed(valid, known)
+            tagged = tables.typed(tagged, known)
+        arrived, mark = _write_staged(tagged, folder, ts_name)
+        if mode == "incremental":  # late rows alone do not set the time back
+            mark = filters.later_mark(standing.mark, mark, source.schema[ts_col].dataType)
+        staged = tables.plain(tagged.schema)
+        if arrived or mode == "full":
+            valid = spark.read.schema(staged).parquet(folder).filter("NOT _rejected").drop(*_VERDICT)
+            wanted = quality.usual_checks(valid.columns, checks)
+            issues = quality.gate(quality.check(valid, wanted), wanted.level)
+        for issue in issues:
+            log.add("WARNING", issue)
         if not arrived and mode != "full":
             log.add("INFO", "Nothing new to load")
-        else:
-            checks = quality.usual_checks(valid.columns, checks)
-            result.issues = quality.gate(quality.check(valid, checks), checks.level)
-            for issue in result.issues:
-                log.add("WARNING", issue)
-            how = "overwrite" if mode == "full" else "replace"
-            rejected = rejected.withColumn("quarantine_timestamp", F.current_timestamp())
-            result.quarantined, result.written = together(
-                lambda: tables.write(rejected, bad_path, how, [BATCH]),
-                lambda: tables.write(valid, silver_path, how, [BATCH]),
-            )
-            if result.quarantined:
-                log.add("WARNING", "Rows were quarantined", records=result.quarantined)
-            save_lineage(bronze, lake, table, result)
-        done = {LOADED: mark} if mark is not None else {}
-        log.add("SUCCESS", "Load complete", records_processed=result.written,
-                records_quarantined=result.quarantined, quality_level=checks.level,
-                processing_mode=mode, **done)
+        silver = T.StructType([f for f in staged.fields if f.name not in _VERDICT])
+        quarantine = T.StructType([*[f for f in staged.fields if f.name != "_rejected"],
+                                   T.StructField("quarantine_timestamp", T.TimestampType())])
+        if mode == "incremental":
+            silver = tables.merged_schema(standing.silver or silver, silver)
+            quarantine = tables.merged_schema(standing.quarantine or quarantine, quarantine)
+        return ledger_of(spark, lake, table).add(Entry(
+            batch_id, STAGED, mode, folder, arrived, mark, issues=tuple(issues),
+            silver=silver.json(), quarantine=quarantine.json()))
     except Exception as error:
         log.add("ERROR", f"Load stopped: {error}")
         raise
     finally:
         log.save(spark, lake.monitoring("processing_events"))
-    if arrived:
-        save_summary(spark, lake, table, batch_id)
-    return result
 
 
-def _stage(clean: DataFrame, ts_col: str) -> tuple[DataFrame, int, str | None]:
-    """All rows with their verdict, written once, their number and largest ingestion time."""
-    spark = clean.sparkSession
-    path = fresh_dir(spark, "load")
-    tagged = quality.convention_tagged(clean).withColumn("_rejected", F.size("failed_rules") > 0)
+def finish(bronze: DataFrame, lake: LakePaths, table: str, entry: Entry) -> Result:
+    """Publish a staged batch and log it; what a dead run did of it already is done over.
+
+    Both tables, the lineage and the summary hold one partition per batch, which a second try
+    replaces."""
+    spark = bronze.sparkSession
+    ledger, log = ledger_of(spark, lake, table), EventLog(entry.batch_id, table)
+    try:
+        loads = entry.rows or entry.mode == "full"
+        if entry.state == STAGED:
+            written = quarantined = 0
+            if loads:
+                written, quarantined = publish(spark, lake, table, entry)
+            entry = ledger.add(entry.now(
+                PUBLISHED, written=written, quarantined=quarantined,
+                published=datetime.now(timezone.utc)))
+        if loads:
+            save_lineage(bronze, lake, table, entry)
+        if entry.rows:
+            save_summary(spark, lake, table, entry)
+        if entry.quarantined:
+            log.add("WARNING", "Rows were quarantined", records=entry.quarantined)
+        log.add("SUCCESS", "Load complete", records_processed=entry.written,
+                records_quarantined=entry.quarantined, processing_mode=entry.mode)
+        ledger.add(entry.now(DONE, folder=None))
+        remove(spark, entry.folder)
+    except Exception as error:
+        log.add("ERROR", f"Load stopped: {error}")
+        raise
+    finally:
+        log.save(spark, lake.monitoring("processing_events"))
+    return Result(entry.batch_id, entry.written, entry.quarantined, list(entry.issues))
+
+
+# What staged rows carry beside those of silver.
+_VERDICT = ("_rejected", "failed_rules", "quarantine_reason")
+
+
+def _write_staged(tagged: DataFrame, folder: str, ts_col: str) -> tuple[int, str | None]:
+    """All rows with their verdict; their number and largest ingestion time."""
     seen = Observation(f"load-{uuid.uuid4().hex}")
-    counted = tagged.observe(
-        seen, F.count(F.lit(1)).alias("rows"), filters.mark_of(tagged, ts_col).alias("mark"))
-    counted.write.partitionBy("_rejected").parquet(path)
-    staged = spark.read.schema(tables.plain(tagged.schema)).parquet(path)
+    tagged.observe(
+        seen, F.count(F.lit(1)).alias("rows"), filters.mark_of(tagged, ts_col).alias("mark"),
+    ).write.partitionBy("_rejected").parquet(folder)
     values = seen.get
-    return staged, int(values.get("rows") or 0), values.get("mark")
+    return int(values.get("rows") or 0), values.get("mark")
+
+
+def publish(spark: SparkSession, lake: LakePaths, table: str, entry: Entry) -> tuple[int, int]:
+    """Write the staged rows of a batch to silver and quarantine: rows of each.
+
+    All rows have one batch id, so they are written as they lie, without a shuffle."""
+    columns = {f.name: f for f in [*schema_of(entry.silver).fields,
+                                   *schema_of(entry.quarantine).fields]}
+    columns.pop("quarantine_timestamp")
+    rejected = T.StructField("_rejected", T.BooleanType())
+    staged = spark.read.schema(T.StructType([*columns.values(), rejected])).parquet(entry.folder)
+    valid = staged.filter("NOT _rejected").select(schema_of(entry.silver).names)
+    bad = staged.filter("_rejected").withColumn("quarantine_timestamp", F.current_timestamp())
+    how = "overwrite" if entry.mode == "full" else "replace"
+    quarantined, written = together(
+        lambda: tables.write(bad.select(schema_of(entry.quarantine).names),
+                             lake.quarantine(table), how, [BATCH], spread=False),
+        lambda: tables.write(valid, lake.silver(table), how, [BATCH], spread=False),
+    )
+    return written, quarantined
 
 
-def loaded_until(spark: SparkSession, lake: LakePaths, table: str) -> str | None:
-    """The largest ingestion time that a finished load of a table has taken in."""
-    path = lake.monitoring("processing_events")
-    if not tables.exists(spark, path):
-        return None
-    done = spark.read.schema(schemas.PROCESSING_EVENTS).parquet(path).filter(
-        (F.col("table_name") == table) & (F.col("event_type") == "SUCCESS"))
-    marks = done.select("timestamp", F.col("details")[LOADED].alias("mark")).dropna()
-    return marks.agg(F.max_by("mark", "timestamp")).first()[0]
+def loaded(spark: SparkSession, lake: LakePaths, table: str, standing: Standing) -> DataFrame | None:
+    """All rows that were loaded, valid and rejected ones, with the columns both have."""
+    parts = [spark.read.schema(schema).parquet(path) for schema, path in (
+        (standing.silver, lake.silver(table)), (standing.quarantine, lake.quarantine(table)))
+        if schema is not None and tables.exists(spark, path)]
+    if len(parts) == 2:
+        shared = [c for c in parts[0].columns if c in parts[1].columns]
+        return parts[0].select(shared).unionByName(parts[1].select(shared))
+    return parts[0] if parts else None
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """A table of this flow; batch ids stay text as given."""
+    """A table of this flow by its folder alone, from its footers; batch ids stay text."""
     return tables.read(spark, path, BATCH)
 
 
@@ -161,24 +244,36 @@ def read_silver(
 ) -> DataFrame:
     """The silver table; with keys, the newest row of each.
 
-    Loads only add rows, so a changed row costs its own write and not that of the table.
+    Its columns are known from the ledger.  Loads only add rows, so a changed row costs its own
+    write and not that of the table.
     """
-    rows = read_batches(spark, lake.silver(table))
+    columns, _ = ledger_of(spark, lake, table).columns()
+    rows = spark.read.schema(columns).parquet(lake.silver(table)) if columns else read_batches(
+        spark, lake.silver(table))
     if not keys:
         return rows
     return dedup(rows, keys, [F.desc("processed_timestamp"), F.desc(BATCH)])
 
 
-def save_lineage(bronze: DataFrame, lake: LakePaths, table: str, result: Result) -> None:
+def save_lineage(bronze: DataFrame, lake: LakePaths, table: str, entry: Entry) -> None:
     """Record where the silver columns come from and the share of valid rows."""
     spark = bronze.sparkSession
     names = dict(zip(projections.normalize_names(bronze).columns, bronze.columns))
-    total = result.written + result.quarantined
-    governance.lineage_record(
+    total = entry.written + entry.quarantined
+    record = f"{table}-{entry.batch_id}"
+    row = governance.lineage_record(
         spark, f"bronze.{table}", f"silver.{table}", "bronze_to_silver", f"load_{table}", names,
-        spark.sparkContext.sparkUser(), 100.0 * result.written / total if total else 100.0,
-        f"{table}-{result.batch_id}", datetime.now(timezone.utc),
-    ).coalesce(1).write.mode("append").parquet(lake.monitoring("data_lineage"))
+        spark.sparkContext.sparkUser(), 100.0 * entry.written / total if total else 100.0,
+        record, datetime.now(timezone.utc),
+    )
+    tables.write(row.coalesce(1).withColumn("load", F.lit(record)),
+                 lake.monitoring("data_lineage"), "replace", ["load"], spread=False)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete the staged rows of a batch that is done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def schema_changes(spark: SparkSession, known: T.StructType, new: DataFrame) -> list[dict]:
@@ -188,12 +283,15 @@ def schema_changes(spark: SparkSession, known: T.StructType, new: DataFrame) ->
     return [r.asDict() for r in changes.collect()]
 
 
-def save_summary(spark: SparkSession, lake: LakePaths, table: str, batch_id: str) -> None:
-    """Append the summary of today's processing, once there is a silver table."""
+def save_summary(spark: SparkSession, lake: LakePaths, table: str, entry: Entry) -> None:
+    """Record the summary of the day's processing, from the partitions of its batches alone."""
     if not tables.exists(spark, lake.silver(table)):
         return
-    silver = read_batches(spark, lake.silver(table))
-    row = gold.processing_summary(silver, table, batch_id).withColumn(
-        "summary_timestamp", F.current_timestamp()
-    )
-    row.coalesce(1).write.mode("append").parquet(lake.monitoring("processing_summary"))
+    day = ledger_of(spark, lake, table).published_on(datetime.now(timezone.utc))
+    silver = spark.read.schema(schema_of(entry.silver)).parquet(lake.silver(table))
+    row = gold.processing_summary(
+        silver.filter(F.col(BATCH).isin(day)), table, entry.batch_id,
+    ).withColumn("summary_timestamp", F.current_timestamp()).withColumn(
+        "load", F.lit(f"{table}-{entry.batch_id}"))
+    tables.write(row.coalesce(1), lake.monitoring("processing_summary"), "replace", ["load"],
+                 spread=False)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakejobs.operators import quality, tables
+from lakejobs.operators import filters, quality, tables
 from lakejobs.operators.dedup import first_per_key
 from lakejobs.paths import LakePaths
 from lakejobs.plans import audit, bronze_to_silver, medallion, streaming_medallion
@@ -185,6 +185,53 @@ def _(spark, d):
     )
 
 
+@case("flow_load_rerun", """
+    SELECT event_id, CASE WHEN ts <= TIMESTAMP '2024-01-10 00:00:00' THEN 'batch-1'
+                          WHEN ts <= TIMESTAMP '2024-01-20 00:00:00' THEN 'batch-2'
+                          ELSE 'batch-3' END AS batch_id,
+           event_id % 11 = 0 AS rejected, CAST(1 AS BIGINT) AS refused
+    FROM events""")
+def _(spark, d):
+    """Loads that are given a finished batch id again, and that stop once they are staged."""
+    lake = LakePaths(fresh_dir(spark, "load_rerun"))
+    bronze = star.table(spark, d, "events").selectExpr(
+        "event_id", "case when event_id % 11 = 0 then null else user_id end as user_id",
+        "ts as ingestion_timestamp")
+
+    def until(day):
+        return bronze.filter(f"ingestion_timestamp <= timestamp_ntz'2024-01-{day} 00:00:00'")
+
+    bronze_to_silver.run(until(10), lake, "events", "batch-1")
+    refused = 0
+    try:
+        bronze_to_silver.run(bronze, lake, "events", "batch-1")
+    except bronze_to_silver.LoadFinished:
+        refused = 1
+    standing = bronze_to_silver.ledger_of(spark, lake, "events").standing("batch-2")
+    bronze_to_silver.stage(until(20), lake, "events", "batch-2", standing)
+    bronze_to_silver.run(bronze, lake, "events", "batch-3")
+    silver = bronze_to_silver.read_silver(spark, lake, "events")
+    bad = bronze_to_silver.read_batches(spark, lake.quarantine("events"))
+    return silver.select("event_id", "batch_id", F.lit(False).alias("rejected")).union(
+        bad.select("event_id", "batch_id", F.lit(True))).withColumn(
+        "refused", F.lit(refused).cast("long"))
+
+
+@case("flow_load_late", """
+    SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'batch-2' ELSE 'batch-1' END AS batch_id
+    FROM events WHERE event_id % 5 <> 0 OR ts > (SELECT max(ts) FROM events WHERE event_id % 5 <> 0)
+                                                - INTERVAL 240 HOUR""")
+def _(spark, d):
+    """A fifth of the events arrives behind the others; those at most ten days late are loaded."""
+    lake = LakePaths(fresh_dir(spark, "load_late"))
+    bronze = star.table(spark, d, "events").selectExpr("event_id", "ts as ingestion_timestamp")
+    late = filters.Late(("event_id",), hours=240)
+    for batch, rows in (("batch-1", bronze.filter("event_id % 5 <> 0")), ("batch-2", bronze),
+                        ("batch-3", bronze)):
+        bronze_to_silver.run(rows, lake, "events", batch, late=late)
+    return bronze_to_silver.read_silver(spark, lake, "events").select("event_id", "batch_id")
+
+
 @case("flow_load_quarantine", "SELECT event_id, event_type, batch_id, 'user_id_set' AS failed_rules,"
       " 'Validation failed' AS quarantine_reason FROM (" + _LOADED.format("=") + ")")
 def _(spark, d):

@@ -25,6 +25,11 @@ PROCESSING_EVENTS = _struct(
     timestamp=_TS, batch_id=_S, table_name=_S, event_type=_S, message=_S, details=_MAP,
 )
 
+LOAD_LEDGER = _struct(
+    at=_TS, batch_id=_S, state=_S, mode=_S, folder=_S, rows=_L, mark=_S, written=_L,
+    quarantined=_L, issues=_LIST, silver=_S, quarantine=_S, published=_TS,
+)
+
 PROCESSING_SUMMARY = _struct(
     table_name=_S, batch_id=_S, record_count=_L, last_processed=_TS, batch_count=_L,
     summary_timestamp=_TS,

@@ -1,8 +1,8 @@
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from lakejobs.operators import gold, quality, tables
+from lakejobs.operators import filters, gold, ledger, quality, tables
 from lakejobs.operators.quality import Checks, QualityGateError
 from lakejobs.paths import LakePaths
 from lakejobs.plans import audit, bronze_to_silver, medallion
@@ -78,23 +78,124 @@ def test_incremental_load(spark, lake):
     assert rows(summary.select("batch_id", "record_count", "batch_count")) == [("b1", 1, 1), ("b2", 2, 2)]
 
 
-def test_a_dead_run_is_run_again(spark, lake, monkeypatch):
-    """A run that dies between its two tables leaves no row twice and loses none."""
-    real = tables.write
+# Everything that a load writes, in its order; a run may die before any of them.
+STEPS = ["stage", "ledger staged", "quarantine", "silver", "ledger published", "lineage", "summary",
+         "ledger done"]
 
-    def dies(df, path, *args):
-        if path == lake.silver("events"):
+
+def dying(monkeypatch, lake, step):
+    """Let the next load die before a step, once."""
+    left = [step]
+
+    def dies(name):
+        if name in left:
+            left.remove(name)
             raise RuntimeError("executor lost")
-        return real(df, path, *args)
-
-    monkeypatch.setattr(tables, "write", dies)
-    with pytest.raises(RuntimeError, match="executor lost"):
-        bronze_to_silver.run(bronze(spark, DAY1), lake, "events", "b1")
-    monkeypatch.setattr(tables, "write", real)
-    done = bronze_to_silver.run(bronze(spark, DAY1), lake, "events", "b1")
-    assert (done.written, done.quarantined) == (1, 1)
-    assert bronze_to_silver.read_silver(spark, lake, "events").count() == 1
-    assert bronze_to_silver.read_batches(spark, lake.quarantine("events")).count() == 1
+
+    write, add, staged = tables.write, ledger.Ledger.add, bronze_to_silver._write_staged
+    places = {lake.quarantine("events"): "quarantine", lake.silver("events"): "silver",
+              lake.monitoring("data_lineage"): "lineage",
+              lake.monitoring("processing_summary"): "summary"}
+    monkeypatch.setattr(tables, "write", lambda df, path, *a, **k: (
+        dies(places.get(path)), write(df, path, *a, **k))[1])
+    monkeypatch.setattr(ledger.Ledger, "add", lambda self, entry: (
+        dies(f"ledger {entry.state}"), add(self, entry))[1])
+    monkeypatch.setattr(bronze_to_silver, "_write_staged", lambda *a: (dies("stage"), staged(*a))[1])
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_dead_run_is_taken_up(spark, lake, monkeypatch, step):
+    """Whatever step a run dies at, no row is lost or doubled, by its own id or by the next load."""
+    early, late = bronze(spark, DAY1), bronze(spark, DAY1 + DAY2)
+    with monkeypatch.context() as patched:
+        dying(patched, lake, step)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            bronze_to_silver.run(early, lake, "events", "b1")
+    # More has arrived since: a staged batch keeps its own input, one that is not takes it all.
+    with monkeypatch.context() as patched:
+        dying(patched, lake, step)
+        own = step != "stage" and step != "ledger staged"
+        with pytest.raises(RuntimeError, match="executor lost"):
+            bronze_to_silver.run(late, lake, "events", "b1")
+    last = bronze_to_silver.run(late, lake, "events", "b2")
+    silver = bronze_to_silver.read_silver(spark, lake, "events")
+    bad = bronze_to_silver.read_batches(spark, lake.quarantine("events"))
+    first = "b1" if own else "b2"
+    assert rows(silver.select("event_id", "batch_id")) == [(1, first), (3, "b2")]
+    assert rows(bad.select("event_id", "batch_id")) == [(2, first), (4, "b2")]
+    assert (last.written, last.quarantined) == ((1, 1) if own else (2, 2))
+    lineage = tables.read(spark, lake.monitoring("data_lineage"))
+    assert rows(lineage.select("lineage_id")) == [(f"events-{b}",) for b in (["b1"] if own else []) + ["b2"]]
+    summary = tables.read(spark, lake.monitoring("processing_summary"))
+    assert rows(summary.select("batch_id", "record_count")) == ([("b1", 1)] if own else []) + [("b2", 2)]
+
+
+def test_a_finished_batch_is_refused(spark, lake):
+    bronze_to_silver.run(bronze(spark, DAY1), lake, "events", "b1")
+    with pytest.raises(ledger.LoadFinished):
+        bronze_to_silver.run(bronze(spark, DAY1 + DAY2), lake, "events", "b1")
+    assert rows(bronze_to_silver.read_silver(spark, lake, "events").select("event_id")) == [(1,)]
+    assert bronze_to_silver.run(bronze(spark, DAY1 + DAY2), lake, "events", "b2").written == 1
+    again = bronze_to_silver.run(bronze(spark, []), lake, "empty", "b1")
+    assert again.written == 0
+    with pytest.raises(ledger.LoadFinished):
+        bronze_to_silver.run(bronze(spark, DAY1), lake, "empty", "b1")
+
+
+def test_a_batch_stopped_at_the_gate_starts_anew(spark, lake):
+    bad = bronze(spark, [(1, "u1", None, "2024-01-01 00:00:00")])
+    with pytest.raises(QualityGateError):
+        bronze_to_silver.run(bad, lake, "events", "b1", Checks("critical"))
+    mended = bronze(spark, [(1, "u1", "now set", "2024-01-01 00:00:00")])
+    assert bronze_to_silver.run(mended, lake, "events", "b1").written == 1
+
+
+def test_a_load_does_not_shuffle_its_rows(spark, lake, monkeypatch):
+    """All rows have one batch id, so nothing is dealt out anew on the way to the tables."""
+    seen = {}
+    write = tables.write
+
+    def planned(df, path, *args, **kwargs):
+        seen[path] = (plan(df), kwargs.get("spread", True))
+        return write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "write", planned)
+    bronze_to_silver.run(bronze(spark, DAY1), lake, "events", "b1")
+    for path in (lake.silver("events"), lake.quarantine("events")):
+        text, spread = seen[path]
+        assert "Exchange" not in text and not spread
+
+
+def test_late_rows(spark, lake):
+    """A row that arrives behind the mark is loaded once, none twice."""
+    late = filters.Late(("Event-ID",), hours=24 * 10)
+    bronze_to_silver.run(bronze(spark, DAY1 + DAY2), lake, "events", "b1", late=late)
+    more = [(5, "u5", "late", "2024-01-01 12:00:00"), (6, "u6", "at the mark", "2024-01-03 00:00:00"),
+            (7, "u7", "too late", "2023-12-01 00:00:00"), (None, "u8", "no key", "2024-01-02 01:00:00"),
+            (3, "u3", "known key, other time", "2024-01-02 05:00:00"), (8, None, "bad", "2024-01-02 02:00:00")]
+    second = bronze_to_silver.run(bronze(spark, DAY1 + DAY2 + more), lake, "events", "b2", late=late)
+    assert (second.written, second.quarantined) == (3, 1)
+    third = bronze_to_silver.run(bronze(spark, DAY1 + DAY2 + more), lake, "events", "b3", late=late)
+    assert (third.written, third.quarantined) == (0, 0)
+    last = bronze(spark, DAY1 + DAY2 + more + [(9, "u9", "later still", "2024-01-02 00:00:01")])
+    fourth = bronze_to_silver.run(last, lake, "events", "b4", late=late)
+    fifth = bronze_to_silver.run(last, lake, "events", "b5")  # late rows did not set the mark back
+    assert (fourth.written, fifth.written) == (1, 0)
+    silver = bronze_to_silver.read_silver(spark, lake, "events").filter("batch_id = 'b2'")
+    assert rows(silver.select("event_id", "note")) == [
+        (3, "known key, other time"), (5, "late"), (6, "at the mark")]
+    plain = bronze_to_silver.run(bronze(spark, DAY1 + more), lake, "other", "b1")
+    assert (plain.written, plain.quarantined) == (5, 3)  # without a mark, all rows are new
+
+
+def test_key_filter_lets_known_keys_through(spark):
+    known = spark.range(0, 40_000, 2).withColumn("t", F.lit("x"))
+    asked = spark.range(0, 40_000).withColumn("t", F.lit("x"))
+    marked = filters.perhaps_among(asked, ["id", "t"], filters.key_filter(known, ["id", "t"]))
+    counts = marked.groupBy((F.col("id") % 2).alias("odd"), "_perhaps").count().collect()
+    found = {(r.odd, r._perhaps): r["count"] for r in counts}
+    assert found[0, True] == 20_000 and (0, False) not in found
+    assert found[1, False] > 19_900  # few others share a bit
 
 
 def test_empty_and_timeless_loads(spark, lake):
