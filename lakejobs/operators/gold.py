@@ -84,13 +84,17 @@ def sales_analytics(sales: DataFrame, customers: DataFrame, products: DataFrame)
             F.countDistinct("customer_id").alias("unique_customers"),
             F.countDistinct("product_id").alias("unique_products"),
         )
-        .withColumns({
-            "sales_per_customer": classes.ratio("total_sales", "unique_customers"),
-            "products_per_transaction": classes.ratio("unique_products", "transaction_count"),
-        })
+        .transform(with_analytics_ratios)
     )
 
 
+def with_analytics_ratios(groups: DataFrame) -> DataFrame:
+    return groups.withColumns({
+        "sales_per_customer": classes.ratio("total_sales", "unique_customers"),
+        "products_per_transaction": classes.ratio("unique_products", "transaction_count"),
+    })
+
+
 def customer_360(
     sales: DataFrame, customers: DataFrame, high: float = 1000, medium: float = 500
 ) -> DataFrame:
@@ -105,13 +109,19 @@ def customer_360(
             F.max("sale_date").alias("last_purchase_date"),
             F.countDistinct("product_id").alias("unique_products_purchased"),
         )
-        .withColumn(
-            "customer_tenure_days", F.datediff("last_purchase_date", "first_purchase_date")
-        )
-        .withColumn(
-            "purchase_frequency",
-            classes.ratio("total_transactions", F.col("customer_tenure_days") + 1),
-        )
+    )
+    return with_purchases(customers, metrics, high, medium)
+
+
+def with_purchases(
+    customers: DataFrame, metrics: DataFrame, high: float = 1000, medium: float = 500
+) -> DataFrame:
+    """Every customer with the totals of those that bought, tenure, frequency and segment."""
+    metrics = metrics.withColumn(
+        "customer_tenure_days", F.datediff("last_purchase_date", "first_purchase_date")
+    ).withColumn(
+        "purchase_frequency",
+        classes.ratio("total_transactions", F.col("customer_tenure_days") + 1),
     )
     return customers.join(metrics, "customer_id", "left").withColumn(
         "customer_value_segment", classes.value_segment("lifetime_value", high, medium)
@@ -136,8 +146,17 @@ def product_performance(
             F.min("sale_date").alias("first_sale_date"),
             F.max("sale_date").alias("last_sale_date"),
         )
-        .withColumn("revenue_per_customer", classes.ratio("total_revenue", "unique_customers"))
     )
+    return with_performance(products, metrics, as_of, w_rev, w_cust)
+
+
+def with_performance(
+    products: DataFrame, metrics: DataFrame, as_of: str | Column | None = None,
+    w_rev: float = 0.6, w_cust: float = 0.4,
+) -> DataFrame:
+    """Every product with the totals of those sold, score and recency status."""
+    metrics = metrics.withColumn(
+        "revenue_per_customer", classes.ratio("total_revenue", "unique_customers"))
     return products.join(metrics, "product_id", "left").withColumns({
         "performance_score": classes.performance_score(
             "total_revenue", "unique_customers", w_rev, w_cust

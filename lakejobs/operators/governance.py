@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakejobs import schemas
 from lakejobs.functions import classes, clock
-from lakejobs.operators import quality
+from lakejobs.operators import quality, tables
 from lakejobs.operators.quantiles import exact_quantiles
 
 # Column-name patterns of each class, the number of patterns that
@@ -236,7 +236,8 @@ def lineage_record(
 ) -> DataFrame:
     """One lineage row; ``mapping`` goes from target column to source column."""
     row = (record_id, source, target, kind, flow, when, user, mapping, score, when)
-    return spark.createDataFrame([row], schemas.DATA_LINEAGE)
+    cells = dict(zip(schemas.DATA_LINEAGE.names, row, strict=True))
+    return tables.few_rows(spark, [cells], schemas.DATA_LINEAGE)
 
 
 def access_by_day(audit: DataFrame) -> DataFrame:

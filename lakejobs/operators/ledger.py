@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from lakejobs.operators import tables
 from lakejobs.schemas import LOAD_LEDGER
+from lakejobs.session import path_exists
 
 STAGED, PUBLISHED, DONE = "staged", "published", "done"
 
@@ -49,13 +50,15 @@ class Entry:
 
 @dataclass(frozen=True)
 class Standing:
-    """What the ledger says at the start of a load."""
+    """What the ledger says: the batch's own last row, batches that did not end, where the next
+    load begins, the columns of both tables, and the batches published on the day."""
 
-    own: Entry | None
-    open: list[Entry]
-    mark: str | None
-    silver: T.StructType | None
-    quarantine: T.StructType | None
+    own: Entry | None = None
+    open: tuple[Entry, ...] = ()
+    mark: str | None = None
+    silver: T.StructType | None = None
+    quarantine: T.StructType | None = None
+    today: tuple[str, ...] = ()
 
 
 def schema_of(text: str | None) -> T.StructType | None:
@@ -67,50 +70,37 @@ class Ledger:
         self.spark, self.path = spark, path
 
     def add(self, entry: Entry) -> Entry:
-        cells = asdict(entry) | {"at": datetime.now(timezone.utc), "issues": list(entry.issues)}
-        row = [tuple(cells[f.name] for f in LOAD_LEDGER.fields)]
-        self.spark.createDataFrame(row, LOAD_LEDGER).coalesce(1).write.mode("append").parquet(self.path)
+        cells = asdict(entry) | {"at": datetime.now(timezone.utc)}
+        tables.few_rows(self.spark, [cells], LOAD_LEDGER).write.mode("append").parquet(self.path)
         return entry
 
-    def _last(self):
-        """The last row of every batch."""
+    def standing(self, batch_id: str | None = None) -> Standing:
+        """What the ledger says to a batch, in one pass over the last rows of all batches.
+
+        Marks and columns are those of the batch published last; of the batches that are done,
+        only the names of today's are taken out."""
+        if not path_exists(self.spark, self.path):
+            return Standing()
         rows = self.spark.read.schema(LOAD_LEDGER).parquet(self.path)
-        return rows.groupBy("batch_id").agg(
-            F.max_by(F.struct(*LOAD_LEDGER.names), "at").alias("e")).select("e.*")
-
-    def standing(self, batch_id: str) -> Standing:
-        """The batch's own last row, batches that did not end, and where the next load begins.
-
-        Marks and columns are those of the batch published last."""
-        if not tables.exists(self.spark, self.path):
-            return Standing(None, [], None, None, None)
-        last = self._last()
-        unfinished = (F.col("state") != DONE)
-        rows = last.filter(unfinished | (F.col("batch_id") == batch_id)).collect()
-        newest = last.filter("state <> 'staged'").agg(
-            F.max_by("silver", "published"), F.max_by("quarantine", "published"),
-            F.max_by("mark", F.when(F.col("mark").isNotNull(), F.col("published")))).first()
-        entries = [self._entry(r) for r in sorted(rows, key=lambda r: r.at)]
+        last = rows.groupBy("batch_id").agg(
+            F.max_by(F.struct(*LOAD_LEDGER.names), "at").alias("e"))
+        published = F.when(F.col("e.state") != STAGED, F.col("e.published"))
+        wanted = (F.col("e.state") != DONE) | (F.col("batch_id") == batch_id)
+        day = datetime.now(timezone.utc).date()
+        found = last.agg(
+            F.collect_list(F.when(wanted, F.col("e"))).alias("entries"),
+            F.max_by("e.silver", published), F.max_by("e.quarantine", published),
+            F.max_by("e.mark", F.when(F.col("e.mark").isNotNull(), published)),
+            F.collect_list(F.when(F.to_date(published) == F.lit(day), F.col("batch_id"))),
+        ).first()
+        entries = [self._entry(r) for r in sorted(found.entries, key=lambda r: r.at)]
         return Standing(
             next((e for e in entries if e.batch_id == batch_id), None),
-            [e for e in entries if e.state != DONE], newest[2],
-            schema_of(newest[0]), schema_of(newest[1]))
+            tuple(e for e in entries if e.state != DONE), found[3], schema_of(found[1]),
+            schema_of(found[2]), tuple(found[4]))
 
     @staticmethod
     def _entry(row) -> Entry:
         cells = row.asDict()
         cells.pop("at")
         return Entry(**cells | {"issues": tuple(cells["issues"] or ())})
-
-    def published_on(self, day: datetime) -> list[str]:
-        """The batches that were published on a day (UTC)."""
-        rows = self._last().filter(F.to_date(F.lit(day)) == F.to_date("published"))
-        return [r.batch_id for r in rows.select("batch_id").collect()]
-
-    def columns(self) -> tuple[T.StructType | None, T.StructType | None]:
-        """The columns of silver and quarantine, without a look at their files."""
-        if not tables.exists(self.spark, self.path):
-            return None, None
-        found = self._last().filter("state <> 'staged'").agg(
-            F.max_by("silver", "published"), F.max_by("quarantine", "published")).first()
-        return schema_of(found[0]), schema_of(found[1])

@@ -116,6 +116,21 @@ def append_named(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
+def few_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few rows of logs from the driver, as literals of a plan: no Python task builds them."""
+
+    def cell(value: object, kind: T.DataType) -> Column:
+        if isinstance(value, dict):
+            value = F.create_map(*[F.lit(x) for pair in value.items() for x in pair])
+        elif isinstance(value, (list, tuple)):
+            value = F.array(*[F.lit(x) for x in value])
+        return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
+
+    made = [F.struct(*[cell(r.get(f.name), f.dataType).alias(f.name) for f in schema.fields])
+            for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*made)))
+
+
 # -- loads and files -------------------------------------------------------
 
 

@@ -18,6 +18,7 @@ from lakejobs.operators.ledger import (
 )
 from lakejobs.paths import LakePaths
 from lakejobs.plans.together import together
+from lakejobs.session import path_exists
 
 # The partition column of silver and quarantine.
 BATCH = "batch_id"
@@ -40,15 +41,16 @@ class EventLog:
         self.batch_id, self.table, self.rows = batch_id, table, []
 
     def add(self, kind: str, message: str, **details: object) -> None:
-        self.rows.append((
-            datetime.now(timezone.utc), self.batch_id, self.table, kind, message,
-            {k: str(v) for k, v in details.items()},
-        ))
+        self.rows.append({
+            "timestamp": datetime.now(timezone.utc), "batch_id": self.batch_id,
+            "table_name": self.table, "event_type": kind, "message": message,
+            "details": {k: str(v) for k, v in details.items()},
+        })
 
-    def save(self, spark: SparkSession, path: str) -> None:
+    def save(self, spark: SparkSession, lake: LakePaths) -> None:
         if self.rows:
-            frame = spark.createDataFrame(self.rows, schemas.PROCESSING_EVENTS)
-            frame.coalesce(1).write.mode("append").parquet(path)
+            frame = tables.few_rows(spark, self.rows, schemas.PROCESSING_EVENTS)
+            frame.write.mode("append").parquet(lake.monitoring("processing_events"))
             self.rows = []
 
 
@@ -88,27 +90,28 @@ def run(
     standing = ledger.standing(batch_id)
     if standing.own is not None and standing.own.state == DONE:
         raise LoadFinished(f"batch {batch_id} of {table} is done")
-    for entry in standing.open:
-        if entry.batch_id != batch_id:
-            finish(bronze, lake, table, entry)
-    entry = standing.own
-    if standing.open:
+    others = [e for e in standing.open if e.batch_id != batch_id]
+    for entry in others:
+        finish(bronze, lake, table, entry, standing, EventLog(entry.batch_id, table))
+    if others:
         standing = ledger.standing(batch_id)
+    log, entry = EventLog(batch_id, table), standing.own
     if entry is None:
-        entry = stage(bronze, lake, table, batch_id, standing, checks, mode, ts_col, late)
-    return finish(bronze, lake, table, entry)
+        entry = stage(bronze, lake, table, batch_id, standing, checks, mode, ts_col, late, log)
+    return finish(bronze, lake, table, entry, standing, log)
 
 
 def stage(
     bronze: DataFrame, lake: LakePaths, table: str, batch_id: str, standing: Standing,
     checks: quality.Checks = quality.Checks(), mode: str = "incremental",
     ts_col: str = "ingestion_timestamp", late: filters.Late | None = None,
+    log: EventLog | None = None,
 ) -> Entry:
     """Read and clean the input once into a folder of the batch, and check it.
 
     The batch is in the ledger once its rows lie there whole and have passed the gate."""
     spark = bronze.sparkSession
-    log, issues = EventLog(batch_id, table), []
+    log, issues = log or EventLog(batch_id, table), []
     try:
         log.add("INFO", "Load begins", mode=mode, level=checks.level)
         source = bronze
@@ -150,18 +153,20 @@ def stage(
             silver=silver.json(), quarantine=quarantine.json()))
     except Exception as error:
         log.add("ERROR", f"Load stopped: {error}")
+        log.save(spark, lake)
         raise
-    finally:
-        log.save(spark, lake.monitoring("processing_events"))
 
 
-def finish(bronze: DataFrame, lake: LakePaths, table: str, entry: Entry) -> Result:
+def finish(
+    bronze: DataFrame, lake: LakePaths, table: str, entry: Entry, standing: Standing,
+    log: EventLog,
+) -> Result:
     """Publish a staged batch and log it; what a dead run did of it already is done over.
 
     Both tables, the lineage and the summary hold one partition per batch, which a second try
     replaces."""
     spark = bronze.sparkSession
-    ledger, log = ledger_of(spark, lake, table), EventLog(entry.batch_id, table)
+    ledger = ledger_of(spark, lake, table)
     try:
         loads = entry.rows or entry.mode == "full"
         if entry.state == STAGED:
@@ -171,10 +176,9 @@ def finish(bronze: DataFrame, lake: LakePaths, table: str, entry: Entry) -> Resu
             entry = ledger.add(entry.now(
                 PUBLISHED, written=written, quarantined=quarantined,
                 published=datetime.now(timezone.utc)))
-        if loads:
-            save_lineage(bronze, lake, table, entry)
-        if entry.rows:
-            save_summary(spark, lake, table, entry)
+        day = sorted({*standing.today, entry.batch_id})
+        together(*[lambda: save_lineage(bronze, lake, table, entry)] * bool(loads),
+                 *[lambda: save_summary(spark, lake, table, entry, day)] * bool(entry.rows))
         if entry.quarantined:
             log.add("WARNING", "Rows were quarantined", records=entry.quarantined)
         log.add("SUCCESS", "Load complete", records_processed=entry.written,
@@ -185,7 +189,7 @@ def finish(bronze: DataFrame, lake: LakePaths, table: str, entry: Entry) -> Resu
         log.add("ERROR", f"Load stopped: {error}")
         raise
     finally:
-        log.save(spark, lake.monitoring("processing_events"))
+        log.save(spark, lake)
     return Result(entry.batch_id, entry.written, entry.quarantined, list(entry.issues))
 
 
@@ -247,7 +251,7 @@ def read_silver(
     Its columns are known from the ledger.  Loads only add rows, so a changed row costs its own
     write and not that of the table.
     """
-    columns, _ = ledger_of(spark, lake, table).columns()
+    columns = ledger_of(spark, lake, table).standing().silver
     rows = spark.read.schema(columns).parquet(lake.silver(table)) if columns else read_batches(
         spark, lake.silver(table))
     if not keys:
@@ -266,7 +270,7 @@ def save_lineage(bronze: DataFrame, lake: LakePaths, table: str, entry: Entry) -
         spark.sparkContext.sparkUser(), 100.0 * entry.written / total if total else 100.0,
         record, datetime.now(timezone.utc),
     )
-    tables.write(row.coalesce(1).withColumn("load", F.lit(record)),
+    tables.write(row.withColumn("load", F.lit(record)),
                  lake.monitoring("data_lineage"), "replace", ["load"], spread=False)
 
 
@@ -278,16 +282,19 @@ def remove(spark: SparkSession, folder: str) -> None:
 
 def schema_changes(spark: SparkSession, known: T.StructType, new: DataFrame) -> list[dict]:
     """Columns added, removed or of another type; at most one record per column."""
+    if {f.name: f.dataType for f in known} == {f.name: f.dataType for f in new.schema}:
+        return []
     old = spark.createDataFrame([], known)
     changes = quality.schema_diff(quality.schema_frame(new), quality.schema_frame(old))
     return [r.asDict() for r in changes.collect()]
 
 
-def save_summary(spark: SparkSession, lake: LakePaths, table: str, entry: Entry) -> None:
+def save_summary(
+    spark: SparkSession, lake: LakePaths, table: str, entry: Entry, day: list[str]
+) -> None:
     """Record the summary of the day's processing, from the partitions of its batches alone."""
-    if not tables.exists(spark, lake.silver(table)):
+    if not path_exists(spark, lake.silver(table)):
         return
-    day = ledger_of(spark, lake, table).published_on(datetime.now(timezone.utc))
     silver = spark.read.schema(schema_of(entry.silver)).parquet(lake.silver(table))
     row = gold.processing_summary(
         silver.filter(F.col(BATCH).isin(day)), table, entry.batch_id,

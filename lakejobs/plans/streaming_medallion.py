@@ -1,7 +1,7 @@
 """Streaming flow: three file sources to bronze and silver, then gold in batch.
 
-Gold is recomputed in batch because distinct counts are not possible on a
-stream.
+Distinct counts are not possible on a stream, so gold is made in batch, from the new sales
+and what earlier runs have summed up.
 """
 
 from __future__ import annotations
@@ -13,36 +13,49 @@ from pyspark.sql import functions as F
 
 from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
+from lakejobs.plans import incremental_gold
 from lakejobs.plans.together import together
-from lakejobs.streaming.ingest import CORRUPT, ingest_stream, start_table
-from lakejobs.streaming.silver import stream_silver
+from lakejobs.streaming.ingest import (
+    CORRUPT, RECORDS, drawn, ingest_stream, read_records, register_records, start_table,
+)
+from lakejobs.streaming.silver import last_epoch, read_silver, stream_silver
 
 SOURCES = {"sales": "json", "customers": "csv", "products": "parquet"}
 
 
 def ingest(spark: SparkSession, landing: dict[str, str], lake: LakePaths, batch_id: str) -> dict:
-    """Load the new files of every source into bronze; the sources run side by side."""
+    """Load the new files of every source into bronze; the sources run side by side.
+
+    Returns the columns of each source.  JSON lines are kept whole in bronze, and their columns
+    are looked up there once they have arrived, so none can be missed."""
     streams = {
         name: ingest_stream(spark, landing[name], fmt, lake.schema(name), batch_id)
-        for name, fmt in SOURCES.items()
+        for name, fmt in SOURCES.items() if name in landing
     }
     running = [
-        start_table(df, lake.bronze(name), lake.checkpoint(f"bronze_{name}"))
+        start_table(df, lake.bronze(name), lake.checkpoint(f"bronze_{name}"),
+                    ["batch_id"] if SOURCES[name] == "json" else None)
         for name, df in streams.items()
     ]
     for query in running:
         query.awaitTermination()
-    return {name: df.schema for name, df in streams.items()}
+    return {
+        name: register_records(spark, lake.bronze(name), lake.schema(name))
+        if SOURCES[name] == "json" else df.schema
+        for name, df in streams.items()
+    }
 
 
 def refine(
     spark: SparkSession, schemas: dict, lake: LakePaths,
     as_of: str | None = None, watermark: tuple[str, str] | None = None, env: str = "dev",
+    sale_order: list[str] | None = None,
 ) -> None:
     """Clean, validate and deduplicate new bronze rows into silver.
 
     Outside production silver customers have masked addresses only.  Lines that do
-    not fit the schema go to quarantine instead.
+    not fit the schema go to quarantine instead.  Of the copies of a sale, the first that
+    arrived stays, and of those that arrive together, the first by ``sale_order``.
     """
 
     def customers(df: DataFrame) -> DataFrame:
@@ -56,14 +69,20 @@ def refine(
         ),
     }
     running = []
-    for name, (clean, rules, keys, keep) in steps.items():
-        bronze = spark.readStream.schema(schemas[name]).parquet(lake.bronze(name))
+    for name in schemas:
+        clean, rules, keys, keep = steps[name]
+        records = SOURCES[name] == "json"
+        bronze = spark.readStream.schema(RECORDS if records else schemas[name]).parquet(
+            lake.bronze(name))
+        if records:
+            bronze = drawn(bronze, schemas[name])
         running.append(stream_silver(
             bronze, lake.silver(name), lake.checkpoint(f"silver_{name}"), clean, rules, keys,
             watermark if name == "sales" else None, keep,
             partial(projections.mask_email, env=env) if name == "customers" else None,
+            sale_order if name == "sales" else None,
         ))
-        if CORRUPT in schemas[name].names:
+        if CORRUPT in bronze.columns:
             running.append(start_table(
                 bronze.filter(F.col(CORRUPT).isNotNull()), lake.quarantine(name),
                 lake.checkpoint(f"quarantine_{name}"),
@@ -76,15 +95,22 @@ def build_gold(
     spark: SparkSession, lake: LakePaths, as_of: str | None = None,
     high: float = 1000, medium: float = 500,
 ) -> None:
-    """Recompute the gold tables from silver, whose addresses are masked as the stage asks."""
-    sales = spark.read.parquet(lake.silver("sales"))
-    customers = spark.read.parquet(lake.silver("customers"))
-    products = spark.read.parquet(lake.silver("products"))
-    results = {
-        "sales_analytics": gold.sales_analytics(sales, customers, products),
-        "customer_360": gold.customer_360(sales, customers, high, medium),
-        "product_performance": gold.product_performance(sales, products, as_of),
-    }
+    """Bring the gold tables up to date: new sales are added to what earlier runs summed up."""
+    sales_path = lake.silver("sales")
+    until = last_epoch(spark, sales_path)
+    customers = read_silver(spark, lake.silver("customers"))
+    products = read_silver(spark, lake.silver("products"))
+    if until is None:  # a table without epochs is read whole
+        sales = read_silver(spark, sales_path)
+        results = {
+            "sales_analytics": gold.sales_analytics(sales, customers, products),
+            "customer_360": gold.customer_360(sales, customers, high, medium),
+            "product_performance": gold.product_performance(sales, products, as_of),
+        }
+    else:
+        results = incremental_gold.refresh(
+            spark, lake, lambda after: read_silver(spark, sales_path, after), until,
+            customers, products, as_of, high, medium)
     together(*[
         partial(tables.write, projections.process_audit(df), lake.gold(name))
         for name, df in results.items()
@@ -97,9 +123,12 @@ def quality_table(spark: SparkSession, lake: LakePaths) -> DataFrame:
     def at(path: str):
         return lambda: spark.read.parquet(path)
 
+    def bronze() -> DataFrame:
+        return read_records(spark, lake.bronze("sales"), lake.schema("sales"))
+
     return quality.all_table_metrics(spark, [
-        (at(lake.bronze("sales")), "bronze_sales_raw", "bronze", None),
-        (at(lake.silver("sales")), "silver_sales_cleaned", "silver", None),
+        (bronze, "bronze_sales_raw", "bronze", None),
+        (lambda: read_silver(spark, lake.silver("sales")), "silver_sales_cleaned", "silver", None),
         (at(lake.gold("sales_analytics")), "gold_sales_analytics", "gold", None),
     ])
 
@@ -107,10 +136,10 @@ def quality_table(spark: SparkSession, lake: LakePaths) -> DataFrame:
 def run(
     spark: SparkSession, landing: dict[str, str], lake: LakePaths, batch_id: str,
     env: str = "dev", as_of: str | None = None, high: float = 1000, medium: float = 500,
-    watermark: tuple[str, str] | None = None,
+    watermark: tuple[str, str] | None = None, sale_order: list[str] | None = None,
 ) -> DataFrame:
-    """Take in what has landed, refine it, rebuild gold and measure quality."""
+    """Take in what has landed, refine it, bring gold up to date and measure quality."""
     schemas = ingest(spark, landing, lake, batch_id)
-    refine(spark, schemas, lake, as_of, watermark, env)
+    refine(spark, schemas, lake, as_of, watermark, env, sale_order)
     build_gold(spark, lake, as_of, high, medium)
     return quality_table(spark, lake)

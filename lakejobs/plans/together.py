@@ -12,5 +12,7 @@ def together(*steps: Callable[[], object]) -> list[object]:
     Each step is one Spark write.  Submitting them at once lets the tasks of one
     fill the cores another leaves idle.  All steps end before an error is raised.
     """
+    if not steps:
+        return []
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         return [job.result() for job in [pool.submit(step) for step in steps]]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakejobs.operators import filters, quality, tables
-from lakejobs.operators.dedup import first_per_key
 from lakejobs.paths import LakePaths
 from lakejobs.plans import audit, bronze_to_silver, medallion, streaming_medallion
 from lakejobs.plans.together import together
@@ -13,6 +12,8 @@ from lakejobs.registry import entities
 from lakejobs.registry.case import case
 from lakejobs.session import fresh_dir
 from lakejobs.sources import star_tables as star
+from lakejobs.streaming.ingest import ingest_stream, read_records, start_table
+from lakejobs.streaming.silver import read_silver as read_streamed
 
 
 @case("flow_medallion_summary", """
@@ -30,28 +31,36 @@ def medallion_summary(spark, d):
     return medallion.run(star.sales_raw(spark, d), lake, "batch-1")
 
 
-# One copy of each sale, as it lands, and the copies that silver keeps.  The flow takes the
-# usual category synonyms, none of which occurs among the part types.
+# Copies of each sale as they land in two waves, and the one that silver keeps: the first valid one
+# to arrive, and within a wave the first in order.  Every sale of an even quantity also lands
+# in the second wave with a higher amount.  The flow takes the usual category synonyms, none of
+# which occurs among the part types.
 _STREAMED = """
-    , one AS (
-        SELECT * FROM (
-            SELECT *, row_number() OVER (PARTITION BY sale_id, sale_date
-                ORDER BY product_id, store_id, quantity, sale_amount) AS nth FROM sales_raw)
-        WHERE nth = 1),
-    kept AS (SELECT * REPLACE (CAST(sale_amount AS DECIMAL(12,2)) AS sale_amount) FROM one
-             WHERE sale_amount > 0 AND customer_id IS NOT NULL)"""
-
-
-def _stream(spark, d, name):
-    """Landing files in three formats, streamed to silver, then gold and metrics."""
+    , landed AS (
+        SELECT sale_id, sale_date, customer_id, product_id, sale_amount, quantity % 2 AS wave
+        FROM sales_raw
+        UNION ALL
+        SELECT sale_id, sale_date, customer_id, product_id, sale_amount + 1, 1
+        FROM sales_raw WHERE quantity % 2 = 0),
+    typed AS (SELECT * REPLACE (CAST(sale_amount AS DECIMAL(10,2)) AS sale_amount) FROM landed),
+    kept AS (
+        SELECT * FROM typed WHERE sale_amount > 0 AND customer_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY sale_id, sale_date
+                                   ORDER BY wave, product_id, sale_amount, customer_id) = 1)"""
+_SALE_ORDER = ["product_id", "sale_amount", "customer_id"]
+
+
+def _stream(spark, d, name, gold=True):
+    """Landing files in three formats in two waves, streamed to silver, then gold and metrics."""
     root = fresh_dir(spark, name)
     landing = {name: f"{root}/landing/{name}" for name in streaming_medallion.SOURCES}
     camel = {"sale_id": "saleId", "customer_id": "customerId", "product_id": "productId",
              "sale_amount": "saleAmount", "sale_date": "saleDate"}
-    # One copy of each sale, landed twice: which copy the stream keeps makes no difference.
-    one = first_per_key(star.sales_raw(spark, d), ["sale_id", "sale_date"], entities.SALE_ORDER)
-    sales = one.select(*camel).withColumnsRenamed(camel)
-    sales = sales.unionByName(sales)
+    raw = star.sales_raw(spark, d, *camel, "quantity")
+    wave = F.col("quantity") % 2
+    second = raw.withColumn(
+        "sale_amount", F.when(wave == 0, F.col("sale_amount") + 1).otherwise(F.col("sale_amount")))
+    waves = [df.select(*camel).withColumnsRenamed(camel) for df in (raw.filter(wave == 0), second)]
     customers = star.customers_raw(spark, d).withColumnsRenamed({
         "customer_id": "customerId", "first_name": "firstName", "last_name": "lastName",
         "email": "emailAddress", "phone": "phoneNumber", "registration_date": "registrationDate",
@@ -60,20 +69,27 @@ def _stream(spark, d, name):
         "product_id": "productId", "product_name": "productName", "category": "categoryName",
         "price": "productPrice",
     })
-    together(
-        lambda: sales.write.json(landing["sales"]),
-        lambda: customers.write.option("header", True).csv(landing["customers"]),
-        lambda: products.write.parquet(landing["products"]),
-    )
+    if gold:
+        together(
+            lambda: customers.write.option("header", True).csv(landing["customers"]),
+            lambda: products.write.parquet(landing["products"]),
+        )
     lake = LakePaths(f"{root}/lake")
-    return lake, streaming_medallion.run(
-        spark, landing, lake, "batch-1", as_of=star.SALES_AS_OF,
-        high=entities.HIGH_VALUE, medium=entities.MEDIUM_VALUE,
-    )
+    for number, sales in enumerate(waves):
+        sales.write.mode("append").json(landing["sales"])
+        if gold:
+            metrics = streaming_medallion.run(
+                spark, landing, lake, f"batch-{number}", as_of=star.SALES_AS_OF,
+                high=entities.HIGH_VALUE, medium=entities.MEDIUM_VALUE, sale_order=_SALE_ORDER)
+        else:
+            schemas = streaming_medallion.ingest(
+                spark, {"sales": landing["sales"]}, lake, f"batch-{number}")
+            streaming_medallion.refine(spark, schemas, lake, sale_order=_SALE_ORDER)
+            metrics = None
+    return lake, metrics
 
 
 @case("flow_streaming_medallion", _STREAMED + """,
-    landed AS (SELECT * FROM one UNION ALL SELECT * FROM one),
     gold AS (
         SELECT s.sale_date, p.category, c.customer_segment FROM kept s
         LEFT JOIN silver_customers c ON s.customer_id = c.customer_id
@@ -85,7 +101,8 @@ def _stream(spark, d, name):
                 - count(product_id) - count(sale_amount)) * 100.0 / (8 * count(*)) AS share
         FROM landed
         UNION ALL
-        SELECT 'silver_sales_cleaned', 'silver', count(*), 0.0 FROM kept
+        SELECT 'silver_sales_cleaned', 'silver', count(*),
+               (count(*) - count(product_id)) * 100.0 / count(*) FROM kept
         UNION ALL
         SELECT 'gold_sales_analytics', 'gold', count(*),
                (2 * count(*) - count(category) - count(customer_segment)) * 100.0 / (13 * count(*))
@@ -98,8 +115,38 @@ def _(spark, d):
     return metrics.drop("check_timestamp", "error_message")
 
 
+@case("flow_streaming_dedup", _STREAMED + """
+    SELECT sale_id, sale_date::VARCHAR AS sale_date, customer_id, product_id,
+           CAST(sale_amount AS DOUBLE) AS sale_amount, concat('batch-', wave) AS batch_id
+    FROM kept""", "sales_raw")
+def _(spark, d):
+    """Silver sales of two runs: which of differing copies stays."""
+    lake, _ = _stream(spark, d, "streaming_dedup", gold=False)
+    return read_streamed(spark, lake.silver("sales")).select(
+        "sale_id", "sale_date", "customer_id", "product_id", "sale_amount", "batch_id")
+
+
+@case("flow_stream_late_column", """
+    SELECT event_id, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id,
+           CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type, value,
+           NULL AS _corrupt_record FROM events""")
+def _(spark, d):
+    """Columns of files that land once the stream is set up, but before it runs."""
+    root = fresh_dir(spark, "late_column")
+    lake = LakePaths(f"{root}/lake")
+    events = star.table(spark, d, "events")
+    events.filter("event_id % 2 = 0").select("event_id", "value").write.json(f"{root}/in")
+    stream = ingest_stream(spark, f"{root}/in", "json", lake.schema("events"), "batch-1")
+    events.filter("event_id % 2 = 1").select("event_id", "user_id", "event_type", "value") \
+        .write.mode("append").json(f"{root}/in")
+    start_table(stream, lake.bronze("events"), lake.checkpoint("events"),
+                ["batch_id"]).awaitTermination()
+    return read_records(spark, lake.bronze("events"), lake.schema("events")).select(
+        "event_id", "user_id", "event_type", "value", "_corrupt_record")
+
+
 def _streamed_gold(name, sql, uses, columns):
-    """A query for one gold table over streamed silver."""
+    """A query for one gold table over streamed silver, all of its columns."""
 
     @case(f"flow_streaming_{name}", _STREAMED + sql, uses)
     def _(spark, d):
@@ -110,19 +157,30 @@ def _streamed_gold(name, sql, uses, columns):
 _streamed_gold("sales_analytics", """
     SELECT s.sale_date::VARCHAR AS sale_date, p.category AS category_standardized, c.customer_segment,
            count(sale_id) AS transaction_count, CAST(sum(sale_amount) AS DOUBLE) AS total_sales,
+           CAST(sum(sale_amount) AS DOUBLE) / count(sale_amount) AS avg_transaction_value,
+           CAST(min(sale_amount) AS DOUBLE) AS min_transaction_value,
+           CAST(max(sale_amount) AS DOUBLE) AS max_transaction_value,
            count(DISTINCT s.customer_id) AS unique_customers,
-           count(DISTINCT s.product_id) AS unique_products
+           count(DISTINCT s.product_id) AS unique_products,
+           CAST(sum(sale_amount) AS DOUBLE) / count(DISTINCT s.customer_id) AS sales_per_customer,
+           CAST(count(DISTINCT s.product_id) AS DOUBLE) / count(sale_id) AS products_per_transaction
     FROM kept s
     LEFT JOIN silver_customers c ON s.customer_id = c.customer_id
     LEFT JOIN silver_products p ON s.product_id = p.product_id GROUP BY ALL""",
     "sales_raw silver_customers silver_products",
     ["sale_date", "category_standardized", "customer_segment", "transaction_count",
-     "total_sales", "unique_customers", "unique_products"])
+     "total_sales", "avg_transaction_value", "min_transaction_value", "max_transaction_value",
+     "unique_customers", "unique_products", "sales_per_customer", "products_per_transaction"])
 
 _streamed_gold("customer_360", """
     SELECT c.customer_id, first_name, last_name, CASE WHEN strpos(email, '@') BETWEEN 1 AND 4 THEN '***@***.com'
-                ELSE left(email, 3) || '***@***.com' END AS email_masked, phone, total_transactions, CAST(lifetime_value AS DOUBLE) AS lifetime_value,
-           first_purchase_date::VARCHAR AS first_purchase_date, unique_products_purchased,
+                ELSE left(email, 3) || '***@***.com' END AS email_masked, phone, total_transactions,
+           CAST(lifetime_value AS DOUBLE) AS lifetime_value, avg_order_value,
+           first_purchase_date::VARCHAR AS first_purchase_date,
+           last_purchase_date::VARCHAR AS last_purchase_date, unique_products_purchased,
+           CAST(last_purchase_date - first_purchase_date AS INTEGER) AS customer_tenure_days,
+           CAST(total_transactions AS DOUBLE) / (last_purchase_date - first_purchase_date + 1)
+             AS purchase_frequency,
            CASE WHEN lifetime_value >= 2500000 THEN 'High Value'
                 WHEN lifetime_value >= 1500000 THEN 'Medium Value'
                 WHEN lifetime_value IS NOT NULL THEN 'Low Value'
@@ -130,18 +188,25 @@ _streamed_gold("customer_360", """
     FROM silver_customers c
     LEFT JOIN (
         SELECT customer_id, count(sale_id) AS total_transactions,
-               sum(sale_amount) AS lifetime_value, min(sale_date) AS first_purchase_date,
+               sum(sale_amount) AS lifetime_value,
+               CAST(sum(sale_amount) AS DOUBLE) / count(sale_amount) AS avg_order_value,
+               min(sale_date) AS first_purchase_date, max(sale_date) AS last_purchase_date,
                count(DISTINCT product_id) AS unique_products_purchased
         FROM kept GROUP BY 1) m ON c.customer_id = m.customer_id""",
     "sales_raw silver_customers",
     ["customer_id", "first_name", "last_name", "email_masked", "phone", "total_transactions",
-     "lifetime_value", "first_purchase_date", "unique_products_purchased",
+     "lifetime_value", "avg_order_value", "first_purchase_date", "last_purchase_date",
+     "unique_products_purchased", "customer_tenure_days", "purchase_frequency",
      "customer_value_segment"])
 
 _streamed_gold("product_performance", """
-    SELECT p.product_id, product_name, category AS category_standardized, total_sales_count,
-           CAST(total_revenue AS DOUBLE) AS total_revenue, unique_customers,
-           last_sale_date::VARCHAR AS last_sale_date,
+    SELECT p.product_id, product_name, category AS category_standardized,
+           CAST(price AS DOUBLE) AS price, total_sales_count,
+           CAST(total_revenue AS DOUBLE) AS total_revenue, avg_sale_price, unique_customers,
+           first_sale_date::VARCHAR AS first_sale_date, last_sale_date::VARCHAR AS last_sale_date,
+           CAST(total_revenue AS DOUBLE) / unique_customers AS revenue_per_customer,
+           coalesce(CAST(total_revenue AS DOUBLE), 0) * 0.6
+             + coalesce(CAST(unique_customers AS DOUBLE), 0) * 0.4 AS performance_score,
            CASE WHEN last_sale_date >= DATE '2001-08-02' - 30 THEN 'Active'
                 WHEN last_sale_date >= DATE '2001-08-02' - 90 THEN 'Slow Moving'
                 WHEN last_sale_date IS NOT NULL THEN 'Inactive'
@@ -149,11 +214,14 @@ _streamed_gold("product_performance", """
     FROM silver_products p
     LEFT JOIN (
         SELECT product_id, count(sale_id) AS total_sales_count, sum(sale_amount) AS total_revenue,
-               count(DISTINCT customer_id) AS unique_customers, max(sale_date) AS last_sale_date
+               CAST(sum(sale_amount) AS DOUBLE) / count(sale_amount) AS avg_sale_price,
+               count(DISTINCT customer_id) AS unique_customers,
+               min(sale_date) AS first_sale_date, max(sale_date) AS last_sale_date
         FROM kept GROUP BY 1) m ON p.product_id = m.product_id""",
     "sales_raw silver_products",
-    ["product_id", "product_name", "category_standardized", "total_sales_count", "total_revenue",
-     "unique_customers", "last_sale_date", "product_status"])
+    ["product_id", "product_name", "category_standardized", "price", "total_sales_count",
+     "total_revenue", "avg_sale_price", "unique_customers", "first_sale_date", "last_sale_date",
+     "revenue_per_customer", "performance_score", "product_status"])
 
 
 _LOADED = """

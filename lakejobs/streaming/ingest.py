@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import json
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakejobs.operators.projections import ingest_audit
-from lakejobs.session import path_exists
+from lakejobs.operators.tables import few_rows
+from lakejobs.session import fresh_dir, path_exists
 
 _ENTRY = "version bigint, schema string"
 _FILE = "path string, modified timestamp, size bigint"
 CORRUPT = "_corrupt_record"
+RECORD = "record"
+# Files whose columns are read at once.
+_LOOKED_AT = 10_000
 
 
 def _last_entry(spark: SparkSession, schema_dir: str) -> tuple[T.StructType, int] | None:
@@ -68,30 +73,155 @@ def unseen_files(spark: SparkSession, path: str, schema_dir: str) -> DataFrame:
 
 
 def register_schema(spark: SparkSession, path: str, fmt: str, schema_dir: str) -> T.StructType:
-    """Bring the stored schema up to date with the source and return it.
+    """Bring the stored schema up to date with the files of the source and return it.
 
     A stream keeps one schema for a run, so this is called before each run.
     Stored columns are never dropped and never change type.  Only files that no
     run has looked at are read, known by path, time and size: the cost follows
-    the new files, and a file that arrives with an old time is looked at.
+    the new files, and a file that arrives with an old time is looked at.  The listing is
+    written once, so what is looked at is what is noted as seen; the driver holds the paths of
+    ``_LOOKED_AT`` files at a time.
     """
     last = _last_entry(spark, schema_dir)
-    files = unseen_files(spark, path, schema_dir).collect()  # one record per new file
+    listed = fresh_dir(spark, "listed")
+    unseen_files(spark, path, schema_dir).write.parquet(listed)
+    files = spark.read.schema(_FILE).parquet(listed)
+    schema, version = (T.StructType([]), 0) if last is None else (last[0], last[1] + 1)
     if last is None:
-        schema, version = observed_schema(spark, path, fmt), 0
+        schema = observed_schema(spark, path, fmt)
     else:
-        schema, version = last[0], last[1] + 1
-        if files:
-            schema = grown(schema, observed_schema(spark, path, fmt, [f.path for f in files]))
-    entry = spark.createDataFrame([(version, schema.json())], _ENTRY)
-    entry.coalesce(1).write.mode("append").parquet(f"{schema_dir}/versions")
-    if files:
-        # Behind the schema: a run that dies in between looks at the files again.
-        spark.createDataFrame(files, _FILE).coalesce(1).write.mode("append").parquet(
-            f"{schema_dir}/files")
+        paths = (r.path for r in files.select("path").toLocalIterator())
+        while some := list(islice(paths, _LOOKED_AT)):
+            schema = grown(schema, observed_schema(spark, path, fmt, some))
+    _save_schema(spark, schema_dir, schema, version)
+    # Behind the schema: a run that dies in between looks at the files again.
+    files.write.mode("append").parquet(f"{schema_dir}/files")
     return schema
 
 
+def _save_schema(spark: SparkSession, schema_dir: str, schema: T.StructType, version: int) -> None:
+    entry = {"version": version, "schema": schema.json()}
+    kinds = T.StructType([T.StructField("version", T.LongType()),
+                          T.StructField("schema", T.StringType())])
+    few_rows(spark, [entry], kinds).write.mode("append").parquet(f"{schema_dir}/versions")
+
+
+# -- JSON: whole records in bronze, columns drawn behind it ------------------
+
+
+RECORDS = T.StructType([
+    T.StructField(RECORD, T.VariantType()), T.StructField(CORRUPT, T.StringType()),
+    T.StructField("ingestion_timestamp", T.TimestampType()),
+    T.StructField("source_file", T.StringType()), T.StructField("source_system", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+])
+
+
+def record_stream(
+    spark: SparkSession, path: str, batch_id: str, source_system: str | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """New lines of JSON files, each whole as a VARIANT: no column can be missed.
+
+    Blank lines are no records; a line that is no JSON object is kept as text in
+    ``_corrupt_record``."""
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    lines = ingest_audit(reader.load(path).filter(F.trim("value") != ""), batch_id, source_system)
+    parsed = F.try_parse_json("value")
+    whole = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT<"), F.lit(False))
+    cells = {RECORD: F.when(whole, parsed), CORRUPT: F.when(~whole, F.col("value"))}
+    named = lines.withColumns(cells)
+    return named.select(*[
+        F.col(f.name) if f.name in named.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in RECORDS.fields
+    ])
+
+
+def stored_type(kind: T.DataType) -> T.DataType:
+    """The column type for values of a VARIANT: doubles for decimals, text for what is mixed."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, stored_type(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(stored_type(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
+
+
+def record_path(name: str) -> str | None:
+    """The path of a field; a name with both quotes, or with "?", has none and is no column."""
+    if "?" in name or ('"' in name and "'" in name):
+        return None
+    return f"$['{name}']" if '"' in name else f'$["{name}"]'
+
+
+def record_columns(records: DataFrame) -> T.StructType:
+    """The columns that the objects of a frame have, in the order of their names."""
+    text = records.agg(F.schema_of_variant_agg(RECORD)).first()[0]
+    if not text or not text.startswith("OBJECT<"):
+        return T.StructType([])
+    kind = stored_type(T.DataType.fromDDL(text.replace("OBJECT<", "STRUCT<")))
+    return T.StructType([f for f in kind.fields if record_path(f.name)])
+
+
+def register_records(spark: SparkSession, bronze: str, schema_dir: str) -> T.StructType:
+    """Bring the stored schema up to date with the records of a bronze table and return it.
+
+    Only batches that were not looked at are read.  As bronze keeps whole records, it does not
+    matter when a file landed: its columns are seen once it is there."""
+    last = _last_entry(spark, schema_dir)
+    schema, version = (T.StructType([]), 0) if last is None else (last[0], last[1] + 1)
+    table = spark.read.schema(RECORDS).parquet(bronze)
+    batches = table.select("batch_id").distinct()
+    if path_exists(spark, f"{schema_dir}/batches"):
+        known = spark.read.schema("batch_id string").parquet(f"{schema_dir}/batches")
+        batches = batches.join(known, "batch_id", "left_anti")
+    new = [r.batch_id for r in batches.collect()]  # partitions that no run has looked at
+    if new:
+        schema = grown(schema, record_columns(table.filter(F.col("batch_id").isin(new))))
+        _save_schema(spark, schema_dir, schema, version)
+        kinds = T.StructType([T.StructField("batch_id", T.StringType())])
+        few_rows(spark, [{"batch_id": b} for b in new], kinds).write.mode("append").parquet(
+            f"{schema_dir}/batches")
+    return schema
+
+
+def drawn(records: DataFrame, schema: T.StructType, origin: bool = False) -> DataFrame:
+    """Bronze records with the columns of a schema; for batch and streaming input.
+
+    ``origin`` keeps ``source_system``, which not every source tells.
+
+    A value that does not fit its type reads as NULL, and the record is kept as text in
+    ``_corrupt_record``.  Text that reads as a number of the type fits; a fraction does not
+    fit a whole number."""
+
+    def at(name: str, kind: str) -> Column:
+        return F.try_variant_get(RECORD, record_path(name), kind)
+
+    cells, fits = {}, F.lit(True)
+    for f in schema.fields:
+        value = at(f.name, f.dataType.simpleString())
+        there = at(f.name, "variant").isNotNull() & ~F.is_variant_null(at(f.name, "variant"))
+        good = value.isNotNull()
+        if isinstance(f.dataType, T.IntegralType):
+            good = F.coalesce(value.cast("string") == at(f.name, "string"), F.lit(False))
+            value = F.when(good, value)
+        cells[f.name] = value
+        fits = fits & (~there | good)
+    left = (RECORD, CORRUPT, *cells) if origin else (RECORD, CORRUPT, "source_system", *cells)
+    kept = [f.name for f in RECORDS.fields if f.name not in left]
+    corrupt = F.coalesce(CORRUPT, F.when(~fits, F.to_json(RECORD)))
+    return records.select(*[c.alias(n) for n, c in cells.items()], corrupt.alias(CORRUPT), *kept)
+
+
+def read_records(spark: SparkSession, bronze: str, schema_dir: str) -> DataFrame:
+    """A bronze table of records with the columns seen so far."""
+    schema = register_records(spark, bronze, schema_dir)
+    return drawn(spark.read.schema(RECORDS).parquet(bronze), schema)
+
+
 def ingest_stream(
     spark: SparkSession,
     path: str,
@@ -103,16 +233,14 @@ def ingest_stream(
 ) -> DataFrame:
     """New files of a folder as a stream with audit columns.
 
-    A JSON value that does not fit its stored type reads as NULL, and the whole
-    line is kept in ``_corrupt_record``.  CSV headers must agree with the stored
-    columns; a file with others fails instead of being read out of place.
+    JSON lines come as whole records, see :func:`record_stream`.  CSV headers must agree with
+    the stored columns; a file with others fails instead of being read out of place.
     """
+    if fmt == "json":
+        return record_stream(spark, path, batch_id, source_system, max_files)
     schema = register_schema(spark, path, fmt, schema_dir)
     reader = spark.readStream.format(fmt)
-    if fmt == "json":
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    elif fmt == "csv":
+    if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -9,14 +9,32 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakejobs.operators.dedup import dedup
 from lakejobs.operators.projections import process_audit
 from lakejobs.operators.quality import Expectation, apply_expectations
+from lakejobs.operators.tables import plain
 from lakejobs.streaming.ingest import CORRUPT, start_table
+from lakejobs.streaming.keys import EPOCH, KeyStore
+
+ALONE = "_alone"
+
+
+def cleaned(
+    bronze: DataFrame,
+    clean: Callable[[DataFrame], DataFrame],
+    rules: tuple[Expectation, ...],
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Clean and valid rows; lines the reader could not fit are left to the quarantine."""
+    if CORRUPT in bronze.columns:
+        bronze = bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    valid = apply_expectations(process_audit(clean(bronze)), rules)
+    return finish(valid) if finish is not None else valid  # behind the rules: they need raw values
 
 
 def silver(
@@ -27,29 +45,25 @@ def silver(
     watermark: tuple[str, str] | None = None,
     keep_null_keys: bool = True,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    order_by: list[str | Column] | None = None,
 ) -> DataFrame:
-    """Clean, validate and deduplicate; for batch and streaming input.
-
-    Lines the reader could not fit to the schema are left to the quarantine.
+    """Clean, validate and deduplicate; for batch input, and streams with a watermark.
 
-    On a stream without ``watermark`` the keys of all time are held as state.
     With ``(time column, delay)`` a key is forgotten after the delay, so copies
-    further apart than that both stay.
+    further apart than that both stay.  A stream that must know the keys of all time goes
+    through :func:`stream_silver`.
     """
-    if CORRUPT in bronze.columns:
-        bronze = bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    valid = apply_expectations(process_audit(clean(bronze)), rules)
-    if finish is not None:  # behind the rules, which need the raw values
-        valid = finish(valid)
+    valid = cleaned(bronze, clean, rules, finish)
     if watermark is None or not bronze.isStreaming:
-        return dedup(valid, keys, keep_null_keys=keep_null_keys)
+        return dedup(valid, keys, order_by, keep_null_keys)
     column, delay = watermark
     marked = valid.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
     if not keep_null_keys:
         return marked.dropDuplicatesWithinWatermark(keys)
+    # A key of its own for a row with a NULL: one read, and no such row is another's copy.
     unset = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    once = marked.filter(~unset).dropDuplicatesWithinWatermark(keys)
-    return once.unionByName(marked.filter(unset))
+    alone = marked.withColumn(ALONE, F.when(unset, F.uuid()))
+    return alone.dropDuplicatesWithinWatermark([ALONE, *keys]).drop(ALONE)
 
 
 def stream_silver(
@@ -62,7 +76,46 @@ def stream_silver(
     watermark: tuple[str, str] | None = None,
     keep_null_keys: bool = True,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    order_by: list[str | Column] | None = None,
+    seen: str | None = None,
 ) -> StreamingQuery:
-    """Run :func:`silver` on a stream into a table."""
-    df = silver(bronze, clean, rules, keys, watermark, keep_null_keys, finish)
-    return start_table(df, target, checkpoint)
+    """Run the cleaning on a stream into a table, one copy of each key for all time.
+
+    The copy of the earliest micro-batch stays, and within one the first by ``order_by``.  Keys
+    lie in a store at ``seen`` (beside the checkpoint if unset).  A micro-batch writes a
+    partition of its own and then its keys; one that runs again replaces the first and meets
+    only the keys of earlier ones.  With a watermark, the stream's own state is used.
+    """
+    if watermark is not None:
+        df = silver(bronze, clean, rules, keys, watermark, keep_null_keys, finish)
+        return start_table(df, target, checkpoint)
+    rows = cleaned(bronze, clean, rules, finish)
+    fields = [T.StructField(k, rows.schema[k].dataType) for k in keys]
+    store = seen or f"{checkpoint}_keys"
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        known = KeyStore(spark, store, fields)
+        new = known.unseen(dedup(batch, keys, order_by, keep_null_keys), epoch)
+        part = f"{target}/{EPOCH}={epoch}"
+        new.write.mode("overwrite").parquet(part)
+        known.add(spark.read.schema(plain(rows.schema)).parquet(part), epoch)
+
+    return (
+        rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def read_silver(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
+    """A table written by :func:`stream_silver`; ``after`` an epoch, its later rows alone."""
+    df = spark.read.parquet(path)
+    if EPOCH not in df.columns:
+        return df
+    return (df if after is None else df.filter(F.col(EPOCH) > after)).drop(EPOCH)
+
+
+def last_epoch(spark: SparkSession, path: str) -> int | None:
+    """The last micro-batch a silver table holds, by its folders."""
+    df = spark.read.parquet(path)
+    return df.agg(F.max(EPOCH)).first()[0] if EPOCH in df.columns else None

@@ -78,5 +78,12 @@ def test_dedup_reads_its_input_once(spark):
     out = dedup(keyed, ["k"], ["v"])
     text = plan(out)
     assert text.count("FileScan parquet") == 1 and "WindowGroupLimit" in text
+    # Where a row goes does not depend on its number within a task that may run again.
+    assert "monotonically_increasing_id" not in text
+    exchange, = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert "_tie" not in exchange
     assert out.filter("k IS NULL").count() == keyed.filter("k IS NULL").count()
+    twice = keyed.unionByName(keyed)
+    assert dedup(twice, ["k"], ["v"]).filter("k IS NULL").count() \
+        == 2 * keyed.filter("k IS NULL").count()
     assert out.filter("k IS NOT NULL").count() == 6

@@ -2,14 +2,15 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from lakejobs.operators import projections, quality, tables
+from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
-from lakejobs.plans import streaming_medallion
+from lakejobs.plans import incremental_gold, streaming_medallion
 from lakejobs.streaming import ingest
-from lakejobs.streaming.silver import silver, stream_silver
+from lakejobs.streaming.keys import KeyStore
+from lakejobs.streaming.silver import read_silver, silver, stream_silver
 
 SALES = [
     {"saleId": " s1", "customerId": "c1", "productId": "p1", "saleAmount": 10.0, "saleDate": "2024-01-01"},
@@ -28,8 +29,18 @@ def put_json(folder, name, records):
 
 def load(spark, src, lake, batch="b"):
     df = ingest.ingest_stream(spark, str(src), "json", lake.schema("s"), batch)
-    ingest.start_table(df, lake.bronze("s"), lake.checkpoint("s")).awaitTermination()
-    return df.schema
+    ingest.start_table(df, lake.bronze("s"), lake.checkpoint("s"), ["batch_id"]).awaitTermination()
+    return ingest.register_records(spark, lake.bronze("s"), lake.schema("s"))
+
+
+def read(spark, lake):
+    return ingest.read_records(spark, lake.bronze("s"), lake.schema("s"))
+
+
+def records(spark, lake, schema):
+    """Bronze records as a stream of typed columns."""
+    stream = spark.readStream.schema(ingest.RECORDS).parquet(lake.bronze("s"))
+    return ingest.drawn(stream, schema)
 
 
 def test_json_ingest_is_incremental_and_grows(spark, tmp_path):
@@ -37,12 +48,12 @@ def test_json_ingest_is_incremental_and_grows(spark, tmp_path):
     put_json(src, "a.json", [{"id": 1, "v": "x"}])
     load(spark, src, lake, "b1")
     load(spark, src, lake, "b2")
-    assert spark.read.parquet(lake.bronze("s")).count() == 1
+    assert read(spark, lake).count() == 1
     put_json(src, "b.json", [{"id": 2, "extra": 1.5}, {"id": "oops"}])
-    schema = load(spark, src, lake, "b3")
-    got = {r.id: r for r in spark.read.schema(schema).parquet(lake.bronze("s")).collect()}
+    load(spark, src, lake, "b3")
+    got = {r.id: r for r in read(spark, lake).collect()}
     assert got[1].extra is None and got[2].extra == 1.5 and got[2].v is None
-    assert got[None]._corrupt_record == '{"id": "oops"}'
+    assert got[None]._corrupt_record == '{"id":"oops"}'
     assert got[1].batch_id == "b1" and got[2].batch_id == "b3"
     assert got[1].source_file.endswith("a.json")
     stored = ingest.stored_schema(spark, lake.schema("s"))
@@ -98,12 +109,12 @@ def test_batch_and_stream_give_the_same_silver(spark, tmp_path):
     put_json(src, "b.json", SALES[3:])
     schema = load(spark, src, lake)
     keys = ["sale_id", "sale_date"]
-    bronze = spark.readStream.schema(schema).parquet(lake.bronze("s"))
+    bronze = records(spark, lake, schema)
     stream_silver(bronze, lake.silver("s"), lake.checkpoint("silver"), projections.clean_sales,
                   quality.SALES_RULES, keys).awaitTermination()
     columns = [*keys, "customer_id", "product_id", "sale_amount", "data_quality_score"]
     streamed = spark.read.parquet(lake.silver("s")).select(columns)
-    batch = silver(spark.read.schema(schema).parquet(lake.bronze("s")), projections.clean_sales,
+    batch = silver(read(spark, lake), projections.clean_sales,
                    quality.SALES_RULES, keys).select(columns)
     assert rows(streamed) == rows(batch)
     # the invalid twin of S1 does not displace the valid one, and NULL ids do not merge
@@ -116,7 +127,7 @@ def test_dedup_state_survives_a_restart(spark, tmp_path):
 
     def refresh():
         schema = load(spark, src, lake)
-        bronze = spark.readStream.schema(schema).parquet(lake.bronze("s"))
+        bronze = records(spark, lake, schema)
         stream_silver(bronze, lake.silver("s"), lake.checkpoint("silver"), projections.clean_sales,
                       quality.SALES_RULES, ["sale_id", "sale_date"]).awaitTermination()
 
@@ -180,20 +191,151 @@ def test_gold_on_a_stream_is_refused(spark, tmp_path):
 
 
 def test_lines_that_do_not_fit_go_to_quarantine(spark, tmp_path):
-    lake = LakePaths(str(tmp_path / "lake"))
-    src = tmp_path / "sales"
+    lake, src = LakePaths(str(tmp_path / "lake")), tmp_path / "sales"
     put_json(src, "a.json", [dict(SALES[0])])
-    ingest.register_schema(spark, str(src), "json", lake.schema("sales"))
-    (src / "b.json").write_text('{"saleId": "S9", "saleAmount": "many"}\n')
-    df = ingest.ingest_stream(spark, str(src), "json", lake.schema("sales"), "b1")
-    ingest.start_table(df, lake.bronze("sales"), lake.checkpoint("b")).awaitTermination()
-    bronze = spark.read.schema(df.schema).parquet(lake.bronze("sales"))
+    load(spark, src, lake, "b0")
+    (src / "b.json").write_text('{"saleId": "S9", "saleAmount": "many"}\nno json\n\n[1]\n')
+    load(spark, src, lake, "b1")
+    bronze = read(spark, lake)
     whole = bronze.filter("_corrupt_record IS NULL")
-    assert bronze.count() == 2 and whole.count() == 1
-    from lakejobs.operators import projections, quality
-    from lakejobs.streaming.silver import silver
-
+    assert bronze.count() == 4 and whole.count() == 1
+    assert {r._corrupt_record for r in bronze.collect()} == {
+        None, '{"saleAmount":"many","saleId":"S9"}', "no json", "[1]"}
     out = silver(bronze, projections.clean_sales, (), ["sale_id"])
     assert out.count() == 1 and "_corrupt_record" not in out.columns
     row = quality.table_metrics(whole, "t", "bronze").first()
     assert row.null_percentage == 0 and row.status == "PASSED"
+
+
+def test_a_column_that_lands_late_is_kept(spark, tmp_path):
+    """A file may land at any time; its columns are there once its records are."""
+    lake, src = LakePaths(str(tmp_path / "lake")), tmp_path / "in"
+    put_json(src, "a.json", [{"id": 1, "whole": 3}])
+    df = ingest.ingest_stream(spark, str(src), "json", lake.schema("s"), "b1")
+    put_json(src, "b.json", [{"id": 2, "late": {"x": [1, 2.5]}, 'odd " name': "q", "it's": 1, "\"'": 2,
+                             "a.b[0]": 5, "why?": 1, "whole": 3.5}])
+    ingest.start_table(df, lake.bronze("s"), lake.checkpoint("s"), ["batch_id"]).awaitTermination()
+    got = {r.id: r for r in read(spark, lake).collect()}
+    assert got[2].late.x == [1.0, 2.5] and got[1].late is None and got[2]['odd " name'] == "q"
+    assert got[2]["it's"] == 1 and got[2]["a.b[0]"] == 5
+    assert not {"\"'", "why?"} & set(ingest.stored_schema(spark, lake.schema("s")).names)
+    assert ingest.stored_schema(spark, lake.schema("s"))["whole"].dataType.simpleString() == "double"
+    # A type that is stored stays; what does not fit it is kept beside it.
+    put_json(src, "c.json", [{"id": 3.25, "late": None}, {"id": 4.0, "whole": "1e3"}])
+    load(spark, src, lake, "b2")
+    got = {r.id: r for r in read(spark, lake).filter("batch_id = 'b2'").collect()}
+    assert got[4].whole == 1000.0 and got[4]._corrupt_record is None
+    assert got[None]._corrupt_record == '{"id":3.25,"late":null}'
+
+
+def test_copies_over_three_runs(spark, tmp_path):
+    """Of differing copies the first to arrive stays, then the first by a given order."""
+    lake, src = LakePaths(str(tmp_path / "lake")), tmp_path / "in"
+    order = [F.desc("sale_amount"), F.asc("product_id")]
+    landed = []
+    for run in range(3):
+        wave = []
+        for key in range(12):
+            for copy in range((key * 7 + run * 5) % 4):
+                wave.append({"saleId": f"s{key}" if key else None, "customerId": "c",
+                             "productId": f"p{copy}", "saleAmount": 10.0 * run + (copy * 3) % 4 + 0.5,
+                             "saleDate": "2024-01-01"})
+        wave += wave[:2] + [{**SALES[0], "saleId": None, "saleAmount": 1.5}]
+        landed.append(wave)
+        put_json(src, f"{run}.json", wave)
+        schema = load(spark, src, lake, f"b{run}")
+        stream_silver(records(spark, lake, schema), lake.silver("s"), lake.checkpoint("silver"),
+                      projections.clean_sales, quality.SALES_RULES, ["sale_id", "sale_date"],
+                      order_by=order).awaitTermination()
+    columns = ["sale_id", "product_id", "sale_amount", "batch_id"]
+    streamed = read_silver(spark, lake.silver("s")).select(columns)
+    batch = silver(read(spark, lake), projections.clean_sales, quality.SALES_RULES,
+                   ["sale_id", "sale_date"], order_by=[F.asc("batch_id"), *order]).select(columns)
+    assert rows(streamed) == rows(batch)
+    nulls = sum(r["saleId"] is None for wave in landed for r in wave)
+    assert streamed.filter("sale_id IS NULL").count() == nulls > 3
+
+
+def test_a_micro_batch_that_runs_again(spark, tmp_path):
+    """A batch that died behind its keys finds its own keys and still writes its rows."""
+    from pyspark.sql import types as T
+
+    fields = [T.StructField("k", T.StringType())]
+    store = KeyStore(spark, str(tmp_path / "keys"), fields, buckets=4)
+    first = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    assert store.unseen(first, 0).count() == 3
+    store.add(first, 0)
+    assert store.unseen(first, 0).count() == 3  # again under its own number
+    again = KeyStore(spark, str(tmp_path / "keys"), fields, buckets=99)
+    assert again.buckets == 4
+    more = spark.createDataFrame([("a",), ("c",), (None,)], "k string")
+    assert rows(again.unseen(more, 1)) == [(None,), ("c",)]
+    with pytest.raises(ValueError):
+        KeyStore(spark, str(tmp_path / "keys"), [T.StructField("k", T.LongType())])
+    # Only the micro-batch is shuffled; the store is read where it lies.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(again.unseen(more.repartition(3), 1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in text and "Bucketed: true" in text
+    assert text.count("hashpartitioning(k") == 1
+
+
+def test_gold_is_added_to(spark, tmp_path):
+    """Runs over new sales alone give what a full recompute gives, attributes that come late too."""
+    lake = LakePaths(str(tmp_path / "lake"))
+    sales_schema = "sale_id string, sale_date date, customer_id string, product_id string, sale_amount decimal(10,2)"
+    waves = [
+        [("s1", "c1", "p1", "5.00", 1), ("s2", "c2", "p1", "7.50", 1), ("s3", None, "p2", None, 1)],
+        [("s4", "c1", "p1", "1.25", 1), ("s5", "c3", "p2", "2.00", 2), ("s6", "c1", None, "3.00", 2)],
+        [],
+        [("s7", "c9", "p9", "4.00", 2), ("s8", "c2", "p1", "7.50", 1)],
+    ]
+    dims = [(["c1"], ["p1"]), (["c1", "c2"], ["p1"]), (["c1", "c2", "c3"], ["p1", "p2"]),
+            (["c1", "c2", "c3"], ["p1", "p2", "p9"])]
+    reads = []
+    for epoch, (wave, (cs, ps)) in enumerate(zip(waves, dims, strict=True)):
+        frame = spark.createDataFrame(
+            [(s, d, c, p, a) for s, c, p, a, d in wave], "a string, d int, c string, p string, m string"
+        ).selectExpr("a as sale_id", "date_add(date'2024-01-01', d) as sale_date", "c as customer_id",
+                     "p as product_id", "cast(m as decimal(10,2)) as sale_amount")
+        frame.write.parquet(f"{lake.silver('sales')}/_epoch={epoch}")
+        customers = spark.createDataFrame([(c, f"seg{c[1]}") for c in cs], "customer_id string, customer_segment string")
+        products = spark.createDataFrame([(p, "cat") for p in ps], "product_id string, category_standardized string")
+
+        def after(epoch):
+            reads.append(epoch)
+            return read_silver(spark, lake.silver("sales"), epoch)
+
+        got = incremental_gold.refresh(spark, lake, after, epoch, customers, products, "2024-02-01")
+        whole = read_silver(spark, lake.silver("sales"))
+        want = {"sales_analytics": gold.sales_analytics(whole, customers, products),
+                "customer_360": gold.customer_360(whole, customers),
+                "product_performance": gold.product_performance(whole, products, "2024-02-01")}
+        for name, df in want.items():
+            assert got[name].schema.simpleString() == df.schema.simpleString()
+            assert rows(got[name].select(df.columns)) == rows(df), (epoch, name)
+    assert reads == [None, 0, 1, 2]
+    text = plan(read_silver(spark, lake.silver("sales"), 2))
+    assert "PartitionFilters: [isnotnull(_epoch" in text
+
+
+def test_a_gold_run_that_dies_is_done_over(spark, tmp_path, monkeypatch):
+    lake = LakePaths(str(tmp_path / "lake"))
+    sale = "'s{0}' as sale_id, date'2024-01-01' as sale_date, 'c' as customer_id, 'p' as product_id, cast({0} as decimal(10,2)) as sale_amount"
+    customers = spark.sql("select 'c' as customer_id, 'x' as customer_segment")
+    products = spark.sql("select 'p' as product_id, 'y' as category_standardized")
+
+    def after(epoch):
+        return read_silver(spark, lake.silver("sales"), epoch)
+
+    for epoch in range(2):
+        spark.sql(f"select {sale.format(epoch + 1)}").write.parquet(f"{lake.silver('sales')}/_epoch={epoch}")
+        with monkeypatch.context() as patched:
+            patched.setattr(tables, "few_rows", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError, match="lost"):
+                incremental_gold.refresh(spark, lake, after, epoch, customers, products)
+        got = incremental_gold.refresh(spark, lake, after, epoch, customers, products)
+    row = got["sales_analytics"].first()
+    assert (row.transaction_count, float(row.total_sales), row.unique_customers) == (2, 3.0, 1)
