@@ -129,7 +129,7 @@ def _(spark, d):
 @case("flow_stream_late_column", """
     SELECT event_id, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id,
            CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type, value,
-           NULL AS _corrupt_record FROM events""")
+           CAST(NULL AS VARCHAR) AS _corrupt_record FROM events""")
 def _(spark, d):
     """Columns of files that land once the stream is set up, but before it runs."""
     root = fresh_dir(spark, "late_column")
