@@ -164,6 +164,57 @@ def pii_value_scan(
     })
 
 
+def _luhn(number: Column) -> Column:
+    """Whether 16 digits have the check digit of a card number."""
+    digits = F.translate(number, "- ", "")
+    at = [F.substring(digits, i + 1, 1).cast("int") for i in range(16)]
+    doubled = [d * 2 - F.when(d > 4, 9).otherwise(0) if i % 2 == 0 else d
+               for i, d in enumerate(at)]
+    return reduce(lambda a, b: a + b, doubled) % 10 == 0
+
+
+def _ssn(number: Column) -> Column:
+    """Area, group and serial that are given out."""
+    area = F.substring(number, 1, 3)
+    return (~area.isin("000", "666") & (area < "900") & (F.substring(number, 5, 2) != "00")
+            & (F.substring(number, 8, 4) != "0000"))
+
+
+def _ipv4(address: Column) -> Column:
+    return F.forall(F.split(address, "[.]"), lambda part: part.cast("int") <= 255)
+
+
+# What a match of a pattern has to satisfy besides its form.
+VALID = {"ssn": _ssn, "credit_card": _luhn, "ip_address": _ipv4}
+
+
+def valid_values(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """Values of text columns with a match of each pattern, and with a valid one.
+
+    Numbers that only look like one are told apart: card numbers by their check digit, social
+    security numbers and addresses by their ranges. All columns and patterns take one pass."""
+    def matches(column: str, kind: str) -> Column:
+        return F.regexp_extract_all(F.col(column), F.lit(VALUE_PATTERNS[kind]), F.lit(0))
+
+    found = df.select(*[
+        F.filter(matches(c, kind), valid).alias(f"{c}:{kind}:valid")
+        for c in columns for kind, valid in VALID.items()
+    ], *[
+        F.size(matches(c, kind)).alias(f"{c}:{kind}") for c in columns for kind in VALID
+    ], *[F.col(c).isNotNull().alias(f"{c}:set") for c in columns])
+    cells = []
+    for c in columns:
+        for kind in VALID:
+            good = F.when(F.col(f"`{c}:set`"), F.size(F.col(f"`{c}:{kind}:valid`")))
+            cells.append(F.struct(
+                F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                F.lit(kind).alias("pattern"), F.count_if(f"`{c}:set`").alias("value_count"),
+                F.count_if(F.col(f"`{c}:set`") & (F.col(f"`{c}:{kind}`") > 0)).alias("match_count"),
+                F.count_if(good > 0).alias("valid_count"),
+                F.coalesce(F.sum(good), F.lit(0)).cast("long").alias("valid_matches")))
+    return found.agg(F.array(*cells).alias("rows")).select(F.inline("rows"))
+
+
 def outlier_fences(
     df: DataFrame, group: str, value: str, spread: float = 1.5
 ) -> DataFrame:

@@ -243,3 +243,71 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         )
         .select("change_type", "_row.*")
     )
+
+
+# Buckets of keys whose checksums are compared, so many rows at most on either side.
+DIFF_BUCKETS = 4096
+_UNSET = -1
+
+
+def _sealed(df: DataFrame, keys: list[str], columns: list[str], buckets: int) -> DataFrame:
+    """(_bucket, rows, sums): per key bucket, a checksum that no order of rows changes.
+
+    Two sums of 64-bit row hashes, NULL told from values and a column from its neighbours."""
+    cells = []
+    for name in columns:
+        cell = F.col(f"`{name}`") if name in df.columns else F.lit(None)
+        kind = df.schema[name].dataType if name in df.columns else T.NullType()
+        if isinstance(kind, (T.MapType, T.StructType, T.ArrayType, T.VariantType)):
+            cell = F.to_json(F.struct(cell), {"ignoreNullFields": "false"})
+        cells += [cell.isNull(), cell]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")).alias(f"sum{seed}")
+            for seed in (0, 1)]
+    return df.groupBy(_key_bucket(keys, buckets).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), *sums)
+
+
+def _key_bucket(keys: list[str], buckets: int) -> Column:
+    """The bucket of a key; rows with a NULL in it, which have no counterpart, are in one."""
+    unset = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets))
+    return F.when(unset, F.lit(_UNSET).cast("long")).otherwise(bucket)
+
+
+def diff_by_buckets(
+    old: DataFrame, new: DataFrame, keys: list[str], buckets: int = DIFF_BUCKETS
+) -> DataFrame:
+    """The result of :func:`diff`, for large tables that differ in few places.
+
+    Keys are dealt to buckets, and one pass over each side sums up every bucket; only rows of
+    buckets that differ are shuffled and joined.  The list of those is at most ``buckets``
+    numbers, so it is broadcast.  Key columns must have one type on both sides."""
+    columns = list(dict.fromkeys([*old.columns, *new.columns]))
+    seals = [_sealed(df, keys, columns, buckets) for df in (old, new)]
+    marks = [c for c in seals[0].columns if c != "_bucket"]
+    right = seals[1].select(F.col("_bucket").alias("_other"),
+                            F.struct(*marks).alias("_there"))
+    both = seals[0].select("_bucket", F.struct(*marks).alias("_here")).join(
+        right, F.col("_bucket") == F.col("_other"), "full_outer")
+    changed = both.withColumn("_changed", F.coalesce("_bucket", "_other")).filter(
+        ~F.col("_here").eqNullSafe(F.col("_there")) | (F.col("_changed") == _UNSET)
+    ).select("_changed")
+    hits = F.broadcast(changed)
+
+    def narrowed(df: DataFrame) -> DataFrame:
+        return df.join(hits, _key_bucket(keys, buckets) == F.col("_changed"), "left_semi")
+
+    return diff(narrowed(old), narrowed(new), keys)
+
+
+# -- co-located joins --------------------------------------------------------
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table of the session catalog bucketed and sorted by keys, and read it.
+
+    Tables bucketed alike join on their keys without a shuffle of either.  Rows are dealt out
+    first, so that a bucket is one file."""
+    df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(
+        buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakejobs.functions import classes, clock, text
-from lakejobs.operators import dedup, filters, projections
+from lakejobs.operators import dedup, filters, projections, tables
 from lakejobs.operators.joins import enrich_sales
 from lakejobs.registry import entities
 from lakejobs.registry.case import TYPE_SYNONYMS, case
 from lakejobs.schemas import SALES_CSV
+from lakejobs.session import fresh_dir
 from lakejobs.sources import star_tables as star
 
 
@@ -302,6 +303,31 @@ def _(spark, d):
     )
 
 
+@case("join_colocated", """
+    SELECT sale_id, sales.customer_id, CAST(sale_amount AS DOUBLE) AS sale_amount,
+           c.customer_segment, CAST(total AS DOUBLE) AS customer_total
+    FROM valid_sales sales
+    LEFT JOIN silver_customers c ON sales.customer_id = c.customer_id
+    LEFT JOIN (SELECT customer_id, sum(sale_amount) AS total FROM valid_sales GROUP BY 1) t
+        ON sales.customer_id = t.customer_id""",
+      "valid_sales silver_customers")
+def colocated(spark, d):
+    """Sales and customers in buckets of the customer: joins and sums without a shuffle."""
+    root = fresh_dir(spark, "colocated")
+    number = root.rpartition("-")[2]
+    sales = tables.write_bucketed(
+        entities.valid_sales(
+            spark, d, "sale_id", "sale_date", "customer_id", "sale_amount").drop("sale_date"),
+        f"sales_{number}", f"{root}/sales", ["customer_id"], 16)
+    customers = tables.write_bucketed(
+        entities.silver_customers(spark, d).select("customer_id", "customer_segment"),
+        f"customers_{number}", f"{root}/customers", ["customer_id"], 16)
+    totals = sales.groupBy("customer_id").agg(F.sum("sale_amount").alias("customer_total"))
+    # The sides are co-located by their buckets, so none has to be broadcast.
+    return sales.join(customers.hint("merge"), "customer_id", "left").join(
+        totals.hint("merge"), "customer_id", "left")
+
+
 @case("dedup_sales", """
     SELECT DISTINCT sale_id, sale_date::VARCHAR AS sale_date FROM sales_raw""", "sales_raw")
 def _(spark, d):

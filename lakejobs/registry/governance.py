@@ -117,6 +117,45 @@ def _(spark, d):
     }, min_share=1.0)
 
 
+@case("gov_pii_valid_values", r"""
+    WITH vals AS (
+        -- planted: numbers that only look valid, and valid ones
+        SELECT text || ' ' || CASE doc_id % 6
+                   WHEN 0 THEN '900-12-3456' WHEN 1 THEN '123-45-6789'
+                   WHEN 2 THEN '10.0.300.' || (doc_id % 256) WHEN 3 THEN '10.0.30.' || (doc_id % 256)
+                   WHEN 4 THEN '4111-1111-1111-1111' ELSE '4111 1111 1111 1112' END AS v
+        FROM documents),
+    found AS (
+        SELECT regexp_extract_all(v, '\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b') AS ssn,
+               regexp_extract_all(v, '\b[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}[- ]?[0-9]{4}\b') AS card,
+               regexp_extract_all(v, '\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b') AS ip
+        FROM vals WHERE v IS NOT NULL),
+    judged AS (
+        SELECT len(ssn) AS s, len(list_filter(ssn, lambda x: left(x, 3) NOT IN ('000', '666')
+                   AND left(x, 3) < '900' AND substr(x, 5, 2) <> '00' AND substr(x, 8) <> '0000')) AS s_ok,
+               len(card) AS c, len(list_filter(card, lambda x: list_sum(list_transform(range(1, 17),
+                   lambda i: CASE WHEN i % 2 = 0 THEN CAST(translate(x, '- ', '')[i] AS INT)
+                       WHEN CAST(translate(x, '- ', '')[i] AS INT) > 4
+                       THEN CAST(translate(x, '- ', '')[i] AS INT) * 2 - 9
+                       ELSE CAST(translate(x, '- ', '')[i] AS INT) * 2 END)) % 10 = 0)) AS c_ok,
+               len(ip) AS p, len(list_filter(ip, lambda x: list_max(list_transform(
+                   string_split(x, '.'), lambda y: CAST(y AS INT))) <= 255)) AS p_ok
+        FROM found)
+    SELECT 'documents' AS table_name, 'text' AS column_name, pattern, count(*) AS value_count,
+           count(*) FILTER (n > 0) AS match_count, count(*) FILTER (ok > 0) AS valid_count,
+           CAST(coalesce(sum(ok), 0) AS BIGINT) AS valid_matches
+    FROM (SELECT 'ssn' AS pattern, s AS n, s_ok AS ok FROM judged
+          UNION ALL SELECT 'credit_card', c, c_ok FROM judged
+          UNION ALL SELECT 'ip_address', p, p_ok FROM judged)
+    GROUP BY pattern""")
+def _(spark, d):
+    planted = star.table(spark, d, "documents").selectExpr("""text || ' ' || case doc_id % 6
+        when 0 then '900-12-3456' when 1 then '123-45-6789'
+        when 2 then '10.0.300.' || (doc_id % 256) when 3 then '10.0.30.' || (doc_id % 256)
+        when 4 then '4111-1111-1111-1111' else '4111 1111 1111 1112' end as text""")
+    return governance.valid_values(planted, "documents", ["text"])
+
+
 @case("gov_outliers", """
     WITH fences AS (
         SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3

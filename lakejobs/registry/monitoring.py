@@ -94,7 +94,8 @@ _VARIANCE = """
              AS variance_percent
     FROM (SELECT event_type AS service, CAST(ts AS DATE) AS day,
                  sum(CAST(value AS DECIMAL(12,2))) AS cost FROM events GROUP BY 1, 2)
-    WINDOW w AS (PARTITION BY service ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"""
+    WINDOW w AS (PARTITION BY service ORDER BY day
+                 RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)"""
 _COST = f"""
     SELECT 'cost_anomaly' AS type, 'MEDIUM' AS severity,
         'Daily cost of ' || service || ' increased by '
@@ -185,6 +186,17 @@ def _(spark, d):
     return mon.latency_bins(star.query_log(spark, d), NOW, hours=24 * 60)
 
 
+@case("mon_latency_window", """
+    SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M:%S.%f') AS bin_start,
+           count(*) AS query_count,
+           CAST(sum(CAST(value * 1000 AS DECIMAL(18,3))) AS DOUBLE) / count(*) AS avg_duration_ms
+    FROM events WHERE ts > TIMESTAMP '2024-01-27 12:00:00' AND ts <= TIMESTAMP '2024-01-31 00:00:00'
+    GROUP BY 1 HAVING CAST(sum(CAST(value * 1000 AS DECIMAL(18,3))) AS DOUBLE) / count(*) > 30000""")
+def _(spark, d):
+    """Bins of a window that leaves most of the log out."""
+    return mon.latency_bins(star.query_log(spark, d), NOW, hours=84)
+
+
 @case("mon_cost_variance", _VARIANCE)
 def _(spark, d):
     return mon.cost_variance(star.cost_log(spark, d))

@@ -144,6 +144,28 @@ def _(spark, d):
     return tables.diff(ledger, after, ["order_id"])
 
 
+@case("tbl_diff_by_buckets", """
+    SELECT 'update_pre' AS change_type, o_orderkey AS order_id, o_custkey AS customer_key,
+           o_orderstatus AS status, o_totalprice AS total_price, o_orderpriority AS priority
+    FROM orders WHERE o_orderkey % 1000 = 7
+    UNION ALL
+    SELECT 'update_post', o_orderkey, o_custkey, 'VIP', o_totalprice, o_orderpriority
+    FROM orders WHERE o_orderkey % 1000 = 7
+    UNION ALL
+    SELECT 'delete', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+    FROM orders WHERE o_orderkey % 1000 = 8
+    UNION ALL
+    SELECT 'insert', -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+    FROM orders WHERE o_orderkey % 1000 = 9""")
+def _(spark, d):
+    """Few changes in a large table: only the key buckets that hold one are compared."""
+    ledger = star.orders_ledger(spark, d)
+    left = ledger.filter("order_id % 1000 <> 8")
+    after = tables.update(left, F.col("order_id") % 1000 == 7, {"status": F.lit("VIP")}).unionByName(
+        ledger.filter("order_id % 1000 = 9").withColumn("order_id", -F.col("order_id")))
+    return tables.diff_by_buckets(ledger, after, ["order_id"])
+
+
 @case("tbl_change_feed", """
     SELECT 'delete' AS change_type, o_orderkey AS order_id, o_orderstatus AS status
     FROM orders WHERE o_orderkey % 3 = 0

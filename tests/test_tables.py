@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan, rows
+from conftest import SMALL, plan, rows
 from pyspark.sql import functions as F
 
 from lakejobs import schemas
@@ -186,3 +186,44 @@ def test_rows_without_a_key_have_one_change_each(spark):
 def test_rows_of_a_partitioned_write_are_counted(spark, path):
     data = spark.range(100).selectExpr("id", "id % 3 as part")
     assert tables.write(data, path, partition_by=["part"]) == 100
+
+
+def test_diff_by_buckets(spark):
+    schema = "k int, a string, b string, m map<string,int>, s struct<x:int,y:int>"
+    old = spark.createDataFrame(
+        [(i, "v", None, {"x": i}, (i, None)) for i in range(200)] + [(None, "n", None, None, None)], schema)
+    changed = {3: (3, None, "v", {"x": 3}, (3, None)), 5: (5, "v", None, {"x": 6}, (5, None)),
+               7: (7, "v", None, {"x": 7}, (None, 7))}
+    new = spark.createDataFrame(
+        [changed.get(i, (i, "v", None, {"x": i}, (i, None))) for i in range(1, 201)], schema)
+    columns = ["change_type", "k", "a", "b"]
+    for frames in ((old, new), (old, old), (old.where("1 = 0"), new), (old, new.drop("b"))):
+        left, right = [f.drop("m") for f in frames]  # maps cannot be compared by the plain diff
+        got = tables.diff_by_buckets(left, right, ["k"], 64)
+        assert rows(got.select(columns)) == rows(tables.diff(left, right, ["k"]).select(columns))
+    # A map is part of the checksum: its bucket, and only those that differ, are compared.
+    sealed = [tables._sealed(f, ["k"], old.columns, 512).collect() for f in (old, new)]
+    differ = {r._bucket for r in set(sealed[0]) ^ set(sealed[1])}
+    held = {r[0] for r in old.union(new).where("k IN (0, 3, 5, 7, 200) OR k IS NULL").select(
+        tables._key_bucket(["k"], 512)).collect()}
+    assert differ == held
+
+
+def test_equal_buckets_are_not_shuffled(spark, tmp_path):
+    spark.range(50_000).selectExpr("id as k", "id % 7 as v").write.parquet(str(tmp_path / "t"))
+    old = spark.read.parquet(str(tmp_path / "t"))
+    new = old.withColumn("v", F.when(F.col("k") == 4321, 99).otherwise(F.col("v")))
+    out = tables.diff_by_buckets(old, new, ["k"])
+    assert len(out.collect()) == 2
+    text = plan(out)
+    # The semi join by bucket lies below the shuffle of the rows on their key.
+    rows_shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning(o_0" in line]
+    assert rows_shuffled and "BroadcastHashJoin" in text and "LeftSemi" in text
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from lakejobs.registry import columns
+
+    text = plan(columns.colocated(spark, SMALL))
+    assert "Exchange" not in text and text.count("SortMergeJoin") == 2
+    assert text.count("Bucketed: true") == 3
