@@ -33,17 +33,23 @@ NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: UR
 WARC_END = "\r\n\r\n"
 ID_HEADER = b"X-Archive-Id"
 CHUNK = 1 << 20
+PIECE = 1 << 16  # bytes that a gzip member is fed at once
 
 
 def inflated(content: bytes) -> bytes:
     """A file's bytes; gzip files may have any number of members."""
     if content[:2] != b"\x1f\x8b":
         return content
-    out, rest = [], content
-    while rest[:2] == b"\x1f\x8b":
+    # Fed by offset and in pieces, so that a member costs its own size and not the file's.
+    out, view, at = [], memoryview(content), 0
+    while content[at:at + 2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        out.append(member.decompress(rest))
-        rest = member.unused_data
+        while not member.eof and at < len(content):
+            piece = view[at:at + PIECE]
+            out.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        if not member.eof:
+            raise ValueError("the last gzip member is not whole")
     return b"".join(out)
 
 

@@ -124,3 +124,23 @@ def test_odd_vectors_and_ties(spark):
     assert permutation_index.search(empty, F.lit(True)).count() == 0
     alone = permutation_index.build(df.where("vec_id = 3"))
     assert permutation_index.search(alone, F.lit(True)).count() == 0
+
+
+def test_files_of_many_gzip_members():
+    """A member a record, as archives have it: the time grows with the members, not their square."""
+    import gzip
+    import time
+
+    parts = [bytes([i % 251]) * 700 + b"%d" % i for i in range(20_000)]
+    begin = time.time()
+    content = b"".join(gzip.compress(p, 1) for p in parts)
+    packing = time.time() - begin
+    begin = time.time()
+    assert warc_convert.inflated(content) == b"".join(parts)
+    assert time.time() - begin < 5 + 5 * packing
+    large = bytes(range(256)) * 40_000
+    assert warc_convert.inflated(gzip.compress(large) + gzip.compress(b"") + gzip.compress(b"x")) \
+        == large + b"x"
+    assert warc_convert.inflated(gzip.compress(b"a") + b"\0\0") == b"a"
+    with pytest.raises(ValueError, match="not whole"):
+        warc_convert.inflated(gzip.compress(large)[:-9])
