@@ -86,7 +86,7 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits((np.bincount(spot, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-SETS = "n long, cls long, bits binary, bucket long, times long"
+SETS = "mark long, n long, cls long, bits binary, bucket long, times long"
 ID_TYPES = {"long": pa.int64(), "string": pa.string()}
 
 
@@ -106,12 +106,12 @@ def describe_sets(words: int, id_type: str = "long"):
                 np.add.at(counts, (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
-                 pa.array(bits, pa.binary()), none, none], names)
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()),
+                 pa.array(classes, pa.int64()), pa.array(bits, pa.binary()), none, none], names)
         often = np.flatnonzero(counts > 2 * counts.mean() + 6)
         none = pa.nulls(len(often), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(often), ID_TYPES[id_type]), none, none,
+            [pa.nulls(len(often), ID_TYPES[id_type]), none, none, none,
              pa.nulls(len(often), pa.binary()), pa.array(often, pa.int64()),
              pa.array(counts[often].astype(np.int64))], names)
 
@@ -474,6 +474,15 @@ def only_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     return rows.where(maybe(place(id_col)))
 
 
+def texts_of(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """The text of each placed class: that of its row by id and hash of the text, so that the
+    other texts of a repeated or null id are not met."""
+    placed = placed.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"),
+                           "cls", "cluster", "bundle")
+    return texts.join(placed, F.col("doc_id").eqNullSafe(F.col("_id"))
+                      & (F.col("mark") == F.col("_mark"))).drop("mark", "_mark")
+
+
 def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                      id_type: str = "long", words: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, and component_id, the smallest id reachable by links.
@@ -483,10 +492,11 @@ def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     documents of their own. Ids are long or, by ``id_type``, string. An empty table gives no
     row."""
     texts = docs.select(F.col(f"`{id_col}`").cast(id_type).alias("doc_id"),
-                        F.col(f"`{text_col}`").alias("text"))
+                        F.col(f"`{text_col}`").alias("text"),
+                        F.xxhash64(F.col(f"`{text_col}`")).alias("mark"))
     described = stored(texts.mapInArrow(
         describe_sets(words, id_type), f"doc_id {id_type}, {SETS}"), "sets")
-    sets = described.where("bucket IS NULL").select("doc_id", "n", "cls")
+    sets = described.where("bucket IS NULL").select("doc_id", "mark", "n", "cls")
     bits = described.where("cls IS NOT NULL").groupBy("cls").agg(F.first("bits").alias("bits"))
     grade = bucket_grades(described.where("bucket IS NOT NULL"))
 
@@ -499,7 +509,8 @@ def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         read_lists(percent), "u long, v long").distinct()
     clusters = components(edges).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
 
-    first = sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    first = sets.where("cls IS NOT NULL").groupBy("cls").agg(
+        F.min(F.struct("doc_id", "mark")).alias("one")).select("cls", "one.*")
     members = stored(clusters.join(first, "cls"), "members")
     size = members.groupBy("cluster").agg(F.count("*").alias("size"))
     bundles = -(-members.count() // BUNDLE) or 1
@@ -511,10 +522,7 @@ def linked_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "-", "cluster", F.least(block, other), F.greatest(block, other)))
     placed = members.join(size, "cluster").withColumn(
         "bundle", F.explode(F.when(blocks == 1, F.array(small)).otherwise(pair)))
-    placed = placed.select(F.col("doc_id").alias("_id"), "cls", "cluster", "bundle")
-    wanted = only_ids(texts, "doc_id", members.select("doc_id"))
-    wanted = wanted.join(placed, F.col("doc_id").eqNullSafe(F.col("_id")))
-    found = wanted.groupBy("bundle").applyInArrow(
+    found = texts_of(placed, only_ids(texts, "doc_id", members.select("doc_id"))).groupBy("bundle").applyInArrow(
         compare_clusters(words, percent), "u long, v long")
     roots = components(found.distinct()).select(F.col("node").alias("cls"), "root")
 

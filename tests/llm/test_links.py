@@ -287,3 +287,22 @@ def test_stages_take_odd_texts(spark, messy, tmp_path):
         f"{tmp_path}/labels.parquet")
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, messy, str(tmp_path)).columns == messy.columns
+
+
+def test_near_copies_without_an_id_meet_as_their_own_texts(spark):
+    """2,000 near copies under one id: each class is met by its own row, not by all of them."""
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(2000):
+        words = list(base)
+        words[i % 400] = f"x{i}"
+        rows.append((None if i % 2 else 7, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.withColumn("mark", F.xxhash64("text"))
+    placed = texts.select("doc_id", "mark", F.monotonically_increasing_id().alias("cls"),
+                          F.lit(1).alias("cluster"), F.lit("b").alias("bundle"))
+    assert jaccard_join.texts_of(placed, texts).count() == 2000
+    found = jaccard_join.linked_documents(docs).groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.min("component_id").alias("one"),
+        F.max("component_id").alias("other")).collect()
+    assert {(r.doc_id, r.n, r.one, r.other) for r in found} == {(None, 1000, 7, 7), (7, 1000, 7, 7)}
