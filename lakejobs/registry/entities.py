@@ -16,9 +16,16 @@ PRODUCT_ORDER = ["product_name", "category", "price"]
 HIGH_VALUE, MEDIUM_VALUE = 2_500_000, 1_500_000
 
 
+SILVER_COLUMNS = ("sale_id", "sale_date", "customer_id", "product_id", "sale_amount",
+                  "store_id", "quantity")
+
+
 def valid_sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Sales that pass the quarantine rules, with silver types."""
-    raw = star.sales_raw(spark, folder, *columns)
+    return valid_of(star.sales_raw(spark, folder, *columns))
+
+
+def valid_of(raw: DataFrame) -> DataFrame:
     valid, _ = quality.split_quarantine(raw, quality.SALES_REJECTS)
     return typed_sales(valid).drop("processed_timestamp", "record_status")
 
@@ -29,10 +36,10 @@ def silver_sales(spark: SparkSession, folder: str) -> DataFrame:
     The parts of a sale id are never NULL here, so no row needs to bypass the
     deduplication and the joins behind it run once.
     """
-    raw = star.sales_raw(
-        spark, folder, "sale_id", "sale_date", "customer_id", "product_id", "sale_amount",
-        "store_id", "quantity",
-    )
+    return silver_of(star.sales_raw(spark, folder, *SILVER_COLUMNS))
+
+
+def silver_of(raw: DataFrame) -> DataFrame:
     clean = quality.apply_expectations(projections.clean_sales(raw), quality.SALES_RULES)
     return dedup.dedup(clean, ["sale_id", "sale_date"], SALE_ORDER, keep_null_keys=False)
 

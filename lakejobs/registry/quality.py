@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakejobs.operators import projections, quality
+from lakejobs.operators import gold, projections, quality, tables
+from lakejobs.plans.together import together
 from lakejobs.registry import entities
 from lakejobs.registry.case import case
+from lakejobs.session import fresh_dir
 from lakejobs.sources import star_tables as star
 
 _SALES = ("sale_id", "sale_date", "customer_id", "product_id", "sale_amount")
@@ -206,13 +208,18 @@ def _(spark, d):
     SELECT *, true AS timed, CAST(NULL AS BOOLEAN) AS not_found FROM measured
     UNION ALL SELECT 'missing', 'gold', 0, 100.0, 'ERROR', true, true""", "sales_raw valid_sales")
 def _(spark, d):
-    from lakejobs.registry.gold import by_region
-
-    silver = entities.silver_sales(spark, d)
+    """Metrics of written tables, each layer made from the one before and read once."""
+    root = fresh_dir(spark, "table_metrics")
+    tables.write(star.sales_raw(spark, d, *entities.SILVER_COLUMNS, "region"), f"{root}/bronze")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    together(
+        lambda: tables.write(entities.silver_of(bronze.drop("region")), f"{root}/silver"),
+        lambda: tables.write(gold.by_region(entities.valid_of(bronze)), f"{root}/gold"),
+    )
     return quality.all_table_metrics(spark, [
-        (star.sales_raw(spark, d, *_SALES), "sales_raw", "bronze", ["sale_id"]),
-        (silver, "silver_sales", "silver", ["sale_id", "sale_date"]),
-        (by_region(spark, d), "by_region", "gold", ["region"]),
+        (bronze.select(*_SALES), "sales_raw", "bronze", ["sale_id"]),
+        (spark.read.parquet(f"{root}/silver"), "silver_sales", "silver", ["sale_id", "sale_date"]),
+        (spark.read.parquet(f"{root}/gold"), "by_region", "gold", ["region"]),
         (lambda: spark.read.parquet(f"{d}/no_such_table.parquet"), "missing", "gold", None),
     ]).select(
         "table_name", "layer", "total_rows", "null_percentage", "status",
