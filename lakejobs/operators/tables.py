@@ -79,11 +79,16 @@ def write(
 
 
 def append(
-    df: DataFrame, path: str, merge_schema: bool = True, partition_by: list[str] | None = None
+    df: DataFrame, path: str, merge_schema: bool = True, partition_by: list[str] | None = None,
+    known: T.StructType | None = None,
 ) -> int:
-    """Add rows to a table that may be missing yet; known columns get its types."""
-    if exists(df.sparkSession, path):
+    """Add rows to a table that may be missing yet; known columns get its types.
+
+    A caller that keeps the table's columns gives them as ``known``; without it the footers of
+    all files are read."""
+    if known is None and exists(df.sparkSession, path):
         known = read(df.sparkSession, path).schema
+    if known is not None:
         df = typed(df, known)
         merged_schema(known, df.schema, merge_schema)
     return write(df, path, "append", partition_by)
@@ -111,9 +116,10 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def append_named(df: DataFrame, name: str) -> None:
-    """Append to a table of the session catalog."""
-    df.write.mode("append").saveAsTable(name)
+def append_named(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Append to a table of the session catalog; ``path`` is its place, else the warehouse."""
+    writer = df.write.mode("append").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def few_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:

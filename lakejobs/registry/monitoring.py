@@ -221,12 +221,12 @@ def _(spark, d):
 
 
 @case("mon_top_issues", f"""
-    SELECT type, severity, message FROM ({_ALL})
+    SELECT * FROM ({_ALL})
     ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3
              ELSE 4 END, type, message LIMIT 5""", "runs files")
 def _(spark, d):
     issues = platform_health.issues(logs(spark, d), NOW, COST_DAY, LIMITS)
-    return mon.top_issues(issues).drop("details")
+    return spelled(mon.top_issues(issues))
 
 
 @case("mon_recommendations", f"""

@@ -78,6 +78,17 @@ def _(spark, d):
     return days.select("rows_id", "access_date")
 
 
+@case("snk_append_named", _LEDGER)
+def _(spark, d):
+    """Two appends to a table of the catalog, read by its name."""
+    path = fresh_dir(spark, "snk_named")
+    name = f"orders_{path.rpartition('-')[2]}"
+    ledger = star.orders_ledger(spark, d)
+    for part in (0, 1):
+        tables.append_named(ledger.filter(f"order_id % 2 = {part}"), name, path)
+    return spark.table(name)
+
+
 @case("src_csv_scan", _LEDGER)
 def _(spark, d):
     """Orders written as CSV files with a header and read by a schema."""
@@ -122,6 +133,28 @@ def _(spark, d):
         "num_rows", ((F.col("num_files") >= 2) & (F.col("size_bytes") > 0)).alias("has_files"))
 
 
+@case("tbl_compact_files", """
+    SELECT count(*) AS num_rows, CAST(16 AS BIGINT) AS files_before, true AS fewer_files,
+           true AS same_rows FROM orders""")
+def _(spark, d):
+    """Files before and behind a compaction: one for each 128 MB, and a few more at most."""
+    small, path = fresh_dir(spark, "tbl_16_files"), fresh_dir(spark, "tbl_few_files")
+    tables.write(star.orders_ledger(spark, d).repartition(16, "order_id"), small)
+    before = spark.read.parquet(small)
+    tables.write(before, path, even_files=True)
+    sizes = [tables.file_sizes(df).withColumn("when", F.lit(n))
+             for n, df in enumerate((before, spark.read.parquet(path)))]
+    sizes = sizes[0].unionByName(sizes[1])
+
+    def at(column, n):
+        return F.max(F.when(F.col("when") == n, F.col(column)))
+
+    return sizes.agg(
+        at("num_rows", 1).alias("num_rows"), at("num_files", 0).alias("files_before"),
+        (at("num_files", 1) <= at("size_bytes", 1) / (128 << 20) + 2).alias("fewer_files"),
+        (at("num_rows", 0) == at("num_rows", 1)).alias("same_rows"))
+
+
 @case("tbl_compact", _LEDGER)
 def _(spark, d):
     """Many small files put together in a folder of their own; the rows stay."""

@@ -109,6 +109,9 @@ def _save_schema(spark: SparkSession, schema_dir: str, schema: T.StructType, ver
 # -- JSON: whole records in bronze, columns drawn behind it ------------------
 
 
+_FOLDERS = T.StructType([T.StructField("folder", T.StringType()),
+                         T.StructField("files", T.LongType()),
+                         T.StructField("bytes", T.LongType())])
 RECORDS = T.StructType([
     T.StructField(RECORD, T.VariantType()), T.StructField(CORRUPT, T.StringType()),
     T.StructField("ingestion_timestamp", T.TimestampType()),
@@ -166,25 +169,39 @@ def record_columns(records: DataFrame) -> T.StructType:
     return T.StructType([f for f in kind.fields if record_path(f.name)])
 
 
+def _folders(spark: SparkSession, bronze: str) -> DataFrame:
+    """The batch folders of a bronze table with the number and bytes of their files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.parquet").load(bronze)
+    return files.groupBy(_folder("path").alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def _folder(path: str) -> Column:
+    return F.regexp_extract(path, "([^/]*)/[^/]*$", 1)
+
+
 def register_records(spark: SparkSession, bronze: str, schema_dir: str) -> T.StructType:
     """Bring the stored schema up to date with the records of a bronze table and return it.
 
-    Only batches that were not looked at are read.  As bronze keeps whole records, it does not
-    matter when a file landed: its columns are seen once it is there."""
+    Only batches that are new, or have files more than when they were looked at, are read.  As
+    bronze keeps whole records, it does not matter when a file landed: its columns are seen once
+    it is there."""
     last = _last_entry(spark, schema_dir)
     schema, version = (T.StructType([]), 0) if last is None else (last[0], last[1] + 1)
-    table = spark.read.schema(RECORDS).parquet(bronze)
-    batches = table.select("batch_id").distinct()
+    folders = _folders(spark, bronze)
     if path_exists(spark, f"{schema_dir}/batches"):
-        known = spark.read.schema("batch_id string").parquet(f"{schema_dir}/batches")
-        batches = batches.join(known, "batch_id", "left_anti")
-    new = [r.batch_id for r in batches.collect()]  # partitions that no run has looked at
+        known = spark.read.schema(_FOLDERS).parquet(f"{schema_dir}/batches")
+        folders = folders.join(known, _FOLDERS.names, "left_anti")
+    new = [r.asDict() for r in folders.collect()]  # one record per batch since the last run
     if new:
-        schema = grown(schema, record_columns(table.filter(F.col("batch_id").isin(new))))
+        table = spark.read.schema(RECORDS).parquet(bronze)
+        names = [r["folder"] for r in new]
+        if not any("%" in n for n in names):  # else their names are written in more than one way
+            table = table.filter(_folder("_metadata.file_path").isin(names))
+        schema = grown(schema, record_columns(table))
         _save_schema(spark, schema_dir, schema, version)
-        kinds = T.StructType([T.StructField("batch_id", T.StringType())])
-        few_rows(spark, [{"batch_id": b} for b in new], kinds).write.mode("append").parquet(
-            f"{schema_dir}/batches")
+        few_rows(spark, new, _FOLDERS).write.mode("append").parquet(f"{schema_dir}/batches")
     return schema
 
 

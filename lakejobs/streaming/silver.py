@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakejobs.operators.dedup import dedup
 from lakejobs.operators.projections import process_audit
 from lakejobs.operators.quality import Expectation, apply_expectations
-from lakejobs.operators.tables import plain
+from lakejobs.operators.tables import exists, plain
 from lakejobs.streaming.ingest import CORRUPT, start_table
 from lakejobs.streaming.keys import EPOCH, KeyStore
 
@@ -54,8 +54,10 @@ def silver(
     through :func:`stream_silver`.
     """
     valid = cleaned(bronze, clean, rules, finish)
-    if watermark is None or not bronze.isStreaming:
+    if not bronze.isStreaming:
         return dedup(valid, keys, order_by, keep_null_keys)
+    if watermark is None:
+        raise ValueError("a stream without a watermark goes through stream_silver")
     column, delay = watermark
     marked = valid.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
     if not keep_null_keys:
@@ -107,15 +109,28 @@ def stream_silver(
     )
 
 
+def epochs(spark: SparkSession, path: str) -> list[int]:
+    """The micro-batches that a silver table holds, by its folders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    mark = f"{EPOCH}="
+    return sorted(int(n[len(mark):]) for n in names if n.startswith(mark))
+
+
 def read_silver(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
-    """A table written by :func:`stream_silver`; ``after`` an epoch, its later rows alone."""
-    df = spark.read.parquet(path)
-    if EPOCH not in df.columns:
-        return df
-    return (df if after is None else df.filter(F.col(EPOCH) > after)).drop(EPOCH)
+    """A table written by :func:`stream_silver`; ``after`` an epoch, its later rows alone.
+
+    Columns only grow, so those of the newest micro-batch are those of the table, and no other
+    footer is read."""
+    for newest in reversed(epochs(spark, path)):
+        part = f"{path}/{EPOCH}={newest}"
+        if exists(spark, part):
+            kinds = plain(spark.read.parquet(part).schema).add(EPOCH, T.LongType())
+            df = spark.read.schema(kinds).parquet(path)
+            return (df if after is None else df.filter(F.col(EPOCH) > after)).drop(EPOCH)
+    return spark.read.parquet(path)
 
 
 def last_epoch(spark: SparkSession, path: str) -> int | None:
-    """The last micro-batch a silver table holds, by its folders."""
-    df = spark.read.parquet(path)
-    return df.agg(F.max(EPOCH)).first()[0] if EPOCH in df.columns else None
+    return max(epochs(spark, path), default=None)

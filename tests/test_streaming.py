@@ -135,8 +135,17 @@ def test_dedup_state_survives_a_restart(spark, tmp_path):
     refresh()
     put_json(src, "b.json", [{**SALES[0], "note": "again"}, {**SALES[0], "saleId": "new"}])
     refresh()
-    got = spark.read.parquet(lake.silver("s"))
+    got = read_silver(spark, lake.silver("s"))
     assert rows(got.select("sale_id")) == [("NEW",), ("S1",)]
+    # A column of the second run is a column of the table.
+    assert rows(got.select("sale_id", "note")) == [("NEW", None), ("S1", None)]
+    put_json(src, "c.json", [{**SALES[0], "saleId": "s9", "note": "kept"}])
+    refresh()
+    got = read_silver(spark, lake.silver("s"))
+    assert rows(got.select("sale_id", "note")) == [("NEW", None), ("S1", None), ("S9", "kept")]
+    with pytest.raises(ValueError, match="watermark"):
+        schema = ingest.stored_schema(spark, lake.schema("s"))
+        silver(records(spark, lake, schema), projections.clean_sales, (), ["sale_id"])
 
 
 def test_watermark_bounds_the_state(spark, tmp_path):
