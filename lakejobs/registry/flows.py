@@ -32,8 +32,8 @@ def medallion_summary(spark, d):
 
 
 # Copies of each sale as they land in two waves, and the one that silver keeps: the first valid one
-# to arrive, and within a wave the first in order.  Every sale of an even quantity also lands
-# in the second wave with a higher amount.  The flow takes the usual category synonyms, none of
+# to arrive, and within a wave the first in order.  Every sale of a quantity that ends in 0
+# also lands in the second wave with a higher amount.  The flow takes the usual category synonyms, none of
 # which occurs among the part types.
 _STREAMED = """
     , landed AS (
@@ -41,7 +41,7 @@ _STREAMED = """
         FROM sales_raw
         UNION ALL
         SELECT sale_id, sale_date, customer_id, product_id, sale_amount + 1, 1
-        FROM sales_raw WHERE quantity % 2 = 0),
+        FROM sales_raw WHERE quantity % 10 = 0),
     typed AS (SELECT * REPLACE (CAST(sale_amount AS DECIMAL(10,2)) AS sale_amount) FROM landed),
     kept AS (
         SELECT * FROM typed WHERE sale_amount > 0 AND customer_id IS NOT NULL
@@ -60,6 +60,7 @@ def _stream(spark, d, name, gold=True):
     wave = F.col("quantity") % 2
     second = raw.withColumn(
         "sale_amount", F.when(wave == 0, F.col("sale_amount") + 1).otherwise(F.col("sale_amount")))
+    second = second.filter((wave == 1) | (F.col("quantity") % 10 == 0))
     waves = [df.select(*camel).withColumnsRenamed(camel) for df in (raw.filter(wave == 0), second)]
     customers = star.customers_raw(spark, d).withColumnsRenamed({
         "customer_id": "customerId", "first_name": "firstName", "last_name": "lastName",
