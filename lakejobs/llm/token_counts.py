@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 BATCH_CHARS = 1 << 20
 MEMO_ENTRIES = 400_000
+MEMO_CHARS = 64  # longer pieces are counted and not kept, as they hardly come again
 _LOADED: dict[str, PieceLengths] = {}
 
 # Fixed value: how the vocabulary splits text.
@@ -43,7 +44,8 @@ def _types(config: dict | None, inner: str) -> list[str]:
 
 
 class PieceLengths:
-    """Token counts of pieces without spaces; about ``MEMO_ENTRIES`` of them are kept.
+    """Token counts of pieces without spaces; about ``MEMO_ENTRIES`` of them are kept, none
+    longer than ``MEMO_CHARS`` beyond the batch it is in, so the memo is bounded in bytes.
 
     New pieces are encoded in one call with a special token as border between them. Where the
     vocabulary lower-cases, drops white space and splits letters from signs, a piece of Latin
@@ -94,7 +96,9 @@ class PieceLengths:
         known = self.memo.get(part)
         if known is None:
             shown = part.encode().decode("latin-1").translate(BYTE_SIGNS)
-            known = self.memo[part] = len(self.model.tokenize(shown))
+            known = len(self.model.tokenize(shown))
+            if len(part) <= MEMO_CHARS:
+                self.memo[part] = known
         return known
 
     def count(self, batch: list[tuple[int, str]], totals: np.ndarray) -> None:
@@ -109,6 +113,9 @@ class PieceLengths:
         known = self.memo.__getitem__
         for (row, _), pieces in zip(batch, split, strict=True):
             totals[row] += sum(map(known, pieces))
+        for piece in fresh:
+            if len(piece) > MEMO_CHARS:
+                del self.memo[piece]
 
 
 def balanced(texts: list[str | None], limit: int = BATCH_CHARS) -> Iterator[list[tuple[int, str]]]:
@@ -144,7 +151,8 @@ def lengths(texts: pa.Array, path: str) -> pa.Array:
 
 
 def token_count(text: Column, path: str) -> Column:
-    """Tokens of each whole text (null: 0) under a vocabulary file that drops white space.
+    """Tokens of each whole text (null: 0) under a vocabulary file that drops white space; row by
+    row, so repeated rows count alike and null keys play no part.
 
     Special strings inside a text are special tokens, as the library's default has it.
     """

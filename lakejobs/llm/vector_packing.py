@@ -13,6 +13,7 @@ import base64
 import os
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,45 +65,79 @@ def codec(path: str) -> Codec:
 
 
 class Pool:
-    """Examples that wait for a place: demand in tokens, one segment, and loss-bearing tokens."""
+    """Examples that wait for a place, in buckets of equal demand: tokens, one segment, and
+    loss-bearing tokens. A choice compares buckets, so its time depends on how many different
+    demands wait and not on how many examples; within a bucket the first to come is the first
+    to go."""
 
     def __init__(self, limits: tuple[int, int, int]):
         self.limits = np.array(limits, float)
-        self.tokens = np.zeros(0, np.int64)
-        self.loss = np.zeros(0, np.int64)
-        self.keys: list = []
-
-    def add(self, keys: list, tokens: list[int], loss: list[int]) -> None:
-        self.keys += keys
-        self.tokens = np.concatenate([self.tokens, np.array(tokens, np.int64)])
-        self.loss = np.concatenate([self.loss, np.array(loss, np.int64)])
+        self.examples: dict[int, tuple] = {}  # those that wait: key, tokens, loss
+        self.added = 0
+        self.slots: dict[tuple[int, int], int] = {}
+        self.queues: list[deque[int]] = []
+        self.tokens = self.loss = self.waiting = np.zeros(0, np.int64)  # of each bucket
+
+    def add(self, key, tokens: int, loss: int) -> None:
+        self._put(self.added, key, tokens, loss)
+        self.added += 1
+
+    def _put(self, at: int, key, tokens: int, loss: int) -> None:
+        slot = self.slots.get((tokens, loss))
+        if slot is None:
+            slot = self._open(tokens, loss)
+        self.examples[at] = (key, tokens, loss)
+        self.queues[slot].append(at)
+        self.waiting[slot] += 1
+
+    def _open(self, tokens: int, loss: int) -> int:
+        """A new bucket; where there is no room, empty ones go and the arrays double."""
+        if len(self.queues) == len(self.tokens):
+            kept = [i for i, queue in enumerate(self.queues) if queue]
+            grown = np.zeros((3, max(64, 2 * len(kept))), np.int64)
+            for row, old in zip(grown, (self.tokens, self.loss, self.waiting), strict=True):
+                row[:len(kept)] = old[kept]
+            self.tokens, self.loss, self.waiting = grown
+            self.queues = [self.queues[i] for i in kept]
+            self.slots = {(int(self.tokens[i]), int(self.loss[i])): i for i in range(len(kept))}
+        slot = self.slots[tokens, loss] = len(self.queues)
+        self.queues.append(deque())
+        self.tokens[slot], self.loss[slot] = tokens, loss
+        return slot
 
     def best(self, left: np.ndarray, whole: bool) -> int:
         """The waiting example with the largest dot product; -1 if none fits.
 
         ``whole`` examples must fit; else only a part of them has to."""
-        if left[0] < 1 or left[1] < 1 or not len(self.tokens):
+        if left[0] < 1 or left[1] < 1 or not self.examples:
             return -1
-        fits = self.tokens > 0
+        used = len(self.queues)
+        tokens, loss = self.tokens[:used], self.loss[:used]
+        fits = self.waiting[:used] > 0
         if whole:
-            fits &= (self.tokens <= left[0]) & (self.loss <= left[2])
+            fits &= (tokens <= left[0]) & (loss <= left[2])
         elif left[2] < 1:
-            fits &= self.loss == 0
+            fits &= loss == 0
         weight = left / self.limits
         score = np.where(
-            fits, self.tokens * (weight[0] / self.limits[0]) + weight[1] / self.limits[1]
-            + self.loss * (weight[2] / self.limits[2]), -1.0)
-        at = int(score.argmax())
-        return at if fits[at] else -1
+            fits, tokens * (weight[0] / self.limits[0]) + weight[1] / self.limits[1]
+            + loss * (weight[2] / self.limits[2]), -1.0)
+        slot = int(score.argmax())
+        return self.queues[slot][0] if fits[slot] else -1
 
-    def prune(self) -> None:
-        keep = np.flatnonzero(self.tokens > 0)
-        self.keys = [self.keys[i] for i in keep]
-        self.tokens, self.loss = self.tokens[keep], self.loss[keep]
+    def take(self, at: int, tokens: int, loss: int) -> None:
+        """Place so much of the first example of its bucket; what is left of it waits on."""
+        key, size, bearing = self.examples.pop(at)
+        slot = self.slots[size, bearing]
+        self.queues[slot].popleft()
+        self.waiting[slot] -= 1
+        if size > tokens:
+            self._put(at, key, size - tokens, bearing - loss)
 
 
-def fill(pool: Pool, cut: bool) -> list[tuple[int, int]]:
-    """Fill one sequence: (pool index, tokens taken from the front of what is left of it).
+def fill(pool: Pool, cut: bool) -> list[tuple]:
+    """Fill one sequence: (key, tokens and loss-bearing tokens taken from the front of what is
+    left of it).
 
     With ``cut``, every token of an example counts as loss-bearing or none does."""
     left, out = pool.limits.copy(), []
@@ -113,15 +148,12 @@ def fill(pool: Pool, cut: bool) -> list[tuple[int, int]]:
             at = pool.best(left, False) if cut else -1
         if at < 0:
             break
-        tokens, loss = int(pool.tokens[at]), int(pool.loss[at])
-        take = min(tokens, int(left[0]), int(left[2]) if loss else tokens)
-        lost = take if loss else 0
-        if not part:
-            take, lost = tokens, loss
+        key, tokens, loss = pool.examples[at]
+        take = min(tokens, int(left[0]), int(left[2]) if loss else tokens) if part else tokens
+        lost = (take if loss else 0) if part else loss
         left -= (take, 1, lost)
-        pool.tokens[at] -= take
-        pool.loss[at] -= lost
-        out.append((at, take))
+        pool.take(at, take, lost)
+        out.append((key, take, lost))
     return out
 
 
@@ -166,12 +198,12 @@ class Packer:
 
     def flush(self, last: bool) -> Iterator[list[tuple]]:
         pool = self.pool
-        pool.add([k for k, _ in self.fresh], [n for _, n in self.fresh], [n for _, n in self.fresh])
+        for key, size in self.fresh:
+            pool.add(key, size, size)
         self.fresh = []
         while self.waiting and (last or self.waiting >= 64 * self.limit):
             pieces = []
-            for at, take in fill(pool, True):
-                key = pool.keys[at]
+            for key, take, _ in fill(pool, True):
                 pieces.append((key, self.docs[key], take))
                 self.docs[key] += take
             size = sum(p[2] for p in pieces)
@@ -180,10 +212,7 @@ class Packer:
                 yield from binary_parts(pieces, self.limit)
             else:
                 yield pieces
-            if len(pool.keys) > 64 and (pool.tokens > 0).sum() * 2 < len(pool.keys):
-                pool.prune()
-        pool.prune()
-        self.docs = {k: self.docs[k] for k in pool.keys}
+        self.docs = {key: self.docs[key] for key, _, _ in pool.examples.values()}
 
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -261,17 +290,15 @@ def placed(batches, limits: tuple[int, int, int], window: int):
     def drain(last: bool):
         nonlocal sequence
         rows = []
-        while len(pool.keys) and (last or (pool.tokens > 0).sum() > window // 4):
-            demand = dict(enumerate(zip(pool.tokens.tolist(), pool.loss.tolist(), strict=True)))
+        while pool.examples and (last or len(pool.examples) > window // 4):
             chosen = fill(pool, False)
             if not chosen:
                 break
             offset = 0
-            for segment, (at, take) in enumerate(chosen):
-                rows.append((pool.keys[at], *demand[at], sequence, segment, offset))
+            for segment, (key, take, lost) in enumerate(chosen):
+                rows.append((key, take, lost, sequence, segment, offset))
                 offset += take
             sequence += 1
-            pool.prune()
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
@@ -283,7 +310,8 @@ def placed(batches, limits: tuple[int, int, int], window: int):
             raise ValueError(f"examples that no sequence can hold: {over[:5]}")
         for begin in range(0, len(ids), window):
             part = slice(begin, begin + window)
-            pool.add(ids[part], tokens[part], loss[part])
+            for example in zip(ids[part], tokens[part], loss[part], strict=True):
+                pool.add(*example)
             yield drain(False)
     yield drain(True)
 

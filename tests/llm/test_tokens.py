@@ -1,4 +1,5 @@
 import zlib
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -104,7 +105,49 @@ def test_example_beyond_a_limit_is_an_error(spark):
 
 def test_dot_product_prefers_what_fills_the_open_dimension():
     pool = vector_packing.Pool((100, 4, 100))
-    pool.add(["little loss", "much loss"], [50, 50], [0, 50])
+    pool.add("little loss", 50, 0)
+    pool.add("much loss", 50, 50)
     assert pool.best(np.array([100.0, 4, 10]), True) == 0
     assert pool.best(np.array([60.0, 4, 100]), True) == 1
     assert pool.best(np.array([40.0, 4, 100]), True) == -1
+
+
+def test_choice_is_the_largest_product_of_all_that_wait():
+    """Buckets choose as a scan of every waiting example does, the first of equal demand first."""
+    rng = np.random.default_rng(4)
+    limits = np.array([60.0, 5, 40])
+    pool = vector_packing.Pool((60, 5, 40))
+    waiting = {}
+    for i in range(400):
+        tokens = int(rng.integers(1, 60))
+        waiting[i] = (tokens, int(rng.integers(0, min(tokens, 40) + 1)))
+        pool.add(f"e{i}", *waiting[i])
+    while waiting:
+        left, taken = limits.copy(), []
+        for key, tokens, loss in vector_packing.fill(pool, False):
+            fit = {i: (left / limits * np.array([t, 1, n]) / limits).sum()
+                   for i, (t, n) in waiting.items() if t <= left[0] and n <= left[2]}
+            at = int(key[1:])
+            assert waiting[at] == (tokens, loss) and fit[at] >= max(fit.values()) - 1e-9
+            assert at == min(i for i in fit if waiting[i] == waiting[at])
+            left -= (tokens, 1, loss)
+            taken.append(waiting.pop(at))
+        assert taken and (left >= 0).all()
+
+
+def test_many_short_documents_take_linear_time():
+    packer = vector_packing.Packer(2048, 256, 2048)
+    assert not [s for i in range(60_000) for s in packer.put(i, 3 + i % 2)]
+    begin = time.time()
+    pieces = [p for s in packer.flush(True) for p in s]
+    assert time.time() - begin < 30
+    held = defaultdict(list)
+    for key, start, length in pieces:
+        held[key].append((start, length))
+    for key, parts in held.items():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == 3 + key % 2
+    assert len(held) == 60_000 and not packer.docs
