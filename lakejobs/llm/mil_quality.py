@@ -155,26 +155,32 @@ def fit(features: np.ndarray, owner: np.ndarray, label: np.ndarray, *, epochs: i
     return model
 
 
-def encoded(text: Column) -> Column:
-    """All passage features of a text, as float32 bytes."""
+def encoded(text: Column, most: int) -> Column:
+    """Passage features of a text, as float32 bytes; of more than ``most`` passages, as many that
+    are spread evenly over the whole text."""
 
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         out = []
         for _, n, owner, features in bags(texts):
             cut = np.searchsorted(owner, np.arange(n + 1))
-            out += [features[cut[i]:cut[i + 1]].tobytes() for i in range(n)]
+            for low, high in zip(cut[:-1], cut[1:], strict=True):
+                some = np.linspace(low, high - 1, min(most, high - low)).astype(int)
+                out.append(features[some].tobytes())
         return pa.array(out, pa.binary())
 
     return encode(text)
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", per_label: int = 1500) -> AttentionModel | None:
-    """Fit on up to ``per_label`` labelled documents of each label outside the held-out share.
+          label_col: str = "quality", per_label: int = 1500,
+          most_passages: int = 128) -> AttentionModel | None:
+    """Fit on up to ``per_label`` labelled documents of each label outside the held-out share, and
+    on up to ``most_passages`` of each, so what the driver holds is bounded.
 
     None where no document has a label. A document with both labels in repeated label rows
-    counts under both."""
+    counts under both. Of rows that repeat an id, one is learnt from: that with the smallest hash
+    of its text."""
     marks = labels.select(F.col(f"`{id_col}`").alias("doc_id"),
                           F.col(f"`{label_col}`").cast("int").alias("label"))
     marks = marks.where(F.col("label").isin(0, 1) & ~sampling.held_out(F.col("doc_id"))).distinct()
@@ -188,8 +194,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     for row in ids:
         label.setdefault(row.doc_id, set()).add(row.label)
     bounded = texts.where(F.col("doc_id").isin(list(label)))
-    sample = sorted(bounded.select("doc_id", encoded(F.col("text")).alias("bag")).collect(),
-                    key=lambda r: (r.doc_id, r.bag))
+    one = sampling.first_by_hash(bounded, "doc_id", "text", 1)
+    sample = sorted(one.select("doc_id", encoded(F.col("text"), most_passages).alias("bag"))
+                    .collect(), key=lambda r: (r.doc_id, r.bag))
     marked = [(np.frombuffer(r.bag, np.float32).reshape(-1, FEATURES), v)
               for r in sample for v in sorted(label[r.doc_id])]
     owner = np.repeat(np.arange(len(marked)), [len(b) for b, _ in marked])

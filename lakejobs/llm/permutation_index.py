@@ -10,6 +10,7 @@ block's inverted files stay in memory and a hot pivot is spread over all blocks.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,19 +98,25 @@ def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (ids[order], flat.reshape(len(ids), -1)[order], ranks.reshape(len(ids), -1)[order])
 
 
-def search_block(vectors: tuple, queries: tuple, k: int):
-    """The k best of one block for each query: (query id, vec id, cosine)."""
+def search_block(vectors: tuple, queries: tuple, k: int, posted_in: int, opens: int,
+                 share: float):
+    """The k best of one block for each query: (query id, vec id, cosine).
+
+    A query whose files hold fewer than k candidates is compared with the whole block, so it
+    finds k wherever there are so many."""
     ids, values, ranks = vectors
-    posted = [np.flatnonzero(ranks[:, p] < POSTED) for p in range(ranks.shape[1])]
+    posted = [np.flatnonzero(ranks[:, p] < posted_in) for p in range(ranks.shape[1])]
     size = np.sqrt((values * values).sum(1))
-    least = max(LEAST_RERANKED, int(len(ids) * RERANKED), 4 * k)
+    least = max(LEAST_RERANKED, math.ceil(len(ids) * share), 4 * k)
     for query, vector, order in zip(*queries, strict=True):
-        opened = np.flatnonzero(order < OPENED)
+        opened = np.flatnonzero(order < opens)
         mark = np.zeros(len(ids), bool)
         for pivot in opened:
             mark[posted[pivot]] = True
         mark[ids == query] = False
         found = np.flatnonzero(mark)
+        if len(found) < k:
+            found = np.flatnonzero(ids != query)
         if len(found) > least:
             held = ranks[found]
             footrule = (np.maximum(held, order) - np.minimum(held, order)).sum(1, dtype=np.int64)
@@ -123,10 +130,16 @@ def search_block(vectors: tuple, queries: tuple, k: int):
             yield int(query), int(ids[found[i]]), float(score[i])
 
 
-def search(index: Index, is_query: Column, *, k: int = 5) -> DataFrame:
+def search(index: Index, is_query: Column, *, k: int = 5, posted: int = POSTED,
+           opened: int = OPENED, reranked: float = RERANKED) -> DataFrame:
     """The k nearest found of every indexed row that is a query: query_id, rank, vec_id, score.
 
-    Nearest by cosine first, ties to the smaller id; a query's own id is no candidate. No query
+    A vector stands in the files of its ``posted`` nearest pivots, a query opens ``opened`` files,
+    and the share ``reranked`` of a block is compared exactly; ``opened=RANKS + 1, reranked=1``
+    opens all files and compares all they hold, which makes the search exact.
+
+    Nearest by cosine first, ties to the smaller id; a query's own id is no candidate. Of rows
+    that repeat a query's id, the least vector asks; as candidates all of them count. No query
     or no candidate gives no row."""
     rows = index.rows
     counts = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
@@ -136,13 +149,16 @@ def search(index: Index, is_query: Column, *, k: int = 5) -> DataFrame:
         return part.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(many))) \
             .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(times - 1).cast("long"))))
 
+    asking = rows.where(is_query).groupBy("vec_id").agg(
+        F.min(F.struct("vector", "ranks")).alias("least")).select("vec_id", "least.*")
     left = numbered(rows, "block", blocks, "chunk", chunks)
-    right = numbered(rows.where(is_query).dropDuplicates(["vec_id"]), "chunk", chunks, "block", blocks)
+    right = numbered(asking, "chunk", chunks, "block", blocks)
 
     def meet(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
         if vectors.num_rows and queries.num_rows:
-            found = list(search_block(_arrays(vectors), _arrays(queries), k))
+            found = list(search_block(_arrays(vectors), _arrays(queries), k, posted, opened,
+                                      reranked))
         columns = list(zip(*found, strict=True)) if found else [[], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()),
                          "vec_id": pa.array(columns[1], pa.int64()),

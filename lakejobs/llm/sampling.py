@@ -6,14 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_by_hash(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
-    """Up to ``per_label`` rows of each label, those with the smallest hash of the key.
+ROUNDS = (4096, 64)  # groups of a label in the rounds before the last
+
 
-    The group limit under the window leaves at most ``per_label`` rows of a label per task
-    before the shuffle, so a label that holds most rows is no hot group."""
-    order = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
-    return rows.withColumn("_nth", F.row_number().over(order)).where(
-        F.col("_nth") <= per_label).drop("_nth")
+def first_by_hash(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
+    """Up to ``per_label`` rows of each label, those with the smallest hash of the key; of equal
+    keys, those with the smallest hash of the row.
+
+    Ranked in a tree: rows are dealt to groups by their hash, and the first of each group go on
+    to fewer groups. The group limit under each window leaves at most ``per_label`` rows of a
+    group per task before its shuffle, so neither a label that holds most rows nor the number
+    of tasks that read makes a large group: the last round ranks 64 x ``per_label`` rows."""
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    for groups in (*ROUNDS, 1):
+        part = [F.col(label)] + ([F.pmod(whole, F.lit(groups))] if groups > 1 else [])
+        order = Window.partitionBy(*part).orderBy(F.xxhash64(key), key, whole)
+        rows = rows.withColumn("_nth", F.row_number().over(order)).where(
+            F.col("_nth") <= per_label).drop("_nth")
+    return rows
 
 
 def held_out(key: Column) -> Column:

@@ -107,6 +107,34 @@ def test_recall_beyond_one_block(spark, monkeypatch):
     assert np.mean([len(got[q] & {v for v, _ in best}) / 5 for q, best in want.items()]) >= 0.9
 
 
+def test_all_files_opened_is_exact_and_few_files_still_give_k(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(3000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<double>")
+    index = permutation_index.build(df, pivots=300)
+    want = dict(exact(np.arange(3000), vectors, range(0, 3000, 100), 5))
+
+    def found(**settings):
+        got = {}
+        for r in permutation_index.search(index, F.col("vec_id") % 100 == 0, **settings).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        return {q: [v for _, v in sorted(x)] for q, x in got.items()}
+
+    every = found(opened=permutation_index.RANKS + 1, reranked=1)
+    assert every == {q: [v for v, _ in best] for q, best in want.items()}
+    assert {len(x) for x in found(posted=0).values()} == {5}
+
+
+def test_the_least_vector_of_a_repeated_id_asks(spark):
+    rows = [(50, [0.0, 1.0]), (50, [1.0, 0.0]), (50, [0.5, 0.5]), (1, [0.1, 1.0]), (2, [1.0, 0.2])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for parts in (1, 3):
+        index = permutation_index.build(df.repartition(parts))
+        got = permutation_index.search(index, F.col("vec_id") == 50, k=1).collect()
+        assert [(r.query_id, r.vec_id) for r in got] == [(50, 1)]
+
+
 def test_odd_vectors_and_ties(spark):
     same = [1.0, 2.0]
     rows = [(i, same, i) for i in range(0, 40)] + [

@@ -106,3 +106,105 @@ def test_passages_cover_whole_texts():
     owner, begin, end = arrow_text.passages(at, 512)
     assert owner.tolist() == [0, 1, 2, 2, 2, 3]
     assert sum(end - begin) == 1031 and max(end - begin) <= 512
+
+
+def test_quality_score_is_that_of_a_plain_loop(messy):
+    """Passage by passage and document by document, without the batched layers."""
+    rng = np.random.default_rng(3)
+    hidden, att, features = mil_quality.HIDDEN, mil_quality.ATTENTION, mil_quality.FEATURES
+    p = {"w": rng.normal(0, .1, (features, hidden)), "b": rng.normal(size=hidden),
+         "v": rng.normal(size=(hidden, att)), "u": rng.normal(size=(hidden, att)),
+         "a": rng.normal(size=att), "c": rng.normal(size=hidden), "d": np.array([.2])}
+    model = mil_quality.AttentionModel(rng.normal(0, .1, features), rng.uniform(.1, 1, features), p)
+    rows = messy.select("text", mil_quality.quality_score(F.col("text"), model).alias("s")).collect()
+    long = "Some words, and more. " * 400
+    rows += messy.sparkSession.createDataFrame([(long,), (long[5:],)], "text string").select(
+        "text", mil_quality.quality_score(F.col("text"), model).alias("s")).collect()
+    for text, score in rows:
+        raw, at = arrow_text.utf8(pa.array([text or ""]))
+        _, begin, end = arrow_text.passages(at, mil_quality.PASSAGE_BYTES)
+        assert begin[0] == 0 and end[-1] == len((text or "").encode())
+        assert (begin[1:] == end[:-1]).all()
+        states, pulls = [], []
+        for b, e in zip(begin, end, strict=True):
+            x = mil_quality.passage_features(raw, np.array([b]), np.array([e]))[0]
+            x = np.clip((x - model.mean) / model.scale, -8, 8)
+            h = np.tanh(x @ p["w"] + p["b"])
+            gate = 1 / (1 + np.exp(-(h @ p["u"])))
+            states.append(h)
+            pulls.append(float(np.sum(p["a"] * np.tanh(h @ p["v"]) * gate)))
+        weights = np.exp(np.array(pulls) - max(pulls))
+        bag = sum(w * h for w, h in zip(weights / weights.sum(), states, strict=True))
+        assert abs(score - 1 / (1 + np.exp(-(bag @ p["c"] + p["d"][0])))) < 1e-4
+
+
+def test_language_scores_are_those_of_the_explicit_kernel(spark):
+    """Nystroem features from the kernel matrix of the landmarks, one passage after another."""
+    words = {"a": "the cat sat on a mat and saw the dog".split(),
+             "b": "le chat est sur une table et voit un chien".split(),
+             "c": "der hund sieht eine katze auf dem tisch".split()}
+    rng = np.random.default_rng(6)
+    names = [n for n in words for _ in range(12)]
+    passages = [" ".join(rng.choice(words[n], 9)) for n in names]
+    model = string_kernel.fit(passages, names, landmarks=10)
+
+    def seen(text):
+        raw, at = arrow_text.utf8(pa.array([text]))
+        row = string_kernel.presence(raw, at[:-1], at[1:])[0].astype(float)
+        return row / np.sqrt(max(row.sum(), 1))
+
+    order = sorted(range(len(names)), key=lambda i: (names[i], i))
+    marks = [seen(passages[order[i]]) for i in
+             np.unique(np.linspace(0, len(order) - 1, 10).astype(int))]
+    values, vectors = np.linalg.eigh(np.array([[x @ y for y in marks] for x in marks]))
+    root = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+
+    def mapped(text):
+        kernel = np.array([seen(text) @ m for m in marks])
+        return np.append(kernel @ root, 1.0)
+
+    design = np.array([mapped(t) for t in passages])
+    target = np.array([[1.0 if n == m else -1.0 for m in sorted(words)] for n in names])
+    weighted = design / len(names)
+    solution = np.linalg.solve(weighted.T @ design + 1e-2 / 3 * np.eye(design.shape[1]),
+                               weighted.T @ target)
+    asked = ["the dog sat", "un chien voit le chat", "katze auf dem hund", "mat table tisch"]
+    best, score = string_kernel.predict(pa.array(asked), model)
+    for text, at, share in zip(asked, best, score, strict=True):
+        plain = np.exp(string_kernel.SHARPNESS * (mapped(text) @ solution))
+        assert at == int(plain.argmax()) and abs(share - plain.max() / plain.sum()) < 1e-3
+
+
+def test_sample_ranked_in_a_tree_is_the_sample_ranked_at_once(spark):
+    rows = [(i % 700 if i % 5 else None, "ab"[i % 3 == 0], f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, label string, text string")
+    keyed = df.select("*", F.xxhash64("id").alias("h"),
+                      F.xxhash64("id", "label", "text").alias("w")).collect()
+    want = []
+    for label in "ab":
+        ranked = sorted((r for r in keyed if r.label == label),
+                        key=lambda r: (r.h, r.id is not None, r.id or 0, r.w))
+        want += [(r.id, r.label, r.text) for r in ranked[:40]]
+    for parts in (1, 7):
+        got = sampling.first_by_hash(df.repartition(parts), "label", "id", 40).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_learning_takes_one_row_of_a_repeated_id_and_few_passages(spark):
+    texts = [(i % 40, "word " * (20 + i) + str(i)) for i in range(200)]
+    docs = spark.createDataFrame([*texts, (1, "long. " * 60_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    held = {}
+    plain = mil_quality.fit
+
+    def noted(features, owner, label, **rest):
+        held.update(passages=len(features), bags=len(label), most=np.bincount(owner).max())
+        return plain(features, owner, label, epochs=1)
+
+    mil_quality.fit, before = noted, mil_quality.fit
+    try:
+        assert mil_quality.learn(docs, labels, most_passages=16) is not None
+    finally:
+        mil_quality.fit = before
+    assert held["bags"] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40))
+    assert held["most"] <= 16
