@@ -194,7 +194,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     for row in ids:
         label.setdefault(row.doc_id, set()).add(row.label)
     bounded = texts.where(F.col("doc_id").isin(list(label)))
-    one = sampling.first_by_hash(bounded, "doc_id", "text", 1)
+    one = sampling.first_by_hash(
+        bounded.withColumn("text_hash", F.xxhash64("text")), "doc_id", "text_hash", 1)
     sample = sorted(one.select("doc_id", encoded(F.col("text"), most_passages).alias("bag"))
                     .collect(), key=lambda r: (r.doc_id, r.bag))
     marked = [(np.frombuffer(r.bag, np.float32).reshape(-1, FEATURES), v)

@@ -11,19 +11,24 @@ ROUNDS = (4096, 64)  # groups of a label in the rounds before the last
 
 def first_by_hash(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
     """Up to ``per_label`` rows of each label, those with the smallest hash of the key; of equal
-    keys, those with the smallest hash of the row.
-
-    Ranked in a tree: rows are dealt to groups by their hash, and the first of each group go on
-    to fewer groups. The group limit under each window leaves at most ``per_label`` rows of a
-    group per task before its shuffle, so neither a label that holds most rows nor the number
-    of tasks that read makes a large group: the last round ranks 64 x ``per_label`` rows."""
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    keys, those with the smallest hash of the row. Rows equal in all columns count once.
+
+    Only label, key and hash are ranked, and the rows chosen are fetched by them. Ranking is a
+    tree: keys are dealt to groups by hash, and the first of each group go on to fewer groups,
+    so neither a label that holds most rows nor the number of tasks that read makes a large
+    group: the last round ranks 64 x ``per_label`` keys."""
+    hashed = rows.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+    keys = hashed.select(F.col(label).alias("_label"), F.col(key).alias("_key"), "_row").distinct()
     for groups in (*ROUNDS, 1):
-        part = [F.col(label)] + ([F.pmod(whole, F.lit(groups))] if groups > 1 else [])
-        order = Window.partitionBy(*part).orderBy(F.xxhash64(key), key, whole)
-        rows = rows.withColumn("_nth", F.row_number().over(order)).where(
+        part = ["_label"] + ([F.pmod("_row", F.lit(groups))] if groups > 1 else [])
+        order = Window.partitionBy(*part).orderBy(F.xxhash64("_key"), "_key", "_row")
+        keys = keys.withColumn("_nth", F.row_number().over(order)).where(
             F.col("_nth") <= per_label).drop("_nth")
-    return rows
+    chosen = hashed.join(
+        keys.withColumnRenamed("_row", "_chosen"),
+        (F.col("_row") == F.col("_chosen")) & F.col(label).eqNullSafe(F.col("_label"))
+        & F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    return chosen.dropDuplicates([label, key, "_row"]).drop("_row")
 
 
 def held_out(key: Column) -> Column:

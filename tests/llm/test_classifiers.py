@@ -186,7 +186,8 @@ def test_sample_ranked_in_a_tree_is_the_sample_ranked_at_once(spark):
                         key=lambda r: (r.h, r.id is not None, r.id or 0, r.w))
         want += [(r.id, r.label, r.text) for r in ranked[:40]]
     for parts in (1, 7):
-        got = sampling.first_by_hash(df.repartition(parts), "label", "id", 40).collect()
+        twice = df.union(df.where("id < 9 or id is null")).repartition(parts)
+        got = sampling.first_by_hash(twice, "label", "id", 40).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
