@@ -16,7 +16,8 @@ def first_by_hash(rows: DataFrame, label: str, key: str, per_label: int) -> Data
     Only label, key and hash are ranked, and the rows chosen are fetched by them. Ranking is a
     tree: keys are dealt to groups by hash, and the first of each group go on to fewer groups,
     so neither a label that holds most rows nor the number of tasks that read makes a large
-    group: the last round ranks 64 x ``per_label`` keys."""
+    group: the last round ranks 64 x ``per_label`` keys. Those chosen are broadcast, so rows
+    do not move: ``per_label`` keys a label, less than the sample its caller collects."""
     hashed = rows.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
     keys = hashed.select(F.col(label).alias("_label"), F.col(key).alias("_key"), "_row").distinct()
     for groups in (*ROUNDS, 1):
@@ -25,7 +26,7 @@ def first_by_hash(rows: DataFrame, label: str, key: str, per_label: int) -> Data
         keys = keys.withColumn("_nth", F.row_number().over(order)).where(
             F.col("_nth") <= per_label).drop("_nth")
     chosen = hashed.join(
-        keys.withColumnRenamed("_row", "_chosen"),
+        F.broadcast(keys.withColumnRenamed("_row", "_chosen")),
         (F.col("_row") == F.col("_chosen")) & F.col(label).eqNullSafe(F.col("_label"))
         & F.col(key).eqNullSafe(F.col("_key")), "left_semi")
     return chosen.dropDuplicates([label, key, "_row"]).drop("_row")
