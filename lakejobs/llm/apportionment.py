@@ -1,7 +1,9 @@
-"""Mixing sources to target weights by Sainte-Laguë apportionment of words, taken in blocks.
+"""Mixing sources to target weights by Sainte-Laguë apportionment of equal blocks of words.
 
-Sources get words by highest quotients (target / 1, 3, 5, ...), and each source's words go to its
-shards in the same way, by the words the shards hold. A source has as many shards as its own
+Blocks go to sources by highest quotients (target / 1, 3, 5, ...); a source's last block is cut
+where it would go beyond its target, and the words this leaves go to those below theirs by the
+same rule. Each source's blocks then go to its shards by the words the shards hold, so quotas of
+shards are whole blocks but for the rest of a source. A source has as many shards as its own
 words fill. In a shard the documents of a source stand in seeded order, twice one after another;
 its quota is taken as evenly spaced blocks from a seeded start, the last of them in part, the
 second pass only when the first is used up. So every word is taken twice at most, and each source
@@ -11,13 +13,13 @@ gets its quota to the word, however few and short its texts are.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_WORDS = 64
-BLOCKS_PER_CELL = 512
-MOST_SHARDS = 1024
-MOST_CELLS = 1 << 16
+BLOCKS_PER_SHARD = 8192
+BROADCAST_SOURCES = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,12 +54,25 @@ def sainte_lague(votes: list[float], seats: int, most: list[int]) -> list[int]:
         else:
             high = middle
     got = above(high)
-    while got.sum() < seats:
+    while (left := seats - int(got.sum())) > 0:
         quotient = np.where(got < cap, v / (2 * got + 1), -1.0)
-        got[int(quotient.argmax())] += 1
+        got[np.flatnonzero(quotient == quotient.max())[:left]] += 1
     return got.tolist()
 
 
+def in_blocks(votes: list[float], words: int, most: list[int], exact: bool) -> list[int]:
+    """Words by whole blocks of highest quotients, the rest by how far each is below its votes,
+    which are in words. With ``exact`` no block goes beyond the votes."""
+    wanted = np.array(votes, float)
+    given = BLOCK_WORDS * np.array(
+        sainte_lague(votes, words // BLOCK_WORDS, [m // BLOCK_WORDS for m in most]), np.int64)
+    if exact:
+        given = np.minimum(given, np.floor(wanted).astype(np.int64))
+    rest = sainte_lague(np.maximum(wanted - given, 0).tolist(), words - int(given.sum()),
+                        (np.array(most, np.int64) - given).tolist())
+    return (given + np.array(rest, np.int64)).tolist()
+
+
 def targets(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
     """Shares of ``share`` times all words by weight; none above ``most`` times its source, the
     excess being shared again by weight."""
@@ -74,38 +89,29 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
     return out
 
 
-def quotas(cells: list[tuple], cycle, share: float, most: float) -> list[tuple]:
-    """Rows (source, shards, shard, source's words, target, words, quota) from (source, fine
-    shard, words).
-
-    The fine shards of a source are folded to fewer, a power of two, so that it has
-    ``BLOCKS_PER_CELL`` blocks in each on average; a source with less has one shard."""
-    names = sorted({s for s, _, _ in cells if s is not None})
-    names += [None] if any(s is None for s, _, _ in cells) else []
-    at = {name: i for i, name in enumerate(names)}
-    sizes = [0] * len(names)
-    for name, _, words in cells:
-        sizes[at[name]] += words
-    shards, fine = [1] * len(names), 1 + max((c[1] for c in cells), default=0)
-    for i, size in enumerate(sizes):
-        while shards[i] < fine and 2 * shards[i] * BLOCK_WORDS * BLOCKS_PER_CELL <= size:
-            shards[i] *= 2
-    folded: dict[tuple[int, int], int] = {}
-    for name, shard, words in cells:
-        key = (at[name], shard % shards[at[name]])
-        folded[key] = folded.get(key, 0) + words
-    weights = [cycle[i % len(cycle)] for i in range(len(names))]
-    wanted = targets(sizes, weights, share, most)
-    seats = sainte_lague(wanted, round(sum(wanted)), [int(most * s) for s in sizes])
-    rows = []
-    by_source: dict[int, list[tuple[int, int]]] = {}
-    for (source, shard), words in sorted(folded.items()):
-        by_source.setdefault(source, []).append((shard, words))
-    for source, held in by_source.items():
-        quota = sainte_lague([w for _, w in held], seats[source], [2 * w for _, w in held])
-        rows += [(names[source], shards[source], shard, sizes[source], wanted[source], words, q)
-                 for (shard, words), q in zip(held, quota, strict=True)]
-    return rows
+SOURCES = "_name string, _part long, _shards long, source_size long, target double, _seats long"
+
+
+def source_quotas(sizes: dict[str | None, int], cycle, share: float, most: float) -> list[tuple]:
+    """Rows of ``SOURCES``: each source with its number, shards, words, target and quota.
+
+    A source has a shard for every ``BLOCKS_PER_SHARD`` blocks, at least one."""
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    words = [sizes[n] for n in names]
+    wanted = targets(words, [cycle[i % len(cycle)] for i in range(len(names))], share, most)
+    seats = in_blocks(wanted, round(sum(wanted)), [int(most * n) for n in words], True)
+    return [(name, i, max(1, n // (BLOCK_WORDS * BLOCKS_PER_SHARD)), n, target, quota)
+            for i, (name, n, target, quota) in
+            enumerate(zip(names, words, wanted, seats, strict=True))]
+
+
+def shard_quotas(held: pd.DataFrame) -> pd.DataFrame:
+    """The quota of each shard of one source, from their words and the source's quota."""
+    held = held.sort_values("_shard")
+    seats, words = int(held["_seats"].iloc[0]), held["_words"].to_numpy()
+    votes = words * (seats / max(1, int(words.sum())))
+    held["_quota"] = in_blocks(votes.tolist(), seats, (2 * words).tolist(), False)
+    return held[["_part", "_shard", "_words", "_quota"]]
 
 
 def _taken_until(place: Column, quota: Column, seed: int) -> Column:
@@ -116,7 +122,7 @@ def _taken_until(place: Column, quota: Column, seed: int) -> Column:
     blocks = F.floor(F.col("_words") / F.lit(BLOCK_WORDS)).cast("long")
     wanted = F.ceil(quota / F.lit(BLOCK_WORDS)).cast("long")
     some = F.greatest(blocks, F.lit(1))
-    start = F.pmod(F.xxhash64("_source", "_shard", F.lit(seed)), some)
+    start = F.pmod(F.xxhash64("_name", "_shard", F.lit(seed)), some)
 
     def before(until: Column) -> Column:
         """How many of the first blocks are taken."""
@@ -134,59 +140,64 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         cycle: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
         seed: int = 17) -> DataFrame:
     """Per document the columns ``keep`` as struct ``doc``, its ``size`` in words, its source's
-    ``source_size`` and ``target``, and the words ``taken``.
+    ``source_size`` and ``target``, the words ``taken``, and its place in the seeded order:
+    ``source_number``, ``shard`` and the words ``before`` it there.
 
     Sources are weighed by ``cycle`` in code point order, null last. A null text has no words.
-    Repeated ids are separate documents. Equal input gives equal results. One row per source and
-    shard passes through the driver: at most ``MOST_CELLS``, or one per source if there are more
-    sources. ``most`` is at most 2, as a cell is passed over twice."""
+    Repeated ids are separate documents, spread over shards by their texts. Equal input gives
+    equal results. One row per source passes through the driver, and no more than
+    ``BROADCAST_SOURCES`` are broadcast. A task holds one row per shard of a source, that is one
+    for ``BLOCKS_PER_SHARD`` blocks. ``most`` is at most 2, as a shard is passed over twice."""
     if not 0 < most <= 2:
         raise ValueError("a word can be taken twice at most")
     text = F.col(f"`{text_col}`")
-    sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"),
-        F.col(f"`{source_col}`").cast("string").alias("_source"),
-        F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)).alias("_order"),
-        F.xxhash64(text).alias("_tie"), word_count(text).alias("size"))
-    named = max(1, docs.select(F.col(f"`{source_col}`")).distinct().count())
-    fine = 1
-    while fine < MOST_SHARDS and 2 * fine * named <= MOST_CELLS:
-        fine *= 2
-    cells = sized.groupBy("_source", F.pmod("_order", F.lit(fine)).alias("_shard")).agg(
-        F.sum("size").alias("words")).collect()
-    rows = quotas([tuple(r) for r in cells], cycle, share, most)
-    sharded = sorted({(r[0], r[1]) for r in rows if r[1] > 1}, key=repr)
-    table = docs.sparkSession.createDataFrame(
-        [(r[0], *r[2:]) for r in rows], "_name string, _part long, source_size long, "
-                                        "target double, _words long, _quota long")
-    if len(rows) <= MOST_CELLS:
-        table = F.broadcast(table)
-    # Sources of several shards have been counted in fine ones, so they are few.
-    shards = docs.sparkSession.createDataFrame(sharded, "_named string, _shards long")
-    line = sized.join(F.broadcast(shards), F.col("_source").eqNullSafe(F.col("_named")), "left")
-    line = line.withColumn(
-        "_shard", F.pmod("_order", F.coalesce("_shards", F.lit(1))).cast("long"))
-    cell = Window.partitionBy("_source", "_shard").orderBy("_order", "_tie", "size")
-    line = line.drop("_named", "_shards").withColumn(
-        "_end", F.sum("size").over(cell.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = line.join(
-        table, F.col("_source").eqNullSafe(F.col("_name")) & (F.col("_shard") == F.col("_part")))
+    source = F.col(f"`{source_col}`").cast("string")
+    sizes = docs.groupBy(source.alias("name")).agg(F.sum(word_count(text)).alias("words"))
+    rows = source_quotas({r.name: r.words for r in sizes.collect()}, cycle, share, most)
+    sources = docs.sparkSession.createDataFrame(rows, SOURCES)
+    if len(rows) <= BROADCAST_SOURCES:
+        sources = F.broadcast(sources)
+
+    def sharded(*columns: Column) -> DataFrame:
+        """The documents with their source's row, their size, order and shard."""
+        line = docs.select(
+            *columns, source.alias("_source"), word_count(text).alias("size"),
+            F.xxhash64(text).alias("_tie"),
+            F.xxhash64(F.col(f"`{id_col}`"), text, F.lit(seed)).alias("_order"))
+        line = line.join(sources, F.col("_source").eqNullSafe(F.col("_name")))
+        return line.withColumn("_shard", F.pmod("_order", "_shards").cast("long"))
+
+    quotas = sharded().groupBy("_part", "_shard", "_seats").agg(
+        F.sum("size").alias("_words")).groupBy("_part").applyInPandas(
+        shard_quotas, "_part long, _shard long, _words long, _quota long")
+    shard = Window.partitionBy("_part", "_shard").orderBy("_order", "_tie", "size")
+    line = sharded(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc")).withColumn(
+        "_end", F.sum("size").over(shard.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = line.join(quotas, ["_part", "_shard"])
     begin, end, words = F.col("_end") - F.col("size"), F.col("_end"), F.col("_words")
     first = F.least(F.col("_quota"), words)
     second = F.col("_quota") - first
     taken = (_taken_until(end, first, seed) - _taken_until(begin, first, seed)
              + _taken_until(end, second, seed) - _taken_until(begin, second, seed))
-    return joined.select("doc", "size", "source_size", "target", taken.alias("taken"))
+    return joined.select(
+        "doc", "size", "source_size", "target", taken.alias("taken"),
+        F.col("_part").alias("source_number"), F.col("_shard").alias("shard"),
+        begin.alias("before"))
 
 
 def copies(docs: DataFrame, *, seed: int = 17, **options) -> DataFrame:
     """The mix as whole documents: each is repeated ``taken / size`` times, the fraction by a
     seeded draw, so that the expected words of a source are those taken. Same columns as given.
 
-    Documents without words are not taken."""
+    A draw belongs to a row's place in the mix, so rows of one id are drawn one by one. The rows
+    come in a seeded order over all tasks, copies of a document apart from each other. Documents
+    without words are not taken."""
     mixed = mix(docs, keep=tuple(docs.columns), seed=seed, **options)
-    id_col = options.get("id_col", "doc_id")
-    draw = F.pmod(F.xxhash64(F.col(f"doc.`{id_col}`"), F.lit("copies"), F.lit(seed)), F.col("size"))
+    place = ("source_number", "shard", "before")
+    draw = F.pmod(F.xxhash64(*place, F.lit("copies"), F.lit(seed)), F.col("size"))
     times = F.when(F.col("size") > 0, F.floor((F.col("taken") + draw) / F.col("size")))
-    return mixed.where(times > 0).select(
-        F.explode(F.array_repeat("doc", times.cast("int"))).alias("doc")).select("doc.*")
+    repeated = mixed.where(times > 0).select(
+        "doc", *place, F.explode(F.sequence(F.lit(1), times.cast("int"))).alias("_copy"))
+    order = F.xxhash64(*place, "_copy", F.lit(seed))
+    return repeated.select("doc", order.alias("_order")).repartition(
+        F.col("_order")).sortWithinPartitions("_order").select("doc.*")

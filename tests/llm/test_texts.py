@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from corpus_fixtures import messy, nothing, shipped, texts  # noqa: F401
@@ -155,22 +156,38 @@ def test_mix(messy, texts):
 
 
 def test_quotas_of_small_sources_beside_a_large_one():
+    rows = apportionment.source_quotas(
+        {"large": 1_024_000_000, "small": 2500, "tiny": 20, None: 0}, (1, 5, 5), 1.5, 2.0)
+    assert [r[0] for r in rows] == ["large", "small", "tiny", None]
+    assert rows[0][2] == 1_024_000_000 // (64 * 8192) and {r[2] for r in rows[1:]} == {1}
+    assert [r[4] for r in rows[1:]] == [5000, 40, 0]
+    assert all(abs(r[5] - r[4]) <= 1 and r[5] <= 2 * r[3] for r in rows)
+
+
+def test_shards_get_whole_blocks():
     rng = np.random.default_rng(2)
-    cells = [("large", k, 1_000_000) for k in range(1024)]
-    small = np.bincount(rng.integers(0, 1024, 100), minlength=1024) * 25
-    cells += [("small", k, int(w)) for k, w in enumerate(small)] + [("tiny", 7, 20)]
-    rows = apportionment.quotas(cells, (1, 5, 5), 1.5, 2.0)
-    got, want = Counter(), {}
-    for source, shards, shard, _, target, words, quota in rows:
-        assert 0 <= quota <= 2 * words and 0 <= shard < shards
-        got[source] += quota
-        want[source] = target
-    assert len(rows) == 1024 + 1 + 1 and want["small"] == 5000 and want["tiny"] == 40
-    assert all(abs(got[s] - want[s]) <= 1 for s in want)
+    words = rng.integers(0, 40_000, 3000)
+    words[:40] = rng.integers(0, 90, 40)
+    for seats in (1, 64, int(words.sum()) // 3, 2 * int(words.sum())):
+        held = pd.DataFrame({"_part": 3, "_shard": np.arange(3000), "_seats": seats,
+                             "_words": words})
+        got = apportionment.shard_quotas(held.sample(frac=1, random_state=1))
+        quota = got["_quota"].to_numpy()
+        assert got["_shard"].tolist() == list(range(3000)) and quota.sum() == seats
+        assert (quota <= 2 * got["_words"]).all()
+        share = got["_words"].to_numpy() * (seats / words.sum())
+        assert np.abs(quota - share).max() <= 2 * apportionment.BLOCK_WORDS
+        if seats < words.sum():
+            assert (quota % apportionment.BLOCK_WORDS != 0).sum() <= apportionment.BLOCK_WORDS
+
+
+def test_equal_shards_take_no_step_each():
+    seats = apportionment.sainte_lague([7.0] * 200_000, 300_001, [9] * 200_000)
+    assert sum(seats) == 300_001 and seats == sorted(seats, reverse=True) and seats[0] == 2
 
 
 def test_small_sources_get_their_target(spark, monkeypatch):
-    monkeypatch.setattr(apportionment, "BLOCKS_PER_CELL", 2)
+    monkeypatch.setattr(apportionment, "BLOCKS_PER_SHARD", 2)
     rows = [(i, "big word " * 400, "large") for i in range(100)]
     rows += [(1000 + i, "few short words " * 8 + "end", "small") for i in range(100)]
     rows += [(2000, "one text of less than half a block", "tiny"), (2001, "no source", None)]
@@ -193,6 +210,22 @@ def test_copies_keep_the_columns(messy):
     assert not {20, 21, 22} & set(times)
 
 
+def test_rows_of_one_id_are_drawn_one_by_one(spark):
+    """A source whose rows have no id, or one, gets its target; copies do not lie side by side."""
+    rows = [(None if i % 2 else 7, f"{i} " + "word " * 99, "hot") for i in range(1500)]
+    rows += [(10_000 + i, f"n{i} " + "word " * 99, "other") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    mixed = apportionment.mix(df, keep=("doc_id", "source"), share=1.1).collect()
+    target = {r.doc.source: r.target / 100 for r in mixed}
+    out = apportionment.copies(df, share=1.1).withColumn("part", F.spark_partition_id()).collect()
+    times = Counter(r.source for r in out)
+    assert all(abs(times[s] - target[s]) <= 0.05 * target[s] for s in target), (times, target)
+    beside = sum(a.part == b.part and a.text == b.text for a, b in zip(out, out[1:], strict=False))
+    assert max(Counter(r.text for r in out).values()) == 2 and beside < 20
+    again = apportionment.copies(df.repartition(3), share=1.1).collect()
+    assert Counter(r.text for r in again) == Counter(r.text for r in out)
+
+
 def test_impossible_share():
     with pytest.raises(ValueError, match="twice"):
         apportionment.mix(None, most=3)
