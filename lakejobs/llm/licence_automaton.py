@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.llm import arrow_text
+from lakejobs.llm import arrow_text, licence_texts
 
 # The phrases of the base scan and their labels.
 PHRASES = {
@@ -27,7 +27,7 @@ PHRASES = {
 }
 
 # Well-known notices, from the licenses' public texts.
-TEMPLATES = {
+NOTICES = {
     "gpl": [
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it and or modify it under the terms "
@@ -89,6 +89,9 @@ TEMPLATES = {
     ],
 }
 
+# Notices and whole texts; a label stands where three quarters of one of them do.
+TEMPLATES = licence_texts.joined(NOTICES, licence_texts.TEXTS)
+
 MIN_MATCH = 4
 MIN_COVERED = 0.75
 

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakejobs.llm import apportionment, licence_automaton, lookup_sketch
+from lakejobs.llm import apportionment, licence_automaton, licence_texts, lookup_sketch
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -54,6 +54,33 @@ def test_template_spans():
     assert not out[1]["spans"] and not out[2]["spans"] and not out[3]["labels"]
 
 
+def test_whole_texts_get_their_label():
+    """Every template is found whole, and half a whole license is not that license."""
+    scanner = licence_automaton.LicenceScanner(
+        licence_automaton.TEMPLATES, licence_automaton.PHRASES)
+    for label, texts in licence_texts.TEXTS.items():
+        for text in texts:
+            (found,) = scanner.scan(pa.array([f"Copyright 2020 someone.\n\n{text}\nint main;"]))
+            size = len(licence_texts.words(text).split())
+            assert (label, 3, 3 + size, 1.0) in found["spans"] and found["score"] == 1
+    whole = licence_texts.words(licence_texts.TEXTS["zlib"][0]).split()
+    half, most = " ".join(whole[:len(whole) // 2]), " ".join(whole[:len(whole) * 4 // 5])
+    found = scanner.scan(pa.array([half, most]))
+    assert found[0]["labels"] == set() and found[1]["labels"] == {"zlib"}
+
+
+def test_templates_of_a_folder(tmp_path, spark):
+    text = "The Example Licence. " + " ".join(f"clause{i} grants use, copying and sale." for i in range(300))
+    (tmp_path / "Example-1.txt").write_text(text)
+    (tmp_path / "empty").write_text("")
+    templates = licence_texts.with_folder({"mit": ["Released under the MIT license"]}, str(tmp_path))
+    assert set(templates) == {"mit", "example-1"}
+    df = spark.createDataFrame([(text.upper(),), (text[:900],), (None,)], "text string")
+    got = df.select(licence_automaton.scanned(F.col("text"), templates).alias("f")).collect()
+    assert [r.f.labels for r in got] == ["example-1", "", ""]
+    assert got[0].f.score == 1 and got[0].f.n_words == len(WORD.findall(text))
+
+
 @given(st.lists(st.lists(st.integers(1, 3), min_size=1, max_size=8), min_size=1, max_size=4),
        st.lists(st.integers(1, 4), max_size=15))
 @settings(max_examples=150, deadline=None)
