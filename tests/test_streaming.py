@@ -348,3 +348,14 @@ def test_a_gold_run_that_dies_is_done_over(spark, tmp_path, monkeypatch):
         got = incremental_gold.refresh(spark, lake, after, epoch, customers, products)
     row = got["sales_analytics"].first()
     assert (row.transaction_count, float(row.total_sales), row.unique_customers) == (2, 3.0, 1)
+
+
+def test_columns_of_records_are_found_without_a_search_by_pattern(spark, tmp_path):
+    """A pattern over the path of a file, asked on every row, took half of a streaming flow."""
+    names = spark.createDataFrame([("file:/a/batch_id=b 1/p.parquet",), ("a/b",)], "p string")
+    found = names.select(ingest._folder("p").alias("folder"))
+    assert [r.folder for r in found.collect()] == ["batch_id=b 1", "a"]
+    assert "regexp" not in plan(found)
+    put_json(tmp_path / "in", "a.json", SALES)
+    stream = ingest.record_stream(spark, str(tmp_path / "in"), "b")
+    assert "schema_of_variant" not in stream._jdf.queryExecution().analyzed().toString()
