@@ -62,7 +62,7 @@ def write(
     large for one task; ``spread=False`` leaves them as they lie, for a frame with one
     partition value.  Other tables are written as their tasks come, without a shuffle;
     ``even_files`` pays for one to get files of even size, for input that arrives in very
-    uneven pieces, or to put the small files of a table together.
+    uneven pieces; their number follows the cores of the session, see :func:`compact`.
     """
     if mode not in ("overwrite", "append", "replace"):
         raise ValueError(f"unknown mode {mode}")
@@ -78,6 +78,16 @@ def write(
     return int(seen.get.get("rows") or 0)
 
 
+def compact(df: DataFrame, path: str, file_bytes: int = 128 << 20) -> int:
+    """Write the rows of a table into even files of about ``file_bytes`` each.
+
+    Their number comes from the bytes of the files that the frame is read from.  Adaptive
+    execution would leave a file for each core instead."""
+    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    total = files.agg(F.sum("file_size")).first()[0] or 0
+    return write(df.repartition(max(1, -(-total // file_bytes))), path)
+
+
 def append(
     df: DataFrame, path: str, merge_schema: bool = True, partition_by: list[str] | None = None,
     known: T.StructType | None = None,

@@ -141,7 +141,7 @@ def _(spark, d):
     small, path = fresh_dir(spark, "tbl_16_files"), fresh_dir(spark, "tbl_few_files")
     tables.write(star.orders_ledger(spark, d).repartition(16, "order_id"), small)
     before = spark.read.parquet(small)
-    tables.write(before, path, even_files=True)
+    tables.compact(before, path)
     sizes = [tables.file_sizes(df).withColumn("when", F.lit(n))
              for n, df in enumerate((before, spark.read.parquet(path)))]
     sizes = sizes[0].unionByName(sizes[1])
@@ -159,7 +159,7 @@ def _(spark, d):
 def _(spark, d):
     """Many small files put together in a folder of their own; the rows stay."""
     path = fresh_dir(spark, "tbl_compact")
-    tables.write(_table(spark, d, "tbl_small").drop("load"), path, even_files=True)
+    tables.compact(_table(spark, d, "tbl_small").drop("load"), path)
     return tables.read(spark, path)
 
 

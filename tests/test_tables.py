@@ -227,3 +227,17 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     text = plan(columns.colocated(spark, SMALL))
     assert "Exchange" not in text and text.count("SortMergeJoin") == 2
     assert text.count("Bucketed: true") == 3
+
+
+def test_compaction_leaves_no_file_for_each_core(spark, path):
+    """Enough bytes in a shuffle for a partition of 1 MB for each of four cores."""
+    rows_ = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows_.repartition(16).write.parquet(f"{path}/small")
+    before = spark.read.parquet(f"{path}/small")
+    assert tables.compact(before, f"{path}/few") == 400_000
+    few = spark.read.parquet(f"{path}/few")
+    assert len(few.inputFiles()) == 1 and few.agg(F.sum("id")).first()[0] == 400_000 * 399_999 // 2
+    size = tables.file_sizes(before).first()["size_bytes"]
+    assert tables.compact(before, f"{path}/even", file_bytes=size // 3) == 400_000
+    assert len(spark.read.parquet(f"{path}/even").inputFiles()) == 4
+    assert tables.compact(before.filter("false"), f"{path}/none") == 0
