@@ -14,13 +14,14 @@ def enrich_sales(
 ) -> DataFrame:
     """Sales with the named columns of their customer and product, or NULLs.
 
-    Dimensions are narrowed first.  No broadcast hint is given: Spark broadcasts
-    a side whose measured size is below its threshold, and otherwise shuffles on
-    the key and splits partitions that a hot customer or product makes too large.
+    Dimensions are narrowed first.  They are joined by merging: both grow with the business, and
+    Spark would broadcast them by the compressed size of their files, which tells little of the
+    memory that each task sees.  Partitions that a hot customer or product makes too large
+    are split.
     """
     clash = [c for c in (*customer_columns, *product_columns) if c in sales.columns]
     return (
         sales.drop(*clash)
-        .join(customers.select("customer_id", *customer_columns), "customer_id", "left")
-        .join(products.select("product_id", *product_columns), "product_id", "left")
+        .join(customers.select("customer_id", *customer_columns).hint("merge"), "customer_id", "left")
+        .join(products.select("product_id", *product_columns).hint("merge"), "product_id", "left")
     )

@@ -126,6 +126,14 @@ def test_enrich_does_not_multiply_or_cross(spark, sales):
     assert "Cartesian" not in plan(out) and "NestedLoop" not in plan(out)
 
 
+def test_enrich_broadcasts_no_growing_table(spark, sales):
+    customers = spark.createDataFrame([("C1", "Loyal")], "customer_id string, customer_segment string")
+    products = spark.createDataFrame([("P1", "cat")], "product_id string, category_standardized string")
+    out = enrich_sales(sales, customers, products)
+    assert "BroadcastHashJoin" not in plan(out) and plan(out).count("SortMergeJoin") == 2
+    assert out.filter("customer_segment = 'Loyal'").count() == sales.filter("customer_id = 'C1'").count()
+
+
 def test_processing_summary(spark):
     df = spark.createDataFrame(
         [("2024-01-02 01:00:00", "a"), ("2024-01-02 02:00:00", "b"), ("2024-01-01 02:00:00", "c")],
