@@ -180,7 +180,7 @@ def _folders(spark: SparkSession, bronze: str) -> DataFrame:
 
 def _folder(path: str) -> Column:
     """The folder of a file.  It is asked for on every row, and a search by pattern tries all the
-    places of a long path: that took half of a streaming flow."""
+    places of a long path: that took half the CPU time of a streaming flow."""
     return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
 
 
