@@ -127,8 +127,8 @@ def test_enrich_does_not_multiply_or_cross(spark, sales):
 
 
 def test_enrich_broadcasts_no_growing_table(spark, sales):
-    customers = spark.createDataFrame([("C1", "Loyal")], "customer_id string, customer_segment string")
-    products = spark.createDataFrame([("P1", "cat")], "product_id string, category_standardized string")
+    customers = spark.sql("SELECT * FROM VALUES ('C1', 'Loyal'), ('C8', 'New') AS c(customer_id, customer_segment)")
+    products = spark.sql("SELECT * FROM VALUES ('P1', 'cat'), ('P8', 'dog') AS p(product_id, category_standardized)")
     out = enrich_sales(sales, customers, products)
     assert "BroadcastHashJoin" not in plan(out) and plan(out).count("SortMergeJoin") == 2
     assert out.filter("customer_segment = 'Loyal'").count() == sales.filter("customer_id = 'C1'").count()
