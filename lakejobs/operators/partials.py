@@ -38,17 +38,33 @@ def merged_sums(parts: list[DataFrame], keys: list[str]) -> DataFrame:
         how(name).cast(kinds[name]).alias(name) for name, how in MERGES.items()])
 
 
-def sets(sales: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """The distinct values of some columns in each group: (keys, column, value)."""
-    values = F.array(*[
+def added_sums(sales: DataFrame, parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Sums of sales and of earlier partial results, for keys that hardly repeat.
+
+    Each sale counts as a partial result of its own, so all rows are grouped in one shuffle;
+    grouping the sales first would shuffle nearly as many rows once more."""
+    summed = sums(sales, keys)
+    if not parts:
+        return summed
+    one = {"n": F.col("sale_id").isNotNull(), "amounts": F.col("sale_amount").isNotNull(),
+           "total": F.col("sale_amount"), "low": F.col("sale_amount"),
+           "high": F.col("sale_amount"), "first": F.col("sale_date"), "last": F.col("sale_date")}
+    kinds = {f.name: f.dataType for f in summed.schema.fields}
+    each = sales.select(*keys, *[one[name].cast(kinds[name]).alias(name) for name in MERGES])
+    return merged_sums([each, *parts], keys)
+
+
+def values(sales: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """The values of some columns in each group, with repeats: (keys, column, value)."""
+    cells = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
         for c in columns])
-    return sales.select(*keys, F.inline(values)).dropna(subset=["value"]).distinct()
+    return sales.select(*keys, F.inline(cells)).dropna(subset=["value"])
 
 
 def merged_sets(parts: list[DataFrame]) -> DataFrame:
-    every = reduce(DataFrame.unionByName, parts)
-    return every if len(parts) == 1 else every.distinct()
+    """Each value of a group once; the parts may hold repeats, which leave in one shuffle."""
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def set_sizes(rows: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:

@@ -63,24 +63,21 @@ def refresh(
                     & (F.col("product_id").isNull() | F.col("_p").isNotNull()))
         .drop("_c", "_p")
     )
-    together(
-        lambda: marked.filter("settled").drop("settled").write.mode("overwrite").parquet(
-            at("settled", run)),
-        lambda: marked.filter("NOT settled").drop("settled").write.mode("overwrite").parquet(
-            at("pending", run)),
-    )
-    settled = spark.read.parquet(at("settled", run))
+    # Written whole, so the joins run once for the settled and the pending sales.
+    marked.write.mode("overwrite").parquet(at("marked", run))
+    marked = spark.read.parquet(at("marked", run))
+    settled = marked.filter("settled").drop("settled")
     state = {
         "sums": partials.merged_sums([partials.sums(settled, GROUP), *before("sums")], GROUP),
         "sets": partials.merged_sets(
-            [partials.sets(settled, GROUP, list(SIZES)), *before("sets")]),
-        "pairs": partials.merged_sums([partials.sums(facts, PAIR), *before("pairs")], PAIR),
+            [partials.values(settled, GROUP, list(SIZES)), *before("sets")]),
+        "pairs": partials.added_sums(facts, before("pairs"), PAIR),
+        "pending": marked.filter("NOT settled").drop("settled"),
     }
     together(*[partial(df.write.mode("overwrite").parquet, at(name, run))
                for name, df in state.items()])
     tables.few_rows(spark, [{"run": run, "until": until}], _RUNS).write.mode("append").parquet(log)
-    _remove(spark, [at("settled", run)] + [
-        at(name, last.run) for name in (*state, "pending") if last])
+    _remove(spark, [at("marked", run)] + [at(name, last.run) for name in state if last])
     pending = spark.read.parquet(at("pending", run))
     pairs = spark.read.parquet(at("pairs", run))
     return {
@@ -92,9 +89,15 @@ def refresh(
 
 
 def analytics(sums: DataFrame, sets: DataFrame, pending: DataFrame) -> DataFrame:
-    """The groups of settled and pending sales."""
+    """The groups of settled and pending sales.
+
+    A pending sale lacks its category or its segment, so it shares values only with sets that
+    lack one.  The other sets hold each value once and are counted as they lie."""
     groups = partials.merged_sums([sums, partials.sums(pending, GROUP)], GROUP)
-    values = partials.merged_sets([sets, partials.sets(pending, GROUP, list(SIZES))])
+    lacking = F.col("category_standardized").isNull() | F.col("customer_segment").isNull()
+    shared = partials.merged_sets(
+        [sets.filter(lacking), partials.values(pending, GROUP, list(SIZES))])
+    values = sets.filter(~lacking).unionByName(shared)
     sized = partials.with_sizes(
         groups, partials.set_sizes(values, GROUP, SIZES), GROUP, list(SIZES.values()))
     return sized.select(

@@ -359,3 +359,23 @@ def test_columns_of_records_are_found_without_a_search_by_pattern(spark, tmp_pat
     put_json(tmp_path / "in", "a.json", SALES)
     stream = ingest.record_stream(spark, str(tmp_path / "in"), "b")
     assert "schema_of_variant" not in stream._jdf.queryExecution().analyzed().toString()
+
+
+def test_gold_state_is_grouped_in_one_shuffle(spark, tmp_path):
+    """Pairs and sets hardly repeat: new sales and state meet in one grouping, sales are joined once."""
+    from lakejobs.operators import partials
+
+    sales = spark.sql("""select 's' as sale_id, date'2024-01-01' as sale_date, 'c' as customer_id,
+        'p' as product_id, cast(1.5 as decimal(10,2)) as sale_amount from range(3)""")
+    pair = ["customer_id", "product_id"]
+    old = partials.sums(sales, pair)
+    old.write.parquet(str(tmp_path / "old"))
+    old = spark.read.parquet(str(tmp_path / "old"))
+    both = partials.added_sums(sales, [old], pair)
+    assert plan(both).count("hashpartitioning") == 1
+    assert both.schema.simpleString() == old.schema.simpleString()
+    row = both.first()
+    assert (row.n, row.amounts, float(row.total), float(row.low)) == (6, 6, 9.0, 1.5)
+    sets = partials.values(sales, ["sale_date"], pair)
+    merged = partials.merged_sets([sets, partials.merged_sets([sets])])
+    assert rows(merged.select("column", "value")) == [("customer_id", "c"), ("product_id", "p")]
