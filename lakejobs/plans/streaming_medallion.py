@@ -16,7 +16,7 @@ from lakejobs.paths import LakePaths
 from lakejobs.plans import incremental_gold
 from lakejobs.plans.together import together
 from lakejobs.streaming.ingest import (
-    CORRUPT, RECORDS, drawn, ingest_stream, read_records, register_records, start_table,
+    CORRUPT, RECORDS, drawn, ingest_stream, misfits, read_records, register_records, start_table,
 )
 from lakejobs.streaming.silver import last_epoch, read_silver, stream_silver
 
@@ -72,20 +72,21 @@ def refine(
     for name in schemas:
         clean, rules, keys, keep = steps[name]
         records = SOURCES[name] == "json"
-        bronze = spark.readStream.schema(RECORDS if records else schemas[name]).parquet(
+        bronze = landed = spark.readStream.schema(RECORDS if records else schemas[name]).parquet(
             lake.bronze(name))
         if records:
-            bronze = drawn(bronze, schemas[name])
+            bronze = drawn(landed, schemas[name])
         running.append(stream_silver(
             bronze, lake.silver(name), lake.checkpoint(f"silver_{name}"), clean, rules, keys,
             watermark if name == "sales" else None, keep,
             partial(projections.mask_email, env=env) if name == "customers" else None,
             sale_order if name == "sales" else None,
         ))
-        if CORRUPT in bronze.columns:
+        if records:
+            landed = misfits(spark, landed, lake.schema(name))
             running.append(start_table(
-                bronze.filter(F.col(CORRUPT).isNotNull()), lake.quarantine(name),
-                lake.checkpoint(f"quarantine_{name}"),
+                drawn(landed, schemas[name]).filter(F.col(CORRUPT).isNotNull()),
+                lake.quarantine(name), lake.checkpoint(f"quarantine_{name}"),
             ))
     for query in running:
         query.awaitTermination()

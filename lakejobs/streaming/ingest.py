@@ -112,6 +112,9 @@ def _save_schema(spark: SparkSession, schema_dir: str, schema: T.StructType, ver
 _FOLDERS = T.StructType([T.StructField("folder", T.StringType()),
                          T.StructField("files", T.LongType()),
                          T.StructField("bytes", T.LongType())])
+_FITTING = T.StructType([T.StructField("version", T.LongType()),
+                         T.StructField("batch_id", T.StringType())])
+_BATCH = "batch_id="
 RECORDS = T.StructType([
     T.StructField(RECORD, T.VariantType()), T.StructField(CORRUPT, T.StringType()),
     T.StructField("ingestion_timestamp", T.TimestampType()),
@@ -163,13 +166,25 @@ def record_path(name: str) -> str | None:
 
 def record_columns(records: DataFrame) -> T.StructType:
     """The columns that the objects of a frame have, in the order of their names."""
-    text = records.agg(F.schema_of_variant_agg(RECORD)).first()[0]
+    return _columns_of(records.agg(F.schema_of_variant_agg(RECORD)).first()[0])
+
+
+def _columns_of(text: str | None) -> T.StructType:
     if not text or not text.startswith("OBJECT<"):
         return T.StructType([])
     kind = stored_type(T.DataType.fromDDL(text.replace("OBJECT<", "STRUCT<")))
     return T.StructType([f for f in kind.fields if record_path(f.name)])
 
 
+def _all_fit(seen: T.StructType, schema: T.StructType) -> bool:
+    """Whether no value can fail the stored type, by the types that the values were seen with."""
+    plain = (T.LongType, T.DoubleType, T.BooleanType)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return all(isinstance(kinds[f.name], T.StringType)
+               or (isinstance(kinds[f.name], plain) and kinds[f.name] == f.dataType)
+               for f in seen.fields)
+
+
 def _folders(spark: SparkSession, bronze: str) -> DataFrame:
     """The batch folders of a bronze table with the number and bytes of their files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
@@ -200,14 +215,36 @@ def register_records(spark: SparkSession, bronze: str, schema_dir: str) -> T.Str
     if new:
         table = spark.read.schema(RECORDS).parquet(bronze)
         names = [r["folder"] for r in new]
-        if not any("%" in n for n in names):  # else their names are written in more than one way
-            table = table.filter(_folder("_metadata.file_path").isin(names))
-        schema = grown(schema, record_columns(table))
+        batches = [n.removeprefix(_BATCH) for n in names]
+        # Names with "%" are written in more than one way; other folders are no batches.
+        told = all(n.startswith(_BATCH) and "%" not in n and "__HIVE_" not in n for n in names)
+        if told:  # whole folders are skipped, and no row is asked for its file
+            table = table.filter(F.col("batch_id").isin(batches))
+        row = table.agg(F.schema_of_variant_agg(RECORD), F.count(CORRUPT)).first()
+        seen = _columns_of(row[0])
+        schema = grown(schema, seen)
         _save_schema(spark, schema_dir, schema, version)
+        if told and row[1] == 0 and _all_fit(seen, schema):
+            few_rows(spark, [{"version": version, "batch_id": b} for b in batches], _FITTING) \
+                .write.mode("append").parquet(f"{schema_dir}/fitting")
         few_rows(spark, new, _FOLDERS).write.mode("append").parquet(f"{schema_dir}/batches")
     return schema
 
 
+def misfits(spark: SparkSession, records: DataFrame, schema_dir: str) -> DataFrame:
+    """Records without the batches in which every value was seen to fit, of those looked at last.
+
+    Such a batch has no line for the quarantine; its folder is skipped.  Any other batch is
+    read, also one that came before and was not."""
+    last = _last_entry(spark, schema_dir)
+    if last is None or not path_exists(spark, f"{schema_dir}/fitting"):
+        return records
+    rows = spark.read.schema(_FITTING).parquet(f"{schema_dir}/fitting")
+    fitting = [r.batch_id for r in rows.filter(F.col("version") == last[1]).collect()]
+    batch = F.col("batch_id")
+    return records.filter(batch.isNull() | ~batch.isin(fitting)) if fitting else records
+
+
 def drawn(records: DataFrame, schema: T.StructType, origin: bool = False) -> DataFrame:
     """Bronze records with the columns of a schema; for batch and streaming input.
 

@@ -361,6 +361,41 @@ def test_columns_of_records_are_found_without_a_search_by_pattern(spark, tmp_pat
     assert "schema_of_variant" not in stream._jdf.queryExecution().analyzed().toString()
 
 
+def refined(spark, tmp_path, lake, records, batch):
+    """Land records of sales and take them to silver and quarantine."""
+    put_json(tmp_path / "sales", f"{batch}.json", records)
+    schemas = streaming_medallion.ingest(spark, {"sales": str(tmp_path / "sales")}, lake, batch)
+    streaming_medallion.refine(spark, schemas, lake)
+
+
+def test_batches_that_fit_are_not_read_for_the_quarantine(spark, tmp_path):
+    """Batches in which every value fits are skipped; one with a misfit is read, early or late."""
+    lake = LakePaths(str(tmp_path / "lake"))
+    stream = spark.readStream.schema(ingest.RECORDS)
+    taken = []
+    for batch, records, fits in (
+            ("b1", SALES, True),
+            ("b2", [{**SALES[0], "saleId": "s7", "saleAmount": "many"}], False),
+            ("b3", [{**SALES[0], "saleId": "s8", "saleAmount": 3}], False),  # whole, not told by type
+            ("b4", [{**SALES[0], "saleId": "s9", "new": True}], True),
+            ("b5", [{**SALES[0], "saleId": "s10", "new": "no truth"}], False)):
+        refined(spark, tmp_path, lake, records, batch)
+        df = ingest.misfits(spark, stream.parquet(lake.bronze("sales")), lake.schema("sales"))
+        asked = ingest.misfits(spark, spark.read.schema(ingest.RECORDS).parquet(lake.bronze("sales")),
+                               lake.schema("sales"))
+        assert df.isStreaming and (asked.filter(F.col("batch_id") == batch).count() == 0) == fits
+        taken.append(sorted(r.batch_id for r in spark.read.parquet(lake.quarantine("sales")).collect()))
+        assert "PartitionFilters: [(isnull(batch_id" in plan(asked) or not fits
+    assert taken == [[], ["b2"], ["b2"], ["b2"], ["b2", "b5"]]
+    # A line that is no JSON comes again under the id of a batch that fitted before.
+    (tmp_path / "sales" / "late.json").write_text("no json\n")
+    schemas = streaming_medallion.ingest(spark, {"sales": str(tmp_path / "sales")}, lake, "b4")
+    streaming_medallion.refine(spark, schemas, lake)
+    found = spark.read.parquet(lake.quarantine("sales")).collect()
+    assert sorted(r.batch_id for r in found) == ["b2", "b4", "b5"]
+    assert "no json" in {r._corrupt_record for r in found}
+
+
 def test_gold_state_is_grouped_in_one_shuffle(spark, tmp_path):
     """Pairs and sets hardly repeat: new sales and state meet in one grouping, sales are joined once."""
     from lakejobs.operators import partials
