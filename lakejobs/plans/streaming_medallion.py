@@ -15,6 +15,7 @@ from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans import incremental_gold
 from lakejobs.plans.together import together
+from lakejobs.session import leanly
 from lakejobs.streaming.ingest import (
     CORRUPT, RECORDS, drawn, ingest_stream, misfits, read_records, register_records, start_table,
 )
@@ -23,6 +24,7 @@ from lakejobs.streaming.silver import last_epoch, read_silver, stream_silver
 SOURCES = {"sales": "json", "customers": "csv", "products": "parquet"}
 
 
+@leanly
 def ingest(spark: SparkSession, landing: dict[str, str], lake: LakePaths, batch_id: str) -> dict:
     """Load the new files of every source into bronze; the sources run side by side.
 
@@ -46,6 +48,7 @@ def ingest(spark: SparkSession, landing: dict[str, str], lake: LakePaths, batch_
     }
 
 
+@leanly
 def refine(
     spark: SparkSession, schemas: dict, lake: LakePaths,
     as_of: str | None = None, watermark: tuple[str, str] | None = None, env: str = "dev",
@@ -92,6 +95,7 @@ def refine(
         query.awaitTermination()
 
 
+@leanly
 def build_gold(
     spark: SparkSession, lake: LakePaths, as_of: str | None = None,
     high: float = 1000, medium: float = 500,

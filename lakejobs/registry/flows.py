@@ -10,7 +10,7 @@ from lakejobs.plans import audit, bronze_to_silver, medallion, streaming_medalli
 from lakejobs.plans.together import together
 from lakejobs.registry import entities
 from lakejobs.registry.case import case
-from lakejobs.session import fresh_dir
+from lakejobs.session import fresh_dir, lean
 from lakejobs.sources import star_tables as star
 from lakejobs.streaming.ingest import ingest_stream, read_records, start_table
 from lakejobs.streaming.silver import read_silver as read_streamed
@@ -72,12 +72,14 @@ def _stream(spark, d, name, gold=True):
     })
     if gold:
         together(
-            lambda: customers.write.option("header", True).csv(landing["customers"]),
+            lambda: customers.write.option("header", True).csv(
+                landing["customers"], compression="gzip"),
             lambda: products.write.parquet(landing["products"]),
         )
     lake = LakePaths(f"{root}/lake")
     for number, sales in enumerate(waves):
-        sales.write.mode("append").json(landing["sales"])
+        with lean(spark):
+            sales.write.mode("append").json(landing["sales"], compression="gzip")
         if gold:
             metrics = streaming_medallion.run(
                 spark, landing, lake, f"batch-{number}", as_of=star.SALES_AS_OF,

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +21,15 @@ SCALE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Settings of flows that write many tables in a row.  Shuffle files leave with the write that
+# made them; else they lie there until the driver happens to collect its garbage.  A stream that
+# writes one batch folder keeps its file open instead of sorting all rows by folder first.
+LEAN_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+}
+
 
 def build_session(app: str = "lakejobs", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the scale settings; ``conf`` keys use ``__`` for dots."""
@@ -31,6 +43,34 @@ def build_session(app: str = "lakejobs", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def lean(spark: SparkSession) -> Iterator[None]:
+    """Work with ``LEAN_CONF``.  A stream must start and end in here: it takes some of the settings
+    when it starts, and its file sink asks the session at each batch."""
+    before = {key: spark.conf.get(key, None) for key in LEAN_CONF}
+    for key, value in LEAN_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def leanly(step: Callable) -> Callable:
+    """A step, whose first argument is the session, under ``LEAN_CONF``."""
+
+    @wraps(step)
+    def run(spark: SparkSession, *args, **kwargs):
+        with lean(spark):
+            return step(spark, *args, **kwargs)
+
+    return run
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, else one in the warehouse.
 

@@ -2,9 +2,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakejobs.registry import flows
 from lakejobs.schemas import SALES_CSV
 from lakejobs.session import fresh_dir, work_dir
 from lakejobs.sources import files, star_tables, synth
+from lakejobs.streaming.silver import read_silver
 
 
 def test_csv_with_and_without_schema(spark, tmp_path):
@@ -103,3 +105,28 @@ def test_sample_relational_rows(spark):
     daily = gold.daily_store(df, "store_location", "transaction_id")
     assert daily.count() == 5
     assert daily.agg(F.round(F.sum("total_sales"), 2)).first()[0] == 1439.95
+
+
+def put_star(spark, folder):
+    """A star schema of a few rows, with keys that meet nothing."""
+    tables = {
+        "region": "select 0L as r_regionkey, 'R' as r_name",
+        "nation": "select 0L as n_nationkey, 'N' as n_name, 0L as n_regionkey",
+        "customer": "select id as c_custkey, id div 3 as c_nationkey, 'S' as c_mktsegment, 'C#1' as c_name from range(4)",
+        "part": "select id as p_partkey, 'T' as p_type, 'n' as p_name, 1.5D as p_retailprice from range(3)",
+        "orders": """select id as o_orderkey, nullif(id % 6, 5) as o_custkey, timestamp'2024-01-01' as o_orderdate,
+            'P' as o_orderpriority from range(12)""",
+        "lineitem": """select id % 14 as l_orderkey, cast(id as int) as l_linenumber, id % 5 as l_partkey,
+            1L as l_suppkey, cast(id as double) as l_quantity, cast(id as double) as l_extendedprice from range(60)""",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_landed_sales_are_compressed(spark, tmp_path):
+    put_star(spark, tmp_path)
+    lake, _ = flows._stream(spark, str(tmp_path), "compressed", gold=False)
+    root = lake.root.removesuffix("/lake")
+    assert files.list_files(spark, f"{root}/landing/sales", "json.gz").count() > 0
+    assert files.list_files(spark, f"{root}/landing/sales", "json").count() == 0
+    assert read_silver(spark, lake.silver("sales")).count() > 0

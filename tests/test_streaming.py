@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from conftest import plan, rows
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans import incremental_gold, streaming_medallion
+from lakejobs.session import LEAN_CONF, lean
 from lakejobs.streaming import ingest
 from lakejobs.streaming.keys import KeyStore
 from lakejobs.streaming.silver import read_silver, silver, stream_silver
@@ -414,3 +416,59 @@ def test_gold_state_is_grouped_in_one_shuffle(spark, tmp_path):
     sets = partials.values(sales, ["sale_date"], pair)
     merged = partials.merged_sets([sets, partials.merged_sets([sets])])
     assert rows(merged.select("column", "value")) == [("customer_id", "c"), ("product_id", "p")]
+
+
+def shuffled(spark):
+    """Names of the shuffle files that lie on disk."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        name = files.next().getName()
+        if name.startswith("shuffle_"):
+            found.add(name)
+    return found
+
+
+def put_silver(spark, lake, first, last):
+    """Silver sales of one micro-batch, with customers and products."""
+    sales = spark.range(first, last).selectExpr(
+        "concat('S', id) as sale_id", "date'2024-01-01' + cast(id % 3 as int) as sale_date",
+        "concat('C', id % 5) as customer_id", "concat('P', id % 7) as product_id",
+        "cast(id + 0.5 as decimal(10,2)) as sale_amount")
+    sales.write.parquet(f"{lake.silver('sales')}/_epoch={first}")
+    spark.range(5).selectExpr(
+        "concat('C', id) as customer_id", "'a' as first_name", "'b' as last_name",
+        "'x***' as email_masked", "'1' as phone", "'New' as customer_segment",
+    ).write.mode("overwrite").parquet(lake.silver("customers"))
+    spark.range(7).selectExpr(
+        "concat('P', id) as product_id", "'n' as product_name", "'k' as category_standardized",
+        "1.0 as price").write.mode("overwrite").parquet(lake.silver("products"))
+
+
+def test_shuffle_files_leave_with_their_write(spark, tmp_path):
+    lake = LakePaths(str(tmp_path / "lake"))
+    put_silver(spark, lake, 0, 40)
+    before = shuffled(spark)
+    streaming_medallion.build_gold(spark, lake, "2024-02-01")
+    until = time.time() + 5  # they are deleted behind the scenes
+    while shuffled(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled(spark) - before
+    assert tables.read(spark, lake.gold("customer_360")).count() == 5
+
+
+def test_streams_write_by_the_settings_of_the_flow(spark, tmp_path):
+    lake = LakePaths(str(tmp_path / "lake"))
+    put_json(tmp_path / "in", "a.json", SALES)
+    before = {key: spark.conf.get(key, None) for key in LEAN_CONF}
+    landing = {"sales": str(tmp_path / "in")}
+    schemas = streaming_medallion.ingest(spark, landing, lake, "b1")
+    streaming_medallion.refine(spark, schemas, lake)
+    for path in (lake.bronze("sales"), lake.silver("sales")):
+        files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert {key: spark.conf.get(key, None) for key in LEAN_CONF} == before
+    with pytest.raises(ZeroDivisionError), lean(spark):
+        1 / 0
+    assert {key: spark.conf.get(key, None) for key in LEAN_CONF} == before
