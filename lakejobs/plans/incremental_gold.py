@@ -22,7 +22,7 @@ from lakejobs.functions import classes
 from lakejobs.operators import gold, partials, tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans.together import together
-from lakejobs.session import path_exists
+from lakejobs.session import path_exists, remove
 
 FACTS = ["sale_id", "sale_date", "customer_id", "product_id", "sale_amount"]
 GROUP = ["sale_date", "category_standardized", "customer_segment"]
@@ -74,10 +74,14 @@ def refresh(
         "pairs": partials.added_sums(facts, before("pairs"), PAIR),
         "pending": marked.filter("NOT settled").drop("settled"),
     }
-    together(*[partial(df.write.mode("overwrite").parquet, at(name, run))
-               for name, df in state.items()])
+    # Sets and pairs shuffle about as much as the sales: one behind the other takes half the disk.
+    for names in (("sums", "pending"), ("sets",), ("pairs",)):
+        if names == ("pairs",):  # read from the sales
+            remove(spark, [at("marked", run)])
+        together(*[partial(state[name].write.mode("overwrite").parquet, at(name, run))
+                   for name in names])
     tables.few_rows(spark, [{"run": run, "until": until}], _RUNS).write.mode("append").parquet(log)
-    _remove(spark, [at("marked", run)] + [at(name, last.run) for name in state if last])
+    remove(spark, [at(name, last.run) for name in state if last])
     pending = spark.read.parquet(at("pending", run))
     pairs = spark.read.parquet(at("pairs", run))
     return {
@@ -132,10 +136,3 @@ def performance(pairs: DataFrame) -> DataFrame:
         classes.ratio("total", "amounts").alias("avg_sale_price"),
         F.col("met").alias("unique_customers"), F.col("first").alias("first_sale_date"),
         F.col("last").alias("last_sale_date"))
-
-
-def _remove(spark: SparkSession, folders: list[str]) -> None:
-    """Delete state that no later run reads."""
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -90,6 +90,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{app_dir}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))

@@ -46,6 +46,10 @@ class KeyStore:
         """The keys of earlier micro-batches: a batch that runs again does not meet its own."""
         return self.spark.table(self.table).filter(F.col(EPOCH) < epoch).select(*self.names)
 
+    def knows(self, epoch: int) -> bool:
+        """Whether there are keys of earlier micro-batches."""
+        return not self.before(epoch).isEmpty()
+
     def unseen(self, rows: DataFrame, epoch: int) -> DataFrame:
         """Rows whose key no earlier micro-batch had; a NULL in the key meets no other."""
         return rows.join(self.before(epoch), self.names, "left_anti")

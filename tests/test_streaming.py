@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakejobs.operators import gold, projections, quality, tables
 from lakejobs.paths import LakePaths
 from lakejobs.plans import incremental_gold, streaming_medallion
+from lakejobs.plans.together import together
 from lakejobs.session import LEAN_CONF, lean
 from lakejobs.streaming import ingest
 from lakejobs.streaming.keys import KeyStore
@@ -472,3 +473,49 @@ def test_streams_write_by_the_settings_of_the_flow(spark, tmp_path):
     with pytest.raises(ZeroDivisionError), lean(spark):
         1 / 0
     assert {key: spark.conf.get(key, None) for key in LEAN_CONF} == before
+
+
+def test_gold_state_is_written_in_turn(spark, tmp_path, monkeypatch):
+    """Sets and pairs, which shuffle most, are not written at once; joined sales leave before the pairs."""
+    lake = LakePaths(str(tmp_path / "lake"))
+    put_silver(spark, lake, 0, 40)
+    state, turns = tmp_path / "lake" / "_state", []
+
+    def one_by_one(*steps):
+        turns.append((len(steps), (state / "marked" / "run-0").exists()))
+        return together(*steps)
+
+    monkeypatch.setattr(incremental_gold, "together", one_by_one)
+    streaming_medallion.build_gold(spark, lake, "2024-02-01")
+    assert turns == [(2, True), (1, True), (1, False)]
+    got = tables.read(spark, lake.gold("sales_analytics")).agg(F.sum("transaction_count"), F.sum("total_sales"))
+    assert [float(x) for x in got.first()] == [40, 800]
+
+
+def test_rows_are_staged_between_deduplication_and_key_store(spark, tmp_path):
+    """Two shuffles of a micro-batch do not lie on disk at once; the first one meets an empty store."""
+    src, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "sale_id string, sale_date date, customer_id string, sale_amount decimal(10,2)"
+    staged = []
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(src)
+        stream_silver(stream, target, checkpoint, lambda df: df, (), ["sale_id", "sale_date"]).awaitTermination()
+
+    put = KeyStore.unseen
+
+    def unseen(self, rows, epoch):
+        staged.append([os.path.basename(os.path.dirname(f)) for f in rows.inputFiles()][:1])
+        return put(self, rows, epoch)
+
+    KeyStore.unseen = unseen
+    try:
+        for ids in ("1), (2), (2", "2), (3), (null", "null), (4), (1"):
+            spark.sql(f"""select concat('S', id) as sale_id, date'2024-01-01' as sale_date, 'c' as customer_id,
+                cast(1 as decimal(10,2)) as sale_amount from values ({ids}) as t(id)""").write.mode("append").parquet(src)
+            run()
+    finally:
+        KeyStore.unseen = put
+    assert staged == [["check_staged"]] * 2 and not (tmp_path / "check_staged").exists()
+    got = [r.sale_id for r in read_silver(spark, target).collect()]
+    assert sorted(map(str, got)) == ["None", "None", "S1", "S2", "S3", "S4"]
