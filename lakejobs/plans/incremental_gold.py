@@ -71,7 +71,8 @@ def refresh(
         "sums": partials.merged_sums([partials.sums(settled, GROUP), *before("sums")], GROUP),
         "sets": partials.merged_sets(
             [partials.values(settled, GROUP, list(SIZES)), *before("sets")]),
-        "pairs": partials.added_sums(facts, before("pairs"), PAIR),
+        "pairs": packed(partials.added_sums(
+            facts, [unpacked(df) for df in before("pairs")], PAIR)),
         "pending": marked.filter("NOT settled").drop("settled"),
     }
     # Sets and pairs shuffle about as much as the sales: one behind the other takes half the disk.
@@ -83,7 +84,7 @@ def refresh(
     tables.few_rows(spark, [{"run": run, "until": until}], _RUNS).write.mode("append").parquet(log)
     remove(spark, [at(name, last.run) for name in state if last])
     pending = spark.read.parquet(at("pending", run))
-    pairs = spark.read.parquet(at("pairs", run))
+    pairs = unpacked(spark.read.parquet(at("pairs", run)))
     return {
         "sales_analytics": analytics(
             spark.read.parquet(at("sums", run)), spark.read.parquet(at("sets", run)), pending),
@@ -112,6 +113,24 @@ def analytics(sums: DataFrame, sets: DataFrame, pending: DataFrame) -> DataFrame
     ).transform(gold.with_analytics_ratios)
 
 
+def packed(pairs: DataFrame) -> DataFrame:
+    """Pairs without what another measure tells: most are of one sale, whose amount and day would
+    lie there three times and twice.  A NULL in ``low``, ``high`` or ``last`` stands for the same
+    value as in ``total``, ``low`` or ``first``."""
+    told = {"low": "total", "high": "low", "last": "first"}
+    return pairs.withColumns({
+        name: F.when(~F.col(name).eqNullSafe(F.col(like)), F.col(name))
+        for name, like in told.items()})
+
+
+def unpacked(pairs: DataFrame) -> DataFrame:
+    """The pairs that :func:`packed` was given; pairs that lie there in full stay as they are."""
+    kinds = {f.name: f.dataType for f in pairs.schema.fields}
+    low = F.coalesce("low", F.col("total").cast(kinds["low"]))
+    return pairs.withColumns({
+        "low": low, "high": F.coalesce(F.col("high"), low), "last": F.coalesce("last", "first")})
+
+
 def _of(pairs: DataFrame, key: str, other: str) -> DataFrame:
     """Measures of one side of the pairs, and how many of the other it met."""
     kinds = {f.name: f.dataType for f in pairs.schema.fields}

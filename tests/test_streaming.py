@@ -519,3 +519,24 @@ def test_rows_are_staged_between_deduplication_and_key_store(spark, tmp_path):
     assert staged == [["check_staged"]] * 2 and not (tmp_path / "check_staged").exists()
     got = [r.sale_id for r in read_silver(spark, target).collect()]
     assert sorted(map(str, got)) == ["None", "None", "S1", "S2", "S3", "S4"]
+
+
+def test_pairs_of_one_sale_hold_its_amount_once(spark):
+    pairs = spark.sql("""select customer_id, n, amounts, cast(total as decimal(20,2)) as total,
+        cast(low as decimal(10,2)) as low, cast(high as decimal(10,2)) as high,
+        cast(first as date) as first, cast(last as date) as last from values
+        ('one', 1, 1, 5.25, 5.25, 5.25, '2024-01-01', '2024-01-01'),
+        ('two', 2, 2, 7.00, 3.00, 4.00, '2024-01-01', '2024-01-02'),
+        ('same', 2, 2, 6.00, 3.00, 3.00, '2024-01-02', '2024-01-02'),
+        ('zero', 2, 2, 0.00, -1.00, 1.00, '2024-01-02', '2024-01-03'),
+        ('nothing', 1, 0, null, null, null, '2024-01-02', '2024-01-02'),
+        ('overflow', 2, 2, null, 3.00, 3.00, null, null)
+        as t(customer_id, n, amounts, total, low, high, first, last)""")
+    packed = incremental_gold.packed(pairs)
+    held = {r.customer_id: (r.low, r.high, r.last) for r in packed.collect()}
+    assert held["one"] == held["nothing"] == (None, None, None)
+    assert float(held["overflow"][0]) == float(held["same"][0]) == 3 and held["same"][1:] == (None, None)
+    assert None not in held["two"] and None not in held["zero"]
+    back = incremental_gold.unpacked(packed)
+    assert back.schema.simpleString() == pairs.schema.simpleString() and rows(back) == rows(pairs)
+    assert rows(incremental_gold.unpacked(pairs)) == rows(pairs)  # state from before
