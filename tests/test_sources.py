@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from lakejobs.registry import flows
@@ -123,6 +123,25 @@ def put_star(spark, folder):
         spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
 
 
+def test_order_lines_are_shuffled_once_per_table_they_name(spark, tmp_path):
+    """Orders meet their customers before their lines, so lines do not move for the customer."""
+    put_star(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = star_tables.sales_raw(spark, str(tmp_path), "sale_id", "customer_id", "product_id")
+        moved = [x for x in plan(df).splitlines() if "Exchange hashpartitioning(" in x]
+        assert sorted(x.split("hashpartitioning(")[1].split("#")[0] for x in moved) == [
+            "c_custkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderkey", "p_partkey"]
+        # Lines below 14 orders and 5 parts, of which 12 and 3 are known; customers 3 and above,
+        # and none, are of no known nation or unknown.
+        want = sorted(f"SALE-{i % 14}-{i}" for i in range(60)
+                      if i % 14 < 12 and i % 5 < 3 and i % 14 % 6 < 3)
+        assert sorted(r.sale_id for r in df.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_landed_sales_are_compressed(spark, tmp_path):
     put_star(spark, tmp_path)
     lake, _ = flows._stream(spark, str(tmp_path), "compressed", gold=False)
